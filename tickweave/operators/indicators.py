@@ -467,6 +467,9 @@ def feature_set(
     one_bar_returns: bool = False,
     target: bool = True,
     last_row: str = "zero",
+    extra: Sequence[tuple[str, Column]] = (),
+    extra_back: int = 0,
+    cumulative_vwap: bool = False,
     max_block=None,
 ) -> DataFrame:
     """The recompute bundle as one function with a spec.
@@ -483,8 +486,8 @@ def feature_set(
     """
     keys = keys_of(keys)
     mp = min_periods
-    back = max([*lags_, *hourly, *windows, 14, 1])
-    stage1: list[tuple[str, Column]] = []
+    back = max([*lags_, *hourly, *windows, 14, 1, extra_back])
+    stage1: list[tuple[str, Column]] = list(extra)
     for k in lags_:
         stage1.append((f"close_lag_{k}", lag("close", k, keys)))
         stage1.append((f"return_{k}", pct_change("close", 1 if one_bar_returns else k, keys)))
@@ -516,6 +519,9 @@ def feature_set(
     elif vol_spike == "minus_one":
         stage2.append(("vol_spike", safe_div(F.col("volume"), F.col("vol_mean_14")) - F.lit(1.0)))
     d = windowed(df, [stage1, stage2], back=back, fwd=1 if target else 0, keys=keys)
+    if cumulative_vwap:
+        d = running_sum(d, {"_cpv": F.col("close") * F.col("volume"), "_cv": F.col("volume")}, keys)
+        d = d.withColumn("vwap14", F.col("_cpv") / (F.col("_cv") + F.lit(1e-9))).drop("_cpv", "_cv")
     d = ewm(d, [Ema.span("ema12", "close", 12), Ema.span("ema26", "close", 26)], keys, max_block=max_block)
     d = d.withColumn("macd", F.col("ema12") - F.col("ema26"))
     d = ewm(d, [Ema.span("macd_signal", "macd", 9)], keys, max_block=max_block)
@@ -523,6 +529,7 @@ def feature_set(
     value_cols = [c for c in d.columns if c not in (*keys, TS, IDX, SEG, "_next_close")]
     if fill == "ffill_bfill":
         d = fill_chain(d, value_cols, keys, backfill=True, zero=False)
+        d = d.na.drop(subset=value_cols)
     elif fill == "ffill":
         d = fill_chain(d, value_cols, keys, backfill=False, zero=False)
     elif fill == "zero":
@@ -535,3 +542,34 @@ def feature_set(
             d = d.filter(F.col("_next_close").isNotNull()).withColumn("target", up)
         d = d.drop("_next_close")
     return d.drop(SEG)
+
+
+def zero_filled_features(df: DataFrame, keys=KEYS, max_block=None) -> DataFrame:
+    """Strict windows, ``return_k = pct_change(k)``, volatility = std of
+    return1, ``vol_spike = v/mean - 1``, plain ema_ratio, all nulls to 0."""
+    return feature_set(
+        df, keys, lags_=(1, 2, 3, 6, 12), windows=(14,), hourly=(), volatility_kind="return_std",
+        vol_spike="minus_one", ema_ratio_eps=None, fill="zero", target=False, max_block=max_block,
+    )
+
+
+def partial_features(df: DataFrame, features: Sequence[str] | None = None, keys=KEYS, max_block=None) -> DataFrame:
+    """Partial windows (``min_periods=1``), rolling-mean RSI with eps,
+    cumulative VWAP, ATR as the partial mean of high-low, ffill + bfill, then
+    aligned to a model's feature list (B15; default the 36-column set).
+
+    ``return_k`` here is the one-bar return for every k, as in the reference
+    (``one_bar_returns=True``).
+    """
+    from tickweave.operators.clean import align_features
+    from tickweave.schema import MODEL_FEATURES
+
+    hl = F.col("high") - F.col("low")
+    d = feature_set(
+        df, keys, lags_=(1, 2, 3, 6, 12), windows=(14,), hourly=(), min_periods=1,
+        volatility_kind="relative", vol_spike="ratio", ema_ratio_eps=1e-9, fill="ffill_bfill",
+        one_bar_returns=True, target=False, cumulative_vwap=True,
+        extra=[("rsi14", rsi_rolling_expr(14, keys)), ("atr14", rolling_mean(hl, 14, 1, keys))],
+        extra_back=14, max_block=max_block,
+    )
+    return align_features(d, list(features or MODEL_FEATURES), keep=[*keys_of(keys), TS])
