@@ -119,7 +119,8 @@ def snapshot(scored: DataFrame, features: Sequence[str], keys=KEYS, prob: str =
     """Latest row per series with pred, prob, price and the first n features."""
     keys = keys_of(keys)
     cols = [c for c in features][:n]
-    last = latest_per_series(scored.select(*keys, TS, "close", pred, prob, *cols), keys)
+    base = [*keys, TS, "close", pred, prob]
+    last = latest_per_series(scored.select(*base, *[c for c in cols if c not in base]), keys)
     return last.select(
         *keys,
         F.col(TS).alias("row_timestamp"),

@@ -70,9 +70,14 @@ def a15_resample_15m(spark, sf):
 
 # ---------------------------------------------------------------- EMA family
 
-_DELTA = f"""g0 AS (SELECT *, close - {q.lag('close')} AS delta FROM bars),
-g AS (SELECT *, CASE WHEN delta IS NOT NULL THEN greatest(delta, 0.0) END AS up,
-                CASE WHEN delta IS NOT NULL THEN -least(delta, 0.0) END AS dn FROM g0)"""
+def delta_sql(p: str = "", src: str = "bars") -> str:
+    """CTEs ``{p}g0`` / ``{p}g``: close diff and its gain / loss parts."""
+    return f"""{p}g0 AS (SELECT *, close - {q.lag('close')} AS delta FROM {src}),
+{p}g AS (SELECT *, CASE WHEN delta IS NOT NULL THEN greatest(delta, 0.0) END AS up,
+                CASE WHEN delta IS NOT NULL THEN -least(delta, 0.0) END AS dn FROM {p}g0)"""
+
+
+_DELTA = delta_sql()
 
 
 @query(
@@ -146,16 +151,21 @@ def c13_rsi_ema(spark, sf):
 
 # ---------------------------------------------------------------- E1-E3
 
-_BACKTEST_SQL = f"""{_DELTA},
-e AS (SELECT *, {q.ema_span('close', 12)} AS ema12, {q.ema_span('close', 26)} AS ema26,
+def backtest_sql(p: str = "", src: str = "bars", out: str = "bt") -> str:
+    """CTEs ending in ``out``: the EMA/RSI rule at every bar of ``src``."""
+    return f"""{delta_sql(p, src)},
+{p}e AS (SELECT *, {q.ema_span('close', 12)} AS ema12, {q.ema_span('close', 26)} AS ema26,
              CASE WHEN delta IS NOT NULL THEN {q.ema_span('up', 14, True)} END AS au,
-             CASE WHEN delta IS NOT NULL THEN {q.ema_span('dn', 14, True)} END AS ad FROM g),
-r AS (SELECT *, {_RSI_EMA_SQL} AS rsi FROM e),
-bt AS (SELECT symbol, timeframe, timestamp, close,
+             CASE WHEN delta IS NOT NULL THEN {q.ema_span('dn', 14, True)} END AS ad FROM {p}g),
+{p}r AS (SELECT *, {_RSI_EMA_SQL} AS rsi FROM {p}e),
+{out} AS (SELECT symbol, timeframe, timestamp, close,
   CASE WHEN ema12 > ema26 AND rsi < 70 THEN 'BUY' WHEN ema12 < ema26 AND rsi > 30 THEN 'SELL' ELSE 'NoSignal' END AS signal,
   CASE WHEN ema12 > ema26 AND rsi < 70 THEN least(greatest((70.0 - rsi) / 70.0, 0.0), 1.0)
        WHEN ema12 < ema26 AND rsi > 30 THEN least(greatest((rsi - 30.0) / 70.0, 0.0), 1.0)
-       ELSE 0.5 END AS confidence FROM r)"""
+       ELSE 0.5 END AS confidence FROM {p}r)"""
+
+
+_BACKTEST_SQL = backtest_sql()
 
 
 @query(
