@@ -30,11 +30,9 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from tickweave.functions.core import col_of
-from tickweave.operators.series import IDX, SEG, SEGMENT_ROWS, keys_of, shared, with_segments
+from tickweave.operators.series import SEGMENT_ROWS
 from tickweave.schema import KEYS
 
 
@@ -87,72 +85,7 @@ def ewm(
     seg_rows: int = SEGMENT_ROWS,
     max_block: int | None = None,
 ) -> DataFrame:
-    """Add one column per spec.  ``df`` must carry the dense index ``_i``."""
-    keys = keys_of(keys)
-    d = with_segments(df, seg_rows)
-    by_block: dict[int, list[Ema]] = {}
-    for s in specs:
-        by_block.setdefault(block_rows(s.alpha, seg_rows, max_block), []).append(s)
-    for b, group in sorted(by_block.items(), reverse=True):
-        d = _ewm_block_group(d, group, keys, seg_rows, b)
-    return d
-
-
-def _weight(s: Ema) -> Column:
-    x = col_of(s.x)
-    i = F.col(IDX)
-    return (
-        F.when(x.isNull() | (i < s.start), F.lit(0.0))
-        .when(i == s.start, F.lit(1.0))
-        .otherwise(F.lit(s.alpha))
-    )
-
-
-def _ewm_block_group(d: DataFrame, specs: list[Ema], keys: list[str], seg_rows: int, b: int) -> DataFrame:
-    same_as_seg = b == seg_rows
-    gcol = SEG if same_as_seg else f"_g{b}"
-    if not same_as_seg:
-        d = d.withColumn(gcol, F.floor(F.col(IDX) / F.lit(b)).cast("long"))
-    j = F.col(IDX) - F.col(gcol) * F.lit(b)
-    part = [*keys, SEG] if same_as_seg else [*keys, SEG, gcol]
-    w = Window.partitionBy(*part).orderBy(IDX).rowsBetween(Window.unboundedPreceding, 0)
-
-    locs = []
-    for s in specs:
-        lam = 1.0 - s.alpha
-        term = _weight(s) * F.coalesce(col_of(s.x), F.lit(0.0)) * F.pow(F.lit(lam), -j)
-        locs.append((F.pow(F.lit(lam), j) * F.sum(term).over(w)).alias(f"_loc_{s.out}"))
-    d = shared(d.select("*", *locs))
-
-    # Block table: local value at the block's last row (t), then carries.
-    blocks = d.groupBy(*keys, gcol).agg(*[F.max_by(f"_loc_{s.out}", IDX).alias(f"_t_{s.out}") for s in specs])
-    bw = Window.partitionBy(*keys).orderBy(gcol)
-    carries = []
-    for s in specs:
-        lam = 1.0 - s.alpha
-        depth = carry_depth(s.alpha, b)
-        terms = [
-            F.lit(lam ** ((k - 1) * b)) * F.coalesce(F.lag(f"_t_{s.out}", k).over(bw), F.lit(0.0))
-            for k in range(1, depth + 1)
-            if k == 1 or lam ** ((k - 1) * b) > 0.0
-        ]
-        total = terms[0]
-        for t in terms[1:]:
-            total = total + t
-        carries.append(total.alias(f"_c_{s.out}"))
-    carry = blocks.select(*keys, gcol, *carries)
-    if not same_as_seg:
-        carry = carry.withColumn(SEG, F.floor(F.col(gcol) * F.lit(b) / F.lit(seg_rows)).cast("long"))
-        d = d.join(carry, [*keys, SEG, gcol], "left")
-    else:
-        d = d.join(carry, [*keys, SEG], "left")
-
-    outs = []
-    for s in specs:
-        lam = 1.0 - s.alpha
-        y = F.col(f"_loc_{s.out}") + F.pow(F.lit(lam), j + 1) * F.coalesce(F.col(f"_c_{s.out}"), F.lit(0.0))
-        outs.append(F.when(F.col(IDX) >= s.start, y).alias(s.out))
-    drop = {f"_loc_{s.out}" for s in specs} | {f"_c_{s.out}" for s in specs} | {s.out for s in specs}
-    if not same_as_seg:
-        drop.add(gcol)
-    return d.select(*[c for c in d.columns if c not in drop], *outs)
+    """Add one column per spec in one carry stage.  ``df`` needs the dense ``_i``."""
+    from tickweave.operators.carry import carry_stage
+
+    return carry_stage(df, keys, seg_rows, emas=list(specs), max_block=max_block)

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickweave.functions.core import col_of, safe_div
+from tickweave.operators.carry import carry_stage
 from tickweave.operators.ewm import Ema, ewm
 from tickweave.operators.series import (
     IDX,
@@ -384,12 +385,17 @@ def zscore(df: DataFrame, cols: Sequence[str], keys=KEYS, one_on_zero: bool = Tr
 
 
 def fill_chain(df: DataFrame, cols: Sequence[str], keys=KEYS, backfill: bool = True, zero: bool = True) -> DataFrame:
-    """Ffill, then bfill, then 0 (``backfill=False`` keeps it causal)."""
-    d = fill_forward(df, cols, keys)
+    """Ffill, then bfill, then 0, in one carry stage (``backfill=False``
+    keeps it causal)."""
+    from tickweave.operators.carry import carry_stage
+
+    cols = [c for c in cols if c in df.columns]
     if backfill:
-        d = fill_backward(d, cols, keys)
-    if zero:
-        d = d.na.fill(0.0, subset=[c for c in cols if c in d.columns])
+        d = carry_stage(ensure_index(df, keys), keys, fill_chain=cols, fill_value=0.0 if zero else None)
+    else:
+        d = carry_stage(ensure_index(df, keys), keys, ffill=cols)
+        if zero:
+            d = d.na.fill(0.0, subset=cols)
     return d.drop(SEG)
 
 
@@ -400,8 +406,11 @@ def indicators(df: DataFrame, keys=KEYS, fill: bool = True, backfill: bool = Tru
     vwap14, obv, spread; then ffill, bfill, 0 over all columns.
 
     Plan: one halo exchange on (keys, _seg) for every bounded window; one
-    segment carry for the four first-round EMAs and OBV; a second for the MACD
-    signal; fill carries last.
+    carry stage for the four first-round EMAs, OBV and the fill chain; one for
+    the MACD signal (an EMA of the first round).  The fill runs in the first
+    carry stage on the input and window columns: the EMA / MACD / RSI outputs
+    are never null when ``close`` has no interior nulls (which the EMA needs
+    anyway), so this equals filling everything at the end.
     """
     keys = keys_of(keys)
     prev = lag("close", 1, keys)
@@ -424,33 +433,36 @@ def indicators(df: DataFrame, keys=KEYS, fill: bool = True, backfill: bool = Tru
         back=14,
         keys=keys,
     )
-    d = running_sum(d, {"obv": F.col("_obv_t")}, keys)
-    d = ewm(
+    base = [c for c in df.columns if c not in (*keys, TS, IDX, SEG)]
+    fill_cols = [*base, "return1", "atr14", "vwap14"] if fill else []
+    d = carry_stage(
         d,
-        [
+        keys,
+        sums={"obv": F.col("_obv_t")},
+        emas=[
             Ema.span("ema12", "close", 12),
             Ema.span("ema26", "close", 26),
             Ema.com("_au", "_up", 14, start=1),
             Ema.com("_ad", "_down", 14, start=1),
         ],
-        keys,
+        fill_chain=fill_cols if backfill else [],
+        ffill=fill_cols if not backfill else [],
         max_block=max_block,
     )
     d = d.withColumn("macd", F.col("ema12") - F.col("ema26"))
     d = ewm(d, [Ema.span("macd_signal", "macd", 9)], keys, max_block=max_block)
     rs = F.col("_au") / F.when(F.col("_ad") != 0, F.col("_ad"))
     d = d.select(
-        *[c for c in d.columns if not c.startswith("_") or c in (IDX, SEG)],
+        *[c for c in d.columns if not c.startswith("_") or c == IDX],
         (F.col("macd") - F.col("macd_signal")).alias("macd_hist"),
         F.coalesce(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + rs), F.lit(50.0)).alias("rsi14"),
         spread_expr(df).alias("spread"),
     )
-    base = [c for c in df.columns if c not in (*keys, TS, IDX, SEG)]
     order = [*keys, TS, *base, "return1", "ema12", "ema26", "macd", "macd_signal", "macd_hist", "rsi14", "atr14", "vwap14", "obv", "spread", IDX]
     d = d.select(*[c for c in order if c in d.columns])
-    if fill:
-        d = fill_chain(d, [c for c in d.columns if c not in (*keys, TS, IDX, SEG)], keys, backfill=backfill)
-    return d.drop(SEG)
+    if fill and not backfill:
+        d = d.na.fill(0.0, subset=fill_cols)
+    return d
 
 
 def feature_set(
@@ -519,19 +531,23 @@ def feature_set(
     elif vol_spike == "minus_one":
         stage2.append(("vol_spike", safe_div(F.col("volume"), F.col("vol_mean_14")) - F.lit(1.0)))
     d = windowed(df, [stage1, stage2], back=back, fwd=1 if target else 0, keys=keys)
+    sums = {"_cpv": F.col("close") * F.col("volume"), "_cv": F.col("volume")} if cumulative_vwap else {}
+    d = carry_stage(d, keys, sums=sums, emas=[Ema.span("ema12", "close", 12), Ema.span("ema26", "close", 26)], max_block=max_block)
     if cumulative_vwap:
-        d = running_sum(d, {"_cpv": F.col("close") * F.col("volume"), "_cv": F.col("volume")}, keys)
         d = d.withColumn("vwap14", F.col("_cpv") / (F.col("_cv") + F.lit(1e-9))).drop("_cpv", "_cv")
-    d = ewm(d, [Ema.span("ema12", "close", 12), Ema.span("ema26", "close", 26)], keys, max_block=max_block)
     d = d.withColumn("macd", F.col("ema12") - F.col("ema26"))
-    d = ewm(d, [Ema.span("macd_signal", "macd", 9)], keys, max_block=max_block)
+    # The MACD signal is never null; fill every other value column in the same stage.
+    value_cols = [c for c in d.columns if c not in (*keys, TS, IDX, SEG, "_next_close")]
+    fill_cols = value_cols if fill in ("ffill_bfill", "ffill") else []
+    d = carry_stage(
+        d, keys, emas=[Ema.span("macd_signal", "macd", 9)], max_block=max_block,
+        fill_chain=fill_cols if fill == "ffill_bfill" else [], ffill=fill_cols if fill == "ffill" else [],
+        fill_value=None,
+    )
     d = d.withColumn("macd_hist", F.col("macd") - F.col("macd_signal")).withColumn("ema_ratio", ema_ratio_expr(ema_ratio_eps))
     value_cols = [c for c in d.columns if c not in (*keys, TS, IDX, SEG, "_next_close")]
     if fill == "ffill_bfill":
-        d = fill_chain(d, value_cols, keys, backfill=True, zero=False)
         d = d.na.drop(subset=value_cols)
-    elif fill == "ffill":
-        d = fill_chain(d, value_cols, keys, backfill=False, zero=False)
     elif fill == "zero":
         d = d.na.fill(0.0, subset=value_cols)
     if target:

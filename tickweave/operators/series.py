@@ -15,12 +15,11 @@ partitioned by ``(keys, _seg)``:
   *halo*: copies of the last ``back`` rows of the previous segment and the first
   ``fwd`` rows of the next one (``with_halo``).  One exchange, no whole-series
   task, ``back/seg_rows`` extra rows.
-* unbounded state (running sum, forward/back fill, EMA) - each segment computes
-  its local result and one summary row; the summary table (``rows/seg_rows``
-  rows) carries state across segments with a window over the summary rows,
-  and is joined back on ``(keys, _seg)``.  The big side is already hash
-  partitioned on exactly those keys, so only the small side moves (or AQE
-  broadcasts it after measuring it).
+* unbounded state (running sum, forward/back fill, EMA) - see ``carry``: one
+  exchange on ``(keys, _seg)``; each segment computes its local result, a
+  plain aggregate of the same shuffled rows gives one summary row per
+  segment, a window over that small table carries state across segments, and
+  the carry is joined back on ``(keys, _seg)``.
 
 The index must be dense (0..n-1 without holes).  Operators that drop rows call
 ``index_rows`` again before further window work.
@@ -30,7 +29,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,16 +44,6 @@ UNB_PREC = Window.unboundedPreceding
 UNB_FOLL = Window.unboundedFollowing
 
 
-def shared(df: DataFrame) -> DataFrame:
-    """Persist an intermediate that feeds both a segment summary and the join back.
-
-    Without it Spark would recompute the window stage once per consumer, and
-    chained carry stages would multiply that.  MEMORY_AND_DISK spills instead
-    of failing; lost blocks are rebuilt from lineage.
-    """
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def keys_of(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
@@ -152,63 +140,24 @@ def with_segments(df: DataFrame, seg_rows: int = SEGMENT_ROWS) -> DataFrame:
 
 
 def running_sum(df: DataFrame, exprs: dict[str, Column], keys=KEYS, seg_rows: int = SEGMENT_ROWS) -> DataFrame:
-    """Running sum from the series start for each ``{out: expr}``.
+    """Running sum from the series start for each ``{out: expr}`` (null terms count 0)."""
+    from tickweave.operators.carry import carry_stage
 
-    Local running sum inside the segment, plus the sum of all earlier segment
-    totals from the small summary table.  Null terms count as 0.
-    """
-    keys = keys_of(keys)
-    d = with_segments(df, seg_rows)
-    w = seg_window(keys).rowsBetween(UNB_PREC, 0)
-    loc = {o: f"_loc_{o}" for o in exprs}
-    d = shared(d.select("*", *[F.sum(F.coalesce(e, F.lit(0.0))).over(w).alias(loc[o]) for o, e in exprs.items()]))
-    tot = d.groupBy(*keys, SEG).agg(*[F.max_by(loc[o], IDX).alias(f"_tot_{o}") for o in exprs])
-    sw = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(UNB_PREC, -1)
-    carry = tot.select(*keys, SEG, *[F.sum(f"_tot_{o}").over(sw).alias(f"_pre_{o}") for o in exprs])
-    d = d.join(carry, [*keys, SEG], "left")
-    out = [(F.col(loc[o]) + F.coalesce(F.col(f"_pre_{o}"), F.lit(0.0))).alias(o) for o in exprs]
-    drop = [loc[o] for o in exprs] + [f"_pre_{o}" for o in exprs]
-    return d.select(*[c for c in d.columns if c not in drop and c not in exprs], *out)
+    return carry_stage(df, keys, seg_rows, sums=exprs)
 
 
 def fill_forward(df: DataFrame, cols: Sequence[str], keys=KEYS, seg_rows: int = SEGMENT_ROWS) -> DataFrame:
     """pandas ``ffill``: last non-null value at or before each row."""
-    return _fill(df, cols, keys, seg_rows, forward=True)
+    from tickweave.operators.carry import carry_stage
+
+    return carry_stage(df, keys, seg_rows, ffill=[c for c in cols if c in df.columns])
 
 
 def fill_backward(df: DataFrame, cols: Sequence[str], keys=KEYS, seg_rows: int = SEGMENT_ROWS) -> DataFrame:
     """pandas ``bfill``: first non-null value at or after each row."""
-    return _fill(df, cols, keys, seg_rows, forward=False)
-
+    from tickweave.operators.carry import carry_stage
 
-def _fill(df, cols, keys, seg_rows, forward):
-    keys = keys_of(keys)
-    cols = [c for c in cols if c in df.columns]
-    if not cols:
-        return df
-    d = with_segments(df, seg_rows)
-    if forward:
-        w = seg_window(keys).rowsBetween(UNB_PREC, 0)
-        loc = [F.last(c, ignorenulls=True).over(w).alias(f"_f_{c}") for c in cols]
-    else:
-        w = seg_window(keys).rowsBetween(0, UNB_FOLL)
-        loc = [F.first(c, ignorenulls=True).over(w).alias(f"_f_{c}") for c in cols]
-    d = shared(d.select("*", *loc))
-    # Segment summary: its last (forward) or first (backward) non-null value.
-    pick = F.max_by if forward else F.min_by
-    summ = d.groupBy(*keys, SEG).agg(
-        *[pick(F.col(c), F.when(F.col(c).isNotNull(), F.col(IDX))).alias(f"_s_{c}") for c in cols]
-    )
-    if forward:
-        sw = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(UNB_PREC, -1)
-        carry = summ.select(*keys, SEG, *[F.last(f"_s_{c}", ignorenulls=True).over(sw).alias(f"_c_{c}") for c in cols])
-    else:
-        sw = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(1, UNB_FOLL)
-        carry = summ.select(*keys, SEG, *[F.first(f"_s_{c}", ignorenulls=True).over(sw).alias(f"_c_{c}") for c in cols])
-    d = d.join(carry, [*keys, SEG], "left")
-    out = [F.coalesce(F.col(f"_f_{c}"), F.col(f"_c_{c}")).alias(c) for c in cols]
-    keep = [c for c in d.columns if c not in cols and not c.startswith(("_f_", "_c_"))]
-    return d.select(*keep, *out).select(*[c for c in df.columns] + [c for c in (SEG,) if c not in df.columns])
+    return carry_stage(df, keys, seg_rows, bfill=[c for c in cols if c in df.columns])
 
 
 def series_count(df: DataFrame, keys=KEYS) -> DataFrame:
