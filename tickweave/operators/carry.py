@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickweave.functions.core import col_of
-from tickweave.operators.series import IDX, SEG, SEGMENT_ROWS, UNB_FOLL, UNB_PREC, keys_of, with_segments
+from tickweave.operators.series import IDX, SEG, SEGMENT_ROWS, UNB_PREC, keys_of, with_segments
 from tickweave.schema import KEYS
 
 
@@ -66,9 +66,12 @@ def carry_stage(
     fill_chain = [c for c in fill_chain if c in df.columns]
     d = with_segments(df, seg_rows).repartition(*keys, SEG)
     wp = Window.partitionBy(*keys, SEG).orderBy(IDX).rowsBetween(UNB_PREC, 0)
-    wf = Window.partitionBy(*keys, SEG).orderBy(IDX).rowsBetween(0, UNB_FOLL)
+    # Frames that reach to the end are written as growing frames over the
+    # reversed order: Spark re-aggregates a shrinking "to unbounded
+    # following" frame for every row (quadratic), a growing one incrementally.
+    wf = Window.partitionBy(*keys, SEG).orderBy(F.col(IDX).desc()).rowsBetween(UNB_PREC, 0)
     prev_segs = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(UNB_PREC, -1)
-    next_segs = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(1, UNB_FOLL)
+    next_segs = Window.partitionBy(*keys).orderBy(F.col(SEG).desc()).rowsBetween(UNB_PREC, -1)
 
     local: list[Column] = []
     summary: list[Column] = []
@@ -89,9 +92,9 @@ def carry_stage(
         summary.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(IDX))).alias(f"_sf_{c}"))
         carry.append(F.last(f"_sf_{c}", ignorenulls=True).over(prev_segs).alias(f"_cf_{c}"))
     for c in bwd_cols:
-        local.append(F.first(c, ignorenulls=True).over(wf).alias(f"_lb_{c}"))
+        local.append(F.last(c, ignorenulls=True).over(wf).alias(f"_lb_{c}"))
         summary.append(F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(IDX))).alias(f"_sb_{c}"))
-        carry.append(F.first(f"_sb_{c}", ignorenulls=True).over(next_segs).alias(f"_cb_{c}"))
+        carry.append(F.last(f"_sb_{c}", ignorenulls=True).over(next_segs).alias(f"_cb_{c}"))
     for c in ffill:
         final[c] = F.coalesce(F.col(f"_lf_{c}"), F.col(f"_cf_{c}"))
     for c in bfill:
