@@ -39,6 +39,16 @@ def _lam_pow(lam: float, e: Column) -> Column:
     return F.pow(F.lit(lam), e)
 
 
+def _block_carry(t: str, lam: float, b: int, depth: int, order: Window) -> Column:
+    """EMA value at the end of the previous block from the block-end values
+    ``t`` of the last ``depth`` blocks: the recursion ``acc * lam^B + t``
+    folded over that bounded list (``depth`` reaches until ``lam^(depth*B)``
+    underflows, so older blocks add nothing)."""
+    prev = F.collect_list(F.col(t)).over(order.rowsBetween(-depth, -1))
+    decay = F.lit(lam**b)
+    return F.aggregate(prev, F.lit(0.0), lambda acc, x: acc * decay + x)
+
+
 def carry_stage(
     df: DataFrame,
     keys=KEYS,
@@ -118,15 +128,7 @@ def carry_stage(
             j = i - F.col(SEG) * F.lit(b)
             local.append((_lam_pow(lam, j) * F.sum(w * x * _lam_pow(lam, -j)).over(wp)).alias(f"_le_{s.out}"))
             summary.append(F.sum(w * x * _lam_pow(lam, F.lit(b - 1) - j)).alias(f"_se_{s.out}"))
-            terms = [
-                F.lit(lam ** ((k - 1) * b)) * F.coalesce(F.lag(f"_se_{s.out}", k).over(Window.partitionBy(*keys).orderBy(SEG)), F.lit(0.0))
-                for k in range(1, carry_depth(s.alpha, b) + 1)
-                if k == 1 or lam ** ((k - 1) * b) > 0.0
-            ]
-            total = terms[0]
-            for t in terms[1:]:
-                total = total + t
-            carry.append(total.alias(f"_ce_{s.out}"))
+            carry.append(_block_carry(f"_se_{s.out}", lam, b, carry_depth(s.alpha, b), Window.partitionBy(*keys).orderBy(SEG)).alias(f"_ce_{s.out}"))
             final[s.out] = F.when(i >= s.start, F.col(f"_le_{s.out}") + _lam_pow(lam, j + 1) * F.col(f"_ce_{s.out}"))
         else:
             sub_blocks.setdefault(b, []).append(s)
@@ -151,15 +153,7 @@ def carry_stage(
         cs = []
         for s in specs:
             lam = 1.0 - s.alpha
-            terms = [
-                F.lit(lam ** ((k - 1) * b)) * F.coalesce(F.lag(f"_se_{s.out}", k).over(bw), F.lit(0.0))
-                for k in range(1, carry_depth(s.alpha, b) + 1)
-                if k == 1 or lam ** ((k - 1) * b) > 0.0
-            ]
-            total = terms[0]
-            for t in terms[1:]:
-                total = total + t
-            cs.append(total.alias(f"_ce_{s.out}"))
+            cs.append(_block_carry(f"_se_{s.out}", lam, b, carry_depth(s.alpha, b), bw).alias(f"_ce_{s.out}"))
         bt = bt.select(*keys, SEG, gname, *cs)
         # Pack the (bounded: seg_rows / b) block carries of a segment into one row.
         packed = bt.groupBy(*keys, SEG).agg(F.sort_array(F.collect_list(F.struct(gname, *[f"_ce_{s.out}" for s in specs]))).alias(f"_pk{b}"))
