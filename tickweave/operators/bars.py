@@ -26,16 +26,23 @@ def ticks_to_bars(
     price: str = "price",
     volume: str | None = None,
     tiebreak: str | None = None,
+    order: str | None = None,
 ) -> DataFrame:
     """trades/ticks to OHLCV bars of one timeframe.
 
     ``groupBy(symbol, bucket)`` with partial aggregation, so a hot symbol is
     combined map-side before the shuffle.  Open/close are the first/last price
     by time (``tiebreak`` orders equal times); volume is the summed size, or the
-    tick count when no volume column is given.
+    tick count when no volume column is given.  ``order`` replaces the
+    (time, tiebreak) ordering by one numeric column that sorts the same way
+    inside a bucket; an atomic ordering keeps the aggregate hash-based (a
+    struct ordering makes Spark sort).
     """
     step = _step_us(timeframe)
-    order = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.col(ts)
+    if order is not None:
+        order = F.col(order)
+    else:
+        order = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.col(ts)
     bucket = from_epoch_us(F.floor(epoch_us(ticks, ts) / F.lit(step)) * F.lit(step))
     vol = F.sum(F.col(volume).cast("double")) if volume else F.count(F.lit(1)).cast("double")
     return (
@@ -87,6 +94,7 @@ def regularise(
     ts: str = TS,
     value_cols: Sequence[str] | None = None,
     chunk_rows: int = SEGMENT_ROWS,
+    fill: str | None = None,
 ) -> DataFrame:
     """Pandas ``asfreq`` per series: a full grid from the first bar on.
 
@@ -94,41 +102,60 @@ def regularise(
     timeframe's length up to the last bar; bars off the grid are dropped and
     missing slots get null values.  Adds the dense row index ``_i`` (the grid
     position), so later window work needs no numbering pass.
-
-    The grid is generated in two levels - chunk starts per series, then rows
-    per chunk - so a long series is spread over many tasks instead of one
-    giant ``sequence`` array.  Input must be unique on (series, timestamp)
-    (use ``dedup_keep_first``).
+    ``fill='ffill_bfill'`` (the reference's ``asfreq().ffill().bfill()``) or
+    ``'ffill'`` fills the gaps in the same pass.
+
+    Plan: the span per series is a one-row-per-series aggregate; bars get
+    their grid position from it (a join AQE broadcasts when small, and
+    splits when skewed).  The grid is generated in two levels - chunk starts
+    per series, then rows per chunk - so a long series is spread over many
+    tasks.  Grid rows and bar rows are unioned and shuffled once by
+    ``(keys, _seg)`` and merged per grid slot; the output stays partitioned
+    that way, so the fill and the next window stage reuse the shuffle.
+    Input must be unique on (series, timestamp) (``dedup_keep_first``).
     """
+    from tickweave.operators.carry import carry_stage
+    from tickweave.operators.series import SEG
+
     keys = keys_of(keys)
-    value_cols = list(value_cols or [c for c in bars.columns if c not in (*keys, ts)])
-    step = tf_seconds("timeframe") * F.lit(1_000_000) if "timeframe" in bars.columns else None
-    if step is None:
+    value_cols = list(value_cols or [c for c in bars.columns if c not in (*keys, ts, IDX, SEG)])
+    if "timeframe" not in bars.columns:
         raise ValueError("regularise needs a timeframe column")
     t = epoch_us(bars, ts)
-    b = bars.select(*keys, t.alias("_t"), *value_cols).withColumn("_step", step)
+    b = bars.select(*keys, t.alias("_t"), *value_cols, (tf_seconds("timeframe") * F.lit(1_000_000)).alias("_step"))
     span = b.groupBy(*keys).agg(F.min("_t").alias("_t0"), F.max("_t").alias("_t1"), F.first("_step").alias("_step"))
     span = span.withColumn("_n", F.floor((F.col("_t1") - F.col("_t0")) / F.col("_step")).cast("long"))
+    placed = b.drop("_step").join(span.select(*keys, "_t0", "_step"), keys)
+    off = F.col("_t") - F.col("_t0")
+    placed = placed.filter(off % F.col("_step") == 0).select(
+        *keys, (off / F.col("_step")).cast("long").alias(IDX), "_t0", "_step", *value_cols
+    )
     chunks = span.select(
-        *keys,
-        "_t0",
-        "_step",
-        "_n",
+        *keys, "_t0", "_step", "_n",
         F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("_n") / F.lit(chunk_rows)).cast("long"))).alias("_c"),
     )
     grid = chunks.select(
-        *keys,
-        "_t0",
-        "_step",
+        *keys, "_t0", "_step",
         F.explode(
             F.sequence(
                 F.col("_c") * F.lit(chunk_rows),
                 F.least(F.col("_c") * F.lit(chunk_rows) + F.lit(chunk_rows - 1), F.col("_n")),
             )
         ).alias(IDX),
-    ).select(*keys, IDX, (F.col("_t0") + F.col(IDX) * F.col("_step")).alias("_t"))
-    joined = grid.join(b.drop("_step"), [*keys, "_t"], "left")
-    return joined.select(*keys, from_epoch_us("_t").alias(ts), *value_cols, IDX)
+    )
+    types = dict(bars.dtypes)
+    grid = grid.select(*keys, IDX, "_t0", "_step", *[F.lit(None).cast(types[c]).alias(c) for c in value_cols])
+    u = grid.unionByName(placed).withColumn(SEG, F.floor(F.col(IDX) / F.lit(SEGMENT_ROWS)).cast("long"))
+    u = u.repartition(*keys, SEG)
+    g = u.groupBy(*keys, SEG, IDX).agg(
+        F.max("_t0").alias("_t0"), F.max("_step").alias("_step"), *[F.max(c).alias(c) for c in value_cols]
+    )
+    out = g.select(*keys, from_epoch_us(F.col("_t0") + F.col(IDX) * F.col("_step")).alias(ts), *value_cols, IDX, SEG)
+    if fill == "ffill_bfill":
+        out = carry_stage(out, keys, fill_chain=value_cols, fill_value=None, partitioned=True)
+    elif fill == "ffill":
+        out = carry_stage(out, keys, ffill=value_cols, partitioned=True)
+    return out.drop(SEG)
 
 
 def latest_per_series(df: DataFrame, keys: Sequence[str] = KEYS, ts: str = TS) -> DataFrame:

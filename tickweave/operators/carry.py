@@ -60,6 +60,7 @@ def carry_stage(
     fill_value: float | None = 0.0,
     emas: Sequence = (),
     max_block: int | None = None,
+    partitioned: bool = False,
 ) -> DataFrame:
     """Add / replace columns that need state from all earlier (or later) rows.
 
@@ -68,13 +69,19 @@ def carry_stage(
     ``fill_chain``: columns filled ffill, then bfill, then ``fill_value``
     (``bfill(ffill(x)) == coalesce(ffill(x), bfill(x))``).
     ``emas``: ``Ema`` specs (see ``ewm``).  ``df`` needs the dense ``_i``.
+    ``partitioned``: the input comes straight from a stage already hash
+    partitioned on ``(keys, _seg)`` (a halo window, ``regularise``); skip the
+    explicit repartition and let both branches read that stage's shuffle (its
+    cheap last step runs twice instead of shuffling all rows again).
     """
     from tickweave.operators.ewm import block_rows, carry_depth
 
     keys = keys_of(keys)
     sums = dict(sums or {})
     fill_chain = [c for c in fill_chain if c in df.columns]
-    d = with_segments(df, seg_rows).repartition(*keys, SEG)
+    d = with_segments(df, seg_rows)
+    if not partitioned:
+        d = d.repartition(*keys, SEG)
     wp = Window.partitionBy(*keys, SEG).orderBy(IDX).rowsBetween(UNB_PREC, 0)
     # Frames that reach to the end are written as growing frames over the
     # reversed order: Spark re-aggregates a shrinking "to unbounded

@@ -84,8 +84,9 @@ def ewm(
     keys=KEYS,
     seg_rows: int = SEGMENT_ROWS,
     max_block: int | None = None,
+    partitioned: bool = False,
 ) -> DataFrame:
     """Add one column per spec in one carry stage.  ``df`` needs the dense ``_i``."""
     from tickweave.operators.carry import carry_stage
 
-    return carry_stage(df, keys, seg_rows, emas=list(specs), max_block=max_block)
+    return carry_stage(df, keys, seg_rows, emas=list(specs), max_block=max_block, partitioned=partitioned)

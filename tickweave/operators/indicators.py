@@ -178,7 +178,7 @@ def _up_down(keys) -> Stage:
 def rsi_wilder(df: DataFrame, period: int = 14, out: str = "rsi14", keys=KEYS, max_block=None):
     """Wilder RSI; averages seed on the first diff (row 2); no loss -> 50."""
     d = windowed(df, [_up_down(keys)], back=1, keys=keys)
-    d = ewm(d, [Ema.com("_au", "_up", period, start=1), Ema.com("_ad", "_down", period, start=1)], keys, max_block=max_block)
+    d = ewm(d, [Ema.com("_au", "_up", period, start=1), Ema.com("_ad", "_down", period, start=1)], keys, max_block=max_block, partitioned=True)
     rs = F.col("_au") / F.when(F.col("_ad") != 0, F.col("_ad"))
     rsi = F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + rs)
     return d.withColumn(out, F.coalesce(rsi, F.lit(50.0))).drop("_up", "_down", "_au", "_ad")
@@ -196,7 +196,7 @@ def rsi_ema_expr(up: Column, down: Column) -> Column:
 def rsi_ema(df: DataFrame, span: float = 14, out: str = "rsi", keys=KEYS, max_block=None):
     """RSI with EMA(span) averages (strategy form), no zero guard."""
     d = windowed(df, [_up_down(keys)], back=1, keys=keys)
-    d = ewm(d, [Ema.span("_au", "_up", span, start=1), Ema.span("_ad", "_down", span, start=1)], keys, max_block=max_block)
+    d = ewm(d, [Ema.span("_au", "_up", span, start=1), Ema.span("_ad", "_down", span, start=1)], keys, max_block=max_block, partitioned=True)
     return d.withColumn(out, rsi_ema_expr(F.col("_au"), F.col("_ad"))).drop("_up", "_down", "_au", "_ad")
 
 
@@ -284,7 +284,7 @@ def vwap_cumulative(df: DataFrame, out: str = "vwap14", eps: float = 1e-9, keys=
 def obv(df: DataFrame, out: str = "obv", keys=KEYS):
     """Running sum of sign(close diff) x volume; the first row is 0."""
     d = windowed(df, [[("_obv_t", F.coalesce(F.signum(F.col("close") - lag("close", 1, keys)), F.lit(0.0)) * F.col("volume"))]], back=1, keys=keys)
-    return running_sum(d, {out: F.col("_obv_t")}, keys).drop("_obv_t")
+    return running_sum(d, {out: F.col("_obv_t")}, keys, partitioned=True).drop("_obv_t")
 
 
 def spread_expr(df: DataFrame, bid: str = "bid", ask: str = "ask") -> Column:
@@ -532,7 +532,7 @@ def feature_set(
         stage2.append(("vol_spike", safe_div(F.col("volume"), F.col("vol_mean_14")) - F.lit(1.0)))
     d = windowed(df, [stage1, stage2], back=back, fwd=1 if target else 0, keys=keys)
     sums = {"_cpv": F.col("close") * F.col("volume"), "_cv": F.col("volume")} if cumulative_vwap else {}
-    d = carry_stage(d, keys, sums=sums, emas=[Ema.span("ema12", "close", 12), Ema.span("ema26", "close", 26)], max_block=max_block)
+    d = carry_stage(d, keys, sums=sums, emas=[Ema.span("ema12", "close", 12), Ema.span("ema26", "close", 26)], max_block=max_block, partitioned=True)
     if cumulative_vwap:
         d = d.withColumn("vwap14", F.col("_cpv") / (F.col("_cv") + F.lit(1e-9))).drop("_cpv", "_cv")
     d = d.withColumn("macd", F.col("ema12") - F.col("ema26"))

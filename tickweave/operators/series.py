@@ -139,11 +139,11 @@ def with_segments(df: DataFrame, seg_rows: int = SEGMENT_ROWS) -> DataFrame:
     return df if SEG in df.columns else df.withColumn(SEG, seg_expr(seg_rows))
 
 
-def running_sum(df: DataFrame, exprs: dict[str, Column], keys=KEYS, seg_rows: int = SEGMENT_ROWS) -> DataFrame:
+def running_sum(df: DataFrame, exprs: dict[str, Column], keys=KEYS, seg_rows: int = SEGMENT_ROWS, partitioned: bool = False) -> DataFrame:
     """Running sum from the series start for each ``{out: expr}`` (null terms count 0)."""
     from tickweave.operators.carry import carry_stage
 
-    return carry_stage(df, keys, seg_rows, sums=exprs)
+    return carry_stage(df, keys, seg_rows, sums=exprs, partitioned=partitioned)
 
 
 def fill_forward(df: DataFrame, cols: Sequence[str], keys=KEYS, seg_rows: int = SEGMENT_ROWS) -> DataFrame:

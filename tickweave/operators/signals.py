@@ -58,6 +58,7 @@ def ema_rsi_backtest(bars: DataFrame, keys=KEYS, max_block=None, keep_indicators
         ],
         keys,
         max_block=max_block,
+        partitioned=True,
     )
     rsi = rsi_ema_expr(F.col("_au"), F.col("_ad"))
     d = d.withColumn("rsi", rsi)

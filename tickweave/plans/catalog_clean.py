@@ -61,8 +61,10 @@ def b8_fill_const(spark, sf):
     with_bars(f"{_GRID_SQL}\nSELECT {KEYS_SQL}, " + ", ".join(q.r(f"coalesce({_ffill_sql(c)}, {_bfill_sql(c)}, 0.0)", c) for c in VALS) + " FROM reg"),
 )
 def b9_fill_chain(spark, sf):
-    """The reference's gap handling: ``asfreq().ffill().bfill()`` (+0)."""
-    return out(fill_chain(reg_bars(spark, sf), VALS), VALS)
+    """The reference's gap handling: ``asfreq().ffill().bfill()`` (+0), the
+    fill fused into the grid pass."""
+    d = regularise(event_bars(spark, sf, "1h"), fill="ffill_bfill").na.fill(0.0, subset=VALS)
+    return out(d, VALS)
 
 
 @query("b10_dropna", with_bars(f"{_GRID_SQL}\nSELECT {KEYS_SQL}, {ROUND_VALS} FROM reg WHERE open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL AND volume IS NOT NULL"))

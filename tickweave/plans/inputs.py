@@ -8,7 +8,7 @@ bars are written once in DuckDB SQL (``bars_cte``) for the oracle.
 
 ``lineitem`` gives a much larger, gappy set of daily bars for the bench:
 ``symbol = l_suppkey``, price ``l_extendedprice / l_quantity``, volume the
-quantity; ``(l_shipdate, l_orderkey, l_linenumber)`` orders equal times.
+quantity; a hash of the whole line fixes the order of the items of one day.
 """
 
 from __future__ import annotations
@@ -35,9 +35,14 @@ def lineitem_bars(spark: SparkSession, sf_dir: str, timeframe: str = "1d") -> Da
         F.col("l_shipdate").alias("ts"),
         F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("price"),
         F.col("l_quantity").alias("qty"),
-        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice").alias("_tb"),
+        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").alias("_ord"),
     )
-    return ticks_to_bars(li, timeframe, symbol="symbol", ts="ts", price="price", volume="qty", tiebreak="_tb")
+    if timeframe != "1d":
+        raise ValueError("lineitem bars are daily: every item of a day shares one ship date")
+    # All items of a daily bucket share the ship date and (order key, line)
+    # repeats, so the items of a day take a fixed order from a hash of the
+    # whole line: deterministic, and an atomic key keeps the aggregate hashed.
+    return ticks_to_bars(li, timeframe, symbol="symbol", ts="ts", price="price", volume="qty", order="_ord")
 
 
 _BUCKET_SQL = {
