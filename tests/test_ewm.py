@@ -69,3 +69,31 @@ def test_long_zero_run_keeps_tiny_values(spark):
     exp = (100 - 100 / (1 + rs)).fillna(50).to_numpy()
     np.testing.assert_allclose(out, exp, rtol=1e-9)
     assert out[-1] > 99.0
+
+
+def test_segment_size_does_not_matter(spark):
+    """Indicator bundle and filled grid are the same with 64-row segments
+    (many segments, halos and carries) as with the default."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from tickweave.operators.bars import regularise
+    from tickweave.operators.indicators import indicators
+    from tickweave.operators.series import SEGMENT_CONF
+
+    rng = np.random.default_rng(11)
+    x = list(100 + np.cumsum(rng.normal(size=400)))
+    b = bars_df(spark, [(v, v + 1, v - 1, v, 1.0 + (i % 7)) for i, v in enumerate(x)])
+    b = b.filter(F.hour("timestamp") != 5)  # gaps for the grid
+
+    def run():
+        d = indicators(regularise(b, fill="ffill_bfill")).drop("_i")
+        return d.orderBy("symbol", "timestamp").toPandas()
+
+    base = run()
+    spark.conf.set(SEGMENT_CONF, "64")
+    try:
+        small = run()
+    finally:
+        spark.conf.unset(SEGMENT_CONF)
+    pd.testing.assert_frame_equal(base, small, rtol=1e-12)

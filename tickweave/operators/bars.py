@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickweave.functions.core import epoch_us, from_epoch_us, tf_seconds
-from tickweave.operators.series import IDX, SEGMENT_ROWS, keys_of
+from tickweave.operators.series import IDX, keys_of, segment_rows
 from tickweave.schema import KEYS, PRICE_COLS, TIMEFRAMES, TS
 
 
@@ -93,7 +93,7 @@ def regularise(
     keys: Sequence[str] = KEYS,
     ts: str = TS,
     value_cols: Sequence[str] | None = None,
-    chunk_rows: int = SEGMENT_ROWS,
+    chunk_rows: int | None = None,
     fill: str | None = None,
 ) -> DataFrame:
     """Pandas ``asfreq`` per series: a full grid from the first bar on.
@@ -118,6 +118,8 @@ def regularise(
     from tickweave.operators.series import SEG
 
     keys = keys_of(keys)
+    seg_rows = segment_rows(bars)
+    chunk_rows = chunk_rows or seg_rows
     value_cols = list(value_cols or [c for c in bars.columns if c not in (*keys, ts, IDX, SEG)])
     if "timeframe" not in bars.columns:
         raise ValueError("regularise needs a timeframe column")
@@ -145,7 +147,7 @@ def regularise(
     )
     types = dict(bars.dtypes)
     grid = grid.select(*keys, IDX, "_t0", "_step", *[F.lit(None).cast(types[c]).alias(c) for c in value_cols])
-    u = grid.unionByName(placed).withColumn(SEG, F.floor(F.col(IDX) / F.lit(SEGMENT_ROWS)).cast("long"))
+    u = grid.unionByName(placed).withColumn(SEG, F.floor(F.col(IDX) / F.lit(seg_rows)).cast("long"))
     u = u.repartition(*keys, SEG)
     g = u.groupBy(*keys, SEG, IDX).agg(
         F.max("_t0").alias("_t0"), F.max("_step").alias("_step"), *[F.max(c).alias(c) for c in value_cols]

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickweave.functions.core import col_of
-from tickweave.operators.series import IDX, SEG, SEGMENT_ROWS, UNB_PREC, keys_of, with_segments
+from tickweave.operators.series import IDX, SEG, UNB_PREC, keys_of, segment_rows, with_segments
 from tickweave.schema import KEYS
 
 
@@ -52,7 +52,7 @@ def _block_carry(t: str, lam: float, b: int, depth: int, order: Window) -> Colum
 def carry_stage(
     df: DataFrame,
     keys=KEYS,
-    seg_rows: int = SEGMENT_ROWS,
+    seg_rows: int | None = None,
     sums: dict[str, Column] | None = None,
     ffill: Sequence[str] = (),
     bfill: Sequence[str] = (),
@@ -77,6 +77,7 @@ def carry_stage(
     from tickweave.operators.ewm import block_rows, carry_depth
 
     keys = keys_of(keys)
+    seg_rows = segment_rows(df, seg_rows)
     sums = dict(sums or {})
     fill_chain = [c for c in fill_chain if c in df.columns]
     d = with_segments(df, seg_rows)

@@ -82,7 +82,7 @@ def ewm(
     df: DataFrame,
     specs: Sequence[Ema],
     keys=KEYS,
-    seg_rows: int = SEGMENT_ROWS,
+    seg_rows: int | None = None,
     max_block: int | None = None,
     partitioned: bool = False,
 ) -> DataFrame:

@@ -25,7 +25,6 @@ from tickweave.operators.ewm import Ema, ewm
 from tickweave.operators.series import (
     IDX,
     SEG,
-    SEGMENT_ROWS,
     ensure_index,
     fill_backward,
     fill_forward,
@@ -97,7 +96,7 @@ def windowed(
     back: int = 0,
     fwd: int = 0,
     keys=KEYS,
-    seg_rows: int = SEGMENT_ROWS,
+    seg_rows: int | None = None,
 ) -> DataFrame:
     """Run window stages in one halo layout and return the series rows.
 

@@ -39,11 +39,27 @@ IDX = "_i"
 SEG = "_seg"
 ROLE = "_role"  # 0 = row of this segment, -1 = look-back copy, 1 = look-ahead copy
 SEGMENT_ROWS = 1024
+SEGMENT_CONF = "spark.tickweave.segmentRows"
 
 UNB_PREC = Window.unboundedPreceding
 UNB_FOLL = Window.unboundedFollowing
 
 
+def segment_rows(df: DataFrame, seg_rows: int | None = None) -> int:
+    """Rows per segment: the argument, else the session setting
+    ``spark.tickweave.segmentRows``, else 1024.  Must be a power of two (EMA
+    blocks nest in segments).  Larger segments keep the per-series segment
+    tables small on very long series (e.g. 65536 on a large cluster)."""
+    if seg_rows is None:
+        try:
+            seg_rows = int(df.sparkSession.conf.get(SEGMENT_CONF, str(SEGMENT_ROWS)))
+        except Exception:  # noqa: BLE001 - no session attached (plain Column use)
+            seg_rows = SEGMENT_ROWS
+    if seg_rows < 2 or seg_rows & (seg_rows - 1):
+        raise ValueError(f"segment rows must be a power of two, got {seg_rows}")
+    return seg_rows
+
+
 def keys_of(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
@@ -72,7 +88,7 @@ def index_rows(
     if bucket_us is not None:
         step = F.lit(int(bucket_us))
     elif "timeframe" in df.columns:
-        step = F.coalesce(tf_seconds("timeframe") * F.lit(1_000_000 * SEGMENT_ROWS), F.lit(86_400_000_000))
+        step = F.coalesce(tf_seconds("timeframe") * F.lit(1_000_000 * segment_rows(df)), F.lit(86_400_000_000))
     else:
         step = F.lit(86_400_000_000)
     src = df.drop(IDX) if IDX in df.columns else df
@@ -96,7 +112,7 @@ def ensure_index(df: DataFrame, keys=KEYS, ts: str = TS) -> DataFrame:
     return df if IDX in df.columns else index_rows(df, keys, ts)
 
 
-def with_halo(df: DataFrame, back: int = 0, fwd: int = 0, seg_rows: int = SEGMENT_ROWS) -> DataFrame:
+def with_halo(df: DataFrame, back: int = 0, fwd: int = 0, seg_rows: int | None = None) -> DataFrame:
     """Add ``_seg`` and ``_role``; copy the rows a segment's windows need.
 
     Row ``i`` always belongs to segment ``i div seg_rows`` (role 0).  If it is
@@ -105,6 +121,7 @@ def with_halo(df: DataFrame, back: int = 0, fwd: int = 0, seg_rows: int = SEGMEN
     one (role 1).  Windows ``partitionBy(keys, _seg).orderBy(_i)`` then see
     every row they need; keep role 0 afterwards (``main_rows``).
     """
+    seg_rows = segment_rows(df, seg_rows)
     if back > seg_rows or fwd > seg_rows:
         raise ValueError(f"halo ({back}, {fwd}) larger than the segment ({seg_rows})")
     seg = seg_expr(seg_rows)
@@ -135,25 +152,25 @@ def rows_back(n: int, keys=KEYS):
     return seg_window(keys).rowsBetween(-(n - 1), 0)
 
 
-def with_segments(df: DataFrame, seg_rows: int = SEGMENT_ROWS) -> DataFrame:
-    return df if SEG in df.columns else df.withColumn(SEG, seg_expr(seg_rows))
+def with_segments(df: DataFrame, seg_rows: int | None = None) -> DataFrame:
+    return df if SEG in df.columns else df.withColumn(SEG, seg_expr(segment_rows(df, seg_rows)))
 
 
-def running_sum(df: DataFrame, exprs: dict[str, Column], keys=KEYS, seg_rows: int = SEGMENT_ROWS, partitioned: bool = False) -> DataFrame:
+def running_sum(df: DataFrame, exprs: dict[str, Column], keys=KEYS, seg_rows: int | None = None, partitioned: bool = False) -> DataFrame:
     """Running sum from the series start for each ``{out: expr}`` (null terms count 0)."""
     from tickweave.operators.carry import carry_stage
 
     return carry_stage(df, keys, seg_rows, sums=exprs, partitioned=partitioned)
 
 
-def fill_forward(df: DataFrame, cols: Sequence[str], keys=KEYS, seg_rows: int = SEGMENT_ROWS) -> DataFrame:
+def fill_forward(df: DataFrame, cols: Sequence[str], keys=KEYS, seg_rows: int | None = None) -> DataFrame:
     """pandas ``ffill``: last non-null value at or before each row."""
     from tickweave.operators.carry import carry_stage
 
     return carry_stage(df, keys, seg_rows, ffill=[c for c in cols if c in df.columns])
 
 
-def fill_backward(df: DataFrame, cols: Sequence[str], keys=KEYS, seg_rows: int = SEGMENT_ROWS) -> DataFrame:
+def fill_backward(df: DataFrame, cols: Sequence[str], keys=KEYS, seg_rows: int | None = None) -> DataFrame:
     """pandas ``bfill``: first non-null value at or after each row."""
     from tickweave.operators.carry import carry_stage
 
