@@ -57,7 +57,7 @@ def build(spark, sf=None):
         "ternary_label_daily": lambda: lab.ternary_label(filled_grid(daily()).withColumn("timeframe", F.lit("1h"))),
         "backtest_daily": lambda: sig.ema_rsi_backtest(filled_grid(daily())),
         "backtest_1m": lambda: sig.ema_rsi_backtest(ev1m()),
-        "leakage_scan_daily": lambda: qual.leakage_correlations(ind.indicators(filled_grid(daily())), feats),
+        "leakage_scan_daily": lambda: qual.leakage_correlations(ind.indicators(filled_grid(daily()), next_close=True), feats),
         "quality_summary_daily": lambda: qual.quality_stats(ind.indicators(filled_grid(daily())).drop("_i")),
     }
 

@@ -398,7 +398,7 @@ def fill_chain(df: DataFrame, cols: Sequence[str], keys=KEYS, backfill: bool = T
     return d.drop(SEG)
 
 
-def indicators(df: DataFrame, keys=KEYS, fill: bool = True, backfill: bool = True, max_block=None) -> DataFrame:
+def indicators(df: DataFrame, keys=KEYS, fill: bool = True, backfill: bool = True, max_block=None, next_close: bool = False) -> DataFrame:
     """The 11-column indicator table on OHLCV bars.
 
     return1 (first 0), ema12, ema26, macd/signal/hist, Wilder rsi14, atr14,
@@ -410,6 +410,10 @@ def indicators(df: DataFrame, keys=KEYS, fill: bool = True, backfill: bool = Tru
     carry stage on the input and window columns: the EMA / MACD / RSI outputs
     are never null when ``close`` has no interior nulls (which the EMA needs
     anyway), so this equals filling everything at the end.
+
+    ``next_close=True`` adds ``future_close`` (the next bar's input close,
+    null on the last bar) from the same halo stage, for the leakage checks;
+    it is not filled.
     """
     keys = keys_of(keys)
     prev = lag("close", 1, keys)
@@ -427,9 +431,11 @@ def indicators(df: DataFrame, keys=KEYS, fill: bool = True, backfill: bool = Tru
                 ("_obv_t", F.coalesce(F.signum(delta), F.lit(0.0)) * F.col("volume")),
                 ("vwap14", safe_div(F.sum(tp * F.col("volume")).over(w14), F.sum("volume").over(w14))),
             ],
-            [("atr14", rolling_mean("_tr", 14, 1, keys))],
+            [("atr14", rolling_mean("_tr", 14, 1, keys))]
+            + ([("future_close", lead("close", 1, keys))] if next_close else []),
         ],
         back=14,
+        fwd=1 if next_close else 0,
         keys=keys,
     )
     base = [c for c in df.columns if c not in (*keys, TS, IDX, SEG)]
@@ -457,7 +463,7 @@ def indicators(df: DataFrame, keys=KEYS, fill: bool = True, backfill: bool = Tru
         F.coalesce(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + rs), F.lit(50.0)).alias("rsi14"),
         spread_expr(df).alias("spread"),
     )
-    order = [*keys, TS, *base, "return1", "ema12", "ema26", "macd", "macd_signal", "macd_hist", "rsi14", "atr14", "vwap14", "obv", "spread", IDX]
+    order = [*keys, TS, *base, "return1", "ema12", "ema26", "macd", "macd_signal", "macd_hist", "rsi14", "atr14", "vwap14", "obv", "spread", "future_close", IDX]
     d = d.select(*[c for c in order if c in d.columns])
     if fill and not backfill:
         d = d.na.fill(0.0, subset=fill_cols)

@@ -27,11 +27,15 @@ def leakage_correlations(df: DataFrame, features: Sequence[str], keys=KEYS, top:
 
     One aggregate computes all correlations (partial aggregation, one row per
     series); ``unpivot`` makes it long; the ranking window runs over the tiny
-    (series x feature) table.
+    (series x feature) table.  A ``future_close`` column from the producer
+    (``indicators(..., next_close=True)``) saves the look-ahead shuffle.
     """
     keys = keys_of(keys)
-    d = windowed(df, [[("_future_close", lead("close", 1, keys))]], fwd=1, keys=keys)
-    agg = d.groupBy(*keys).agg(*[corr_expr(F.col(f).cast("double"), F.col("_future_close")).alias(f) for f in features])
+    if "future_close" in df.columns:  # already computed in the producing halo stage
+        d = df
+    else:
+        d = windowed(df, [[("future_close", lead("close", 1, keys))]], fwd=1, keys=keys)
+    agg = d.groupBy(*keys).agg(*[corr_expr(F.col(f).cast("double"), F.col("future_close")).alias(f) for f in features])
     long = agg.unpivot(keys, list(features), "feature", "corr")
     if top is None:
         return long

@@ -410,7 +410,7 @@ SELECT symbol, timeframe, feature, round(corr, 6) + 0.0 AS corr,
 QUALIFY rank <= 30"""),
 )
 def g9_leakage_correlation(spark, sf):
-    d = qual.leakage_correlations(indicators(event_bars(spark, sf)), _LEAK_FEATS)
+    d = qual.leakage_correlations(indicators(event_bars(spark, sf), next_close=True), _LEAK_FEATS)
     return d.select(*KEYS, "feature", rounded("corr").alias("corr"), F.col("rank").cast("long").alias("rank"))
 
 
@@ -419,7 +419,7 @@ def g9_leakage_correlation(spark, sf):
     with_bars(f"{_LEAK_SQL}\nSELECT symbol, timeframe, feature, round(corr, 6) + 0.0 AS corr FROM lng WHERE abs(corr) > 0.9"),
 )
 def g10_strict_leakage(spark, sf):
-    d = qual.strict_leakage(indicators(event_bars(spark, sf)), _LEAK_FEATS)
+    d = qual.strict_leakage(indicators(event_bars(spark, sf), next_close=True), _LEAK_FEATS)
     return d.select(*KEYS, "feature", rounded("corr").alias("corr"))
 
 
