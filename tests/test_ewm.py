@@ -97,3 +97,25 @@ def test_segment_size_does_not_matter(spark):
     finally:
         spark.conf.unset(SEGMENT_CONF)
     pd.testing.assert_frame_equal(base, small, rtol=1e-12)
+
+
+@pytest.mark.parametrize("seg", ["1024", "64"])
+def test_macd_signal_in_one_stage(spark, seg):
+    """The EMA of (ema12 - ema26) solved inside the same carry stage equals
+    the recursion on the recursion."""
+    from tickweave.operators.carry import carry_stage
+    from tickweave.operators.ewm import EmaOfEmas
+    from tickweave.operators.series import SEGMENT_CONF
+
+    rng = np.random.default_rng(5)
+    x = 100 + np.cumsum(rng.normal(size=1500))
+    spark.conf.set(SEGMENT_CONF, seg)
+    try:
+        d = index_rows(bars_df(spark, list(x)))
+        out = carry_stage(d, emas=[Ema.span("e12", "close", 12), Ema.span("e26", "close", 26)],
+                          ema_combos=[EmaOfEmas.span("sig", {"e12": 1.0, "e26": -1.0}, 9)]).orderBy("_i").toPandas()
+    finally:
+        spark.conf.unset(SEGMENT_CONF)
+    s = pd.Series(x)
+    sig = (s.ewm(span=12, adjust=False).mean() - s.ewm(span=26, adjust=False).mean()).ewm(span=9, adjust=False).mean()
+    np.testing.assert_allclose(out["sig"].to_numpy(), sig.to_numpy(), rtol=1e-9, atol=1e-11)

@@ -61,6 +61,7 @@ def carry_stage(
     emas: Sequence = (),
     max_block: int | None = None,
     partitioned: bool = False,
+    ema_combos: Sequence = (),
 ) -> DataFrame:
     """Add / replace columns that need state from all earlier (or later) rows.
 
@@ -69,6 +70,9 @@ def carry_stage(
     ``fill_chain``: columns filled ffill, then bfill, then ``fill_value``
     (``bfill(ffill(x)) == coalesce(ffill(x), bfill(x))``).
     ``emas``: ``Ema`` specs (see ``ewm``).  ``df`` needs the dense ``_i``.
+    ``ema_combos``: ``EmaOfEmas`` specs - an EMA of a linear combination of
+    EMAs of this stage (the MACD signal), solved in the same stage (see
+    ``_combo``).
     ``partitioned``: the input comes straight from a stage already hash
     partitioned on ``(keys, _seg)`` (a halo window, ``regularise``); skip the
     explicit repartition and let both branches read that stage's shuffle (its
@@ -172,15 +176,86 @@ def carry_stage(
             pick = F.element_at(F.col(f"_pk{b}"), (F.col(gname) - F.col(SEG) * F.lit(per_seg) + 1).cast("int"))[f"_ce_{s.out}"]
             final[s.out] = F.when(F.col(IDX) >= s.start, F.col(f"_le_{s.out}") + _lam_pow(lam, j + 1) * pick)
 
+    by_name = {s.out: s for s in emas}
+    combo_carry: list[Column] = []
+    for c in ema_combos:
+        summ, block_value = _combo(c, by_name, seg_rows, block_rows, max_block)
+        summary.extend(summ)
+        carry.extend(block_value)
+        combo_carry.append(
+            _block_carry(f"_ct_{c.out}", 1.0 - c.alpha, seg_rows, carry_depth(c.alpha, seg_rows), Window.partitionBy(*keys).orderBy(SEG)).alias(f"_ce_{c.out}")
+        )
+
     if sub_blocks:
         d = d.select("*", *[F.floor(F.col(IDX) / F.lit(b)).cast("long").alias(f"_g{b}") for b in sub_blocks])
     loc = d.select("*", *local, *sub_local)
     seg_table = d.groupBy(*keys, SEG).agg(*summary) if summary else d.select(*keys, SEG).distinct()
     carry_table = seg_table.select(*keys, SEG, *carry)
+    if combo_carry:
+        carry_table = carry_table.select("*", *combo_carry)
     for bt in block_tables:
         carry_table = carry_table.join(bt, [*keys, SEG], "left")
     out = loc.join(carry_table, [*keys, SEG], "left")
+    for c in ema_combos:
+        # The combination is known per row only after the inner carries are
+        # joined; its local prefix sum is one more window on the same
+        # partitioning (no shuffle).
+        mu = 1.0 - c.alpha
+        i = F.col(IDX)
+        j = i - F.col(SEG) * F.lit(seg_rows)
+        m = None
+        for name, coef in c.terms.items():
+            t = F.lit(float(coef)) * final[name]
+            m = t if m is None else m + t
+        w = F.when(i == 0, F.lit(1.0)).otherwise(F.lit(c.alpha))
+        out = out.select("*", (_lam_pow(mu, j) * F.sum(w * m * _lam_pow(mu, -j)).over(wp)).alias(f"_le_{c.out}"))
+        final[c.out] = F.col(f"_le_{c.out}") + _lam_pow(mu, j + 1) * F.col(f"_ce_{c.out}")
     keep = [c for c in df.columns if c not in final]
     if SEG not in keep:
         keep.append(SEG)
     return out.select(*keep, *[e.alias(n) for n, e in final.items()])
+
+
+def _combo(c, by_name: dict, b: int, block_rows, max_block) -> tuple[list[Column], list[Column]]:
+    """Summary aggregates and block-end value of an EMA (factor ``mu``) of
+    ``m = sum_k a_k y_k``, where ``y_k`` are EMAs (factor ``lam_k``) of this
+    stage, all seeded on row 0, all with blocks of ``b`` rows.
+
+    Inside block g, ``y_k(j) = L_k(j) + lam_k^(j+1) C_k(g)``.  The block-end
+    value of the outer EMA's local part is
+    ``T(g) = sum_k a_k (U_k(g) + C_k(g) V_k(g))`` with
+    ``V_k = sum_j w(j) mu^(B-1-j) lam_k^(j+1)`` and
+    ``U_k = sum_j w(j) mu^(B-1-j) L_k(j) = sum_s w_k(s) x_k(s) G_k(s)``,
+    ``G_k(s) = sum_{j>=s} w(j) mu^(B-1-j) lam_k^(j-s)``, a geometric sum
+    ``a (mu^n - lam^n) / (mu - lam)`` with ``n = B - s`` (plus the seed
+    row's own weight on row 0).  U and V are plain aggregates of the input,
+    so the outer EMA needs no second shuffle; its carry folds ``T`` over the
+    previous blocks once the inner carries are known.
+    """
+    mu = 1.0 - c.alpha
+    if block_rows(c.alpha, b, max_block) != b:
+        raise ValueError(f"{c.out}: combined EMA needs full-segment blocks")
+    i = F.col(IDX)
+    j = i - F.col(SEG) * F.lit(b)
+    n = F.lit(b) - j
+    w_out = F.when(i == 0, F.lit(1.0)).otherwise(F.lit(c.alpha))
+    summ, t_parts = [], []
+    for name, coef in c.terms.items():
+        k = by_name.get(name)
+        if k is None or k.start != 0 or block_rows(k.alpha, b, max_block) != b:
+            raise ValueError(f"{c.out}: term {name} must be a full-block EMA of this stage seeded on row 0")
+        lam = 1.0 - k.alpha
+        x = F.coalesce(col_of(k.x), F.lit(0.0))
+        w_k = F.when(col_of(k.x).isNull(), F.lit(0.0)).when(i == 0, F.lit(1.0)).otherwise(F.lit(k.alpha))
+        if abs(mu - lam) < 1e-12:
+            geo = n.cast("double") * _lam_pow(lam, n - 1)
+        else:
+            geo = (_lam_pow(mu, n) - _lam_pow(lam, n)) / F.lit(mu - lam)
+        g = F.lit(c.alpha) * geo + F.when(i == 0, F.lit((1.0 - c.alpha) * mu ** (b - 1))).otherwise(F.lit(0.0))
+        summ.append(F.sum(w_k * x * g).alias(f"_cu_{c.out}_{name}"))
+        summ.append(F.sum(w_out * _lam_pow(mu, F.lit(b - 1) - j) * _lam_pow(lam, j + 1)).alias(f"_cv_{c.out}_{name}"))
+        t_parts.append(F.lit(float(coef)) * (F.col(f"_cu_{c.out}_{name}") + F.col(f"_ce_{name}") * F.col(f"_cv_{c.out}_{name}")))
+    total = t_parts[0]
+    for t in t_parts[1:]:
+        total = total + t
+    return summ, [total.alias(f"_ct_{c.out}")]

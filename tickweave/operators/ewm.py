@@ -55,6 +55,21 @@ class Ema:
         return Ema(out, x, 1.0 / period, start)
 
 
+@dataclass(frozen=True)
+class EmaOfEmas:
+    """An EMA of ``sum(coef * ema)`` over EMAs computed in the same carry
+    stage (the MACD signal: ``{"ema12": 1, "ema26": -1}``, span 9), solved
+    without a second shuffle.  Seeded on row 0."""
+
+    out: str
+    terms: dict
+    alpha: float
+
+    @staticmethod
+    def span(out: str, terms: dict, span: float) -> "EmaOfEmas":
+        return EmaOfEmas(out, dict(terms), 2.0 / (span + 1.0))
+
+
 def block_rows(alpha: float, seg_rows: int = SEGMENT_ROWS, limit: int | None = None) -> int:
     """Largest power of two <= the double-range bound that divides the segment."""
     lam = 1.0 - alpha

@@ -156,12 +156,27 @@ def ema_alpha(df: DataFrame, col: str, alpha: float, out: str, keys=KEYS, start:
 def macd(df: DataFrame, fast=12, slow=26, signal=9, keys=KEYS, max_block=None):
     """C11: MACD line, signal (an EMA of the line) and histogram."""
     d = ensure_index(df, keys)
-    d = ewm(d, [Ema.span("_ema_fast", "close", fast), Ema.span("_ema_slow", "close", slow)], keys, max_block=max_block)
+    fast_slow = [Ema.span("_ema_fast", "close", fast), Ema.span("_ema_slow", "close", slow)]
+    d = _emas_with_signal(d, keys, fast_slow, "macd_signal", signal, max_block)
     d = d.withColumn("macd", F.col("_ema_fast") - F.col("_ema_slow"))
-    d = ewm(d, [Ema.span("macd_signal", "macd", signal)], keys, max_block=max_block)
     return d.withColumn("macd_hist", F.col("macd") - F.col("macd_signal")).drop("_ema_fast", "_ema_slow")
 
 
+def _emas_with_signal(d, keys, fast_slow, signal_out, signal_span, max_block, **stage):
+    """EMAs fast/slow and the EMA of their difference in one carry stage when
+    the blocks allow it (the usual spans), else in two stages."""
+    from tickweave.operators.ewm import EmaOfEmas
+
+    f, s_ = fast_slow[0].out, fast_slow[1].out
+    combo = EmaOfEmas.span(signal_out, {f: 1.0, s_: -1.0}, signal_span)
+    try:
+        return carry_stage(d, keys, emas=[*fast_slow, *stage.pop("emas", [])], ema_combos=[combo], max_block=max_block, **stage)
+    except ValueError:
+        d = carry_stage(d, keys, emas=[*fast_slow, *stage.pop("emas", [])], max_block=max_block, **stage)
+        d = d.withColumn("_diff", F.col(f) - F.col(s_))
+        return ewm(d, [Ema.span(signal_out, "_diff", signal_span)], keys, max_block=max_block).drop("_diff")
+
+
 def gain_loss(delta: Column) -> tuple[Column, Column]:
     """pandas ``clip``: null stays null (``greatest`` alone would skip it)."""
     up = F.when(delta.isNotNull(), F.greatest(delta, F.lit(0.0)))
@@ -404,12 +419,12 @@ def indicators(df: DataFrame, keys=KEYS, fill: bool = True, backfill: bool = Tru
     return1 (first 0), ema12, ema26, macd/signal/hist, Wilder rsi14, atr14,
     vwap14, obv, spread; then ffill, bfill, 0 over all columns.
 
-    Plan: one halo exchange on (keys, _seg) for every bounded window; one
-    carry stage for the four first-round EMAs, OBV and the fill chain; one for
-    the MACD signal (an EMA of the first round).  The fill runs in the first
-    carry stage on the input and window columns: the EMA / MACD / RSI outputs
-    are never null when ``close`` has no interior nulls (which the EMA needs
-    anyway), so this equals filling everything at the end.
+    Plan: one halo exchange on (keys, _seg) for every bounded window, then
+    one carry stage for the four EMAs, the MACD signal (an EMA of two of them,
+    solved in the same stage, see ``carry._combo``), OBV and the fill chain.
+    The fill runs on the input and window columns: the EMA / MACD / RSI
+    outputs are never null when ``close`` has no interior nulls (which the
+    EMA needs anyway), so this equals filling everything at the end.
 
     ``next_close=True`` adds ``future_close`` (the next bar's input close,
     null on the last bar) from the same halo stage, for the leakage checks;
@@ -440,22 +455,19 @@ def indicators(df: DataFrame, keys=KEYS, fill: bool = True, backfill: bool = Tru
     )
     base = [c for c in df.columns if c not in (*keys, TS, IDX, SEG)]
     fill_cols = [*base, "return1", "atr14", "vwap14"] if fill else []
-    d = carry_stage(
+    d = _emas_with_signal(
         d,
         keys,
+        [Ema.span("ema12", "close", 12), Ema.span("ema26", "close", 26)],
+        "macd_signal",
+        9,
+        max_block,
         sums={"obv": F.col("_obv_t")},
-        emas=[
-            Ema.span("ema12", "close", 12),
-            Ema.span("ema26", "close", 26),
-            Ema.com("_au", "_up", 14, start=1),
-            Ema.com("_ad", "_down", 14, start=1),
-        ],
+        emas=[Ema.com("_au", "_up", 14, start=1), Ema.com("_ad", "_down", 14, start=1)],
         fill_chain=fill_cols if backfill else [],
         ffill=fill_cols if not backfill else [],
-        max_block=max_block,
     )
     d = d.withColumn("macd", F.col("ema12") - F.col("ema26"))
-    d = ewm(d, [Ema.span("macd_signal", "macd", 9)], keys, max_block=max_block)
     rs = F.col("_au") / F.when(F.col("_ad") != 0, F.col("_ad"))
     d = d.select(
         *[c for c in d.columns if not c.startswith("_") or c == IDX],
@@ -537,18 +549,19 @@ def feature_set(
         stage2.append(("vol_spike", safe_div(F.col("volume"), F.col("vol_mean_14")) - F.lit(1.0)))
     d = windowed(df, [stage1, stage2], back=back, fwd=1 if target else 0, keys=keys)
     sums = {"_cpv": F.col("close") * F.col("volume"), "_cv": F.col("volume")} if cumulative_vwap else {}
-    d = carry_stage(d, keys, sums=sums, emas=[Ema.span("ema12", "close", 12), Ema.span("ema26", "close", 26)], max_block=max_block, partitioned=True)
-    if cumulative_vwap:
-        d = d.withColumn("vwap14", F.col("_cpv") / (F.col("_cv") + F.lit(1e-9))).drop("_cpv", "_cv")
-    d = d.withColumn("macd", F.col("ema12") - F.col("ema26"))
-    # The MACD signal is never null; fill every other value column in the same stage.
+    # One carry stage: EMA 12/26, the MACD signal (solved in the same stage),
+    # cumulative sums and the fill of every window column (the carried
+    # outputs are never null when close has no interior nulls).
     value_cols = [c for c in d.columns if c not in (*keys, TS, IDX, SEG, "_next_close")]
     fill_cols = value_cols if fill in ("ffill_bfill", "ffill") else []
-    d = carry_stage(
-        d, keys, emas=[Ema.span("macd_signal", "macd", 9)], max_block=max_block,
-        fill_chain=fill_cols if fill == "ffill_bfill" else [], ffill=fill_cols if fill == "ffill" else [],
-        fill_value=None,
+    d = _emas_with_signal(
+        d, keys, [Ema.span("ema12", "close", 12), Ema.span("ema26", "close", 26)], "macd_signal", 9, max_block,
+        sums=sums, fill_chain=fill_cols if fill == "ffill_bfill" else [], ffill=fill_cols if fill == "ffill" else [],
+        fill_value=None, partitioned=True,
     )
+    if cumulative_vwap:
+        d = d.withColumn("vwap14", F.col("_cpv") / (F.col("_cv") + F.lit(1e-9))).drop("_cpv", "_cv")
+    d = d.withColumn("macd", F.col("ema12") - F.col("ema26"))
     d = d.withColumn("macd_hist", F.col("macd") - F.col("macd_signal")).withColumn("ema_ratio", ema_ratio_expr(ema_ratio_eps))
     value_cols = [c for c in d.columns if c not in (*keys, TS, IDX, SEG, "_next_close")]
     if fill == "ffill_bfill":
