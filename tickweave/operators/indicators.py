@@ -169,10 +169,11 @@ def _emas_with_signal(d, keys, fast_slow, signal_out, signal_span, max_block, **
 
     f, s_ = fast_slow[0].out, fast_slow[1].out
     combo = EmaOfEmas.span(signal_out, {f: 1.0, s_: -1.0}, signal_span)
+    emas = [*fast_slow, *stage.pop("emas", [])]
     try:
-        return carry_stage(d, keys, emas=[*fast_slow, *stage.pop("emas", [])], ema_combos=[combo], max_block=max_block, **stage)
-    except ValueError:
-        d = carry_stage(d, keys, emas=[*fast_slow, *stage.pop("emas", [])], max_block=max_block, **stage)
+        return carry_stage(d, keys, emas=emas, ema_combos=[combo], max_block=max_block, **stage)
+    except ValueError:  # blocks smaller than the segment (forced or large alpha)
+        d = carry_stage(d, keys, emas=emas, max_block=max_block, **stage)
         d = d.withColumn("_diff", F.col(f) - F.col(s_))
         return ewm(d, [Ema.span(signal_out, "_diff", signal_span)], keys, max_block=max_block).drop("_diff")
 
