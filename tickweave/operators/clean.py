@@ -140,7 +140,7 @@ def parse_series_name(name: Column) -> dict[str, Column]:
     return {
         "pair": F.element_at(parts, 1),
         "timeframe": F.element_at(parts, 2),
-        "run_time": F.to_timestamp(F.element_at(parts, 3), "yyyyMMdd_HHmmss").cast("timestamp_ntz"),
+        "run_time": F.regexp_replace(F.element_at(parts, 3), r"^(\d{4})(\d{2})(\d{2})_(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:$6").try_cast("timestamp_ntz"),
         "chunk": F.regexp_extract(name, r"__chunk(\d+)", 1).try_cast("int"),
     }
 

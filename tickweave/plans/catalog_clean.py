@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickweave.functions.core import rounded
+from tickweave.functions.core import epoch_us, rounded
 from tickweave.operators import clean
 from tickweave.operators.bars import dedup_keep_first, regularise, ticks_to_bars
 from tickweave.operators.indicators import fill_chain
@@ -191,7 +191,7 @@ def b3_parse_utc(spark, sf):
     ev = table(spark, sf, "events").select(
         "event_id",
         F.col("ts").alias("timestamp"),
-        F.expr("unix_millis(cast(ts as timestamp))").alias("from_ms"),
+        F.floor(epoch_us(table(spark, sf, "events"), "ts") / 1000).alias("from_ms"),
         F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit("+02:00")).alias("from_offset"),
     )
     d = clean.to_utc(ev, "from_ms", epoch_ms=True)

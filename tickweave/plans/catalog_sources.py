@@ -222,7 +222,7 @@ def a10_trade_fills(spark, sf):
         ).alias("info"),
         F.lit("closed").alias("status"),
         F.col("o_orderpriority").alias("symbol"),
-        F.expr("unix_millis(cast(o_orderdate as timestamp))").alias("timestamp"),
+        F.floor(epoch_us(od, "o_orderdate") / 1000).alias("timestamp"),
         F.lit("market").alias("type"),
         F.col("o_orderkey").cast("string").alias("id"),
         F.col("o_totalprice").alias("price"),

@@ -28,10 +28,7 @@ def parse_time_text(c: Column) -> Column:
     """Naive text (UTC wall clock) or text with a zone offset to ``timestamp_ntz`` UTC."""
     has_zone = c.rlike(r"(Z|[+-]\d\d:?\d\d)$")
     instant = F.coalesce(F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ssXXX")), F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")))
-    naive = F.coalesce(
-        F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz"),
-        F.to_timestamp_ntz(c),
-    )
+    naive = c.try_cast("timestamp_ntz")  # wall clock as written, no session zone
     return F.when(has_zone, from_epoch_us(F.unix_micros(instant))).otherwise(naive)
 
 
