@@ -146,12 +146,16 @@ def carry_stage(
             sub_blocks.setdefault(b, []).append(s)
 
     sub_local: list[Column] = []
-    block_tables = []
+    # Blocks smaller than the segment: the incoming value of each block is
+    # folded inside its segment from the segment's incoming value, so no
+    # window ever runs over a whole series' block table.
+    sub_plans = []
     for b, specs in sub_blocks.items():
         g = F.floor(F.col(IDX) / F.lit(b)).cast("long")
         gname = f"_g{b}"
         wb = Window.partitionBy(*keys, SEG, gname).orderBy(IDX).rowsBetween(UNB_PREC, 0)
         j = F.col(IDX) - F.col(gname) * F.lit(b)
+        jj = F.col(IDX) - F.col(SEG) * F.lit(seg_rows)
         aggs = []
         for s in specs:
             lam = 1.0 - s.alpha
@@ -160,20 +164,20 @@ def carry_stage(
             w = F.when(col_of(s.x).isNull() | (i < s.start), F.lit(0.0)).when(i == s.start, F.lit(1.0)).otherwise(F.lit(s.alpha))
             sub_local.append((_lam_pow(lam, j) * F.sum(w * x * _lam_pow(lam, -j)).over(wb)).alias(f"_le_{s.out}"))
             aggs.append(F.sum(w * x * _lam_pow(lam, F.lit(b - 1) - j)).alias(f"_se_{s.out}"))
+            # Segment-end local value (weights <= 1, no overflow) and the
+            # segment's incoming value, folded over the small segment table.
+            summary.append(F.sum(w * x * _lam_pow(lam, F.lit(seg_rows - 1) - jj)).alias(f"_sT_{s.out}"))
+            carry.append(
+                _block_carry(f"_sT_{s.out}", lam, seg_rows, carry_depth(s.alpha, seg_rows), Window.partitionBy(*keys).orderBy(SEG)).alias(f"_sC_{s.out}")
+            )
         bt = d.withColumn(gname, g).groupBy(*keys, SEG, gname).agg(*aggs)
-        bw = Window.partitionBy(*keys).orderBy(gname)
-        cs = []
-        for s in specs:
-            lam = 1.0 - s.alpha
-            cs.append(_block_carry(f"_se_{s.out}", lam, b, carry_depth(s.alpha, b), bw).alias(f"_ce_{s.out}"))
-        bt = bt.select(*keys, SEG, gname, *cs)
-        # Pack the (bounded: seg_rows / b) block carries of a segment into one row.
-        packed = bt.groupBy(*keys, SEG).agg(F.sort_array(F.collect_list(F.struct(gname, *[f"_ce_{s.out}" for s in specs]))).alias(f"_pk{b}"))
-        block_tables.append(packed)
+        # The (bounded: seg_rows / b) block-end values of a segment, in order.
+        packed = bt.groupBy(*keys, SEG).agg(F.sort_array(F.collect_list(F.struct(gname, *[f"_se_{s.out}" for s in specs]))).alias(f"_pk{b}"))
+        sub_plans.append((b, specs, packed))
         per_seg = seg_rows // b
         for s in specs:
             lam = 1.0 - s.alpha
-            pick = F.element_at(F.col(f"_pk{b}"), (F.col(gname) - F.col(SEG) * F.lit(per_seg) + 1).cast("int"))[f"_ce_{s.out}"]
+            pick = F.element_at(F.col(f"_bc_{s.out}"), (F.col(gname) - F.col(SEG) * F.lit(per_seg) + 1).cast("int"))
             final[s.out] = F.when(F.col(IDX) >= s.start, F.col(f"_le_{s.out}") + _lam_pow(lam, j + 1) * pick)
 
     by_name = {s.out: s for s in emas}
@@ -193,8 +197,14 @@ def carry_stage(
     carry_table = seg_table.select(*keys, SEG, *carry)
     if combo_carry:
         carry_table = carry_table.select("*", *combo_carry)
-    for bt in block_tables:
-        carry_table = carry_table.join(bt, [*keys, SEG], "left")
+    for b, specs, packed in sub_plans:
+        carry_table = carry_table.join(packed, [*keys, SEG], "left")
+        arrays = []
+        for s in specs:
+            decay = F.lit((1.0 - s.alpha) ** b)
+            init = F.struct(F.coalesce(F.col(f"_sC_{s.out}"), F.lit(0.0)).alias("c"), F.array().cast("array<double>").alias("a"))
+            arrays.append(F.aggregate(F.col(f"_pk{b}"), init, _block_step(f"_se_{s.out}", decay), lambda acc: acc["a"]).alias(f"_bc_{s.out}"))
+        carry_table = carry_table.select("*", *arrays)
     out = loc.join(carry_table, [*keys, SEG], "left")
     for c in ema_combos:
         # The combination is known per row only after the inner carries are
@@ -216,6 +226,16 @@ def carry_stage(
     return out.select(*keep, *[e.alias(n) for n, e in final.items()])
 
 
+def _block_step(field: str, decay: Column):
+    """Fold step over a segment's blocks: record the incoming value, then
+    decay it over the block and add the block's own end value."""
+
+    def step(acc, e):
+        return F.struct((acc["c"] * decay + e[field]).alias("c"), F.concat(acc["a"], F.array(acc["c"])).alias("a"))
+
+    return step
+
+
 def _combo(c, by_name: dict, b: int, block_rows, max_block) -> tuple[list[Column], list[Column]]:
     """Summary aggregates and block-end value of an EMA (factor ``mu``) of
     ``m = sum_k a_k y_k``, where ``y_k`` are EMAs (factor ``lam_k``) of this
