@@ -34,6 +34,7 @@ from tickweave.operators.series import (
     running_sum,
     seg_window,
     with_halo,
+    with_halo_local,
 )
 from tickweave.schema import KEYS, PRICE_COLS, TS
 
@@ -97,13 +98,20 @@ def windowed(
     fwd: int = 0,
     keys=KEYS,
     seg_rows: int | None = None,
+    partitioned: bool = False,
 ) -> DataFrame:
     """Run window stages in one halo layout and return the series rows.
 
     ``stages`` is a list of ``[(name, expr), ...]``; later stages may use the
     columns of earlier ones (e.g. true range, then its rolling mean).
+    ``partitioned``: the input comes hash partitioned on ``(keys, _seg)``
+    (``regularise``, a carry stage); the halo is then joined in per segment
+    (``with_halo_local``) instead of re-shuffling every row.
     """
-    d = with_halo(ensure_index(df, keys), back, fwd, seg_rows)
+    if partitioned:
+        d = with_halo_local(df, back, fwd, seg_rows, keys)
+    else:
+        d = with_halo(ensure_index(df, keys), back, fwd, seg_rows)
     for stage in stages:
         d = d.select("*", *[e.alias(n) for n, e in stage])
     return main_rows(d)
@@ -414,7 +422,9 @@ def fill_chain(df: DataFrame, cols: Sequence[str], keys=KEYS, backfill: bool = T
     return d.drop(SEG)
 
 
-def indicators(df: DataFrame, keys=KEYS, fill: bool = True, backfill: bool = True, max_block=None, next_close: bool = False) -> DataFrame:
+def indicators(
+    df: DataFrame, keys=KEYS, fill: bool = True, backfill: bool = True, max_block=None, next_close: bool = False, partitioned: bool = False
+) -> DataFrame:
     """The 11-column indicator table on OHLCV bars.
 
     return1 (first 0), ema12, ema26, macd/signal/hist, Wilder rsi14, atr14,
@@ -429,7 +439,9 @@ def indicators(df: DataFrame, keys=KEYS, fill: bool = True, backfill: bool = Tru
 
     ``next_close=True`` adds ``future_close`` (the next bar's input close,
     null on the last bar) from the same halo stage, for the leakage checks;
-    it is not filled.
+    it is not filled.  ``partitioned=True`` when the input comes from
+    ``regularise`` (or another carry stage): the halo is joined in per
+    segment and the bundle shuffles no full-size data at all.
     """
     keys = keys_of(keys)
     prev = lag("close", 1, keys)
@@ -453,6 +465,7 @@ def indicators(df: DataFrame, keys=KEYS, fill: bool = True, backfill: bool = Tru
         back=14,
         fwd=1 if next_close else 0,
         keys=keys,
+        partitioned=partitioned,
     )
     base = [c for c in df.columns if c not in (*keys, TS, IDX, SEG)]
     fill_cols = [*base, "return1", "atr14", "vwap14"] if fill else []

@@ -48,7 +48,7 @@ def binary_target(df: DataFrame, horizon: int = 5, threshold: float = 0.0, keys=
     return d.na.drop()
 
 
-def ternary_label(df: DataFrame, keys=KEYS, settings: dict | None = None, keep_future: bool = False) -> DataFrame:
+def ternary_label(df: DataFrame, keys=KEYS, settings: dict | None = None, keep_future: bool = False, partitioned: bool = False) -> DataFrame:
     """Label -1/0/1 from the future return over a horizon and threshold
     that depend on the timeframe (exact match on the ``timeframe`` column, so
     15m gets its own settings).  Rows without a future bar keep label 0.
@@ -60,7 +60,7 @@ def ternary_label(df: DataFrame, keys=KEYS, settings: dict | None = None, keep_f
     horizons = sorted({h for h, _ in settings.values()})
     tf = F.col("timeframe")
     stage = [(f"_lead_{h}", lead("close", h, keys)) for h in horizons]
-    d = windowed(df, [stage], fwd=max(horizons), keys=keys)
+    d = windowed(df, [stage], fwd=max(horizons), keys=keys, partitioned=partitioned)
     fut: Column | None = None
     thr: Column | None = None
     for name, (h, t) in settings.items():

@@ -138,6 +138,51 @@ def with_halo(df: DataFrame, back: int = 0, fwd: int = 0, seg_rows: int | None =
     return df.select(*cols, h).select(*cols, F.col("_h.s").alias(SEG), F.col("_h.r").alias(ROLE))
 
 
+def with_halo_local(df: DataFrame, back: int = 0, fwd: int = 0, seg_rows: int | None = None, keys=KEYS) -> DataFrame:
+    """``with_halo`` for input already hash partitioned on ``(keys, _seg)``
+    (the output of ``regularise`` or of a carry stage): no full shuffle.
+
+    The last ``back`` rows of every segment (and the first ``fwd``) form a
+    small table, one row per segment with a bounded array; it is left-joined
+    on ``(keys, _seg)`` onto only the first (last) row of the neighbouring
+    segment - the big side keeps its partitioning, only the small table
+    moves (or is broadcast) - and an explode adds the halo rows inside the
+    partition.  Same rows and roles as ``with_halo``.
+    """
+    seg_rows = segment_rows(df, seg_rows)
+    keys = keys_of(keys)
+    if back > seg_rows or fwd > seg_rows:
+        raise ValueError(f"halo ({back}, {fwd}) larger than the segment ({seg_rows})")
+    base = with_segments(df, seg_rows)
+    d = base
+    # Keys and _seg stay the original columns (every generated row belongs to
+    # the series and segment of the row that carries it), so Spark keeps the
+    # (keys, _seg) partitioning through the explode.
+    cols = [c for c in base.columns if c not in (ROLE, SEG, *keys)]
+    pos = F.col(IDX) - F.col(SEG) * F.lit(seg_rows)
+
+    def rows(role: int) -> Column:
+        return F.struct(*[F.col(c) for c in cols], F.lit(role).alias(ROLE))
+
+    own = rows(0)
+    empty = F.filter(F.array(own), lambda x: F.lit(False))
+    parts = [F.array(own)]
+    if back:
+        tails = base.filter(pos >= seg_rows - back).groupBy(*keys, (F.col(SEG) + 1).alias("_hs")).agg(F.collect_list(rows(-1)).alias("_tail"))
+        tails = tails.select(*[F.col(k).alias(f"_hk_{k}") for k in keys], "_hs", "_tail")
+        cond = [d[k] == tails[f"_hk_{k}"] for k in keys] + [d[SEG] == tails["_hs"], pos == 0]
+        d = d.join(tails, cond, "left").drop(*[f"_hk_{k}" for k in keys], "_hs")
+        parts.append(F.coalesce(F.col("_tail"), empty))
+    if fwd:
+        heads = base.filter((pos < fwd) & (F.col(SEG) > 0)).groupBy(*keys, (F.col(SEG) - 1).alias("_hs2")).agg(F.collect_list(rows(1)).alias("_head"))
+        heads = heads.select(*[F.col(k).alias(f"_hk2_{k}") for k in keys], "_hs2", "_head")
+        cond = [d[k] == heads[f"_hk2_{k}"] for k in keys] + [d[SEG] == heads["_hs2"], pos == seg_rows - 1]
+        d = d.join(heads, cond, "left").drop(*[f"_hk2_{k}" for k in keys], "_hs2")
+        parts.append(F.coalesce(F.col("_head"), empty))
+    h = F.explode(F.concat(*parts)).alias("_h")
+    return d.select(*keys, SEG, h).select(*keys, SEG, "_h.*")
+
+
 def main_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col(ROLE) == 0).drop(ROLE)
 

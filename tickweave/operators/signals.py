@@ -38,7 +38,7 @@ def rule_expr(ema_fast: Column, ema_slow: Column, rsi: Column) -> tuple[Column,
     return signal, conf
 
 
-def ema_rsi_backtest(bars: DataFrame, keys=KEYS, max_block=None, keep_indicators: bool = False) -> DataFrame:
+def ema_rsi_backtest(bars: DataFrame, keys=KEYS, max_block=None, keep_indicators: bool = False, partitioned: bool = False) -> DataFrame:
     """E1 at every bar = E2 backtest, all series in one job.
 
     The reference re-runs the rule on every prefix (O(n^2)).  Every input of
@@ -47,7 +47,7 @@ def ema_rsi_backtest(bars: DataFrame, keys=KEYS, max_block=None, keep_indicators
     """
     keys = keys_of(keys)
     up, down = gain_loss(F.col("close") - lag("close", 1, keys))
-    d = windowed(bars, [[("_up", up), ("_down", down)]], back=1, keys=keys)
+    d = windowed(bars, [[("_up", up), ("_down", down)]], back=1, keys=keys, partitioned=partitioned)
     d = ewm(
         d,
         [
