@@ -29,7 +29,7 @@ def assembler(features: Sequence[str], out: str = "features") -> VectorAssembler
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep")
 
 
-def gbt_pipeline(features: Sequence[str], label: str = "target", scale: bool = False, **params) -> Pipeline:
+def gbt_model(features: Sequence[str], label: str = "target", scale: bool = False, **params) -> Pipeline:
     """Assembler (+ F10 scaler) + gradient-boosted trees.
 
     ``params`` go to ``GBTClassifier`` (e.g. ``maxIter``, ``maxDepth``,
@@ -43,7 +43,7 @@ def gbt_pipeline(features: Sequence[str], label: str = "target", scale: bool = F
     return Pipeline(stages=stages)
 
 
-def forest_pipeline(features: Sequence[str], label: str = "label_idx", weight: str | None = None, **params) -> Pipeline:
+def forest_model(features: Sequence[str], label: str = "label_idx", weight: str | None = None, **params) -> Pipeline:
     """multiclass random forest with per-row weights (``weightCol``)."""
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, seed=42, **params)
     if weight:
@@ -51,7 +51,7 @@ def forest_pipeline(features: Sequence[str], label: str = "label_idx", weight: s
     return Pipeline(stages=[assembler(features), rf])
 
 
-def logistic_pipeline(features: Sequence[str], label: str = "target", **params) -> Pipeline:
+def logistic_model(features: Sequence[str], label: str = "target", **params) -> Pipeline:
     """standardised features + logistic regression."""
     return Pipeline(
         stages=[
@@ -142,7 +142,7 @@ def random_search(
         accs = []
         for f in fold_ids:
             part = data.filter(F.col("fold") == f)
-            model = gbt_pipeline(features, label, **params).fit(part.filter(F.col("role") == "train"))
+            model = gbt_model(features, label, **params).fit(part.filter(F.col("role") == "train"))
             accs.append(accuracy_of(score(model, part.filter(F.col("role") == "test"), keep=[label]), label))
         results.append((t, str(sorted(params.items())), float(sum(accs) / len(accs)) if accs else None, len(accs)))
     return spark.createDataFrame(results, "trial int, params string, mean_accuracy double, folds int")
@@ -160,14 +160,14 @@ def self_train(
     """fit, score the unlabeled rows, keep those with P(class) >=
     ``threshold`` as pseudo-labels, refit on train + pseudo-labels when there
     are more than ``min_rows`` of them.  Returns (model, pseudo-label count)."""
-    model = gbt_pipeline(features, label, **params).fit(train)
+    model = gbt_model(features, label, **params).fit(train)
     s = model.transform(unlabeled)
     p1 = p_up()
     conf = F.greatest(p1, F.lit(1.0) - p1)
     pseudo = s.filter(conf >= F.lit(threshold)).select(*features, F.col("prediction").cast("int").alias(label))
     n = pseudo.count()
     if n > min_rows:
-        model = gbt_pipeline(features, label, **params).fit(train.select(*features, label).unionByName(pseudo))
+        model = gbt_model(features, label, **params).fit(train.select(*features, label).unionByName(pseudo))
     return model, n
 
 

@@ -40,7 +40,7 @@ def _scored_out(df):
 def f5_gbt_train_score(spark, sf):
     """Boosted trees on the training rows, class and P(up) on the test rows."""
     d = model_frame(spark, sf)
-    model = ml.gbt_pipeline(FEATURES, "target", **GBT).fit(d.filter(F.col("split") == "train"))
+    model = ml.gbt_model(FEATURES, "target", **GBT).fit(d.filter(F.col("split") == "train"))
     return _scored_out(ml.score(model, d.filter(F.col("split") == "test"), keep=[*KEYS, TS]))
 
 
@@ -48,7 +48,7 @@ def f5_gbt_train_score(spark, sf):
 def f6_score_latest(spark, sf):
     """The live form: score only the latest bar of every series."""
     d = model_frame(spark, sf)
-    model = ml.gbt_pipeline(FEATURES, "target", **GBT).fit(d.filter(F.col("split") == "train"))
+    model = ml.gbt_model(FEATURES, "target", **GBT).fit(d.filter(F.col("split") == "train"))
     last = latest_per_series(d)
     return _scored_out(ml.score(model, last, keep=[*KEYS, TS]))
 
@@ -61,7 +61,7 @@ def f7_multiclass_forest(spark, sf):
     d = lab.ternary_label(d)
     d = lab.class_weights(lab.encode_labels(d), out="weight")
     d = spl.holdout(d, 0.2).drop("_i")
-    model = ml.forest_pipeline(FEATURES, "label_idx", "weight", numTrees=20, maxDepth=5).fit(d.filter(F.col("split") == "train"))
+    model = ml.forest_model(FEATURES, "label_idx", "weight", numTrees=20, maxDepth=5).fit(d.filter(F.col("split") == "train"))
     s = model.transform(d.filter(F.col("split") == "test"))
     classes = d.select("label", "label_idx").distinct()
     s = s.join(F.broadcast(classes.withColumnRenamed("label", "pred_label").withColumnRenamed("label_idx", "prediction_idx")),
@@ -75,7 +75,7 @@ def f8_gbt_validation(spark, sf):
     each series' training rows (``validationIndicatorCol``)."""
     d = model_frame(spark, sf)
     tr = ml.chronological_validation(d, 0.1)
-    model = ml.gbt_pipeline(
+    model = ml.gbt_model(
         FEATURES, "target", maxIter=60, maxDepth=4, stepSize=0.1, subsamplingRate=0.8,
         featureSubsetStrategy="sqrt", validationIndicatorCol="is_val", validationTol=0.01,
     ).fit(tr)
@@ -86,7 +86,7 @@ def f8_gbt_validation(spark, sf):
 @query("f10_scaled_logistic")
 def f10_scaled_logistic(spark, sf):
     d = model_frame(spark, sf)
-    model = ml.logistic_pipeline(FEATURES, "target", maxIter=50, regParam=0.01).fit(d.filter(F.col("split") == "train"))
+    model = ml.logistic_model(FEATURES, "target", maxIter=50, regParam=0.01).fit(d.filter(F.col("split") == "train"))
     return _scored_out(ml.score(model, d.filter(F.col("split") == "test"), keep=[*KEYS, TS]))
 
 
@@ -114,8 +114,8 @@ def f13_soft_vote(spark, sf):
     """Soft vote of boosted trees and a random forest."""
     d = model_frame(spark, sf)
     train, test = d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test")
-    m1 = ml.gbt_pipeline(FEATURES, "target", **GBT).fit(train)
-    m2 = ml.forest_pipeline(FEATURES, "target", numTrees=20, maxDepth=5).fit(train)
+    m1 = ml.gbt_model(FEATURES, "target", **GBT).fit(train)
+    m2 = ml.forest_model(FEATURES, "target", numTrees=20, maxDepth=5).fit(train)
     return _scored_out(ml.soft_vote([m1, m2], test, keep=[*KEYS, TS]))
 
 
@@ -124,7 +124,7 @@ def f15_model_registry(spark, sf):
     """Save a model with its ordered feature list, load it back by name from
     the registry table, align the features and score."""
     d = model_frame(spark, sf)
-    model = ml.gbt_pipeline(FEATURES, "target", **GBT).fit(d.filter(F.col("split") == "train"))
+    model = ml.gbt_model(FEATURES, "target", **GBT).fit(d.filter(F.col("split") == "train"))
     root = scratch(spark, "f15")
     ml.register_model(spark, model, "gbt_1h", FEATURES, root + "/registry", root + "/models")
     loaded, feats = ml.load_registered(spark, root + "/registry", "gbt_1h")
@@ -153,5 +153,5 @@ def f16_stale_models(spark, sf):
 @query("g7_feature_importance")
 def g7_feature_importance(spark, sf):
     d = model_frame(spark, sf)
-    model = ml.gbt_pipeline(FEATURES, "target", **GBT).fit(d.filter(F.col("split") == "train"))
+    model = ml.gbt_model(FEATURES, "target", **GBT).fit(d.filter(F.col("split") == "train"))
     return ml.feature_importance(model, FEATURES, spark, 20).select("feature", rounded("importance").alias("importance"))

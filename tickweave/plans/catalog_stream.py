@@ -100,7 +100,7 @@ def s4_stream_score(spark, sf):
     _stream_bars_to(spark, sf, root + "/bars")
     feats = list(PRICE_COLS)
     train = lab.next_bar_up(event_bars(spark, sf), out="target", last_row="drop").drop("_i")
-    model = ml.gbt_pipeline(feats, "target", maxIter=10, maxDepth=3).fit(train)
+    model = ml.gbt_model(feats, "target", maxIter=10, maxDepth=3).fit(train)
     bars = sb.file_feed(spark, root + "/bars/out", BARS_SCHEMA, files_per_batch=1)
     _drain(stream_score(model, bars, [*KEYS, TS, "close"]), root + "/log")
     d = spark.read.parquet(root + "/log/out")

@@ -10,7 +10,9 @@ random state and replays identically after a restart.
 
 The model state (feature means / variances, bag weights, metric counts) is a
 few hundred numbers; it lives on the driver between batches and is written
-to the checkpoint folder after every batch.
+to the checkpoint folder after every batch.  A restarted query reloads it,
+skips micro-batches already learned, and rewrites a re-run batch's
+predictions in place (one folder per epoch), so replays do not double count.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ _POISSON1_CDF = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.
 
 
 def stream_score(model: PipelineModel, stream: DataFrame, keep: Sequence[str], high: float = 0.6, low: float = 0.4) -> DataFrame:
-    """Score a stream with a fitted pipeline and keep high-confidence rows
+    """Score a stream with a fitted model and keep high-confidence rows
     (P(up) >= ``high`` or <= ``low``), ready for an append sink."""
     s = model.transform(stream)
     p = p_up()
@@ -61,6 +63,21 @@ class OnlineLogisticBag:
         self.m2 = [0.0] * nf
         self.w = [[0.0] * (nf + 1) for _ in range(bags)]
         self.counts = {"seen": 0, "correct": 0, "tp": 0, "pred_pos": 0, "actual_pos": 0}
+        self.last_epoch = -1
+        self._load()
+
+    def _load(self) -> None:
+        """Resume from the last saved state (a restarted query replays from its
+        checkpoint; epochs already learned are skipped)."""
+        try:
+            row = self.spark.read.text(self.state_path).first()
+        except Exception:  # noqa: BLE001 - no state written yet
+            return
+        if row is None:
+            return
+        st = json.loads(row[0])
+        self.n, self.mean, self.m2, self.w = st["n"], st["mean"], st["m2"], st["w"]
+        self.counts, self.last_epoch = st["counts"], st.get("last_epoch", -1)
 
     def _std(self) -> list[Column]:
         out = []
@@ -77,6 +94,8 @@ class OnlineLogisticBag:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
     def process(self, batch: DataFrame, epoch_id: int) -> None:
+        if epoch_id <= self.last_epoch:
+            return  # replayed micro-batch: predictions and update already done
         xs = self._std()
         probs = [self._bag_prob(xs, b) for b in range(self.bags)]
         avg = probs[0]
@@ -86,7 +105,8 @@ class OnlineLogisticBag:
         y = F.col(self.label).cast("int")
         scored = batch.select(*self.key, y.alias("y"), avg.alias("prob")).withColumn("pred", (F.col("prob") >= 0.5).cast("int"))
         scored = scored.withColumn("epoch", F.lit(epoch_id))
-        scored.write.mode("append").parquet(self.out_path)
+        # One folder per epoch, replaced if the batch is re-run after a failure.
+        scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(self.out_path)
 
         # Prequential counts (predict first, learn after).
         m = scored.agg(
@@ -134,10 +154,11 @@ class OnlineLogisticBag:
                 self.mean[j] += delta * nb / tot
                 self.m2[j] += (vb or 0.0) * nb + delta * delta * self.n * nb / tot
             self.n += nb
+        self.last_epoch = epoch_id
         self._save()
 
     def _save(self) -> None:
-        state = {"n": self.n, "mean": self.mean, "m2": self.m2, "w": self.w, "counts": self.counts}
+        state = {"n": self.n, "mean": self.mean, "m2": self.m2, "w": self.w, "counts": self.counts, "last_epoch": self.last_epoch}
         self.spark.createDataFrame([(json.dumps(state),)], "state string").coalesce(1).write.mode("overwrite").text(self.state_path)
 
     def metrics(self) -> dict:
