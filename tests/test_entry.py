@@ -15,6 +15,9 @@ FAST = [
     # sources and sinks (round trips through files in the checkpoint folder)
     "a1_csv_scan", "a3_series_key_from_name", "a9_kline_normalise", "a10_trade_fills", "a11_ragged_signal_log",
     "a12_signal_log_lines", "a14_incremental_load", "b3_parse_utc",
+    # labels, splits, signals, metrics, quality
+    "b4_dedup_keep_first", "b14_min_history", "d3_binary_target", "e5_model_or_rule", "f3_walk_forward",
+    "f4_time_series_folds", "g3_classification_report", "g8_prequential", "g11_shift_matches", "a13_manifest",
 ]
 ZONE_SENSITIVE = ["a1_csv_scan", "a3_series_key_from_name", "b3_parse_utc", "a11_ragged_signal_log", "e2_backtest"]
 
