@@ -81,6 +81,8 @@ def steps(html: str) -> Iterator[tuple[str, str, dict]]:
                 continue
             walls = {"table"} if tag in TABLE_PARTS or tag in ("td", "th", "caption") else {"td", "th", "caption"}
             i = nearest({tag}, walls - {tag})
+            if i >= 0 and tag not in BLOCK and tag not in ("td", "th") and any(x in BLOCK for x in stack[i + 1 :]):
+                continue  # an inline end tag does not end the blocks that began inside
             if i >= 0:
                 yield from close_to(i)
             elif tag == "p":

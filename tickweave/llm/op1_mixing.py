@@ -75,7 +75,8 @@ def mix_sources(
     text), ``mix_copy`` (epoch, from 1), ``mix_block`` and ``mix_rank`` (place of the
     block in its epoch's permutation of the source).
 
-    ``budget`` is the number of tokens to realise (default: those of ``docs``); with
+    ``budget`` is the number of tokens to realise (default: those of ``docs``), each
+    source's share to the nearest token; with
     ``cover`` it is instead the least for which every source has a whole epoch, so
     nothing is left out.  A null source is a source of its own.  Null and empty
     texts count no tokens and follow their block.  A source without any token has
@@ -104,7 +105,7 @@ def mix_sources(
         tokens = float(total) * (weighed.agg(F.max(F.col("p") / weight)).first()[0] or 1.0) * (1 + 1e-12)
     else:
         tokens = float(total if budget is None else budget)
-    goal = F.floor(weight * F.lit(tokens))
+    goal = F.round(weight * F.lit(tokens)).cast("long")  # to the nearest token: found shares (exponent 1) give back every source whole
     plan = weighed.select("__s", F.col("t").alias("__t"), goal.alias("__g")).withColumn("__e", F.expr("__g div __t")).withColumn("__r", F.expr("__g % __t"))
     plan = plan.unionByName(sources.where("t = 0").select("__s", F.lit(0).cast("long").alias("__t"), F.lit(0).cast("long").alias("__g"), F.lit(1).cast("long").alias("__e"), F.lit(0).cast("long").alias("__r")))
     plan = plan.withColumn("__n", F.greatest(F.lit(1), F.least(F.lit(MAX_BLOCKS), F.ceil(F.col("__t") / BLOCK_TOKENS))))
@@ -156,21 +157,21 @@ WITH RECURSIVE d AS (
     CASE WHEN rep > 4.0 THEN (rlo + rhi) // 2 ELSE rlo END, CASE WHEN rep > 4.0 THEN rhi ELSE (rlo + rhi) // 2 END
   FROM (
     SELECT best.*, n,
-      ln(list_sum(list_transform(ps, x -> exp((lo + hi) // 2 / 1073741824 * ln(x)))))
-        - (lo + hi) // 2 / 1073741824 * list_sum(list_transform(ps, x -> exp((lo + hi) // 2 / 1073741824 * ln(x)) * ln(x)))
-        / list_sum(list_transform(ps, x -> exp((lo + hi) // 2 / 1073741824 * ln(x)))) AS he,
-      pow(least, (rlo + rhi) // 2 / 1073741824 - 1) / list_sum(list_transform(ps, x -> exp((rlo + rhi) // 2 / 1073741824 * ln(x)))) AS rep
+      ln(list_sum(list_transform(ps, lambda x: exp((lo + hi) // 2 / 1073741824 * ln(x)))))
+        - (lo + hi) // 2 / 1073741824 * list_sum(list_transform(ps, lambda x: exp((lo + hi) // 2 / 1073741824 * ln(x)) * ln(x)))
+        / list_sum(list_transform(ps, lambda x: exp((lo + hi) // 2 / 1073741824 * ln(x)))) AS he,
+      pow(least, (rlo + rhi) // 2 / 1073741824 - 1) / list_sum(list_transform(ps, lambda x: exp((rlo + rhi) // 2 / 1073741824 * ln(x)))) AS rep
     FROM best, ps WHERE k < 30
   )
 ), ex AS (
   SELECT CASE WHEN n < 2 THEN 1.0 ELSE least(1.0, greatest(
-      CASE WHEN -list_sum(list_transform(ps, x -> x * ln(x))) >= 0.95 * ln(n) THEN 1.0 ELSE lo / 1073741824 END,
+      CASE WHEN -list_sum(list_transform(ps, lambda x: x * ln(x))) >= 0.95 * ln(n) THEN 1.0 ELSE lo / 1073741824 END,
       CASE WHEN pow(least, -1) / n > 4.0 THEN (rlo + 1) / 1073741824 ELSE 0 END)) END AS a
   FROM best, ps WHERE k = 30
 ), w AS (
   SELECT s, t, exp(a * ln(p)) / (SELECT sum(exp(a * ln(p))) FROM shr, ex) AS w FROM shr, ex
 ), pl AS (
-  SELECT s, t, CAST(floor(w * total) AS BIGINT) AS g FROM w, tot
+  SELECT s, t, CAST(round(w * total) AS BIGINT) AS g FROM w, tot
 ), plan AS (
   SELECT s, t, g // t AS e, g % t AS r, greatest(1, least(4096, CAST(ceil(t / 65536) AS BIGINT))) AS nb FROM pl
   UNION ALL SELECT s, 0, 1, 0, 1 FROM src WHERE t = 0

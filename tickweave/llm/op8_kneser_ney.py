@@ -329,12 +329,12 @@ def score_texts(look: Lookup, texts: list[bytes]) -> list[tuple[int, int, float,
     seq, first = tokens(texts)
     uids, inverse, ids = word_ids(look, seq)
     by = np.argsort(uids, kind="stable")
-    count, lower = np.zeros(len(uids)), np.zeros(len(uids))
+    count = np.zeros(len(uids))
     count[by] = look.by_id(look.counts, uids[by])
     cont = np.zeros(len(uids))
     cont[by] = look.by_id(look.cont, uids[by])
     uniform = 1.0 / (m.size + 1)
-    lower = (discounted(cont, m.words) / m.types if m.types else 0.0) + m.back * uniform
+    lower = discounted(cont, m.words) / max(m.types, 1) + m.back * uniform
     base = np.log10((count + 0.5) / (m.total + 0.5 * (m.size + 1)))
     before = contexts(ids, first, m.size)
     known = (before >= 0) & (ids >= 0)
