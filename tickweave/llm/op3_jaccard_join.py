@@ -10,12 +10,13 @@ and the sum must exceed the slack.
 1. Equal sets are collapsed by digest.  Sets with more than ``slack`` tokens that
    no other set has cannot link; a round trip over a hash share of the tokens
    finds them, and in most corpora nearly all documents leave here.
-2. For the others the tokens' document counts are gathered.  The order is: tokens
-   of no other set, rare ones, frequent ones (each by hash), then the rest of
-   the hash range; single tokens index the rare class, pairs the frequent one.
-3. Members of an index entry are verified against its smallest id; verified links
-   make components; then all pairs of an entry that are still in different
-   components are verified, so no link is lost.
+2. For the others the tokens' set counts are gathered.  The order is: tokens of no
+   other set, rare ones, frequent ones (each by hash); single tokens index the
+   rare class, pairs the frequent one.
+3. Members of an index entry are verified against its most central set (the one
+   with the fewest tokens of its own); verified links make components; then all
+   pairs of an entry that are still in different components are verified, so no
+   link is lost.  Pairs whose sizes and own tokens rule a link out are skipped.
 
 Token rows travel packed (numpy arrays in binary rows, one per task and bucket).
 """
@@ -35,8 +36,9 @@ from tickweave.llm.spark import cut, parts, table
 from tickweave.llm.text import U64, chunks, mix, shingle_sets, utf8
 
 PROBED = 0.4  # share of the token hashes that step 1 looks at
-LOW = 0.4  # share of the token hashes that come first in the order of step 2
 RARE = 8  # sets that have a rare token, at most
+PAIRED = 5  # sets of 2**PAIRED tokens and more pair their frequent tokens
+LEAST = 6  # buckets at least
 BUCKET_BYTES = 32 << 20  # text behind one bucket of packed tokens
 FLUSH = 3_000_000  # tokens that a task packs at a time
 
@@ -115,42 +117,40 @@ def pair_parts(level: int, percent: int) -> int:
     return max(1, (slack(1 << level, percent) + 1) // 3)
 
 
-def signatures(n: int, n_low: int, tokens: np.ndarray, df: np.ndarray, rest: np.ndarray, percent: int, most: int = RARE) -> np.ndarray:
-    """Index entries (64-bit) of a set of ``n`` tokens, ``n_low`` of them in the low hash range.
+def signatures(n: int, tokens: np.ndarray, df: np.ndarray, percent: int, rare_sets: int = RARE) -> np.ndarray:
+    """Index entries (64-bit) of a set of ``n`` tokens.
 
-    ``tokens``/``df``: its low tokens that other sets have too and in how many sets
-    they are; ``rest``: its first tokens above the low range, by hash.
+    ``tokens``/``df``: those that other sets have too, and in how many sets they are.
     """
-    need = slack(n, percent) + 1 - (n_low - len(tokens))
+    need = slack(n, percent) + 1 - (n - len(tokens))
     if need <= 0:
         return np.zeros(0, dtype=np.uint64)
     order = np.argsort(tokens)
     tokens, df = tokens[order], df[order]
-    rare, frequent = tokens[df <= most], tokens[df > most]
+    rare, frequent = tokens[df <= rare_sets], tokens[df > rare_sets]
     singles = [rare[:need]]
     need -= len(singles[0])
     out = []
-    if need > 0:
-        levels = range((-(-n * percent // 100)).bit_length() - 1, (n * 100 // percent).bit_length())
-        for level in levels:
-            m = pair_parts(level, percent)
-            part = mix(frequent ^ U64(0x5851F42D4C957F2D)) % U64(m)
-            by = np.argsort(part, kind="stable")
-            first = np.zeros(len(frequent), dtype=bool)
-            first[by[runs(part[by])]] = True
-            got = np.cumsum(~first)
-            stop = int(np.searchsorted(got, need)) + 1 if len(got) and got[-1] >= need else len(frequent)
-            t, p = frequent[:stop], part[:stop]
-            by = np.lexsort((t, p))
-            t, p = t[by], p[by]
-            start = runs(p)
-            size = np.diff(np.append(start, len(p)))
-            for k in range(1, int(size.max()) if len(size) else 0):  # pairs k apart in a part, all of them in turn
-                same = np.flatnonzero(p[k:] == p[:-k])
-                out.append(mix(mix(t[same] + U64(level + 1)) ^ t[same + k]))
-            short = need - (int(got[stop - 1]) if stop else 0)
-            if short > 0:
-                singles.append(rest[:short])
+    # Every level that a linked set can have: both sets know the level they share.
+    levels = range((-(-n * percent // 100)).bit_length() - 1, (n * 100 // percent).bit_length()) if need > 0 else ()
+    for level in levels:
+        if level < PAIRED or percent < 50:  # too few tokens to spare any: single tokens
+            singles.append(frequent[:need])
+            continue
+        m = pair_parts(level, percent)
+        part = mix(frequent ^ U64(0x5851F42D4C957F2D)) % U64(m)
+        by = np.argsort(part, kind="stable")
+        first = np.zeros(len(frequent), dtype=bool)
+        first[by[runs(part[by])]] = True
+        got = np.cumsum(~first)
+        stop = int(np.searchsorted(got, need)) + 1
+        t, p = frequent[:stop], part[:stop]
+        by = np.lexsort((t, p))
+        t, p = t[by], p[by]
+        size = np.diff(np.append(runs(p), len(p)))
+        for k in range(1, int(size.max()) if len(size) else 0):  # tokens k apart in a part: in the end all its pairs
+            same = np.flatnonzero(p[k:] == p[:-k])
+            out.append(mix(mix(t[same] + U64(level + 1)) ^ t[same + k]))
     out.append(mix(np.concatenate(singles) ^ U64(0xA0761D6478BD642F)))
     return np.unique(np.concatenate(out))
 
@@ -174,7 +174,7 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, id_co
     id_type = docs.schema[id_col].dataType
     d = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text"))
     size = d.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    buckets = max(parts(docs), -(-size // BUCKET_BYTES))
+    buckets = max(LEAST, -(-size // BUCKET_BYTES))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -223,19 +223,19 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, id_co
                 seen.add(key)
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    texts = d.join(alive.withColumnRenamed("rep", "_id"), "_id").select("_id", "_text", "n", "key").mapInArrow(own_text, "_id long, _text string, n long, key binary")
+    texts = d.hint("merge").join(alive.withColumnRenamed("rep", "_id"), "_id").select("_id", "_text", "n", "key").mapInArrow(own_text, "_id long, _text string, n long, key binary")
     node = F.xxhash64("_id", "key")
     cand = cut(texts.select(node.alias("node"), "_id", F.col("n").cast("int").alias("n"), "_text"), "jaccard-texts")
     bytes_left = cand.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    few = max(parts(docs), -(-bytes_left // BUCKET_BYTES))
+    few = max(LEAST, -(-bytes_left // BUCKET_BYTES))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack, limit = Packer(few), share(LOW)
+        pack = Packer(few)
         for b in batches:
             nodes, rows = b.column(0).to_pylist(), utf8(b.column(1))
             for lo, hi in chunks(rows):
                 for i, s in enumerate(shingle_sets(rows[lo:hi], width), lo):
-                    pack.add(nodes[i], s[: np.searchsorted(s, limit)])
+                    pack.add(nodes[i], s)
                 if pack.held > FLUSH:
                     yield from pack.flush()
         yield from pack.flush()
@@ -255,26 +255,24 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, id_co
         return pa.table({"node": pa.array(owners[at[:-1]], pa.int64()), "t": pa.array([tokens[i:j].tobytes() + df[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary())})
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        limit = share(LOW)
         for b in batches:
-            rows = utf8(b.column(1))
-            for lo, hi in chunks(rows):
+            sizes = b.column(2).to_pylist()
+            for lo in range(0, len(sizes), 1024):
                 out, low, at = [], [], []
-                for i, s in enumerate(shingle_sets(rows[lo:hi], width), lo):
-                    n_low = int(np.searchsorted(s, limit))
-                    got = b.column(2)[i].as_py() or []
+                for i in range(lo, min(lo + 1024, len(sizes))):
+                    got = b.column(1)[i].as_py() or []
                     tokens = np.concatenate([np.frombuffer(x, np.uint64, len(x) // 9) for x in got] or [np.zeros(0, np.uint64)])
                     df = np.concatenate([np.frombuffer(x, np.uint8, len(x) // 9, len(x) // 9 * 8) for x in got] or [np.zeros(0, np.uint8)])
-                    sig = signatures(len(s), n_low, tokens, df, s[n_low:], percent, rare)
+                    sig = signatures(sizes[i], tokens, df, percent, rare)
                     out.append(sig.view(np.int64))
                     at += [i] * len(sig)
-                    low += [n_low - len(tokens)] * len(sig)
+                    low += [sizes[i] - len(tokens)] * len(sig)
                 flat = np.concatenate(out)
                 if len(flat):
-                    yield pa.RecordBatch.from_arrays([pa.array(flat), b.column(0).take(pa.array(at, pa.int64())), b.column(3).take(pa.array(at, pa.int64())), pa.array(low, pa.int32())], names=["sig", "node", "n", "alone"])
+                    yield pa.RecordBatch.from_arrays([pa.array(flat), b.column(0).take(pa.array(at, pa.int64())), b.column(2).take(pa.array(at, pa.int64())), pa.array(low, pa.int32())], names=["sig", "node", "n", "alone"])
 
     answers = cand.select("node", "_text").mapInArrow(send, PACKED).repartition(few, "bucket").groupBy("bucket").applyInArrow(count, "node long, t binary").groupBy("node").agg(F.collect_list("t").alias("t"))
-    rows = cand.select("node", "_text", "n").join(answers, "node", "left").select("node", "_text", "t", "n")
+    rows = cand.select("node", "n").join(answers, "node", "left").select("node", "t", "n")
     index = cut(rows.mapInArrow(entries, "sig long, node long, n int, alone int"), "jaccard-index")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,15 +280,19 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, id_co
             ok = [linked(x, y, width, percent) for x, y in zip(utf8(b.column(2)), utf8(b.column(3)))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ok, pa.bool_())], names=["a", "b", "ok"])
 
+    def possible(a: str, b: str, a_own: str, b_own: str):
+        """No link is ruled out by the sizes and by the tokens that only one set has."""
+        common = F.least(F.col(a) - F.col(a_own), F.col(b) - F.col(b_own))
+        return 100 * common >= percent * (F.col(a) + F.col(b) - common)
+
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        one = cand.select(F.col("node").alias("a"), F.col("_text").alias("x"), F.col("n").alias("na"))
-        two = cand.select(F.col("node").alias("b"), F.col("_text").alias("y"), F.col("n").alias("nb"))
-        fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-        sized = pairs.join(one.select("a", "na"), "a").join(two.select("b", "nb"), "b").where(fits).select("a", "b")
-        return cut(sized.join(two, "b").join(one, "a").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long, ok boolean"), name)
-
-    shared = index.groupBy("sig").agg(F.min("node").alias("b"), F.count("*").alias("m")).where("m > 1").select("sig", "b")
-    stars = cut(index.join(shared, "sig").where("node <> b").select(F.col("node").alias("a"), "b").distinct(), "jaccard-stars")
+        one = cand.select(F.col("node").alias("a"), F.col("_text").alias("x")).hint("merge")
+        two = cand.select(F.col("node").alias("b"), F.col("_text").alias("y")).hint("merge")
+        return cut(pairs.join(two, "b").join(one, "a").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long, ok boolean"), name)
+
+    central = F.shiftleft(F.col("alone").cast("long"), 32) + F.col("node").bitwiseAND(F.lit(0xFFFFFFFF))
+    lead_of = index.groupBy("sig").agg(F.min_by("node", central).alias("b"), F.min_by("n", central).alias("nb"), F.min_by("alone", central).alias("ob"), F.count("*").alias("m")).where("m > 1").drop("m")
+    stars = cut(index.join(lead_of, "sig").where("node <> b").where(possible("n", "nb", "alone", "ob")).select(F.col("node").alias("a"), "b").distinct(), "jaccard-stars")
     first = verified(stars, "jaccard-first")
     label = components(first.where("ok").select("a", "b"))
     # Members of an entry that are still apart: all their pairs, but for those already seen.
@@ -298,9 +300,9 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, id_co
     open_sigs = placed.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("sig")
     left = cut(placed.join(open_sigs, "sig"), "jaccard-open")
     other = left.select("sig", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "alone", "c")])
-    most = F.least(F.col("n") - F.col("alone"), F.col("n2") - F.col("alone2"))  # common tokens at most
-    apart = left.join(other, "sig").where("node > node2 and c <> c2").where(100 * most >= percent * (F.col("n") + F.col("n2") - most))
-    again = verified(apart.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct().join(stars, ["a", "b"], "left_anti"), "jaccard-second")
+    apart = left.join(other, "sig").where("node > node2 and c <> c2").where(possible("n", "n2", "alone", "alone2")).select(F.col("node").alias("a"), F.col("node2").alias("b"))
+    seen = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    again = verified(apart.distinct().join(seen, ["a", "b"], "left_anti"), "jaccard-second")
     links = first.where("ok").unionByName(again.where("ok"))
     return _assemble(described, lead, cand, links, id_col, id_type)
 
