@@ -38,6 +38,7 @@ from tickweave.llm.text import U64, chunks, mix, shingle_sets, utf8
 PROBED = 0.4  # share of the token hashes that step 1 looks at
 RARE = 8  # sets that have a rare token, at most
 PAIRED = 5  # sets of 2**PAIRED tokens and more pair their frequent tokens
+CELLS = 32  # cells of a set's token counts, for an upper bound of common tokens
 LEAST = 6  # buckets at least
 BUCKET_BYTES = 32 << 20  # text behind one bucket of packed tokens
 FLUSH = 3_000_000  # tokens that a task packs at a time
@@ -258,22 +259,24 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, id_co
         for b in batches:
             sizes = b.column(2).to_pylist()
             for lo in range(0, len(sizes), 1024):
-                out, low, at = [], [], []
+                out, own, at, cells = [], [], [], []
                 for i in range(lo, min(lo + 1024, len(sizes))):
                     got = b.column(1)[i].as_py() or []
                     tokens = np.concatenate([np.frombuffer(x, np.uint64, len(x) // 9) for x in got] or [np.zeros(0, np.uint64)])
                     df = np.concatenate([np.frombuffer(x, np.uint8, len(x) // 9, len(x) // 9 * 8) for x in got] or [np.zeros(0, np.uint8)])
                     sig = signatures(sizes[i], tokens, df, percent, rare)
-                    out.append(sig.view(np.int64))
-                    at += [i] * len(sig)
-                    low += [sizes[i] - len(tokens)] * len(sig)
-                flat = np.concatenate(out)
-                if len(flat):
-                    yield pa.RecordBatch.from_arrays([pa.array(flat), b.column(0).take(pa.array(at, pa.int64())), b.column(2).take(pa.array(at, pa.int64())), pa.array(low, pa.int32())], names=["sig", "node", "n", "alone"])
+                    if len(sig):  # one row for the set itself, then its entries
+                        out += [None, *sig.view(np.int64).tolist()]
+                        at += [i] * (len(sig) + 1)
+                        own += [sizes[i] - len(tokens)] * (len(sig) + 1)
+                        cells += [np.bincount((mix(tokens) >> U64(59)).astype(np.int64), minlength=CELLS).tolist(), *[None] * len(sig)]
+                if out:
+                    at = pa.array(at, pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64()), b.column(0).take(at), b.column(2).take(at), pa.array(own, pa.int32()), pa.array(cells, pa.list_(pa.int32()))], names=["sig", "node", "n", "alone", "cells"])
 
     answers = cand.select("node", "_text").mapInArrow(send, PACKED).repartition(few, "bucket").groupBy("bucket").applyInArrow(count, "node long, t binary").groupBy("node").agg(F.collect_list("t").alias("t"))
     rows = cand.select("node", "n").join(answers, "node", "left").select("node", "t", "n")
-    index = cut(rows.mapInArrow(entries, "sig long, node long, n int, alone int"), "jaccard-index")
+    index = cut(rows.mapInArrow(entries, "sig long, node long, n int, alone int, cells array<int>"), "jaccard-index")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -290,17 +293,24 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, id_co
         two = cand.select(F.col("node").alias("b"), F.col("_text").alias("y")).hint("merge")
         return cut(pairs.join(two, "b").join(one, "a").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long, ok boolean"), name)
 
+    entry, sets = index.where("sig is not null"), index.where("sig is null").drop("sig")
     central = F.shiftleft(F.col("alone").cast("long"), 32) + F.col("node").bitwiseAND(F.lit(0xFFFFFFFF))
-    lead_of = index.groupBy("sig").agg(F.min_by("node", central).alias("b"), F.min_by("n", central).alias("nb"), F.min_by("alone", central).alias("ob"), F.count("*").alias("m")).where("m > 1").drop("m")
-    stars = cut(index.join(lead_of, "sig").where("node <> b").where(possible("n", "nb", "alone", "ob")).select(F.col("node").alias("a"), "b").distinct(), "jaccard-stars")
+    lead_of = entry.groupBy("sig").agg(F.min_by("node", central).alias("b"), F.count("*").alias("m")).where("m > 1").drop("m")
+    reach = cut(entry.join(lead_of, "sig").select("node", "b").distinct(), "jaccard-reach")  # the centre of an entry reaches its members and itself
+    ends = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("alone").alias("ob"))
+    stars = cut(reach.where("node <> b").join(sets, "node").join(ends, "b").where(possible("n", "nb", "alone", "ob")).select(F.col("node").alias("a"), "b"), "jaccard-stars")
     first = verified(stars, "jaccard-first")
     label = components(first.where("ok").select("a", "b"))
-    # Members of an entry that are still apart: all their pairs, but for those already seen.
-    placed = index.join(label.withColumnRenamed("id", "node"), "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
-    open_sigs = placed.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("sig")
-    left = cut(placed.join(open_sigs, "sig"), "jaccard-open")
-    other = left.select("sig", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "alone", "c")])
-    apart = left.join(other, "sig").where("node > node2 and c <> c2").where(possible("n", "n2", "alone", "alone2")).select(F.col("node").alias("a"), F.col("node2").alias("b"))
+    # Sets with a centre in common that are still apart (all pairs with an entry in common are among
+    # them): verified unless seen already or ruled out by sizes, own tokens or token counts by cell.
+    placed = reach.join(sets, "node").join(label.withColumnRenamed("id", "node"), "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+    mixed = placed.groupBy("b").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("b")
+    left = cut(placed.join(mixed, "b"), "jaccard-open")
+    other = left.select(F.col("b").alias("b2"), *[F.col(c).alias(f"{c}2") for c in ("node", "n", "alone", "c", "cells")])
+    common = sum((F.least(F.get("cells", F.lit(i)), F.get("cells2", F.lit(i))) for i in range(CELLS)), F.lit(0))
+    near = 100 * common >= percent * (F.col("n") + F.col("n2") - common)
+    meet = (F.col("b") == F.col("b2")) & (F.col("node") > F.col("node2")) & (F.col("c") != F.col("c2")) & possible("n", "n2", "alone", "alone2") & near
+    apart = left.join(other, meet).select(F.col("node").alias("a"), F.col("node2").alias("b"))
     seen = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
     again = verified(apart.distinct().join(seen, ["a", "b"], "left_anti"), "jaccard-second")
     links = first.where("ok").unionByName(again.where("ok"))
