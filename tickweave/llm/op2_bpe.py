@@ -110,7 +110,7 @@ def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Words(dict):
-    """word -> ids: vocabulary entries, folded words, and remembered merges of the rest."""
+    """word -> ids (as int32 bytes): vocabulary entries, folded words, and remembered merges of the rest."""
 
     def __init__(self, ranks: dict[bytes, int], folded_ids: dict[str, list[int]]):
         super().__init__()
@@ -118,16 +118,16 @@ class _Words(dict):
         self._fill()
 
     def _fill(self) -> None:
-        self.update({w: tuple(ids) for w, ids in self.folded.items()})
+        self.update({w: np.array(ids, np.int32).tobytes() for w, ids in self.folded.items()})
         self.fixed = len(self)
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> bytes:
         if len(self) > self.fixed + MEMO_WORDS:
             self.clear()
             self._fill()
         raw = word.encode()
         whole = self.ranks.get(raw)
-        out = (whole,) if whole is not None else tuple(merge_word(raw, self.ranks))
+        out = np.array([whole] if whole is not None else merge_word(raw, self.ranks), np.int32).tobytes()
         self[word] = out
         return out
 
@@ -152,13 +152,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         for b in batches:
             rows = []
             for text in b.column(b.schema.get_field_index(text_col)).to_pylist():
-                ids: list[int] = []
-                if text:
-                    for got in map(words.__getitem__, (any_text if BEYOND_LATIN.search(text) else LATIN_PATTERN).findall(text)):
-                        ids += got
-                rows.append(np.array(ids, dtype=np.int32))
-            offsets = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)
-            ids_col = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int32)))
+                found = (any_text if BEYOND_LATIN.search(text) else LATIN_PATTERN).findall(text) if text else ()
+                rows.append(b"".join(map(words.__getitem__, found)))
+            offsets = np.concatenate(([0], np.cumsum([len(r) // 4 for r in rows]))).astype(np.int32)
+            ids_col = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), np.int32)))
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in kept), ids_col], names=[*kept, "ids"])
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
@@ -171,9 +168,17 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFra
     kept = [c for c in encoded.columns if c != "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = {i: p for p, i in read_ranks(ranks_path).items()}
+        by_id = {i: p for p, i in read_ranks(ranks_path).items()}
+        pieces = pa.array([by_id.get(i) for i in range(max(by_id) + 1)], pa.large_binary())
         for b in batches:
-            got = [None if ids is None else b"".join(map(pieces.__getitem__, ids)) for ids in b.column(b.schema.get_field_index(ids_col)).to_pylist()]
+            lists = b.column(b.schema.get_field_index(ids_col))
+            joined = pieces.take(lists.flatten())  # the tokens' bytes, one after the other
+            if joined.null_count:
+                raise ValueError("decode: an id is not in the vocabulary")
+            ends = np.frombuffer(joined.buffers()[1], np.int64, len(joined) + 1, 8 * joined.offset)
+            data = joined.buffers()[2]
+            at = ends[np.concatenate(([0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))).astype(np.int64)]
+            got = [data[i:j].to_pybytes() if v else None for i, j, v in zip(at[:-1].tolist(), at[1:].tolist(), lists.is_valid().to_pylist())] if data is not None else [b"" if v else None for v in lists.is_valid().to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in kept), pa.array(got, pa.binary())], names=[*kept, "decoded"])
 
     schema = ", ".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in kept)
