@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickweave.functions.core import epoch_us, from_epoch_us, tf_seconds
-from tickweave.operators.series import IDX, keys_of, segment_rows
+from tickweave.operators.series import IDX, index_rows, keys_of, segment_rows
 from tickweave.schema import KEYS, PRICE_COLS, TIMEFRAMES, TS
 
 
@@ -30,6 +30,10 @@ def ticks_to_bars(
 ) -> DataFrame:
     """trades/ticks to OHLCV bars of one timeframe.
 
+    Without ``tiebreak`` or ``order``, ticks of equal time are ordered by
+    price (so open is the lowest and close the highest of them): the result
+    never depends on task order.
+
     ``groupBy(symbol, bucket)`` with partial aggregation, so a hot symbol is
     combined map-side before the shuffle.  Open/close are the first/last price
     by time (``tiebreak`` orders equal times); volume is the summed size, or the
@@ -42,7 +46,7 @@ def ticks_to_bars(
     if order is not None:
         order = F.col(order)
     else:
-        order = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.col(ts)
+        order = F.struct(F.col(ts), F.col(tiebreak or price))
     bucket = from_epoch_us(F.floor(epoch_us(ticks, ts) / F.lit(step)) * F.lit(step))
     vol = F.sum(F.col(volume).cast("double")) if volume else F.count(F.lit(1)).cast("double")
     return (
@@ -113,6 +117,8 @@ def regularise(
     ``(keys, _seg)`` and merged per grid slot; the output stays partitioned
     that way, so the fill and the next window stage reuse the shuffle.
     Input must be unique on (series, timestamp) (``dedup_keep_first``).
+    A series whose timeframe has no known length has no grid: its bars are
+    returned as they are (not filled), numbered by time.
     """
     from tickweave.operators.carry import carry_stage
     from tickweave.operators.series import SEG
@@ -124,6 +130,8 @@ def regularise(
     if "timeframe" not in bars.columns:
         raise ValueError("regularise needs a timeframe column")
     t = epoch_us(bars, ts)
+    gridless = bars.filter(tf_seconds("timeframe").isNull()).select(*keys, ts, *value_cols)
+    bars = bars.filter(tf_seconds("timeframe").isNotNull())
     b = bars.select(*keys, t.alias("_t"), *value_cols, (tf_seconds("timeframe") * F.lit(1_000_000)).alias("_step"))
     span = b.groupBy(*keys).agg(F.min("_t").alias("_t0"), F.max("_t").alias("_t1"), F.first("_step").alias("_step"))
     span = span.withColumn("_n", F.floor((F.col("_t1") - F.col("_t0")) / F.col("_step")).cast("long"))
@@ -157,7 +165,8 @@ def regularise(
         out = carry_stage(out, keys, fill_chain=value_cols, fill_value=None, partitioned=True)
     elif fill == "ffill":
         out = carry_stage(out, keys, ffill=value_cols, partitioned=True)
-    return out.drop(SEG)
+    # A constant known timeframe makes this branch empty at planning time.
+    return out.drop(SEG).select(*keys, ts, *value_cols, IDX).unionByName(index_rows(gridless, keys, ts).select(*keys, ts, *value_cols, IDX))
 
 
 def latest_per_series(df: DataFrame, keys: Sequence[str] = KEYS, ts: str = TS) -> DataFrame:

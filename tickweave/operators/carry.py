@@ -39,6 +39,15 @@ def _lam_pow(lam: float, e: Column) -> Column:
     return F.pow(F.lit(lam), e)
 
 
+def _weight(s) -> Column:
+    """Weight of a row's input: none before the seed row, 1 on it, alpha after it.
+    A null after the seed row has no plain weight: the job fails instead of
+    giving a wrong average (fill the column, or use ``ewm.ewm_gaps``)."""
+    i = F.col(IDX)
+    message = F.lit(f"EMA {s.out}: its input has a null; fill it first or use gaps=True")
+    return F.when(i < s.start, F.lit(0.0)).when(col_of(s.x).isNull(), F.raise_error(message).cast("double")).when(i == s.start, F.lit(1.0)).otherwise(F.lit(s.alpha))
+
+
 def _block_carry(t: str, lam: float, b: int, depth: int, order: Window) -> Column:
     """EMA value at the end of the previous block from the block-end values
     ``t`` of the last ``depth`` blocks: the recursion ``acc * lam^B + t``
@@ -135,7 +144,7 @@ def carry_stage(
         lam = 1.0 - s.alpha
         x = F.coalesce(col_of(s.x), F.lit(0.0))
         i = F.col(IDX)
-        w = F.when(col_of(s.x).isNull() | (i < s.start), F.lit(0.0)).when(i == s.start, F.lit(1.0)).otherwise(F.lit(s.alpha))
+        w = _weight(s)
         if b == seg_rows:
             j = i - F.col(SEG) * F.lit(b)
             local.append((_lam_pow(lam, j) * F.sum(w * x * _lam_pow(lam, -j)).over(wp)).alias(f"_le_{s.out}"))
@@ -160,8 +169,7 @@ def carry_stage(
         for s in specs:
             lam = 1.0 - s.alpha
             x = F.coalesce(col_of(s.x), F.lit(0.0))
-            i = F.col(IDX)
-            w = F.when(col_of(s.x).isNull() | (i < s.start), F.lit(0.0)).when(i == s.start, F.lit(1.0)).otherwise(F.lit(s.alpha))
+            w = _weight(s)
             sub_local.append((_lam_pow(lam, j) * F.sum(w * x * _lam_pow(lam, -j)).over(wb)).alias(f"_le_{s.out}"))
             aggs.append(F.sum(w * x * _lam_pow(lam, F.lit(b - 1) - j)).alias(f"_se_{s.out}"))
             # Segment-end local value (weights <= 1, no overflow) and the

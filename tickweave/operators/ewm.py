@@ -20,8 +20,10 @@ reaches back until ``lam^(K*B)`` underflows, so the result equals the plain
 recursion to rounding (no truncation of tiny values).
 
 Leading rows before ``start`` (e.g. the first row of a diff) give null and do
-not seed; the seed row is ``start``.  Interior nulls are not supported: fill
-them first (they do not occur after regularise + fill).
+not seed; the seed row is ``start``.  A null from there on makes the plain scan
+fail; ``ewm_gaps`` takes such input (the seed is the first value, a null row
+keeps the average, and a gap of g rows weighs the old average ``lam^(g+1)``
+against ``a``, as pandas does).
 """
 
 from __future__ import annotations
@@ -30,9 +32,11 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-from tickweave.operators.series import SEGMENT_ROWS
+from tickweave.functions.core import col_of
+from tickweave.operators.series import IDX, SEGMENT_ROWS, UNB_PREC, keys_of, segment_rows
 from tickweave.schema import KEYS
 
 
@@ -105,3 +109,48 @@ def ewm(
     from tickweave.operators.carry import carry_stage
 
     return carry_stage(df, keys, seg_rows, emas=list(specs), max_block=max_block, partitioned=partitioned)
+
+
+def ewm_gaps(df: DataFrame, specs: Sequence[Ema], keys=KEYS, seg_rows: int | None = None) -> DataFrame:
+    """``ewm`` for inputs with nulls, as pandas ``ewm(adjust=False)`` weighs them.
+
+    After a value ``d`` rows ago the old average counts ``lam^d``, the new value
+    ``a``, both divided by their sum, so each value has its own decay
+    ``A = lam^d / (lam^d + a)`` (1 on null rows, which keep the average).  The
+    recursion ``y = A y' + (1 - A) x`` runs in blocks of rows: prefix products
+    and sums inside a block, one row per block carried over the earlier blocks
+    (as many as can still matter at double precision).  The last value before a
+    block comes from a running maximum over the same small block table.
+    """
+    keys = keys_of(keys)
+    rows = segment_rows(df, seg_rows)
+    b = min(block_rows(s.alpha, rows) for s in specs)  # one block size, so all averages share the stages
+    d = df.withColumns({f"_x{k}": F.when(F.col(IDX) >= s.start, F.nanvl(col_of(s.x).cast("double"), F.lit(None).cast("double"))) for k, s in enumerate(specs)})
+    d = d.withColumn("_g", F.floor(F.col(IDX) / F.lit(b)).cast("long")).repartition(*keys, "_g")
+    block = Window.partitionBy(*keys, "_g").orderBy(IDX)
+    upto, before = block.rowsBetween(UNB_PREC, 0), block.rowsBetween(UNB_PREC, -1)
+    earlier = Window.partitionBy(*keys).orderBy("_g")
+    at = [F.when(F.col(f"_x{k}").isNotNull(), F.col(IDX)) for k in range(len(specs))]
+    seen = d.groupBy(*keys, "_g").agg(*[F.max(a).alias(f"_m{k}") for k, a in enumerate(at)])
+    seen = seen.select(*keys, "_g", *[F.max(f"_m{k}").over(earlier.rowsBetween(UNB_PREC, -1)).alias(f"_s{k}") for k in range(len(specs))])
+    d = d.join(seen, [*keys, "_g"], "left")
+    d = d.withColumns({f"_b{k}": F.coalesce(F.last(a, ignorenulls=True).over(before), F.col(f"_s{k}")) for k, a in enumerate(at)})
+    decay, gain, final = {}, {}, {}
+    for k, s in enumerate(specs):
+        value, first = F.col(f"_x{k}").isNotNull(), F.col(f"_b{k}").isNull()
+        old = F.pow(F.lit(1.0 - s.alpha), (F.col(IDX) - F.col(f"_b{k}")).cast("double"))
+        # An old average of weight 1e-50 no longer shows; the bound keeps the products in range.
+        a = F.when(~value | first, F.lit(1.0)).otherwise(F.greatest(old / (old + F.lit(s.alpha)), F.lit(1e-50)))
+        new = F.when(~value, F.lit(0.0)).when(first, F.lit(1.0)).otherwise(F.lit(s.alpha) / (old + F.lit(s.alpha)))
+        decay[f"_p{k}"] = F.exp(F.sum(F.ln(a)).over(upto))
+        gain[f"_y{k}"] = F.col(f"_p{k}") * F.sum(new * F.coalesce(f"_x{k}", F.lit(0.0)) / F.col(f"_p{k}")).over(upto)
+        final[s.out] = F.when(value | ~first, F.col(f"_y{k}") + F.col(f"_p{k}") * F.col(f"_c{k}"))
+    d = d.withColumns(decay).withColumns(gain)
+    ends = d.groupBy(*keys, "_g").agg(*[F.max_by(f"_{v}{k}", IDX).alias(f"_{v}e{k}") for k in range(len(specs)) for v in "py"])
+    carried = []
+    for k, s in enumerate(specs):
+        depth = max(1, math.ceil(40.0 / -math.log10(1.0 - s.alpha))) if s.alpha < 1 else 1
+        past = F.collect_list(F.struct(F.col(f"_pe{k}").alias("p"), F.col(f"_ye{k}").alias("y"))).over(earlier.rowsBetween(-depth, -1))
+        carried.append(F.aggregate(past, F.lit(0.0), lambda acc, e: acc * e["p"] + e["y"]).alias(f"_c{k}"))
+    d = d.join(ends.select(*keys, "_g", *carried), [*keys, "_g"], "left").withColumns(final)
+    return d.drop("_g", *[f"_{v}{k}" for k in range(len(specs)) for v in "xsbpyc"])

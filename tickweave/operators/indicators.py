@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from tickweave.functions.core import col_of, safe_div
 from tickweave.operators.carry import carry_stage
-from tickweave.operators.ewm import Ema, ewm
+from tickweave.operators.ewm import Ema, block_rows, ewm, ewm_gaps
+from tickweave.operators.series import segment_rows
 from tickweave.operators.series import (
     IDX,
     SEG,
@@ -149,24 +150,30 @@ def rolling_stdev(df, col="close", n=14, min_periods=None, out=None, fill_zero=F
     return windowed(df, [[(out or f"rolling_std_{n}", e)]], back=n - 1, keys=keys)
 
 
-def ema(df: DataFrame, col: str = "close", span: float = 12, out: str | None = None, keys=KEYS, max_block=None):
-    """EMA with ``alpha = 2/(span+1)``, seeded with the first value."""
-    d = ensure_index(df, keys)
-    return ewm(d, [Ema.span(out or f"ema{int(span)}", col, span)], keys, max_block=max_block)
+def ema(df: DataFrame, col: str = "close", span: float = 12, out: str | None = None, keys=KEYS, max_block=None, gaps: bool = False):
+    """EMA with ``alpha = 2/(span+1)``, seeded with the first value.  ``gaps``: the
+    column may hold nulls (weighed as pandas does); without it a null fails the job."""
+    return _ewm(ensure_index(df, keys), [Ema.span(out or f"ema{int(span)}", col, span)], keys, max_block, gaps)
 
 
-def ema_alpha(df: DataFrame, col: str, alpha: float, out: str, keys=KEYS, start: int = 0, max_block=None):
-    """EMA with a general smoothing factor (Wilder: ``1/period``)."""
-    d = ensure_index(df, keys)
-    return ewm(d, [Ema(out, col, alpha, start)], keys, max_block=max_block)
+def ema_alpha(df: DataFrame, col: str, alpha: float, out: str, keys=KEYS, start: int = 0, max_block=None, gaps: bool = False):
+    """EMA with a general smoothing factor (Wilder: ``1/period``); ``gaps`` as in ``ema``."""
+    return _ewm(ensure_index(df, keys), [Ema(out, col, alpha, start)], keys, max_block, gaps)
+
 
+def _ewm(d: DataFrame, specs, keys, max_block, gaps: bool, **stage) -> DataFrame:
+    return ewm_gaps(d, specs, keys) if gaps else ewm(d, specs, keys, max_block=max_block, **stage)
 
-def macd(df: DataFrame, fast=12, slow=26, signal=9, keys=KEYS, max_block=None):
-    """C11: MACD line, signal (an EMA of the line) and histogram."""
+
+def macd(df: DataFrame, fast=12, slow=26, signal=9, keys=KEYS, max_block=None, gaps: bool = False):
+    """C11: MACD line, signal (an EMA of the line) and histogram; ``gaps`` as in ``ema``."""
     d = ensure_index(df, keys)
     fast_slow = [Ema.span("_ema_fast", "close", fast), Ema.span("_ema_slow", "close", slow)]
-    d = _emas_with_signal(d, keys, fast_slow, "macd_signal", signal, max_block)
-    d = d.withColumn("macd", F.col("_ema_fast") - F.col("_ema_slow"))
+    line = F.col("_ema_fast") - F.col("_ema_slow")
+    if gaps:
+        d = ewm_gaps(ewm_gaps(d, fast_slow, keys).withColumn("macd", line), [Ema.span("macd_signal", "macd", signal)], keys)
+    else:
+        d = _emas_with_signal(d, keys, fast_slow, "macd_signal", signal, max_block).withColumn("macd", line)
     return d.withColumn("macd_hist", F.col("macd") - F.col("macd_signal")).drop("_ema_fast", "_ema_slow")
 
 
@@ -178,12 +185,13 @@ def _emas_with_signal(d, keys, fast_slow, signal_out, signal_span, max_block, **
     f, s_ = fast_slow[0].out, fast_slow[1].out
     combo = EmaOfEmas.span(signal_out, {f: 1.0, s_: -1.0}, signal_span)
     emas = [*fast_slow, *stage.pop("emas", [])]
-    try:
+    rows = segment_rows(d)
+    if all(e.start == 0 and block_rows(e.alpha, rows, max_block) == rows for e in fast_slow) and block_rows(combo.alpha, rows, max_block) == rows:
         return carry_stage(d, keys, emas=emas, ema_combos=[combo], max_block=max_block, **stage)
-    except ValueError:  # blocks smaller than the segment (forced or large alpha)
-        d = carry_stage(d, keys, emas=emas, max_block=max_block, **stage)
-        d = d.withColumn("_diff", F.col(f) - F.col(s_))
-        return ewm(d, [Ema.span(signal_out, "_diff", signal_span)], keys, max_block=max_block).drop("_diff")
+    # Blocks smaller than the segment (forced or large alpha): the signal in a stage of its own.
+    d = carry_stage(d, keys, emas=emas, max_block=max_block, **stage)
+    d = d.withColumn("_diff", F.col(f) - F.col(s_))
+    return ewm(d, [Ema.span(signal_out, "_diff", signal_span)], keys, max_block=max_block).drop("_diff")
 
 
 def gain_loss(delta: Column) -> tuple[Column, Column]:
@@ -198,10 +206,10 @@ def _up_down(keys) -> Stage:
     return [("_up", up), ("_down", down)]
 
 
-def rsi_wilder(df: DataFrame, period: int = 14, out: str = "rsi14", keys=KEYS, max_block=None):
-    """Wilder RSI; averages seed on the first diff (row 2); no loss -> 50."""
+def rsi_wilder(df: DataFrame, period: int = 14, out: str = "rsi14", keys=KEYS, max_block=None, gaps: bool = False):
+    """Wilder RSI; averages seed on the first diff (row 2); no loss -> 50; ``gaps`` as in ``ema``."""
     d = windowed(df, [_up_down(keys)], back=1, keys=keys)
-    d = ewm(d, [Ema.com("_au", "_up", period, start=1), Ema.com("_ad", "_down", period, start=1)], keys, max_block=max_block, partitioned=True)
+    d = _ewm(d, [Ema.com("_au", "_up", period, start=1), Ema.com("_ad", "_down", period, start=1)], keys, max_block, gaps, partitioned=True)
     rs = F.col("_au") / F.when(F.col("_ad") != 0, F.col("_ad"))
     rsi = F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + rs)
     return d.withColumn(out, F.coalesce(rsi, F.lit(50.0))).drop("_up", "_down", "_au", "_ad")
@@ -216,10 +224,10 @@ def rsi_ema_expr(up: Column, down: Column) -> Column:
     )
 
 
-def rsi_ema(df: DataFrame, span: float = 14, out: str = "rsi", keys=KEYS, max_block=None):
+def rsi_ema(df: DataFrame, span: float = 14, out: str = "rsi", keys=KEYS, max_block=None, gaps: bool = False):
     """RSI with EMA(span) averages (strategy form), no zero guard."""
     d = windowed(df, [_up_down(keys)], back=1, keys=keys)
-    d = ewm(d, [Ema.span("_au", "_up", span, start=1), Ema.span("_ad", "_down", span, start=1)], keys, max_block=max_block, partitioned=True)
+    d = _ewm(d, [Ema.span("_au", "_up", span, start=1), Ema.span("_ad", "_down", span, start=1)], keys, max_block, gaps, partitioned=True)
     return d.withColumn(out, rsi_ema_expr(F.col("_au"), F.col("_ad"))).drop("_up", "_down", "_au", "_ad")
 
 

@@ -48,10 +48,11 @@ def binary_target(df: DataFrame, horizon: int = 5, threshold: float = 0.0, keys=
     return d.na.drop()
 
 
-def ternary_label(df: DataFrame, keys=KEYS, settings: dict | None = None, keep_future: bool = False, partitioned: bool = False) -> DataFrame:
+def ternary_label(df: DataFrame, keys=KEYS, settings: dict | None = None, default: str = "1h", keep_future: bool = False, partitioned: bool = False) -> DataFrame:
     """Label -1/0/1 from the future return over a horizon and threshold
     that depend on the timeframe (exact match on the ``timeframe`` column, so
-    15m gets its own settings).  Rows without a future bar keep label 0.
+    15m gets its own settings); a timeframe without settings takes those of
+    ``default``.  Rows without a future bar keep label 0.
 
     The horizon differs per row, so one ``lead`` is computed for each distinct
     horizon (a handful) and the right one picked with ``when``.
@@ -67,7 +68,9 @@ def ternary_label(df: DataFrame, keys=KEYS, settings: dict | None = None, keep_f
         fr = safe_div(F.col(f"_lead_{h}"), F.col("close")) - F.lit(1.0)
         fut = F.when(tf == name, fr) if fut is None else fut.when(tf == name, fr)
         thr = F.when(tf == name, F.lit(t)) if thr is None else thr.when(tf == name, F.lit(t))
-    d = d.withColumn("future_return", fut).withColumn("_thr", thr)
+    h, t = settings[default]
+    fut = fut.otherwise(safe_div(F.col(f"_lead_{h}"), F.col("close")) - F.lit(1.0))
+    d = d.withColumn("future_return", fut).withColumn("_thr", thr.otherwise(F.lit(t)))
     label = (
         F.when(F.col("future_return") > F.col("_thr"), F.lit(1))
         .when(F.col("future_return") < -F.col("_thr"), F.lit(-1))
@@ -80,20 +83,17 @@ def ternary_label(df: DataFrame, keys=KEYS, settings: dict | None = None, keep_f
 def encode_labels(df: DataFrame, label: str = "label", out: str = "label_idx") -> DataFrame:
     """Classes to 0..k-1 in sorted order (numeric order for numbers).
 
-    The class table is tiny (one row per class), so its global ``dense_rank``
-    and the broadcast back are bounded by the number of classes.
+    The global ``dense_rank`` runs over the class table (one row per class);
+    whether that table is broadcast is left to its measured size.
     """
     classes = df.select(label).distinct().filter(F.col(label).isNotNull())
     classes = classes.withColumn(out, (F.dense_rank().over(Window.orderBy(label)) - 1).cast("int"))
-    return df.join(F.broadcast(classes), label, "left")
+    return df.join(classes, label, "left")
 
 
 def class_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
     """Balanced weight ``n / (k * n_class)`` per row (feeds ``weightCol``)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    w = Window.partitionBy()
-    counts = counts.select(
-        label,
-        (F.sum("_nc").over(w) / (F.count(F.lit(1)).over(w) * F.col("_nc"))).alias(out),
-    )
-    return df.join(F.broadcast(counts), label, "left")
+    total = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k")).withColumn("_all", F.lit(0))
+    counts = counts.withColumn("_all", F.lit(0)).join(total, "_all")
+    return df.join(counts.select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out)), label, "left")

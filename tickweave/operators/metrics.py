@@ -39,10 +39,23 @@ def precision_recall(df: DataFrame, y: str = "y", pred: str = "pred", positive=1
     return agg.select(*by, _div0(F.col("tp"), F.col("pred_pos")).alias("precision"), _div0(F.col("tp"), F.col("actual_pos")).alias("recall"))
 
 
-def confusion(df: DataFrame, y: str = "y", pred: str = "pred", classes: Sequence = (0, 1), by: Sequence[str] = ()) -> DataFrame:
-    """Counts with actual class as rows and predicted class as columns."""
-    out = df.groupBy(*by, y).pivot(pred, list(classes)).count()
-    return out.na.fill(0, subset=[str(c) for c in classes])
+def confusion(df: DataFrame, y: str = "y", pred: str = "pred", classes: Sequence | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Counts with actual class as rows and predicted class as columns.
+
+    The full square of every class found as ``y`` or ``pred`` (and of those in
+    ``classes``), zeros included; the classes found are one distinct value
+    each.  Rows with a null ``y`` or ``pred`` belong to no cell.
+    """
+    by = list(by)
+    d = df.filter(F.col(y).isNotNull() & F.col(pred).isNotNull())
+    found = {r[0] for r in d.select(F.explode(F.array_distinct(F.array(y, F.col(pred).cast(dict(d.dtypes)[y])))).alias("c")).distinct().collect()}
+    names = sorted({*found, *(classes or ())})
+    if not names:
+        return d.select(*by, y).limit(0)
+    counts = d.groupBy(*by, y).pivot(pred, names).count()
+    rows = F.explode(F.array(*[F.lit(c) for c in names]).cast(f"array<{dict(d.dtypes)[y]}>")).alias(y)
+    square = d.select(*by).distinct().select(*by, rows) if by else d.limit(1).select(rows)
+    return square.join(counts, [*by, y], "left").na.fill(0, subset=[str(c) for c in names])
 
 
 def classification_report(df: DataFrame, y: str = "y", pred: str = "pred", by: Sequence[str] = ()) -> DataFrame:
@@ -108,14 +121,17 @@ def _score_table(df: DataFrame, y: str, score: str, by: Sequence[str]) -> DataFr
 def _running_by_score(t: DataFrame, by: Sequence[str], cols: Sequence[str], descending: bool, buckets: int) -> DataFrame:
     """Running sums of ``cols`` in score order, *excluding* the current score.
 
-    Scores are cut in ``buckets`` value ranges (scores assumed in [0, 1]);
-    bucket totals are carried over a tiny per-bucket table and the in-bucket
-    running sum is a window over one bucket only.
+    Scores are cut at approximate quantiles of the distinct scores, ``buckets``
+    of them for every ten million rows or so, whatever their range; bucket
+    totals are carried over a small per-bucket table and the in-bucket running
+    sum is a window over one bucket only.
     """
     by = list(by)
     s = -F.col("score") if descending else F.col("score")
-    b = F.least(F.greatest(F.floor(s * F.lit(buckets)), F.lit(-buckets)), F.lit(buckets)).cast("int")
-    t = t.withColumn("_sb", b)
+    cuts = t.agg(F.percentile_approx(s.cast("double"), [i / buckets for i in range(1, buckets)], 10 * buckets).alias("q")).first()["q"] or []
+    cuts = F.array(*[F.lit(float(c)) for c in sorted(set(cuts))]).cast("array<double>")
+    # NaN and null scores share the last bucket.
+    t = t.withColumn("_sb", F.coalesce(F.size(F.filter(cuts, lambda c: c <= s)), F.lit(buckets)))
     tot = t.groupBy(*by, "_sb").agg(*[F.sum(c).alias(f"_bt_{c}") for c in cols])
     bw = Window.partitionBy(*by).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select(*by, "_sb", *[F.coalesce(F.sum(f"_bt_{c}").over(bw), F.lit(0)).alias(f"_bp_{c}") for c in cols])
@@ -140,10 +156,25 @@ def roc_auc(df: DataFrame, y: str = "y", score: str = "score", by: Sequence[str]
     ).drop(*drop)
 
 
+def pr_curve(df: DataFrame, y: str = "y", score: str = "score", by: Sequence[str] = (), buckets: int = 1024, eps: float = 1e-12) -> DataFrame:
+    """The precision-recall curve, one row per distinct score (the
+    threshold): ``threshold, precision, recall, f1 = 2pr / (p + r + eps)``."""
+    t, by, drop = _curve(df, y, score, by, buckets, eps)
+    return t.select(*by, F.col("score").alias("threshold"), "precision", "recall", "f1").drop(*drop)
+
+
 def best_f1_threshold(df: DataFrame, y: str = "y", score: str = "score", by: Sequence[str] = (), buckets: int = 1024, eps: float = 1e-12) -> DataFrame:
-    """Precision-recall curve over all distinct scores and the threshold
-    with the best ``F1 = 2pr / (p + r + eps)`` (lowest threshold on ties,
-    like ``argmax`` over increasing thresholds)."""
+    """The threshold of the precision-recall curve with the best F1
+    (lowest threshold on ties, like ``argmax`` over increasing thresholds)."""
+    t, by, drop = _curve(df, y, score, by, buckets, eps)
+    res = t.groupBy(*by).agg(
+        F.max_by("score", F.struct(F.col("f1"), -F.col("score"))).alias("best_threshold"),
+        F.max("f1").alias("best_f1"),
+    )
+    return res.drop(*drop)
+
+
+def _curve(df: DataFrame, y: str, score: str, by: Sequence[str], buckets: int, eps: float):
     df, by, drop = _grouped(df, by)
     t = _running_by_score(_score_table(df, y, score, by), by, ["pos", "neg"], descending=True, buckets=buckets)
     t = t.withColumn("tp", F.col("before_pos") + F.col("pos")).withColumn("fp", F.col("before_neg") + F.col("neg"))
@@ -151,12 +182,8 @@ def best_f1_threshold(df: DataFrame, y: str = "y", score: str = "score", by: Seq
     t = t.join(totals, by, "left")
     prec = _div0(F.col("tp"), F.col("tp") + F.col("fp"))
     rec = _div0(F.col("tp"), F.col("_P"))
-    t = t.withColumn("f1", F.lit(2.0) * prec * rec / (prec + rec + F.lit(eps)))
-    res = t.groupBy(*by).agg(
-        F.max_by("score", F.struct(F.col("f1"), -F.col("score"))).alias("best_threshold"),
-        F.max("f1").alias("best_f1"),
-    )
-    return res.drop(*drop)
+    t = t.withColumn("precision", prec).withColumn("recall", rec)
+    return t.withColumn("f1", F.lit(2.0) * prec * rec / (prec + rec + F.lit(eps))), by, drop
 
 
 def prequential(df: DataFrame, y: str = "y", pred: str = "pred", keys=("symbol", "timeframe"), every: int = 50) -> DataFrame:

@@ -82,6 +82,10 @@ def index_rows(
     per (series, bucket), and bucket offsets come from a running sum over the
     small count table.  ``row_number`` then runs only inside one (series,
     bucket), never over a whole series.
+
+    A row without a time or a series key has no place in a series: the job
+    fails with a message that says so (drop or repair such rows first, e.g.
+    ``clean.drop_nulls``); rows are never lost.
     """
     keys = keys_of(keys)
     t = epoch_us(df, ts)
@@ -92,7 +96,11 @@ def index_rows(
     else:
         step = F.lit(86_400_000_000)
     src = df.drop(IDX) if IDX in df.columns else df
-    d = src.withColumn("_b", F.floor(t / step).cast("long"))
+    lost = F.col(ts).isNull()
+    for k in keys:
+        lost = lost | F.col(k).isNull()
+    message = F.lit(f"index_rows: a row has no {ts} or no series key ({', '.join(keys)}); drop or repair such rows first")
+    d = src.withColumn("_b", F.when(lost, F.raise_error(message)).otherwise(F.floor(t / step)).cast("long"))
     counts = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         *keys,
@@ -102,7 +110,7 @@ def index_rows(
             F.lit(0),
         ).alias("_off"),
     )
-    d = d.join(offsets, [*keys, "_b"])
+    d = d.join(offsets, [*keys, "_b"], "left")  # an inner join would filter null keys before the check sees them
     ordering = [F.col(ts)] + [F.col(c) for c in (order or [])]
     w = Window.partitionBy(*keys, "_b").orderBy(*ordering)
     return d.withColumn(IDX, (F.col("_off") + F.row_number().over(w) - 1).cast("long")).drop("_b", "_off")

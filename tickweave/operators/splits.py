@@ -28,9 +28,11 @@ def holdout(df: DataFrame, ratio: float = 0.2, keys=KEYS, out: str = "split") ->
 
 
 def hash_fraction(*cols, seed: int = 42) -> Column:
-    """Repeatable uniform number in [0, 1) from the row key (no RNG state)."""
-    h = F.xxhash64(F.lit(seed), *cols)
-    return F.pmod(h, F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30))
+    """Repeatable uniform number in [0, 1) from the row key (no RNG state): the
+    first 32 bits of the md5 of ``seed|col|col...`` as text, so any SQL engine
+    gives the same split."""
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]).cast("binary"))
+    return F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
 def random_split(df: DataFrame, ratio: float = 0.2, keys=KEYS, ts: str = TS, seed: int = 42, stratify: str | None = None, out: str = "split") -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tickweave.functions.core import epoch_us, rounded
 from tickweave.operators import clean
 from tickweave.operators.bars import dedup_keep_first, regularise, ticks_to_bars
+from tickweave.operators import indicators as ind
+from tickweave.operators.ewm import Ema, ewm_gaps
 from tickweave.operators.indicators import fill_chain
 from tickweave.operators.series import IDX, SEG
 from tickweave.operators.signals import ema_rsi_backtest
@@ -41,6 +43,31 @@ def _bfill_sql(c):
     return f"first_value({c} IGNORE NULLS) OVER ({q.ORDER} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
 
 
+_GAPS = f"""{_GRID_SQL},
+e AS (SELECT *, {q.ema_gaps('close', 2 / 13)} AS ema12, {q.ema_gaps('close', 2 / 27)} AS ema26, {q.ema_gaps('close', 0.4)} AS ema_a,
+  close - {q.lag('close')} AS delta FROM reg),
+s AS (SELECT *, ema12 - ema26 AS macd, {q.ema_gaps('greatest(delta, 0)', 1 / 14).replace('greatest(delta, 0)', 'CASE WHEN delta IS NOT NULL THEN greatest(delta, 0) END')} AS au,
+  {q.ema_gaps('ABC', 1 / 14).replace('ABC', 'CASE WHEN delta IS NOT NULL THEN -least(delta, 0) END')} AS ad FROM e),
+m AS (SELECT *, {q.ema_gaps('macd', 0.2)} AS macd_signal FROM s)"""
+
+
+@query("c9_ema_gaps", with_bars(f"{_GAPS}\nSELECT {KEYS_SQL}, {q.r('ema12', 'ema12')}, {q.r('ema_a', 'ema_a')} FROM m"))
+def c9_ema_gaps(spark, sf):
+    """EMAs on the unfilled grid (missing closes), two spans in one pass."""
+    return out(ewm_gaps(reg_bars(spark, sf), [Ema.span("ema12", "close", 12), Ema("ema_a", "close", 0.4)]), ["ema12", "ema_a"])
+
+
+@query("c11_macd_gaps", with_bars(f"{_GAPS}\nSELECT {KEYS_SQL}, {q.r('macd', 'macd')}, {q.r('macd_signal', 'macd_signal')} FROM m"))
+def c11_macd_gaps(spark, sf):
+    return out(ind.macd(reg_bars(spark, sf), gaps=True), ["macd", "macd_signal"])
+
+
+@query("c12_rsi_gaps", with_bars(f"""{_GAPS}
+SELECT {KEYS_SQL}, {q.r("coalesce(100.0 - 100.0 / (1.0 + au / NULLIF(ad, 0)), 50.0)", "rsi14")} FROM m"""))
+def c12_rsi_gaps(spark, sf):
+    return out(ind.rsi_wilder(reg_bars(spark, sf), gaps=True), ["rsi14"])
+
+
 @query("b6_ffill", with_bars(f"{_GRID_SQL}\nSELECT {KEYS_SQL}, " + ", ".join(q.r(_ffill_sql(c), c) for c in VALS) + " FROM reg"))
 def b6_ffill(spark, sf):
     return out(clean.ffill(reg_bars(spark, sf), VALS), VALS)

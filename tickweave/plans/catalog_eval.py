@@ -11,7 +11,7 @@ from tickweave.operators import metrics as met
 from tickweave.operators import quality as qual
 from tickweave.operators import signals as sig
 from tickweave.operators import splits as spl
-from tickweave.operators.bars import latest_per_series
+from tickweave.operators.bars import latest_per_series, regularise
 from tickweave.operators.clean import union_all
 from tickweave.operators.indicators import indicators, lags, atr
 from tickweave.plans import sqlbits as q
@@ -45,22 +45,22 @@ def d3_binary_target(spark, sf):
     return out(lab.binary_target(event_bars(spark, sf), 5, 0.0), [*PRICE_COLS, "future_return"], ["target"])
 
 
-_D4_BARS = f"WITH {bars_cte('15m', 'b15')}, {bars_cte('1h', 'b60')},\nbars AS (SELECT * FROM b15 UNION ALL SELECT * FROM b60),"
+_D4_BARS = f"WITH {bars_cte('15m', 'b15')}, {bars_cte('1h', 'b60')}, {bars_cte('4h', 'b240')},\nbars AS (SELECT * FROM b15 UNION ALL SELECT * FROM b60 UNION ALL SELECT * FROM b240),"
 _D4_SQL = f"""{_D4_BARS}
 f AS (SELECT *, CASE timeframe WHEN '15m' THEN {q.lead('close', 4)} / NULLIF(close, 0) - 1.0
-                               WHEN '1h' THEN {q.lead('close', 4)} / NULLIF(close, 0) - 1.0 END AS fr,
-                CASE timeframe WHEN '15m' THEN 0.0015 WHEN '1h' THEN 0.003 END AS thr FROM bars),
+                               ELSE {q.lead('close', 4)} / NULLIF(close, 0) - 1.0 END AS fr,
+                CASE timeframe WHEN '15m' THEN 0.0015 ELSE 0.003 END AS thr FROM bars),
 l AS (SELECT *, CASE WHEN fr > thr THEN 1 WHEN fr < -thr THEN -1 ELSE 0 END AS label FROM f)"""
 
 
 def _d4(spark, sf):
-    b = union_all([event_bars(spark, sf, "15m"), event_bars(spark, sf, "1h")])
+    b = union_all([event_bars(spark, sf, tf) for tf in ("15m", "1h", "4h")])
     return lab.ternary_label(b)
 
 
 @query("d4_ternary_label", f"{_D4_SQL}\nSELECT {KEYS_SQL}, label FROM l")
 def d4_ternary_label(spark, sf):
-    """15m and 1h bars in one job; each timeframe gets its own horizon and threshold."""
+    """15m, 1h and 4h bars in one job; 15m and 1h have settings of their own, 4h takes the default."""
     return _d4(spark, sf).select(*KEYS, TS, "label")
 
 
@@ -120,7 +120,17 @@ def f4_time_series_folds(spark, sf):
     return spl.time_series_folds(event_bars(spark, sf), 5).select(*KEYS, TS, "fold", "role")
 
 
-@query("f2_random_split")
+_U_SQL = "CAST('0x' || substr(md5('42|' || symbol || '|' || timeframe || '|' || CAST(timestamp AS VARCHAR)), 1, 8) AS BIGINT) / CAST(4294967296 AS DOUBLE)"
+
+
+@query(
+    "f2_random_split",
+    f"""{_D4_SQL},
+u AS (SELECT *, {_U_SQL} AS u FROM l),
+k AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY u, symbol, timeframe, timestamp) - 1 AS rk, count(*) OVER (PARTITION BY label) AS n FROM u)
+SELECT {KEYS_SQL}, label, CASE WHEN u < CAST(0.2 AS DOUBLE) THEN 'test' ELSE 'train' END AS split,
+  CASE WHEN rk < ceil(n * CAST(0.2 AS DOUBLE)) THEN 'test' ELSE 'train' END AS split_stratified FROM k""",
+)
 def f2_random_split(spark, sf):
     """Repeatable hash split (20 % test) and a stratified one on the D4 label."""
     d = spl.random_split(_d4(spark, sf), 0.2, out="split")
@@ -335,6 +345,54 @@ def g4_confusion_matrix(spark, sf):
     return met.confusion(scored(spark, sf), by=KEYS)
 
 
+@query(
+    "g4_confusion_other_class",
+    with_bars(f"""{_SCORE_SQL},
+x AS (SELECT symbol, timeframe, y, CASE WHEN signal = 'NoSignal' THEN 2 ELSE pred END AS p FROM ev),
+sq AS (SELECT DISTINCT x.symbol, x.timeframe, c.y FROM x, (VALUES (0), (1), (2)) c(y))
+SELECT sq.symbol, sq.timeframe, sq.y, count(*) FILTER (WHERE p = 0) AS "0", count(*) FILTER (WHERE p = 1) AS "1", count(*) FILTER (WHERE p = 2) AS "2"
+FROM sq LEFT JOIN x ON x.symbol = sq.symbol AND x.timeframe = sq.timeframe AND x.y = sq.y GROUP BY 1, 2, 3"""),
+)
+def g4_confusion_other_class(spark, sf):
+    """Predictions of a class that never occurs keep their column, and the class its row."""
+    d = scored(spark, sf).withColumn("pred", F.when(F.col("signal") == "NoSignal", 2).otherwise(F.col("pred")))
+    return met.confusion(d, by=KEYS)
+
+
+@query(
+    "g6_pr_curve",
+    with_bars(f"""{_SCORE_SQL},
+t AS (SELECT symbol, timeframe, score * 7 - 3 AS score, sum(y) AS pos, sum(1 - y) AS neg FROM ev GROUP BY 1, 2, 3),
+c AS (SELECT *, sum(pos) OVER (PARTITION BY symbol, timeframe ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+               sum(neg) OVER (PARTITION BY symbol, timeframe ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp,
+               sum(pos) OVER (PARTITION BY symbol, timeframe) AS P FROM t)
+SELECT symbol, timeframe, round(score, 6) + 0.0 AS threshold, round(coalesce(tp / NULLIF(tp + fp, 0), 0.0), 6) + 0.0 AS precision, round(coalesce(tp / NULLIF(P, 0), 0.0), 6) + 0.0 AS recall FROM c"""),
+)
+def g6_pr_curve(spark, sf):
+    """The whole precision-recall curve, over scores outside [0, 1]."""
+    d = met.pr_curve(scored(spark, sf).withColumn("score", F.col("score") * 7 - 3), by=KEYS)
+    return d.select(*KEYS, *[rounded(c).alias(c) for c in ("threshold", "precision", "recall")])
+
+
+@query(
+    "g10_strict_leakage_found",
+    with_bars(f"""lf AS (SELECT *, {q.lead('close')} AS fc FROM bars),
+agg AS (SELECT symbol, timeframe, corr(2 * fc + 1, fc) AS leaky, corr(volume, fc) AS volume FROM lf WHERE fc IS NOT NULL GROUP BY 1, 2),
+lng AS (UNPIVOT agg ON leaky, volume INTO NAME feature VALUE corr)
+SELECT symbol, timeframe, feature, round(corr, 6) + 0.0 AS corr FROM lng WHERE abs(corr) > 0.9"""),
+)
+def g10_strict_leakage_found(spark, sf):
+    """A feature made of the next close is found; the volume is not."""
+    d = indicators(event_bars(spark, sf), next_close=True).withColumn("leaky", 2 * F.col("future_close") + 1)
+    return qual.strict_leakage(d, ["leaky", "volume"]).select(*KEYS, "feature", rounded("corr").alias("corr"))
+
+
+@query("b5_regularise_other_timeframe", f"WITH {bars_cte('1h', 'b60')}\nSELECT {KEYS_SQL.replace('timeframe', chr(39) + '2h' + chr(39) + ' AS timeframe')}, " + ", ".join(q.r(c, c) for c in PRICE_COLS) + " FROM b60")
+def b5_regularise_other_timeframe(spark, sf):
+    """Series of a timeframe without a known length keep their bars."""
+    return out(regularise(event_bars(spark, sf).withColumn("timeframe", F.concat(F.lit("2"), F.substring("timeframe", 2, 1)))), PRICE_COLS)
+
+
 _AUC_SQL = f"""{_SCORE_SQL},
 t AS (SELECT symbol, timeframe, score, sum(y) AS pos, sum(1 - y) AS neg FROM ev GROUP BY 1, 2, 3),
 c AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY symbol, timeframe ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM t)"""

@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.functions.core import rounded
+from tickweave.functions.core import epoch_us, rounded
 from tickweave.operators import labels as lab
 from tickweave.operators import ml
 from tickweave.operators.indicators import indicators
@@ -131,9 +131,10 @@ def s6_online_learning(spark, sf):
     d = lab.next_bar_up(d, out="target", last_row="drop").drop("_i")
     ensure_checkpoint_dir(spark)
     d = d.checkpoint(eager=True)  # reliable checkpoint: the ten landings reuse it
-    day = F.dayofmonth(TS)
-    for k in range(10):  # ten landings of three days each (fixture writes, not the operator)
-        d.filter((day > 3 * k) & (day <= 3 * k + 3)).coalesce(1).write.mode("append").parquet(root + "/landing")
+    t0, t1 = d.agg(F.min(epoch_us(d, TS)), F.max(epoch_us(d, TS))).first()
+    part = F.floor((epoch_us(d, TS) - F.lit(t0)) * F.lit(10) / F.lit((t1 or 0) - (t0 or 0) + 1))
+    for k in range(10):  # ten landings, equal ranges of the whole time span (fixture writes, not the operator)
+        d.filter(part == k).coalesce(1).write.mode("append").parquet(root + "/landing")
     feed = sb.file_feed(spark, root + "/landing", d.schema, files_per_batch=1)
     learner = OnlineLogisticBag(spark, feats, "target", [*KEYS, TS], root + "/predictions", root + "/state")
     q_ = feed.writeStream.foreachBatch(learner.process).option("checkpointLocation", root + "/_ckpt").trigger(availableNow=True).start()

@@ -26,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def event_bars(spark: SparkSession, sf_dir: str, timeframe: str = "1h") -> DataFrame:
     ev = table(spark, sf_dir, "events").select(F.col("event_type").alias("symbol"), "ts", "value")
-    return ticks_to_bars(ev, timeframe, symbol="symbol", ts="ts", price="value")
+    return ticks_to_bars(ev, timeframe, symbol="symbol", ts="ts", price="value", order="ts")  # event times are unique
 
 
 def lineitem_bars(spark: SparkSession, sf_dir: str, timeframe: str = "1d") -> DataFrame:

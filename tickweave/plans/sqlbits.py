@@ -51,3 +51,13 @@ def div(a: str, b: str) -> str:
 
 def r(x: str, name: str, digits: int = 6) -> str:
     return f"round(CAST({x} AS DOUBLE), {digits}) + 0.0 AS {name}"
+
+
+def ema_gaps(x: str, alpha: float) -> str:
+    """Plain recursion with pandas' weights over nulls: state (value, weight of the old value)."""
+    lam, a = d(1.0 - alpha), d(alpha)
+    step = (
+        "lambda s, e: CASE WHEN e.v IS NULL THEN {'v': s.v, 'w': s.w * " + lam + "} WHEN s.v IS NULL THEN e "
+        "ELSE {'v': (s.w * " + lam + " * s.v + " + a + " * e.v) / (s.w * " + lam + " + " + a + "), 'w': CAST(1.0 AS DOUBLE)} END"
+    )
+    return f"list_reduce(list({{'v': CAST({x} AS DOUBLE), 'w': CAST(1.0 AS DOUBLE)}}) OVER {frame()}, {step}).v"

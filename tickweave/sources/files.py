@@ -27,7 +27,7 @@ _RAW_OHLCV = T.StructType(
 def parse_time_text(c: Column) -> Column:
     """Naive text (UTC wall clock) or text with a zone offset to ``timestamp_ntz`` UTC."""
     has_zone = c.rlike(r"(Z|[+-]\d\d:?\d\d)$")
-    instant = F.coalesce(F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ssXXX")), F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")))
+    instant = c.try_cast("timestamp")  # the offset in the text fixes the instant, with or without a fraction
     naive = c.try_cast("timestamp_ntz")  # wall clock as written, no session zone
     return F.when(has_zone, from_epoch_us(F.unix_micros(instant))).otherwise(naive)
 
@@ -160,13 +160,14 @@ TRADE_SCHEMA = T.StructType(
 )
 
 
-def read_trade_fills(spark: SparkSession, path: str) -> DataFrame:
+def read_trade_fills(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """A10: trade log CSV whose ``info`` column is quoted JSON; one row per fill.
 
-    CSV options: header, ``"`` quote and escape (JSON quotes are doubled),
-    multi-line values allowed.
+    CSV options: header, ``"`` quote and escape (JSON quotes are doubled).
+    ``multi_line`` allows line breaks inside values, at the price of one task
+    a file.
     """
-    raw = spark.read.schema(TRADE_SCHEMA).option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
+    raw = spark.read.schema(TRADE_SCHEMA).option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line).csv(path)
     info = raw.withColumn("info", F.from_json("info", INFO_SCHEMA))
     fills = info.select("symbol", "id", "side", F.explode("info.fills").alias("f"))
     return fills.select(

@@ -21,6 +21,7 @@ import json
 import math
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +29,18 @@ from pyspark.sql import functions as F
 from tickweave.operators.ml import p_up
 from tickweave.operators.splits import hash_fraction
 
-# Cumulative Poisson(1) probabilities for k = 0..5.
-_POISSON1_CDF = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183)
+def _poisson1_cdf() -> list[float]:
+    """Cumulative Poisson(1) probabilities for k = 0, 1, ... up to where a double reads 1."""
+    out, term, total, k = [], math.exp(-1.0), 0.0, 0
+    while total + term > total:
+        total += term
+        out.append(total)
+        k += 1
+        term /= k
+    return out
+
+
+_POISSON1_CDF = _poisson1_cdf()
 
 
 def stream_score(model: PipelineModel, stream: DataFrame, keep: Sequence[str], high: float = 0.6, low: float = 0.4) -> DataFrame:
@@ -43,8 +54,8 @@ def stream_score(model: PipelineModel, stream: DataFrame, keep: Sequence[str], h
 
 
 def poisson1(u: Column) -> Column:
-    """Poisson(1) draw from a uniform number (inverse CDF, capped at 6)."""
-    k = F.lit(6)
+    """Poisson(1) draw from a uniform number (inverse CDF, as far as doubles reach)."""
+    k = F.lit(len(_POISSON1_CDF))
     for i in reversed(range(len(_POISSON1_CDF))):
         k = F.when(u < F.lit(_POISSON1_CDF[i]), F.lit(i)).otherwise(k)
     return k
@@ -70,12 +81,15 @@ class OnlineLogisticBag:
         """Resume from the last saved state (a restarted query replays from its
         checkpoint; epochs already learned are skipped)."""
         try:
-            row = self.spark.read.text(self.state_path).first()
-        except Exception:  # noqa: BLE001 - no state written yet
-            return
+            rows = self.spark.read.schema("value string, epoch long").option("recursiveFileLookup", False).text(self.state_path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return  # no state written yet
+        row = rows.orderBy(F.desc("epoch")).first()  # a folder per epoch; files show once they are whole
         if row is None:
             return
-        st = json.loads(row[0])
+        st = json.loads(row["value"])
         self.n, self.mean, self.m2, self.w = st["n"], st["mean"], st["m2"], st["w"]
         self.counts, self.last_epoch = st["counts"], st.get("last_epoch", -1)
 
@@ -159,7 +173,7 @@ class OnlineLogisticBag:
 
     def _save(self) -> None:
         state = {"n": self.n, "mean": self.mean, "m2": self.m2, "w": self.w, "counts": self.counts, "last_epoch": self.last_epoch}
-        self.spark.createDataFrame([(json.dumps(state),)], "state string").coalesce(1).write.mode("overwrite").text(self.state_path)
+        self.spark.createDataFrame([(json.dumps(state),)], "state string").coalesce(1).write.mode("overwrite").text(f"{self.state_path}/epoch={self.last_epoch}")
 
     def metrics(self) -> dict:
         c = self.counts
