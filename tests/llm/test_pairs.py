@@ -222,6 +222,40 @@ def test_near_duplicates(spark):
     assert got[(3, 1)] == pytest.approx(len(s & t) / len(s | t))
 
 
+def test_near_duplicates_without_a_near_centre(spark):
+    """The small ids are about 0.72 alike to all others: links between larger ids are found all the same."""
+    r = random.Random(21)
+    base = [f"t{i}" for i in range(400)]
+
+    def edited(words, n, tag):
+        w = list(words)
+        for at in r.sample(range(len(w)), n):
+            w[at] = f"{tag}x{at}"
+        return w
+
+    rows = [(i, " ".join(edited(base, 13, f"a{i}"))) for i in range(60)]
+    for g in range(4):
+        one = edited(base, 13, f"g{g}")
+        rows += [(100 + 10 * g + j, " ".join(edited(one, 1, f"g{g}{j}"))) for j in range(3)]
+    x, y = ([f"{c}{i}" for i in range(120)] for c in "xy")  # two texts of one id
+    rows += [(200, " ".join(x)), (200, " ".join(y)), (201, " ".join(edited(x, 1, "u"))), (202, " ".join(edited(y, 1, "v")))]
+    sets = [(i, set(s.tolist())) for (i, t), s in zip(rows, prints.shingles([t.encode() for _, t in rows]))]
+    alike = [(i, j, len(s & t) / len(s | t)) for k, (j, s) in enumerate(sets) for i, t in sets[k + 1 :]]
+    links = [(i, j) for i, j, v in alike if v >= 0.8]
+    assert max(v for i, j, v in alike if j < 100) < 0.8  # no link to a small id
+    got = prints.near_duplicates(spark.createDataFrame(rows, DOC)).collect()
+    assert {(g["doc_id"], g["like_id"]) for g in got} <= set(links)
+
+    def groups(pairs):
+        of = {i: i for i, _ in rows}
+        for _ in rows:
+            for i, j in pairs:
+                of[i] = of[j] = min(of[i], of[j])
+        return of
+
+    assert groups([(g["doc_id"], g["like_id"]) for g in got]) == groups(links)
+
+
 def test_top_k(spark):
     r = np.random.default_rng(2)
     rows = [(i, [float(x) for x in r.normal(0, 0.15, 16)]) for i in range(400)]

@@ -16,9 +16,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickweave.llm.components import components
 from tickweave.llm.spark import cut, parts, table
 from tickweave.llm.text import U64, chunks, mix, powers, utf8, word_hashes
 
@@ -27,6 +28,8 @@ WIDTH = 5
 _rng = np.random.Generator(np.random.PCG64(4))
 MULTIPLY = (_rng.integers(0, 1 << 31, PERMUTATIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
 ADD = _rng.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32)[:, None]
+SPREAD = 3  # centres of a band besides its smallest id
+CELLS = 64  # cells of a text's shingle counts, for an upper bound of common shingles
 SLICE = 512  # shingles permuted at a time: PERMUTATIONS x SLICE numbers stay in the cache
 
 
@@ -79,27 +82,71 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, fingerprint string, signature array<int>")
 
 
+def band_keys(sigs: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """A 64-bit key of every band of the signatures (a clash only makes one more pair to verify)."""
+    part = sigs[:, : bands * rows].astype(np.uint64).reshape(len(sigs), bands, rows)
+    out = np.tile(np.arange(bands, dtype=np.uint64), (len(sigs), 1))
+    for j in range(rows):
+        out = mix(out + part[:, :, j] + U64(1))
+    return out
+
+
+def cell_counts(hashes: np.ndarray) -> list[int]:
+    """How many of a text's shingles lie in each of ``CELLS`` cells."""
+    return np.bincount((hashes >> U64(58)).astype(np.int64), minlength=CELLS).tolist()
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 25, rows: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, like_id, jaccard``: every document that shares a signature band with the
-    band's smallest id and has a Jaccard similarity of at least ``threshold`` with it.
+    """``doc_id, like_id, jaccard``: links (like_id is the smaller id) of a Jaccard similarity
+    of at least ``threshold`` that connect whatever the links between all texts that
+    share a signature band connect.
 
     Equal texts are collapsed first (each copy is linked to the smallest id with
     its text, Jaccard 1), so a group of copies makes one signature.  Within a band
-    the members are compared with its smallest id only: the rows grow with the
-    documents, never with the square of a group.  With 25 bands of 5 rows a pair
-    of similarity 0.8 shares a band with probability 0.99995.  Rows with null ids
-    and texts without words are linked with nothing.
+    the members are first verified against a few centres (the smallest id and
+    ``SPREAD`` others); then all members that are still in different components,
+    unless their shingle counts, in all or by cell, rule a link out.  So a text that
+    has a partner in a band has a link, while pairs in one component, which the
+    squares of large groups are made of, are left alone.  With 25 bands of 5 rows a pair of
+    similarity 0.8 shares a band with probability 0.99995.  Different texts of one
+    id are texts of their own (linked with each other, both ids are the same).
+    Rows with null ids and texts without words are linked with nothing.
     """
-    d = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text")).where("_id is not null").withColumn("_h", F.sha2("_text", 256))
-    own = d.groupBy("_h").agg(F.min("_id").alias("_rep"))
-    copies = d.where(F.length(F.regexp_replace("_text", r"[\x20\x09-\x0D]+", "")) > 0).select("_id", "_h").distinct().join(own, "_h").where("_id <> _rep").select(F.col("_id"), F.col("_rep").alias("_like"), F.lit(1.0).alias("jaccard"))
-    reps = cut(d.join(own, "_h").where("_id = _rep").select("_id", "_text").dropDuplicates(["_id"]), "fingerprint-texts")
-    sig = fingerprints(reps, "_id", "_text").where(F.exists("signature", lambda x: x != -1))
-    key = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(F.slice("signature", i * rows + 1, F.lit(rows)))))
-    band = cut(sig.select("_id", key.alias("_b", "_k")), "fingerprint-bands")
-    first = band.groupBy("_b", "_k").agg(F.min("_id").alias("_like"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    pairs = band.join(first, ["_b", "_k"]).where("_id <> _like").select("_id", "_like").distinct()
-    both = pairs.join(reps, "_id").join(reps.select(F.col("_id").alias("_like"), F.col("_text").alias("_other")), "_like")
+    d = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text")).where("_id is not null")
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = utf8(b.column(1))
+            for lo, hi in chunks(texts):
+                sets = [np.unique(s) for s in shingles(texts[lo:hi])]
+                used = [i for i, s in enumerate(sets) if len(s)]
+                if used:
+                    keys = band_keys(np.stack([signature(sets[i]) for i in used]), bands, rows).view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            b.column(0).take(pa.array([lo + i for i in used], pa.int64())),
+                            pa.array([hashlib.sha256(texts[lo + i]).digest() for i in used], pa.binary()),
+                            pa.array(list(keys), pa.list_(pa.int64())),
+                            pa.array([len(sets[i]) for i in used], pa.int32()),
+                            pa.array([cell_counts(sets[i]) for i in used], pa.list_(pa.int32())),
+                        ],
+                        names=["_id", "_h", "_keys", "_size", "_cells"],
+                    )
+
+    described = cut(d.mapInArrow(describe, f"_id {kind}, _h binary, _keys array<long>, _size int, _cells array<int>"), "fingerprint-texts")
+    own = described.groupBy("_h").agg(F.min("_id").alias("_id"), *[F.first(c).alias(c) for c in ("_keys", "_size", "_cells")])
+    sig = cut(own.withColumn("_n", F.monotonically_increasing_id()), "fingerprint-signatures")  # written once, so a text keeps its number
+    copies = described.select("_id", "_h").distinct().join(sig.select("_h", F.col("_id").alias("_like")), "_h").where("_id <> _like").select("_id", "_like", F.lit(1.0).alias("jaccard"))
+    band = sig.select("_n", F.explode("_keys").alias("_k"))
+    several = band.groupBy("_k").agg(F.count("*").alias("_c")).where("_c > 1").select("_k")
+    met = cut(band.join(several, "_k").join(sig.select("_n", "_id", F.xxhash64("_h").alias("_t")), "_n"), "fingerprint-bands")  # members of bands with several
+    centre = [F.min(F.struct("_id", "_t", "_n"))["_n"], *[F.min(F.struct(F.xxhash64("_t", "_k", F.lit(j)), F.col("_n")))["_n"] for j in range(SPREAD)]]
+    centres = met.groupBy("_k").agg(F.array_distinct(F.array(*centre)).alias("_m"))
+    stars = cut(met.join(centres, "_k").select("_n", F.explode("_m").alias("_m")).where("_n <> _m").select(F.greatest("_n", "_m").alias("a"), F.least("_n", "_m").alias("b")).distinct(), "fingerprint-stars")
+    wanted = met.select("_n").distinct().join(sig.select("_n", "_id", "_h"), "_n")
+    texts = d.hint("merge").join(wanted.select("_n", "_id", "_h"), "_id").where(F.unhex(F.sha2("_text", 256)) == F.col("_h")).select("_n", "_text")
+    reps = cut(texts.dropDuplicates(["_n"]), "fingerprint-met-texts")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -109,10 +156,35 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 25, ro
                 s, t = (np.unique(v) for v in shingles([x, y]))
                 common = len(np.intersect1d(s, t, assume_unique=True))
                 got.append(common / (len(s) + len(t) - common))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.float64())], names=["_id", "_like", "jaccard"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    found = both.select("_id", "_like", "_text", "_other").mapInArrow(verify, f"_id {kind}, _like {kind}, jaccard double").where(F.col("jaccard") >= threshold)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.float64())], names=["a", "b", "jaccard"])
+
+    def possible(left: str, right: str, common) -> Column:
+        """No link is ruled out by this upper bound of the common shingles (with room for rounding)."""
+        return common >= (threshold - 1e-9) * (F.col(left) + F.col(right) - common)
+
+    def by_cell(left: str, right: str) -> Column:
+        return F.aggregate(F.zip_with(left, right, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        one = reps.select(F.col("_n").alias("a"), F.col("_text").alias("x")).hint("merge")
+        two = reps.select(F.col("_n").alias("b"), F.col("_text").alias("y")).hint("merge")
+        return cut(pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long, jaccard double").where(F.col("jaccard") >= threshold), name)
+
+    size = sig.select("_n", "_size", "_cells")
+    sizes = [size.toDF(c, f"_size_{c}", f"_cells_{c}") for c in "ab"]
+    may = possible("_size_a", "_size_b", F.least("_size_a", "_size_b")) & possible("_size_a", "_size_b", by_cell("_cells_a", "_cells_b"))
+    first = verified(stars.join(sizes[0], "a").join(sizes[1], "b").where(may).select("a", "b"), "fingerprint-first")
+    placed = met.join(components(first).withColumnRenamed("id", "_n"), "_n", "left").select("_k", "_n", F.coalesce("component", "_n").alias("_c"))
+    mixed = placed.groupBy("_k").agg(F.min("_c").alias("lo"), F.max("_c").alias("hi")).where("lo <> hi").select("_k")
+    left = cut(placed.join(mixed, "_k").join(size, "_n"), "fingerprint-open")
+    other = left.toDF(*[f"{c}_b" for c in left.columns])
+    meet = (F.col("_k") == F.col("_k_b")) & (F.col("_n") > F.col("_n_b")) & (F.col("_c") != F.col("_c_b"))
+    meet &= possible("_size", "_size_b", F.least("_size", "_size_b")) & possible("_size", "_size_b", by_cell("_cells", "_cells_b"))
+    apart = left.join(other, meet).select(F.col("_n").alias("a"), F.col("_n_b").alias("b")).distinct()
+    second = verified(apart.join(stars, ["a", "b"], "left_anti"), "fingerprint-second")
+    ids = sig.select("_n", "_id")
+    named = first.unionByName(second).join(ids.toDF("a", "u"), "a").join(ids.toDF("b", "v"), "b")
+    found = named.select(F.greatest("u", "v").alias("_id"), F.least("u", "v").alias("_like"), "jaccard")
     return copies.unionByName(found).select(F.col("_id").alias(id_col), F.col("_like").alias("like_id"), "jaccard")
 
 
