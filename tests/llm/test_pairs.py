@@ -256,6 +256,14 @@ def test_near_duplicates_without_a_near_centre(spark):
     assert groups([(g["doc_id"], g["like_id"]) for g in got]) == groups(links)
 
 
+def test_fingerprints_query_tells_classes(spark, tmp_path):
+    base = [" ".join(f"{c}{i}" for i in range(120)) for c in "ab"]
+    rows = [(4, base[0]), (2, base[1]), (9, base[0].replace("a60 ", "zz ")), (5, base[0]), (6, ""), (None, base[0])]
+    spark.createDataFrame(rows, DOC).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {x["doc_id"]: (x["class_id"], x["n_links"]) for x in prints.op4_fingerprints(spark, str(tmp_path)).collect()}
+    assert got == {4: (4, 2), 2: (2, 0), 9: (4, 1), 5: (4, 1), 6: (6, 0), None: (None, 0)}
+
+
 def test_top_k(spark):
     r = np.random.default_rng(2)
     rows = [(i, [float(x) for x in r.normal(0, 0.15, 16)]) for i in range(400)]

@@ -272,5 +272,16 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return out.withColumn(id_col, F.col(id_col).cast(kind))
 
 
+def with_classes(prints: DataFrame, links: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``prints`` with ``class_id`` (the smallest id that ``links`` lead to, the own one
+    included) and ``n_links`` (the links that the id stands in); a null id has no class."""
+    ends = links.select(F.explode(F.array_distinct(F.array(id_col, "like_id"))).alias(id_col)).groupBy(id_col).agg(F.count("*").alias("_links"))
+    classes = components(links, id_col, "like_id").withColumnRenamed("id", id_col)
+    told = ends.join(classes, id_col, "left").withColumnRenamed("component", "_class")
+    out = prints.join(told, id_col, "left")
+    return out.select(*prints.columns, F.coalesce("_class", id_col).alias("class_id"), F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edited_fingerprints(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return with_classes(edited_fingerprints(docs), cut(near_duplicates(docs), "fingerprint-links"))
