@@ -119,3 +119,17 @@ def test_macd_signal_in_one_stage(spark, seg):
     s = pd.Series(x)
     sig = (s.ewm(span=12, adjust=False).mean() - s.ewm(span=26, adjust=False).mean()).ewm(span=9, adjust=False).mean()
     np.testing.assert_allclose(out["sig"].to_numpy(), sig.to_numpy(), rtol=1e-9, atol=1e-11)
+
+
+@pytest.mark.parametrize("alpha", [1.0, 0.9, 0.4])
+def test_gap_longer_than_the_carry_window(spark, alpha):
+    """More null blocks than the carry reaches back over keep the average (not 0)."""
+    from tickweave.operators.ewm import ewm_gaps
+
+    rng = np.random.default_rng(3)
+    x = [None] * 9 + [float(v) for v in 100 + rng.normal(size=30)] + [None] * 900 + [float(v) for v in 50 + rng.normal(size=20)] + [None] * 3
+    d = index_rows(bars_df(spark, x))
+    out = ewm_gaps(d, [Ema("e", "close", alpha), Ema("f", "high", 0.9)], seg_rows=4).orderBy("_i").toPandas()
+    for name, a in (("e", alpha), ("f", 0.9)):
+        want = pd.Series(x, dtype=float).ewm(alpha=a, adjust=False).mean().to_numpy()
+        np.testing.assert_allclose(out[name].to_numpy(dtype=float), want, rtol=1e-9)

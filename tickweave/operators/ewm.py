@@ -118,8 +118,9 @@ def ewm_gaps(df: DataFrame, specs: Sequence[Ema], keys=KEYS, seg_rows: int | Non
     ``a``, both divided by their sum, so each value has its own decay
     ``A = lam^d / (lam^d + a)`` (1 on null rows, which keep the average).  The
     recursion ``y = A y' + (1 - A) x`` runs in blocks of rows: prefix products
-    and sums inside a block, one row per block carried over the earlier blocks
-    (as many as can still matter at double precision).  The last value before a
+    and sums inside a block, one row per block carried over the earlier blocks that
+    hold values (as many as can still matter at double precision); a block of
+    nulls alone keeps the average, however many follow each other.  The last value before a
     block comes from a running maximum over the same small block table.
     """
     keys = keys_of(keys)
@@ -146,11 +147,15 @@ def ewm_gaps(df: DataFrame, specs: Sequence[Ema], keys=KEYS, seg_rows: int | Non
         gain[f"_y{k}"] = F.col(f"_p{k}") * F.sum(new * F.coalesce(f"_x{k}", F.lit(0.0)) / F.col(f"_p{k}")).over(upto)
         final[s.out] = F.when(value | ~first, F.col(f"_y{k}") + F.col(f"_p{k}") * F.col(f"_c{k}"))
     d = d.withColumns(decay).withColumns(gain)
-    ends = d.groupBy(*keys, "_g").agg(*[F.max_by(f"_{v}{k}", IDX).alias(f"_{v}e{k}") for k in range(len(specs)) for v in "py"])
-    carried = []
+    ends = d.groupBy(*keys, "_g").agg(*[F.max_by(f"_{v}{k}", IDX).alias(f"_{v}e{k}") for k in range(len(specs)) for v in "py"], *[F.count(f"_x{k}").alias(f"_h{k}") for k in range(len(specs))])
+    closing, carried = {}, []
     for k, s in enumerate(specs):
+        # Blocks of nulls alone fade nothing: the window counts blocks with a value, each of which decays by lam at least.
         depth = max(1, math.ceil(40.0 / -math.log10(1.0 - s.alpha))) if s.alpha < 1 else 1
-        past = F.collect_list(F.struct(F.col(f"_pe{k}").alias("p"), F.col(f"_ye{k}").alias("y"))).over(earlier.rowsBetween(-depth, -1))
-        carried.append(F.aggregate(past, F.lit(0.0), lambda acc, e: acc * e["p"] + e["y"]).alias(f"_c{k}"))
+        valued = Window.partitionBy(*keys, F.col(f"_h{k}") > 0).orderBy("_g").rowsBetween(-depth, 0)
+        past = F.collect_list(F.struct(F.col(f"_pe{k}").alias("p"), F.col(f"_ye{k}").alias("y"))).over(valued)
+        closing[f"_f{k}"] = F.when(F.col(f"_h{k}") > 0, F.aggregate(past, F.lit(0.0), lambda acc, e: acc * e["p"] + e["y"]))
+        carried.append(F.coalesce(F.last(f"_f{k}", ignorenulls=True).over(earlier.rowsBetween(UNB_PREC, -1)), F.lit(0.0)).alias(f"_c{k}"))
+    ends = ends.withColumns(closing)
     d = d.join(ends.select(*keys, "_g", *carried), [*keys, "_g"], "left").withColumns(final)
     return d.drop("_g", *[f"_{v}{k}" for k in range(len(specs)) for v in "xsbpyc"])
