@@ -181,6 +181,34 @@ def test_toxicity_learns_and_nearest_is_exact(spark):
         assert np.allclose(cos, full[want][: len(cos)]) and (len(cos) == tox.NEIGHBOURS or (full > 0).sum() == len(cos))
 
 
+def test_toxicity_kind_with_few_labels(spark):
+    """Words that stand in a handful of labelled toxic rows are evidence too."""
+    r = random.Random(12)
+    plain = [f"word{i}" for i in range(400)]
+    kinds = [([f"grub{c}" for c in "abcdef"], 40), ([f"zyxo{c}" for c in "abcdef"], 6)]
+    rows, labels = [], []
+
+    def add(extra, label):
+        rows.append((len(rows), " ".join(r.sample(plain, 20) + r.sample(extra, min(5, len(extra))))))
+        if label is not None:
+            labels.append((rows[-1][0], label))
+
+    for words, n in kinds:
+        for _ in range(n):
+            add(words, 1)
+    for _ in range(150):
+        add([], 0)
+    first = len(rows)
+    for _ in range(10):
+        add(kinds[1][0], None)
+        add([], None)
+    out = tox.toxicity(spark.createDataFrame(rows, DOC), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = dict(out.select("doc_id", "predicted").collect())
+    assert [got[i] for i in range(first, len(rows))] == [1, 0] * 10
+    index = tox.fit(spark.createDataFrame(rows, DOC), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert {"zyxoa", "#^zyx", "word"} <= set(index.vocabulary)
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], DOC)
     got = tox.toxicity(docs, spark.createDataFrame([], "doc_id long, toxic int")).collect()

@@ -2,10 +2,14 @@
 
 A bounded sample of labelled documents (``MAX_TOXIC`` + ``MAX_CLEAN`` rows by
 hash order, the documented bound) becomes an inverted index of TF-IDF vectors
-over words and character 4-grams that differ between the labels.  Postings lie
-in blocks of examples with a maximum weight per (block, term); a document's
-exact nearest examples by cosine are found by visiting blocks in order of
-their upper bound until no block can hold a better one.  Distance-weighted
+over all their words and character 4-grams, each term's weight multiplied by its
+squared association with the labels (plain weights let the subject of a text
+decide; no term is left out).  The ``DENSE`` most frequent terms,
+which have most of the postings, lie in a matrix of examples x terms; the others'
+postings in blocks of examples with a maximum weight per (block, term).  A
+document's exact nearest examples by cosine are found by visiting blocks in
+order of their upper bound (matrix part and maxima) until no block can hold a
+better one.  Distance-weighted
 votes are calibrated (isotonic, leave-one-out on the sample) into a score; the
 nearest examples are the evidence.
 """
@@ -19,16 +23,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.llm.spark import crc_mod, cut, table
 
 MAX_TOXIC, MAX_CLEAN = 1500, 3000  # bound of the labelled sample
-MAX_TERMS = 512  # bound of the index vocabulary (strongest label association first)
-MIN_Z = 5.0  # least association of a term with a label, in standard deviations
+DENSE = 2048  # most frequent terms, kept as a matrix
+FLOOR = 0.01  # least weight factor of a term, however little it is associated with a label
 NEIGHBOURS = 15
-BLOCK = 256
+BLOCK = 512
+TOGETHER = 64  # documents multiplied with the matrix at a time
+ROUNDING = 1e-5  # of weights and cosines (32 bits)
 MEMO_WORDS = 500_000
 THRESHOLD = 0.7
 
@@ -48,19 +55,25 @@ class Terms(dict):
         super().__init__()
         self.vocabulary = vocabulary
 
-    def __missing__(self, token: str) -> tuple[int, ...]:
+    def __missing__(self, token: str) -> np.ndarray:
         if len(self) >= MEMO_WORDS:
             self.clear()
         v = self.vocabulary
-        out = tuple(v[t] for word in WORDS.findall(token) for t in word_terms(word) if t in v)
+        out = np.array([v[t] for word in WORDS.findall(token) for t in word_terms(word) if t in v], dtype=np.int32)
         self[token] = out
         return out
 
+    def found(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The terms of a text, ascending, and how often each stands in it."""
+        ids = [*map(self.__getitem__, text.lower().split())]
+        if not ids:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        all_ids = np.sort(np.concatenate(ids))
+        first = np.flatnonzero(np.diff(all_ids, prepend=-1))
+        return all_ids[first].astype(np.int64), np.diff(np.append(first, len(all_ids)))
+
     def counts(self, text: str) -> Counter:
-        out: Counter[int] = Counter()
-        for ids in filter(None, map(self.__getitem__, text.lower().split())):
-            out.update(ids)
-        return out
+        return Counter(dict(zip(*(x.tolist() for x in self.found(text)))))
 
 
 @dataclass
@@ -76,30 +89,50 @@ class Index:
     weight: np.ndarray
     ptr: np.ndarray
     block_max: np.ndarray
+    dense: np.ndarray
     prior: float
     curve: tuple[np.ndarray, np.ndarray] = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        terms = np.fromiter(sorted(counts), dtype=np.int64, count=len(counts))
-        w = (1.0 + np.log([counts[t] for t in terms.tolist()])) * self.idf[terms] if len(terms) else np.zeros(0)
+        terms = np.fromiter(counts.keys(), dtype=np.int64, count=len(counts))
+        order = np.argsort(terms)
+        n = np.fromiter(counts.values(), dtype=np.float64, count=len(counts))[order]
+        return self.weighted(terms[order], n)
+
+    def weighted(self, terms: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1.0 + np.log(n)) * self.idf[terms]
         norm = np.sqrt((w * w).sum())
         return terms, w / norm if norm else w
 
-    def nearest(self, terms: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` examples of highest positive cosine (ties to the earlier example), exactly."""
+    def frequent(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The part of every example's cosine that the matrix terms make, for each vector."""
+        q = np.zeros((len(vectors), self.dense.shape[1]), dtype=np.float32)
+        for i, (terms, w) in enumerate(vectors):
+            n = np.searchsorted(terms, q.shape[1])
+            q[i, terms[:n]] = w[:n]
+        return q @ self.dense.T
+
+    def nearest(self, terms: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int = -1, base: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ``k`` examples of highest positive cosine (ties to the earlier example), exactly
+        up to rounding.  ``base``: what ``frequent`` gives for this vector."""
         best, score = np.zeros(0, dtype=np.int64), np.zeros(0)
         if not len(terms) or not len(self.ids):
             return best, score
-        bound = self.block_max[:, terms] @ w
+        base = self.frequent([(terms, w)])[0] if base is None else base
+        n = np.searchsorted(terms, self.dense.shape[1])
+        terms, w = terms[n:], w[n:]
         size = self.block_max.shape[1]
+        bound = np.maximum.reduceat(base, np.arange(0, len(self.ids), BLOCK)) + self.block_max[:, terms] @ w
         for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] < score[-1] - 1e-9:
+            if bound[b] <= 0 or len(best) == k and bound[b] < score[-1] - ROUNDING:
                 break
             lo, hi = self.ptr[b * size + terms], self.ptr[b * size + terms + 1]
             n = hi - lo
             at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
             got = np.bincount(self.local[at], weights=self.weight[at] * np.repeat(w, n), minlength=BLOCK)
-            hit = np.flatnonzero(got > 0)
+            part = base[b * BLOCK : (b + 1) * BLOCK]
+            got = got[: len(part)] + part
+            hit = np.flatnonzero(got > (score[-1] - ROUNDING if len(best) == k else 0))
             cand, s = np.concatenate((best, b * BLOCK + hit)), np.concatenate((score, got[hit]))
             if without >= 0:
                 s, cand = s[cand != without], cand[cand != without]
@@ -107,6 +140,13 @@ class Index:
             best, score = cand[keep], s[keep]
         return best, score
 
+    def all_nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], apart: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of every vector; ``apart``: vector i is that of example i, which is left out."""
+        for lo in range(0, len(vectors), TOGETHER):
+            some = vectors[lo : lo + TOGETHER]
+            for i, (v, base) in enumerate(zip(some, self.frequent(some)), lo):
+                yield self.nearest(*v, without=i if apart else -1, base=base)
+
     def vote(self, best: np.ndarray, score: np.ndarray) -> float:
         near = self.weights[best] / (1.1 - np.minimum(score, 1.0)) * score
         far = self.weights.mean() if len(self.ids) else 1.0
@@ -116,37 +156,60 @@ class Index:
         return float(np.interp(raw, *self.curve))
 
 
-def build_index(vocabulary: list[str], df: np.ndarray, examples: list[tuple[object, int, dict[int, int]]], totals: tuple[int, int]) -> Index:
-    """The index of (id, label, term counts) examples; ``totals``: labelled rows with label 0 and 1."""
+def build_index(vocabulary: list[str], df: np.ndarray, examples: list[tuple[object, int, np.ndarray, np.ndarray]], totals: tuple[int, int]) -> Index:
+    """The index of (id, label, terms, counts) examples, terms ascending; ``vocabulary``: by falling
+    frequency; ``totals``: labelled rows with label 0 and 1."""
     n = [max(1, sum(1 for e in examples if e[1] == y)) for y in (0, 1)]
     share = [max(totals[y], n[y]) / n[y] for y in (0, 1)]
     rows = sum(totals)
     idf = np.log((1.0 + rows) / (1.0 + df @ np.array(share))) + 1.0 if len(vocabulary) else np.zeros(0)
-    idf = np.maximum(idf, 1e-3)
-    index = Index(dict(zip(vocabulary, range(len(vocabulary)))), idf, [], np.zeros(0), np.zeros(0), *[np.zeros(0, dtype=np.int64)] * 2, np.zeros(1, dtype=np.int64), np.zeros((0, len(vocabulary))), (totals[1] + 0.5) / (rows + 1.0))
-    vectors = [(e, index.vector(Counter(e[2]))) for e in examples]
+    idf = np.maximum(idf, 1e-3) * relevance(df, n)
+    few = min(DENSE, len(vocabulary))
+    index = Index(dict(zip(vocabulary, range(len(vocabulary)))), idf, [], np.zeros(0), np.zeros(0), *[np.zeros(0, dtype=np.int64)] * 2, np.zeros(1, dtype=np.int64), np.zeros((0, len(vocabulary))), np.zeros((0, few), dtype=np.float32), (totals[1] + 0.5) / (rows + 1.0))
+    vectors = [(e, index.weighted(e[2], e[3].astype(np.float64))) for e in examples]
     # like examples share blocks: by label, then heaviest term
     vectors.sort(key=lambda x: (x[0][1], int(x[1][0][np.argmax(x[1][1])]) if len(x[1][0]) else -1, str(x[0][0])))
     size, blocks = max(1, len(vocabulary)), -(-len(vectors) // BLOCK)
-    block = np.repeat(np.arange(len(vectors)) // BLOCK, [len(v[0]) for _, v in vectors]) if vectors else np.zeros(0, dtype=np.int64)
-    local = np.repeat(np.arange(len(vectors)) % BLOCK, [len(v[0]) for _, v in vectors]) if vectors else np.zeros(0, dtype=np.int64)
-    term = np.concatenate([v[0] for _, v in vectors]) if vectors else np.zeros(0, dtype=np.int64)
-    w = np.concatenate([v[1] for _, v in vectors]) if vectors else np.zeros(0)
-    key = block * size + term
+    if vectors:
+        index.dense = np.concatenate([index_rows(v, few) for _, v in vectors])
+    rare = [(v[0][v[0] >= few], v[1][v[0] >= few]) for _, v in vectors]
+    at = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in rare])
+    term = np.concatenate([t for t, _ in rare]) if vectors else np.zeros(0, dtype=np.int64)
+    w = (np.concatenate([x for _, x in rare]) if vectors else np.zeros(0)).astype(np.float32)
+    key = at // BLOCK * size + term
     order = np.argsort(key, kind="stable")
-    top = np.zeros(blocks * size)
+    top = np.zeros(blocks * size, dtype=np.float32)
     np.maximum.at(top, key, w)
     index.ids = [e[0] for e, _ in vectors]
     index.labels = np.array([float(e[1]) for e, _ in vectors])
     index.weights = np.array([share[e[1]] for e, _ in vectors])
-    index.local, index.weight = local[order], w[order]
-    index.ptr = np.searchsorted(key[order], np.arange(blocks * size + 1))
+    index.local, index.weight = (at % BLOCK)[order].astype(np.int16), w[order]
+    index.ptr = np.searchsorted(key[order], np.arange(blocks * size + 1)).astype(np.int32 if len(key) < 1 << 31 else np.int64)
     index.block_max = top.reshape(blocks, size)
-    raw = np.array([index.vote(*index.nearest(*v, without=i)) for i, (_, v) in enumerate(vectors)])
+    raw = np.array([index.vote(*got) for got in index.all_nearest([v for _, v in vectors], apart=True)])
     index.curve = isotonic(raw, index.labels, index.weights, index.prior)
     return index
 
 
+def relevance(df: np.ndarray, n: list[int]) -> np.ndarray:
+    """Squared association of every term with the labels, in standard deviations (``FLOOR`` at
+    least, so no term is without weight); ``df``: its examples of label 0 and 1, of ``n``."""
+    if not len(df):
+        return np.zeros(0)
+    rate = df.sum(axis=1) / max(1, sum(n))
+    spread = np.sqrt(n[0] * n[1] / max(1, sum(n)) * rate * (1 - rate))
+    z = np.divide(df[:, 1] - n[1] * rate, spread, out=np.zeros(len(df)), where=spread > 0)
+    return np.maximum(z * z, FLOOR)
+
+
+def index_rows(vector: tuple[np.ndarray, np.ndarray], few: int) -> np.ndarray:
+    """The matrix row of a vector: its weights of the first ``few`` terms."""
+    out = np.zeros((1, few), dtype=np.float32)
+    frequent = vector[0] < few
+    out[0, vector[0][frequent]] = vector[1][frequent]
+    return out
+
+
 def isotonic(raw: np.ndarray, labels: np.ndarray, weights: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
     """Points of a non-decreasing curve from raw votes to label rates (pooled adjacent violators)."""
     if len(raw) == 0:
@@ -185,24 +248,23 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
             got = [list({t for w in set(WORDS.findall(x.lower())) for t in word_terms(w)}) for x in texts]
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.list_(pa.string())), ys], names=["t", "y"])
 
-    n1, n0 = (sample.where(f"_y = {y}").count() for y in (1, 0))
     seen = sample.select("_text", "_y").mapInArrow(terms, "t array<string>, y int").select(F.explode("t").alias("t"), "y").groupBy("t").agg(F.sum("y").cast("double").alias("d1"), F.sum(1 - F.col("y")).cast("double").alias("d0"))
-    rate = (F.col("d1") + F.col("d0")) / F.lit(float(max(1, n1 + n0)))
-    z = F.try_divide(F.col("d1") - F.lit(float(n1)) * rate, F.sqrt(F.lit(n1 * n0 / max(1, n1 + n0)) * rate * (1 - rate)))
-    picked = seen.withColumn("z", z).where(f"abs(z) >= {MIN_Z}").orderBy(F.desc(F.abs("z")), "t").limit(MAX_TERMS).collect()  # at most MAX_TERMS rows
-    vocabulary = [r["t"] for r in picked]
-    df = np.array([[r["d0"], r["d1"]] for r in picked]).reshape(-1, 2)
+    found = seen.toArrow()  # bounded: the terms of the sample
+    found = found.append_column("n", pa.compute.add(found["d0"], found["d1"])).sort_by([("n", "descending"), ("t", "ascending")])
+    vocabulary = found["t"].to_pylist()
+    df = np.stack([found[c].to_numpy() for c in ("d0", "d1")], axis=1)
     numbers = dict(zip(vocabulary, range(len(vocabulary))))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Terms(numbers)
         for b in batches:
-            c = [memo.counts(x) for x in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([[*x] for x in c], pa.list_(pa.int32())), pa.array([[*x.values()] for x in c], pa.list_(pa.int32()))], names=["_id", "_y", "t", "c"])
+            c = [sorted(memo.counts(x).items()) for x in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array([[pair[j] for pair in x] for x in c], pa.list_(pa.int32())) for j in (0, 1))], names=["_id", "_y", "t", "c"])
 
     id_type = sample.schema["_id"].dataType.simpleString()
-    rows = sample.select("_id", "_y", "_text").mapInArrow(vectors, f"_id {id_type}, _y int, t array<int>, c array<int>").collect()  # bounded: sample x vocabulary
-    examples = sorted(((r["_id"], r["_y"], dict(zip(r["t"], r["c"]))) for r in rows), key=lambda e: str(e[0]))
+    rows = sample.select("_id", "_y", "_text").mapInArrow(vectors, f"_id {id_type}, _y int, t array<int>, c array<int>").toArrow()  # bounded by the sample
+    pairs = [[x.values.to_numpy().astype(np.int64) for x in rows[c].combine_chunks()] if rows.num_rows else [] for c in "tc"]
+    examples = sorted(zip(rows["_id"].to_pylist(), rows["_y"].to_pylist(), *pairs), key=lambda e: str(e[0]))
     return build_index(vocabulary, df, examples, (totals.get(0, 0), totals.get(1, 0)))
 
 
@@ -226,8 +288,9 @@ def toxicity(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_
         kind = pa.list_(pa.struct([("id", pa.int64() if id_type == "bigint" else pa.string()), ("label", pa.int32()), ("cosine", pa.float64())]))
         for b in batches:
             scores, evidence = [], []
-            for text in b.column(b.schema.get_field_index(text_col)).to_pylist():
-                best, cos = ix.nearest(*ix.vector(memo.counts(text))) if text else (np.zeros(0, dtype=np.int64), np.zeros(0))
+            texts = b.column(b.schema.get_field_index(text_col)).to_pylist()
+            near = (got for lo in range(0, len(texts), TOGETHER) for got in ix.all_nearest([ix.weighted(*memo.found(x or "")) for x in texts[lo : lo + TOGETHER]]))
+            for best, cos in near:
                 scores.append(ix.score(ix.vote(best, cos)) if len(best) else blank)
                 evidence.append([{"id": ix.ids[i] if id_type == "bigint" else str(ix.ids[i]), "label": int(ix.labels[i]), "cosine": float(c)} for i, c in zip(best, cos)])
             s = np.array(scores)
