@@ -61,3 +61,14 @@ def test_run_and_odd_rows(spark, tmp_path):
     base.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
     spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{tmp_path}/none/labels.parquet")
     assert pipe.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_distinct_decides_by_text(spark):
+    """Of two texts under one id only the near duplicate goes."""
+    x, y, z = (" ".join(f"{c}{i}" for i in range(120)) for c in "xyz")
+    near = [t.replace("60 ", "q ") for t in (x, y)]
+    rows = [(1, x), (5, near[0]), (5, y), (7, near[1]), (8, z), (8, z), (9, ""), (9, None), (None, x)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(pipe.distinct(spark, docs, SF).select("doc_id", "text").collect(), key=str)
+    ids = [(r["doc_id"], r["text"]) for r in got if r["text"]]
+    assert sorted(ids, key=str) == sorted([(1, x), (5, y), (8, z), (None, x)], key=str)
