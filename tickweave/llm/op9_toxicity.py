@@ -3,7 +3,7 @@
 A bounded sample of labelled documents (``MAX_TOXIC`` + ``MAX_CLEAN`` rows by
 hash order, the documented bound) becomes an inverted index of TF-IDF vectors
 over all their words and character 4-grams, each term's weight multiplied by its
-squared association with the labels (plain weights let the subject of a text
+association with the labels (plain weights let the subject of a text
 decide; no term is left out).  The ``DENSE`` most frequent terms,
 which have most of the postings, lie in a matrix of examples x terms; the others'
 postings in blocks of examples with a maximum weight per (block, term).  A
@@ -192,14 +192,14 @@ def build_index(vocabulary: list[str], df: np.ndarray, examples: list[tuple[obje
 
 
 def relevance(df: np.ndarray, n: list[int]) -> np.ndarray:
-    """Squared association of every term with the labels, in standard deviations (``FLOOR`` at
+    """Association of every term with the labels, in standard deviations (``FLOOR`` at
     least, so no term is without weight); ``df``: its examples of label 0 and 1, of ``n``."""
     if not len(df):
         return np.zeros(0)
     rate = df.sum(axis=1) / max(1, sum(n))
     spread = np.sqrt(n[0] * n[1] / max(1, sum(n)) * rate * (1 - rate))
     z = np.divide(df[:, 1] - n[1] * rate, spread, out=np.zeros(len(df)), where=spread > 0)
-    return np.maximum(z * z, FLOOR)
+    return np.maximum(np.abs(z), FLOOR)
 
 
 def index_rows(vector: tuple[np.ndarray, np.ndarray], few: int) -> np.ndarray:
