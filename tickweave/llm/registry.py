@@ -10,9 +10,22 @@ from tickweave.llm.op7_suffix_dedup import op7_suffix_dedup
 from tickweave.llm.op8_kneser_ney import op8_kneser_ney
 from tickweave.llm.op9_toxicity import op9_toxicity
 from tickweave.llm.op10_html_text import op10_html_text
+from tickweave.llm.op11_sentencepiece import op11_sentencepiece
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_mixing, op2_bpe, op3_jaccard_join, op4_fingerprints, op5_topk, op6_token_counts, op7_suffix_dedup, op8_kneser_ney, op9_toxicity, op10_html_text)
+    for f in (
+        op1_mixing,
+        op2_bpe,
+        op3_jaccard_join,
+        op4_fingerprints,
+        op5_topk,
+        op6_token_counts,
+        op7_suffix_dedup,
+        op8_kneser_ney,
+        op9_toxicity,
+        op10_html_text,
+        op11_sentencepiece,
+    )
 }
 ORACLE = {"op1_mixing": OP1_SQL, "op5_topk": OP5_SQL}
