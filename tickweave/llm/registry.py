@@ -11,6 +11,7 @@ from tickweave.llm.op8_kneser_ney import op8_kneser_ney
 from tickweave.llm.op9_toxicity import op9_toxicity
 from tickweave.llm.op10_html_text import op10_html_text
 from tickweave.llm.op11_sentencepiece import op11_sentencepiece
+from tickweave.llm.op12_clustering import OP12_SQL, op12_clustering
 from tickweave.llm.op13_resample import OP13_SQL, op13_resample
 
 QUERIES = {
@@ -27,7 +28,8 @@ QUERIES = {
         op9_toxicity,
         op10_html_text,
         op11_sentencepiece,
+        op12_clustering,
         op13_resample,
     )
 }
-ORACLE = {"op1_mixing": OP1_SQL, "op5_topk": OP5_SQL, "op13_resample": OP13_SQL}
+ORACLE = {"op1_mixing": OP1_SQL, "op5_topk": OP5_SQL, "op12_clustering": OP12_SQL, "op13_resample": OP13_SQL}
