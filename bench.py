@@ -52,13 +52,13 @@ def build(spark, sf=None):
         "resample_1m": lambda: ev1m(),
         "resample_1m_to_4h": lambda: resample_bars(ev1m(), "4h"),
         "regularise_fill_daily": lambda: filled_grid(daily()),
-        "indicators_daily": lambda: ind.indicators(filled_grid(daily())),
-        "indicators_1m": lambda: ind.indicators(filled_grid(ev1m())),
+        "indicators_daily": lambda: ind.indicators(filled_grid(daily()), gaps=False),
+        "indicators_1m": lambda: ind.indicators(filled_grid(ev1m()), gaps=False),
         "ternary_label_daily": lambda: lab.ternary_label(filled_grid(daily()).withColumn("timeframe", F.lit("1h"))),
-        "backtest_daily": lambda: sig.ema_rsi_backtest(filled_grid(daily())),
-        "backtest_1m": lambda: sig.ema_rsi_backtest(ev1m()),
-        "leakage_scan_daily": lambda: qual.leakage_correlations(ind.indicators(filled_grid(daily()), next_close=True), feats),
-        "quality_summary_daily": lambda: qual.quality_stats(ind.indicators(filled_grid(daily())).drop("_i")),
+        "backtest_daily": lambda: sig.ema_rsi_backtest(filled_grid(daily()), gaps=False),
+        "backtest_1m": lambda: sig.ema_rsi_backtest(ev1m(), gaps=False),
+        "leakage_scan_daily": lambda: qual.leakage_correlations(ind.indicators(filled_grid(daily()), next_close=True, gaps=False), feats),
+        "quality_summary_daily": lambda: qual.quality_stats(ind.indicators(filled_grid(daily()), gaps=False).drop("_i")),
     }
 
 

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from conftest import bars_df
-from tickweave.operators.ewm import Ema, block_rows, carry_depth, ewm
+from tickweave.operators.ewm import Ema, block_rows, ewm
 from tickweave.operators.series import index_rows
 
 
@@ -39,11 +39,10 @@ def test_ema_seed_after_leading_null(spark):
     np.testing.assert_allclose(out["a"][1:].to_numpy(), exp[1:].to_numpy(), rtol=1e-12)
 
 
-def test_block_rows_and_depth():
+def test_block_rows():
     b = block_rows(2 / 13, 1024)
     assert b == 1024 and 1024 % b == 0
     assert block_rows(0.8, 1024) < 1024
-    assert carry_depth(2 / 13, 1024) >= 2
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -2,25 +2,21 @@
 
 Plan of a stage (``carry_stage``)::
 
-    input --repartition(keys, _seg)--+--> windows inside each segment (local values)
+    input --repartition(keys, _seg)--+--> windows inside each block (local values)
                                      |
-                                     +--> groupBy(keys, _seg) summary  (same shuffle, reused)
-                                              --> window over the small segment table (carry)
-    local values LEFT JOIN carry ON (keys, _seg)  -->  final values
-
-* The big side is shuffled once.  The summary is a plain aggregate of the
-  *stage input* (segment sums, last / first non-null value, EMA block-end
-  value), so it reads the same shuffle output instead of recomputing the
-  window stage, and chained stages never multiply work.
-* The segment table has ``rows / seg_rows`` rows; its windows and the join
-  back move only that table (AQE broadcasts it when it measures it small).
-* All carried quantities of one stage share one summary table and one join.
-
-EMA algebra (see ``ewm``): for block ``g`` of ``B`` rows and row ``j`` in it,
-``loc_j = lam^j * sum_{s<=j} w_s x_s lam^-s`` (a window inside the block),
-block-end value ``t_g = sum_s w_s x_s lam^(B-1-s)`` (a plain aggregate),
-carry ``c_g = sum_{k>=1} lam^((k-1)B) t_{g-k}`` (lags over the block table),
-``y = loc_j + lam^(j+1) c_g``.
+                                     +--> totals per block and segment  (same shuffle, reused)
+                                              --> multi-level scan of the small tables (``scan``)
+    local values LEFT JOIN states ON (keys, _seg)  -->  final values
+
+* The big side is shuffled once.  Block totals are plain aggregates of the
+  *stage input* (sums, last / first non-null value, EMA block-end value), so
+  they read the same shuffle output instead of recomputing the window stage;
+  only EMAs over inputs with nulls need their local windows for them too.
+* A block is the segment, or a part of it where an EMA needs smaller ones (large
+  alpha, or large segments).  Windows over (keys, _seg, _g) and aggregates by them
+  need no shuffle beyond the one on (keys, _seg), so a stage has the same
+  shuffles at any segment size.
+* All carried quantities of one stage share one scan and one join.
 """
 
 from __future__ import annotations
@@ -30,32 +26,92 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickweave.functions.core import col_of
+from tickweave.functions.core import col_of, nan_to_null
+from tickweave.operators import scan
+from tickweave.operators.ewm import Ema, block_rows, combined_carry, gap_carry, gap_first, plain_carry, power
 from tickweave.operators.series import IDX, SEG, UNB_PREC, keys_of, segment_rows, with_segments
 from tickweave.schema import KEYS
 
-
-def _lam_pow(lam: float, e: Column) -> Column:
-    return F.pow(F.lit(lam), e)
+BLOCK = "_g"
 
 
 def _weight(s) -> Column:
     """Weight of a row's input: none before the seed row, 1 on it, alpha after it.
     A null after the seed row has no plain weight: the job fails instead of
-    giving a wrong average (fill the column, or use ``ewm.ewm_gaps``)."""
+    giving a wrong average (fill the column, or use ``gaps``)."""
     i = F.col(IDX)
     message = F.lit(f"EMA {s.out}: its input has a null; fill it first or use gaps=True")
     return F.when(i < s.start, F.lit(0.0)).when(col_of(s.x).isNull(), F.raise_error(message).cast("double")).when(i == s.start, F.lit(1.0)).otherwise(F.lit(s.alpha))
 
 
-def _block_carry(t: str, lam: float, b: int, depth: int, order: Window) -> Column:
-    """EMA value at the end of the previous block from the block-end values
-    ``t`` of the last ``depth`` blocks: the recursion ``acc * lam^B + t``
-    folded over that bounded list (``depth`` reaches until ``lam^(depth*B)``
-    underflows, so older blocks add nothing)."""
-    prev = F.collect_list(F.col(t)).over(order.rowsBetween(-depth, -1))
-    decay = F.lit(lam**b)
-    return F.aggregate(prev, F.lit(0.0), lambda acc, x: acc * decay + x)
+class _Stage:
+    """What a stage adds, in the order in which it is computed."""
+
+    def __init__(self, keys: list[str], part: list[str], rows: int):
+        self.keys, self.part, self.rows = keys, part, rows
+        self.layers: list[list[Column]] = [[], [], [], []]  # window columns; later layers use earlier ones
+        self.carries: list[scan.Carry] = []
+        self.final: dict[str, Column] = {}
+        self.upto = Window.partitionBy(*part).orderBy(IDX).rowsBetween(UNB_PREC, 0)
+        self.before = Window.partitionBy(*part).orderBy(IDX).rowsBetween(UNB_PREC, -1)
+        # Frames that reach to the end are written as growing frames over the
+        # reversed order: Spark re-aggregates a shrinking "to unbounded
+        # following" frame for every row (quadratic), a growing one incrementally.
+        self.onward = Window.partitionBy(*part).orderBy(F.col(IDX).desc()).rowsBetween(UNB_PREC, 0)
+        self.j = F.pmod(F.col(IDX), F.lit(rows))  # place in the block
+
+    def sum(self, out: str, term) -> None:
+        t = F.coalesce(col_of(term), F.lit(0.0))
+        self.layers[0].append(F.sum(t).over(self.upto).alias(f"_l_{out}"))
+        self.carries.append(scan.running(f"_c_{out}", t))
+        self.final[out] = F.col(f"_l_{out}") + F.col(f"_c_{out}")
+
+    def forward(self, c: str, dtype: str) -> list[Column]:
+        self.layers[0].append(F.last(c, ignorenulls=True).over(self.upto).alias(f"_lf_{c}"))
+        self.carries.append(scan.latest(f"_cf_{c}", F.col(c), F.col(IDX), dtype))
+        return [F.col(f"_lf_{c}"), F.col(f"_cf_{c}")]
+
+    def backward(self, c: str, dtype: str) -> list[Column]:
+        self.layers[0].append(F.last(c, ignorenulls=True).over(self.onward).alias(f"_lb_{c}"))
+        self.carries.append(scan.latest(f"_cb_{c}", F.col(c), F.col(IDX), dtype, backward=True))
+        return [F.col(f"_lb_{c}"), F.col(f"_cb_{c}")]
+
+    def ema(self, s: Ema) -> None:
+        lam, x, w = 1.0 - s.alpha, F.coalesce(col_of(s.x), F.lit(0.0)), _weight(s)
+        self.layers[0].append((power(lam, self.j) * F.sum(w * x * power(lam, -self.j)).over(self.upto)).alias(f"_le_{s.out}"))
+        end = F.sum(w * x * power(lam, F.lit(self.rows - 1) - self.j))
+        self.carries.append(plain_carry(f"_ce_{s.out}", end, lam, self.rows))
+        self.final[s.out] = F.when(F.col(IDX) >= s.start, F.col(f"_le_{s.out}") + power(lam, self.j + 1) * F.col(f"_ce_{s.out}"))
+
+    def last_value(self, s: Ema) -> None:
+        """An EMA of alpha 1 over an input with nulls: the last value."""
+        x = F.when(F.col(IDX) >= s.start, nan_to_null(col_of(s.x).cast("double")))
+        self.layers[0].append(F.last(x, ignorenulls=True).over(self.upto).alias(f"_lf_{s.out}"))
+        self.carries.append(scan.latest(f"_cf_{s.out}", x, F.col(IDX), "double"))
+        self.final[s.out] = F.coalesce(f"_lf_{s.out}", f"_cf_{s.out}")
+
+    def gap_ema(self, s: Ema) -> None:
+        o, lam, a = s.out, 1.0 - s.alpha, F.lit(s.alpha)
+        i, x = F.col(IDX), F.when(F.col(IDX) >= s.start, nan_to_null(col_of(s.x).cast("double")))
+        here = F.col(f"_x_{o}").isNotNull()
+        at = F.when(here, i)
+        self.layers[0].append(x.alias(f"_x_{o}"))
+        self.layers[1] += [F.last(at, ignorenulls=True).over(self.before).alias(f"_b_{o}"), F.min(at).over(self.upto).alias(f"_f_{o}"), F.first(f"_x_{o}", ignorenulls=True).over(self.upto).alias(f"_xf_{o}")]
+        # p: how much of the average at the block's first value is left; 1 / (lam^d + a) once per gap
+        distance = i - F.col(f"_b_{o}")
+        follows = here & F.col(f"_b_{o}").isNotNull()
+        sum_of_weights = power(lam, distance) + a
+        gap = F.sum(F.when(follows & (distance > 1), F.ln(sum_of_weights)).otherwise(F.lit(0.0))).over(self.upto)
+        newest = F.when(here, i).otherwise(F.col(f"_b_{o}"))
+        self.layers[2].append((power(lam, newest - F.col(f"_f_{o}")) * F.exp(-gap)).alias(f"_p_{o}"))
+        gain = F.when(follows, F.when(distance > 1, a / sum_of_weights).otherwise(a) * F.col(f"_x_{o}") / F.col(f"_p_{o}")).otherwise(F.lit(0.0))
+        self.layers[3].append((F.col(f"_p_{o}") * F.sum(gain).over(self.upto)).alias(f"_y_{o}"))
+        self.carries.append(
+            gap_carry(f"_ce_{o}", s, F.min(at), F.min_by(f"_x_{o}", at), F.max_by(f"_p_{o}", IDX), F.max_by(f"_y_{o}", IDX), F.max(at))
+        )
+        state = F.col(f"_ce_{o}")
+        first = F.expr(gap_first(s, scan.quoted(f"_ce_{o}"), scan.quoted(f"_f_{o}"), scan.quoted(f"_xf_{o}")))
+        self.final[o] = F.when(F.col(f"_f_{o}").isNotNull(), F.col(f"_p_{o}") * first + F.col(f"_y_{o}")).otherwise(state["c"])
 
 
 def carry_stage(
@@ -67,7 +123,7 @@ def carry_stage(
     bfill: Sequence[str] = (),
     fill_chain: Sequence[str] = (),
     fill_value: float | None = 0.0,
-    emas: Sequence = (),
+    emas: Sequence[Ema] = (),
     max_block: int | None = None,
     partitioned: bool = False,
     ema_combos: Sequence = (),
@@ -87,203 +143,87 @@ def carry_stage(
     explicit repartition and let both branches read that stage's shuffle (its
     cheap last step runs twice instead of shuffling all rows again).
     """
-    from tickweave.operators.ewm import block_rows, carry_depth
-
     keys = keys_of(keys)
     seg_rows = segment_rows(df, seg_rows)
-    sums = dict(sums or {})
-    fill_chain = [c for c in fill_chain if c in df.columns]
+    rows = min([seg_rows, *(block_rows(s.alpha, seg_rows, max_block) for s in [*emas, *ema_combos])])
+    whole = rows == seg_rows
     d = with_segments(df, seg_rows)
     if not partitioned:
         d = d.repartition(*keys, SEG)
-    wp = Window.partitionBy(*keys, SEG).orderBy(IDX).rowsBetween(UNB_PREC, 0)
-    # Frames that reach to the end are written as growing frames over the
-    # reversed order: Spark re-aggregates a shrinking "to unbounded
-    # following" frame for every row (quadratic), a growing one incrementally.
-    wf = Window.partitionBy(*keys, SEG).orderBy(F.col(IDX).desc()).rowsBetween(UNB_PREC, 0)
-    prev_segs = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(UNB_PREC, -1)
-    next_segs = Window.partitionBy(*keys).orderBy(F.col(SEG).desc()).rowsBetween(UNB_PREC, -1)
-
-    local: list[Column] = []
-    summary: list[Column] = []
-    carry: list[Column] = []
-    final: dict[str, Column] = {}
-
-    for o, term in sums.items():
-        t = F.coalesce(col_of(term), F.lit(0.0))
-        local.append(F.sum(t).over(wp).alias(f"_l_{o}"))
-        summary.append(F.sum(t).alias(f"_s_{o}"))
-        carry.append(F.coalesce(F.sum(f"_s_{o}").over(prev_segs), F.lit(0.0)).alias(f"_c_{o}"))
-        final[o] = F.col(f"_l_{o}") + F.col(f"_c_{o}")
-
-    fwd_cols = list(dict.fromkeys([*ffill, *fill_chain]))
-    bwd_cols = list(dict.fromkeys([*bfill, *fill_chain]))
-    for c in fwd_cols:
-        local.append(F.last(c, ignorenulls=True).over(wp).alias(f"_lf_{c}"))
-        summary.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(IDX))).alias(f"_sf_{c}"))
-        carry.append(F.last(f"_sf_{c}", ignorenulls=True).over(prev_segs).alias(f"_cf_{c}"))
-    for c in bwd_cols:
-        local.append(F.last(c, ignorenulls=True).over(wf).alias(f"_lb_{c}"))
-        summary.append(F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(IDX))).alias(f"_sb_{c}"))
-        carry.append(F.last(f"_sb_{c}", ignorenulls=True).over(next_segs).alias(f"_cb_{c}"))
+    if not whole:
+        d = d.withColumn(BLOCK, F.floor(F.col(IDX) / F.lit(rows)).cast("long"))
+    stage = _Stage(keys, [*keys, SEG] if whole else [*keys, SEG, BLOCK], rows)
+
+    types = dict(df.dtypes)
+    for out, term in (sums or {}).items():
+        stage.sum(out, term)
+    chain = [c for c in fill_chain if c in df.columns]
+    fwd = {c: stage.forward(c, types[c]) for c in dict.fromkeys([*ffill, *chain])}
+    bwd = {c: stage.backward(c, types[c]) for c in dict.fromkeys([*bfill, *chain])}
     for c in ffill:
-        final[c] = F.coalesce(F.col(f"_lf_{c}"), F.col(f"_cf_{c}"))
+        stage.final[c] = F.coalesce(*fwd[c])
     for c in bfill:
-        final[c] = F.coalesce(F.col(f"_lb_{c}"), F.col(f"_cb_{c}"))
-    for c in fill_chain:
-        parts = [F.col(f"_lf_{c}"), F.col(f"_cf_{c}"), F.col(f"_lb_{c}"), F.col(f"_cb_{c}")]
-        if fill_value is not None:
-            parts.append(F.lit(fill_value))
-        final[c] = F.coalesce(*parts)
-
-    # EMAs: block size per spec; blocks equal to the segment use the segment
-    # table, smaller ones (large alpha) get a block table packed per segment.
-    sub_blocks: dict[int, list] = {}
+        stage.final[c] = F.coalesce(*bwd[c])
+    for c in chain:
+        stage.final[c] = F.coalesce(*fwd[c], *bwd[c], *([] if fill_value is None else [F.lit(fill_value)]))
     for s in emas:
-        b = block_rows(s.alpha, seg_rows, max_block)
-        lam = 1.0 - s.alpha
-        x = F.coalesce(col_of(s.x), F.lit(0.0))
-        i = F.col(IDX)
-        w = _weight(s)
-        if b == seg_rows:
-            j = i - F.col(SEG) * F.lit(b)
-            local.append((_lam_pow(lam, j) * F.sum(w * x * _lam_pow(lam, -j)).over(wp)).alias(f"_le_{s.out}"))
-            summary.append(F.sum(w * x * _lam_pow(lam, F.lit(b - 1) - j)).alias(f"_se_{s.out}"))
-            carry.append(_block_carry(f"_se_{s.out}", lam, b, carry_depth(s.alpha, b), Window.partitionBy(*keys).orderBy(SEG)).alias(f"_ce_{s.out}"))
-            final[s.out] = F.when(i >= s.start, F.col(f"_le_{s.out}") + _lam_pow(lam, j + 1) * F.col(f"_ce_{s.out}"))
-        else:
-            sub_blocks.setdefault(b, []).append(s)
-
-    sub_local: list[Column] = []
-    # Blocks smaller than the segment: the incoming value of each block is
-    # folded inside its segment from the segment's incoming value, so no
-    # window ever runs over a whole series' block table.
-    sub_plans = []
-    for b, specs in sub_blocks.items():
-        g = F.floor(F.col(IDX) / F.lit(b)).cast("long")
-        gname = f"_g{b}"
-        wb = Window.partitionBy(*keys, SEG, gname).orderBy(IDX).rowsBetween(UNB_PREC, 0)
-        j = F.col(IDX) - F.col(gname) * F.lit(b)
-        jj = F.col(IDX) - F.col(SEG) * F.lit(seg_rows)
-        aggs = []
-        for s in specs:
-            lam = 1.0 - s.alpha
-            x = F.coalesce(col_of(s.x), F.lit(0.0))
-            w = _weight(s)
-            sub_local.append((_lam_pow(lam, j) * F.sum(w * x * _lam_pow(lam, -j)).over(wb)).alias(f"_le_{s.out}"))
-            aggs.append(F.sum(w * x * _lam_pow(lam, F.lit(b - 1) - j)).alias(f"_se_{s.out}"))
-            # Segment-end local value (weights <= 1, no overflow) and the
-            # segment's incoming value, folded over the small segment table.
-            summary.append(F.sum(w * x * _lam_pow(lam, F.lit(seg_rows - 1) - jj)).alias(f"_sT_{s.out}"))
-            carry.append(
-                _block_carry(f"_sT_{s.out}", lam, seg_rows, carry_depth(s.alpha, seg_rows), Window.partitionBy(*keys).orderBy(SEG)).alias(f"_sC_{s.out}")
-            )
-        bt = d.withColumn(gname, g).groupBy(*keys, SEG, gname).agg(*aggs)
-        # The (bounded: seg_rows / b) block-end values of a segment, in order.
-        packed = bt.groupBy(*keys, SEG).agg(F.sort_array(F.collect_list(F.struct(gname, *[f"_se_{s.out}" for s in specs]))).alias(f"_pk{b}"))
-        sub_plans.append((b, specs, packed))
-        per_seg = seg_rows // b
-        for s in specs:
-            lam = 1.0 - s.alpha
-            pick = F.element_at(F.col(f"_bc_{s.out}"), (F.col(gname) - F.col(SEG) * F.lit(per_seg) + 1).cast("int"))
-            final[s.out] = F.when(F.col(IDX) >= s.start, F.col(f"_le_{s.out}") + _lam_pow(lam, j + 1) * pick)
-
+        (stage.ema if not s.gaps else stage.last_value if s.alpha >= 1 else stage.gap_ema)(s)
     by_name = {s.out: s for s in emas}
-    combo_carry: list[Column] = []
+    stage.carries += [_combo(c, by_name, stage) for c in ema_combos]
+    if not stage.carries:
+        return d.drop(BLOCK)
+
+    local = d
+    for layer in stage.layers:
+        local = local.select("*", *layer) if layer else local
+    gaps = any(s.gaps for s in emas)
+    states = scan.segment_states(local if gaps else d, keys, SEG, None if whole else BLOCK, seg_rows // rows, stage.carries)
+    out = local.join(states, [*keys, SEG], "left")
+    if not whole:  # the block's own state
+        place = (F.col(BLOCK) - F.col(SEG) * F.lit(seg_rows // rows) + 1).cast("int")
+        out = out.select(*[c for c in local.columns], *[F.element_at(c.name, place).alias(c.name) for c in stage.carries])
     for c in ema_combos:
-        summ, block_value = _combo(c, by_name, seg_rows, block_rows, max_block)
-        summary.extend(summ)
-        carry.extend(block_value)
-        combo_carry.append(
-            _block_carry(f"_ct_{c.out}", 1.0 - c.alpha, seg_rows, carry_depth(c.alpha, seg_rows), Window.partitionBy(*keys).orderBy(SEG)).alias(f"_ce_{c.out}")
-        )
-
-    if sub_blocks:
-        d = d.select("*", *[F.floor(F.col(IDX) / F.lit(b)).cast("long").alias(f"_g{b}") for b in sub_blocks])
-    loc = d.select("*", *local, *sub_local)
-    seg_table = d.groupBy(*keys, SEG).agg(*summary) if summary else d.select(*keys, SEG).distinct()
-    carry_table = seg_table.select(*keys, SEG, *carry)
-    if combo_carry:
-        carry_table = carry_table.select("*", *combo_carry)
-    for b, specs, packed in sub_plans:
-        carry_table = carry_table.join(packed, [*keys, SEG], "left")
-        arrays = []
-        for s in specs:
-            decay = F.lit((1.0 - s.alpha) ** b)
-            init = F.struct(F.coalesce(F.col(f"_sC_{s.out}"), F.lit(0.0)).alias("c"), F.array().cast("array<double>").alias("a"))
-            arrays.append(F.aggregate(F.col(f"_pk{b}"), init, _block_step(f"_se_{s.out}", decay), lambda acc: acc["a"]).alias(f"_bc_{s.out}"))
-        carry_table = carry_table.select("*", *arrays)
-    out = loc.join(carry_table, [*keys, SEG], "left")
-    for c in ema_combos:
-        # The combination is known per row only after the inner carries are
+        # The combination is known per row only after the inner states are
         # joined; its local prefix sum is one more window on the same
         # partitioning (no shuffle).
         mu = 1.0 - c.alpha
-        i = F.col(IDX)
-        j = i - F.col(SEG) * F.lit(seg_rows)
-        m = None
-        for name, coef in c.terms.items():
-            t = F.lit(float(coef)) * final[name]
-            m = t if m is None else m + t
-        w = F.when(i == 0, F.lit(1.0)).otherwise(F.lit(c.alpha))
-        out = out.select("*", (_lam_pow(mu, j) * F.sum(w * m * _lam_pow(mu, -j)).over(wp)).alias(f"_le_{c.out}"))
-        final[c.out] = F.col(f"_le_{c.out}") + _lam_pow(mu, j + 1) * F.col(f"_ce_{c.out}")
-    keep = [c for c in df.columns if c not in final]
+        m = sum((F.lit(float(coef)) * stage.final[name] for name, coef in c.terms.items()), F.lit(0.0))
+        w = F.when(F.col(IDX) == 0, F.lit(1.0)).otherwise(F.lit(c.alpha))
+        out = out.select("*", (power(mu, stage.j) * F.sum(w * m * power(mu, -stage.j)).over(stage.upto)).alias(f"_le_{c.out}"))
+        stage.final[c.out] = F.col(f"_le_{c.out}") + power(mu, stage.j + 1) * F.col(f"_ce_{c.out}")["o"]
+    keep = [c for c in df.columns if c not in stage.final]
     if SEG not in keep:
         keep.append(SEG)
-    return out.select(*keep, *[e.alias(n) for n, e in final.items()])
-
+    return out.select(*keep, *[e.alias(n) for n, e in stage.final.items()])
 
-def _block_step(field: str, decay: Column):
-    """Fold step over a segment's blocks: record the incoming value, then
-    decay it over the block and add the block's own end value."""
 
-    def step(acc, e):
-        return F.struct((acc["c"] * decay + e[field]).alias("c"), F.concat(acc["a"], F.array(acc["c"])).alias("a"))
+def _combo(c, by_name: dict, stage: _Stage) -> scan.Carry:
+    """The carried state of an EMA (factor ``mu``) of ``m = sum_k a_k y_k``, where ``y_k`` are
+    EMAs (factor ``lam_k``) of this stage, all seeded on row 0.
 
-    return step
-
-
-def _combo(c, by_name: dict, b: int, block_rows, max_block) -> tuple[list[Column], list[Column]]:
-    """Summary aggregates and block-end value of an EMA (factor ``mu``) of
-    ``m = sum_k a_k y_k``, where ``y_k`` are EMAs (factor ``lam_k``) of this
-    stage, all seeded on row 0, all with blocks of ``b`` rows.
-
-    Inside block g, ``y_k(j) = L_k(j) + lam_k^(j+1) C_k(g)``.  The block-end
+    Inside block g of ``b`` rows, ``y_k(j) = L_k(j) + lam_k^(j+1) C_k(g)``.  The block-end
     value of the outer EMA's local part is
     ``T(g) = sum_k a_k (U_k(g) + C_k(g) V_k(g))`` with
-    ``V_k = sum_j w(j) mu^(B-1-j) lam_k^(j+1)`` and
-    ``U_k = sum_j w(j) mu^(B-1-j) L_k(j) = sum_s w_k(s) x_k(s) G_k(s)``,
-    ``G_k(s) = sum_{j>=s} w(j) mu^(B-1-j) lam_k^(j-s)``, a geometric sum
-    ``a (mu^n - lam^n) / (mu - lam)`` with ``n = B - s`` (plus the seed
+    ``V_k = sum_j w(j) mu^(b-1-j) lam_k^(j+1)`` and
+    ``U_k = sum_j w(j) mu^(b-1-j) L_k(j) = sum_s w_k(s) x_k(s) G_k(s)``,
+    ``G_k(s) = sum_{j>=s} w(j) mu^(b-1-j) lam_k^(j-s)``, a geometric sum
+    ``a (mu^n - lam^n) / (mu - lam)`` with ``n = b - s`` (plus the seed
     row's own weight on row 0).  U and V are plain aggregates of the input,
-    so the outer EMA needs no second shuffle; its carry folds ``T`` over the
-    previous blocks once the inner carries are known.
+    so the outer EMA needs no second shuffle.
     """
-    mu = 1.0 - c.alpha
-    if block_rows(c.alpha, b, max_block) != b:
-        raise ValueError(f"{c.out}: combined EMA needs full-segment blocks")
-    i = F.col(IDX)
-    j = i - F.col(SEG) * F.lit(b)
+    mu, b, j, i = 1.0 - c.alpha, stage.rows, stage.j, F.col(IDX)
     n = F.lit(b) - j
     w_out = F.when(i == 0, F.lit(1.0)).otherwise(F.lit(c.alpha))
-    summ, t_parts = [], []
+    inner = []
     for name, coef in c.terms.items():
-        k = by_name.get(name)
-        if k is None or k.start != 0 or block_rows(k.alpha, b, max_block) != b:
-            raise ValueError(f"{c.out}: term {name} must be a full-block EMA of this stage seeded on row 0")
-        lam = 1.0 - k.alpha
-        x = F.coalesce(col_of(k.x), F.lit(0.0))
-        w_k = F.when(col_of(k.x).isNull(), F.lit(0.0)).when(i == 0, F.lit(1.0)).otherwise(F.lit(k.alpha))
-        if abs(mu - lam) < 1e-12:
-            geo = n.cast("double") * _lam_pow(lam, n - 1)
-        else:
-            geo = (_lam_pow(mu, n) - _lam_pow(lam, n)) / F.lit(mu - lam)
+        s = by_name.get(name)
+        if s is None or s.start != 0 or s.gaps:
+            raise ValueError(f"{c.out}: term {name} must be an EMA of this stage without gaps, seeded on row 0")
+        lam = 1.0 - s.alpha
+        x = F.coalesce(col_of(s.x), F.lit(0.0))
+        w = F.when(col_of(s.x).isNull(), F.lit(0.0)).when(i == 0, F.lit(1.0)).otherwise(F.lit(s.alpha))
+        geo = n.cast("double") * power(lam, n - 1) if abs(mu - lam) < 1e-12 else (power(mu, n) - power(lam, n)) / F.lit(mu - lam)
         g = F.lit(c.alpha) * geo + F.when(i == 0, F.lit((1.0 - c.alpha) * mu ** (b - 1))).otherwise(F.lit(0.0))
-        summ.append(F.sum(w_k * x * g).alias(f"_cu_{c.out}_{name}"))
-        summ.append(F.sum(w_out * _lam_pow(mu, F.lit(b - 1) - j) * _lam_pow(lam, j + 1)).alias(f"_cv_{c.out}_{name}"))
-        t_parts.append(F.lit(float(coef)) * (F.col(f"_cu_{c.out}_{name}") + F.col(f"_ce_{name}") * F.col(f"_cv_{c.out}_{name}")))
-    total = t_parts[0]
-    for t in t_parts[1:]:
-        total = total + t
-    return summ, [total.alias(f"_ct_{c.out}")]
+        end = F.sum(w * x * power(lam, F.lit(b - 1) - j))
+        inner.append((float(coef), lam, end, F.sum(w * x * g), F.sum(w_out * power(mu, F.lit(b - 1) - j) * power(lam, j + 1))))
+    return combined_carry(f"_ce_{c.out}", inner, mu, b)

@@ -1,29 +1,24 @@
-"""Exponential moving average as a blocked linear scan (pure DataFrame).
+"""Exponential moving averages as a blocked linear scan (pure DataFrame).
 
 Recursion (pandas ``ewm(adjust=False)``): ``y_s = x_s`` at the seed row,
 ``y_t = lam * y_{t-1} + a * x_t`` after it, ``lam = 1 - a``.
 
-Spark has no window function for a recursion, so it is unrolled:
-
-* rows are cut in blocks of ``B`` rows (``g = _i div B``, ``j = _i - g*B``);
-* inside a block, ``loc_j = lam^j * sum_{s<=j} w_s x_s lam^-s`` is a running
-  sum over ``partitionBy(keys, _seg[, g]).orderBy(_i)``;
-* the value at the end of block ``g-1`` is
-  ``c_g = sum_{k=1..K} lam^((k-1)B) * t_{g-k}`` with ``t`` the block-end
-  local values, a lag window over the small block table;
-* ``y = loc_j + lam^(j+1) * c_g``, joined back on the block key.
-
-``B`` keeps ``lam^-j`` inside the double range (``lam^-B <= 1e250``) and is a
-power of two that divides the segment, so blocks nest in segments and the
-join back is on the segment key whenever ``B`` equals the segment.  ``K``
-reaches back until ``lam^(K*B)`` underflows, so the result equals the plain
-recursion to rounding (no truncation of tiny values).
-
-Leading rows before ``start`` (e.g. the first row of a diff) give null and do
-not seed; the seed row is ``start``.  A null from there on makes the plain scan
-fail; ``ewm_gaps`` takes such input (the seed is the first value, a null row
-keeps the average, and a gap of g rows weighs the old average ``lam^(g+1)``
-against ``a``, as pandas does).
+Spark has no window function for a recursion, so it is unrolled in blocks of ``B``
+rows (``j`` = the row's place in its block): inside a block a prefix sum,
+``loc_j = lam^j * sum_{s<=j} w_s x_s lam^-s``; the block as a whole is a pair
+(decay ``lam^B``, value ``t``) that turns the average ``c`` before it into
+``lam^B c + t``; pairs join into pairs, so the averages before all blocks come from
+the multi-level scan (``scan``), and ``y = loc_j + lam^(j+1) c``.  ``B`` keeps
+``lam^-j`` inside the double range (``lam^-B <= 1e250``) and is a power of two that
+divides the segment.  Nothing is cut off: the result equals the plain recursion to
+rounding, tiny values included.
+
+Inputs with nulls (``gaps``): a null row keeps the average, and the first value
+after ``d - 1`` null rows is weighed ``a`` against ``lam^d`` for the old average, both
+divided by their sum, as pandas does.  Inside a block the average is then
+``p_j y_f + l_j`` in terms of the average ``y_f`` at the block's first value; the
+block's element (place and size of its first value, ``p`` and ``l`` at its end, place of
+its last value) again joins with its follower's into one of the same kind.
 """
 
 from __future__ import annotations
@@ -32,11 +27,12 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.functions.core import col_of
-from tickweave.operators.series import IDX, SEGMENT_ROWS, UNB_PREC, keys_of, segment_rows
+from tickweave.operators.scan import Carry, number, quoted, struct
+from tickweave.operators.series import SEGMENT_ROWS
 from tickweave.schema import KEYS
 
 
@@ -48,22 +44,23 @@ class Ema:
     x: object
     alpha: float
     start: int = 0  # seed row index; rows before it give null
+    gaps: bool = False  # the input may hold nulls from ``start`` on
 
     @staticmethod
-    def span(out: str, x, span: float, start: int = 0) -> "Ema":
-        return Ema(out, x, 2.0 / (span + 1.0), start)
+    def span(out: str, x, span: float, start: int = 0, gaps: bool = False) -> "Ema":
+        return Ema(out, x, 2.0 / (span + 1.0), start, gaps)
 
     @staticmethod
-    def com(out: str, x, period: float, start: int = 0) -> "Ema":
+    def com(out: str, x, period: float, start: int = 0, gaps: bool = False) -> "Ema":
         """Wilder smoothing, ``alpha = 1/period``."""
-        return Ema(out, x, 1.0 / period, start)
+        return Ema(out, x, 1.0 / period, start, gaps)
 
 
 @dataclass(frozen=True)
 class EmaOfEmas:
     """An EMA of ``sum(coef * ema)`` over EMAs computed in the same carry
     stage (the MACD signal: ``{"ema12": 1, "ema26": -1}``, span 9), solved
-    without a second shuffle.  Seeded on row 0."""
+    without a second shuffle.  Seeded on row 0; inputs without gaps."""
 
     out: str
     terms: dict
@@ -90,11 +87,78 @@ def block_rows(alpha: float, seg_rows: int = SEGMENT_ROWS, limit: int | None = N
     return b
 
 
-def carry_depth(alpha: float, b: int) -> int:
-    lam = 1.0 - alpha
-    if lam <= 0.0:
-        return 1
-    return max(1, math.ceil(330.0 / (b * -math.log10(lam))))
+def power(base: float, e: Column) -> Column:
+    return F.pow(F.lit(base), e.cast("double"))
+
+
+def plain_carry(name: str, t: Column, lam: float, rows: int) -> Carry:
+    """The average at the end of the previous block, from block-end values ``t``."""
+    return Carry(
+        name,
+        [(name, t)],
+        lambda e: struct(t=f"{e}.{quoted(name)}", d=number(lam**rows)),
+        lambda a, b: struct(t=f"{a}.t * {b}.d + {b}.t", d=f"{a}.d * {b}.d"),
+        struct(t="0.0D", d="1.0D"),
+        lambda s, t: f"{s} * {t}.d + {t}.t",
+        "0.0D",
+    )
+
+
+def combined_carry(name: str, inner: list[tuple[float, float, Column, Column, Column]], mu: float, rows: int) -> Carry:
+    """State of an EMA (factor ``mu``) of ``sum_k a_k y_k``: (its average, the averages y_k), at
+    the end of the previous block.
+
+    ``inner``: (a_k, lam_k, block-end value of y_k, u_k, v_k) with u and v as in ``carry._combo``:
+    the block-end value of the outer average is ``sum_k a_k (u_k + v_k c_k)`` for averages
+    ``c_k`` before the block.  Over a run of blocks everything stays linear in the states before
+    it: ``o`` without any, ``s_k`` per unit of ``c_k``, ``do`` per unit of the outer average.
+    """
+    ks = range(len(inner))
+    field = lambda e, f, k: f"{e}.{quoted(f'{name}_{f}{k}')}"
+    fields = [(f"{name}_{f}{k}", c) for k in ks for f, c in zip("tuv", inner[k][2:])]
+
+    def made(o: str, do: str, per: list[tuple[str, str, str]]) -> str:
+        return struct(o=o, do=do, **{f"{f}{k}": x for k in ks for f, x in zip("tds", per[k])})
+
+    def total(e: str) -> str:
+        o = " + ".join(f"{number(inner[k][0])} * {field(e, 'u', k)}" for k in ks)
+        return made(o, number(mu**rows), [(field(e, "t", k), number(inner[k][1] ** rows), f"{number(inner[k][0])} * {field(e, 'v', k)}") for k in ks])
+
+    def join(a: str, b: str) -> str:
+        o = " + ".join([f"{a}.o * {b}.do + {b}.o", *(f"{b}.s{k} * {a}.t{k}" for k in ks)])
+        return made(o, f"{a}.do * {b}.do", [(f"{a}.t{k} * {b}.d{k} + {b}.t{k}", f"{a}.d{k} * {b}.d{k}", f"{a}.s{k} * {b}.do + {b}.s{k} * {a}.d{k}") for k in ks])
+
+    def step(s: str, t: str) -> str:
+        o = " + ".join([f"{s}.o * {t}.do + {t}.o", *(f"{t}.s{k} * {s}.c{k}" for k in ks)])
+        return struct(o=o, **{f"c{k}": f"{s}.c{k} * {t}.d{k} + {t}.t{k}" for k in ks})
+
+    return Carry(name, fields, total, join, made("0.0D", "1.0D", [("0.0D", "1.0D", "0.0D") for _ in ks]), step, struct(o="0.0D", **{f"c{k}": "0.0D" for k in ks}))
+
+
+def gap_carry(name: str, s: Ema, first: Column, x_first: Column, p: Column, y: Column, last: Column) -> Carry:
+    """State (average, place of the last value) at the end of the previous block."""
+    names = [f"{name}_{f}" for f in "fxple"]
+    a = number(s.alpha)
+
+    def join(one: str, two: str) -> str:
+        w = f"pow({number(1.0 - s.alpha)}, cast({two}.f - {one}.e as double))"
+        p = f"{two}.p * ({w} / ({w} + {a})) * {one}.p"
+        y = f"{two}.p * (({w} * {one}.l + {a} * {two}.x) / ({w} + {a})) + {two}.l"
+        return f"CASE WHEN {two}.f IS NULL THEN {one} WHEN {one}.f IS NULL THEN {two} ELSE {struct(f=f'{one}.f', x=f'{one}.x', p=p, l=y, e=f'{two}.e')} END"
+
+    def step(state: str, t: str) -> str:
+        return f"CASE WHEN {t}.f IS NULL THEN {state} ELSE {struct(c=f'{t}.p * ({gap_first(s, state, f"{t}.f", f"{t}.x")}) + {t}.l', at=f'{t}.e')} END"
+
+    d, i = "cast(null as double)", "cast(null as bigint)"
+    element = lambda e: struct(**{f: f"{e}.{quoted(n)}" for f, n in zip("fxple", names)})
+    return Carry(name, list(zip(names, (first, x_first, p, y, last))), element, join, struct(f=i, x=d, p=d, l=d, e=i), step, struct(c=d, at=i))
+
+
+def gap_first(s: Ema, state: str, place: str, x: str) -> str:
+    """The average at a block's first value ``x``, from the state before the block (SQL text)."""
+    w = f"pow({number(1.0 - s.alpha)}, cast({place} - {state}.at as double))"
+    a = number(s.alpha)
+    return f"CASE WHEN {state}.at IS NULL THEN {x} ELSE ({w} * {state}.c + {a} * {x}) / ({w} + {a}) END"
 
 
 def ewm(
@@ -111,51 +175,11 @@ def ewm(
     return carry_stage(df, keys, seg_rows, emas=list(specs), max_block=max_block, partitioned=partitioned)
 
 
-def ewm_gaps(df: DataFrame, specs: Sequence[Ema], keys=KEYS, seg_rows: int | None = None) -> DataFrame:
-    """``ewm`` for inputs with nulls, as pandas ``ewm(adjust=False)`` weighs them.
+def ewm_gaps(df: DataFrame, specs: Sequence[Ema], keys=KEYS, seg_rows: int | None = None, max_block: int | None = None, partitioned: bool = False) -> DataFrame:
+    """``ewm`` for inputs with nulls, as pandas ``ewm(adjust=False)`` weighs them."""
+    return ewm(df, [Ema(s.out, s.x, s.alpha, s.start, True) for s in specs], keys, seg_rows, max_block, partitioned)
 
-    After a value ``d`` rows ago the old average counts ``lam^d``, the new value
-    ``a``, both divided by their sum, so each value has its own decay
-    ``A = lam^d / (lam^d + a)`` (1 on null rows, which keep the average).  The
-    recursion ``y = A y' + (1 - A) x`` runs in blocks of rows: prefix products
-    and sums inside a block, one row per block carried over the earlier blocks that
-    hold values (as many as can still matter at double precision); a block of
-    nulls alone keeps the average, however many follow each other.  The last value before a
-    block comes from a running maximum over the same small block table.
-    """
-    keys = keys_of(keys)
-    rows = segment_rows(df, seg_rows)
-    b = min(block_rows(s.alpha, rows) for s in specs)  # one block size, so all averages share the stages
-    d = df.withColumns({f"_x{k}": F.when(F.col(IDX) >= s.start, F.nanvl(col_of(s.x).cast("double"), F.lit(None).cast("double"))) for k, s in enumerate(specs)})
-    d = d.withColumn("_g", F.floor(F.col(IDX) / F.lit(b)).cast("long")).repartition(*keys, "_g")
-    block = Window.partitionBy(*keys, "_g").orderBy(IDX)
-    upto, before = block.rowsBetween(UNB_PREC, 0), block.rowsBetween(UNB_PREC, -1)
-    earlier = Window.partitionBy(*keys).orderBy("_g")
-    at = [F.when(F.col(f"_x{k}").isNotNull(), F.col(IDX)) for k in range(len(specs))]
-    seen = d.groupBy(*keys, "_g").agg(*[F.max(a).alias(f"_m{k}") for k, a in enumerate(at)])
-    seen = seen.select(*keys, "_g", *[F.max(f"_m{k}").over(earlier.rowsBetween(UNB_PREC, -1)).alias(f"_s{k}") for k in range(len(specs))])
-    d = d.join(seen, [*keys, "_g"], "left")
-    d = d.withColumns({f"_b{k}": F.coalesce(F.last(a, ignorenulls=True).over(before), F.col(f"_s{k}")) for k, a in enumerate(at)})
-    decay, gain, final = {}, {}, {}
-    for k, s in enumerate(specs):
-        value, first = F.col(f"_x{k}").isNotNull(), F.col(f"_b{k}").isNull()
-        old = F.pow(F.lit(1.0 - s.alpha), (F.col(IDX) - F.col(f"_b{k}")).cast("double"))
-        # An old average of weight 1e-50 no longer shows; the bound keeps the products in range.
-        a = F.when(~value | first, F.lit(1.0)).otherwise(F.greatest(old / (old + F.lit(s.alpha)), F.lit(1e-50)))
-        new = F.when(~value, F.lit(0.0)).when(first, F.lit(1.0)).otherwise(F.lit(s.alpha) / (old + F.lit(s.alpha)))
-        decay[f"_p{k}"] = F.exp(F.sum(F.ln(a)).over(upto))
-        gain[f"_y{k}"] = F.col(f"_p{k}") * F.sum(new * F.coalesce(f"_x{k}", F.lit(0.0)) / F.col(f"_p{k}")).over(upto)
-        final[s.out] = F.when(value | ~first, F.col(f"_y{k}") + F.col(f"_p{k}") * F.col(f"_c{k}"))
-    d = d.withColumns(decay).withColumns(gain)
-    ends = d.groupBy(*keys, "_g").agg(*[F.max_by(f"_{v}{k}", IDX).alias(f"_{v}e{k}") for k in range(len(specs)) for v in "py"], *[F.count(f"_x{k}").alias(f"_h{k}") for k in range(len(specs))])
-    closing, carried = {}, []
-    for k, s in enumerate(specs):
-        # Blocks of nulls alone fade nothing: the window counts blocks with a value, each of which decays by lam at least.
-        depth = max(1, math.ceil(40.0 / -math.log10(1.0 - s.alpha))) if s.alpha < 1 else 1
-        valued = Window.partitionBy(*keys, F.col(f"_h{k}") > 0).orderBy("_g").rowsBetween(-depth, 0)
-        past = F.collect_list(F.struct(F.col(f"_pe{k}").alias("p"), F.col(f"_ye{k}").alias("y"))).over(valued)
-        closing[f"_f{k}"] = F.when(F.col(f"_h{k}") > 0, F.aggregate(past, F.lit(0.0), lambda acc, e: acc * e["p"] + e["y"]))
-        carried.append(F.coalesce(F.last(f"_f{k}", ignorenulls=True).over(earlier.rowsBetween(UNB_PREC, -1)), F.lit(0.0)).alias(f"_c{k}"))
-    ends = ends.withColumns(closing)
-    d = d.join(ends.select(*keys, "_g", *carried), [*keys, "_g"], "left").withColumns(final)
-    return d.drop("_g", *[f"_{v}{k}" for k in range(len(specs)) for v in "xsbpyc"])
+
+def may_be_null(df: DataFrame, columns: Sequence[str], gaps: bool | None) -> bool:
+    """``gaps`` as given, or, if None, whether the schema lets any of ``columns`` be null."""
+    return any(df.schema[c].nullable for c in columns) if gaps is None else gaps

@@ -15,14 +15,14 @@ pandas conventions kept on purpose:
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickweave.functions.core import col_of, safe_div
 from tickweave.operators.carry import carry_stage
-from tickweave.operators.ewm import Ema, block_rows, ewm, ewm_gaps
-from tickweave.operators.series import segment_rows
+from tickweave.operators.ewm import Ema, EmaOfEmas, ewm, may_be_null
 from tickweave.operators.series import (
     IDX,
     SEG,
@@ -150,48 +150,43 @@ def rolling_stdev(df, col="close", n=14, min_periods=None, out=None, fill_zero=F
     return windowed(df, [[(out or f"rolling_std_{n}", e)]], back=n - 1, keys=keys)
 
 
-def ema(df: DataFrame, col: str = "close", span: float = 12, out: str | None = None, keys=KEYS, max_block=None, gaps: bool = False):
-    """EMA with ``alpha = 2/(span+1)``, seeded with the first value.  ``gaps``: the
-    column may hold nulls (weighed as pandas does); without it a null fails the job."""
-    return _ewm(ensure_index(df, keys), [Ema.span(out or f"ema{int(span)}", col, span)], keys, max_block, gaps)
+def ema(df: DataFrame, col: str = "close", span: float = 12, out: str | None = None, keys=KEYS, max_block=None, gaps: bool | None = None):
+    """EMA with ``alpha = 2/(span+1)``, seeded with the first value.
+
+    ``gaps``: whether the column may hold nulls, weighed as pandas does; None takes it
+    from the schema.  ``gaps=False`` is the quicker plan for a filled column whose schema
+    does not say so; a null then fails the job.
+    """
+    return _ewm(ensure_index(df, keys), [Ema.span(out or f"ema{int(span)}", col, span)], keys, max_block, may_be_null(df, [col], gaps))
 
 
-def ema_alpha(df: DataFrame, col: str, alpha: float, out: str, keys=KEYS, start: int = 0, max_block=None, gaps: bool = False):
+def ema_alpha(df: DataFrame, col: str, alpha: float, out: str, keys=KEYS, start: int = 0, max_block=None, gaps: bool | None = None):
     """EMA with a general smoothing factor (Wilder: ``1/period``); ``gaps`` as in ``ema``."""
-    return _ewm(ensure_index(df, keys), [Ema(out, col, alpha, start)], keys, max_block, gaps)
+    return _ewm(ensure_index(df, keys), [Ema(out, col, alpha, start)], keys, max_block, may_be_null(df, [col], gaps))
 
 
 def _ewm(d: DataFrame, specs, keys, max_block, gaps: bool, **stage) -> DataFrame:
-    return ewm_gaps(d, specs, keys) if gaps else ewm(d, specs, keys, max_block=max_block, **stage)
+    return ewm(d, [replace(s, gaps=gaps) for s in specs], keys, max_block=max_block, **stage)
 
 
-def macd(df: DataFrame, fast=12, slow=26, signal=9, keys=KEYS, max_block=None, gaps: bool = False):
+def macd(df: DataFrame, fast=12, slow=26, signal=9, keys=KEYS, max_block=None, gaps: bool | None = None):
     """C11: MACD line, signal (an EMA of the line) and histogram; ``gaps`` as in ``ema``."""
     d = ensure_index(df, keys)
     fast_slow = [Ema.span("_ema_fast", "close", fast), Ema.span("_ema_slow", "close", slow)]
-    line = F.col("_ema_fast") - F.col("_ema_slow")
-    if gaps:
-        d = ewm_gaps(ewm_gaps(d, fast_slow, keys).withColumn("macd", line), [Ema.span("macd_signal", "macd", signal)], keys)
-    else:
-        d = _emas_with_signal(d, keys, fast_slow, "macd_signal", signal, max_block).withColumn("macd", line)
+    d = _emas_with_signal(d, keys, fast_slow, "macd_signal", signal, max_block, may_be_null(df, ["close"], gaps))
+    d = d.withColumn("macd", F.col("_ema_fast") - F.col("_ema_slow"))
     return d.withColumn("macd_hist", F.col("macd") - F.col("macd_signal")).drop("_ema_fast", "_ema_slow")
 
 
-def _emas_with_signal(d, keys, fast_slow, signal_out, signal_span, max_block, **stage):
-    """EMAs fast/slow and the EMA of their difference in one carry stage when
-    the blocks allow it (the usual spans), else in two stages."""
-    from tickweave.operators.ewm import EmaOfEmas
-
+def _emas_with_signal(d, keys, fast_slow, signal_out, signal_span, max_block, gaps: bool, emas=(), **stage):
+    """EMAs fast/slow and the EMA of their difference: in one carry stage, or, over
+    inputs with nulls, the signal in a stage of its own."""
     f, s_ = fast_slow[0].out, fast_slow[1].out
-    combo = EmaOfEmas.span(signal_out, {f: 1.0, s_: -1.0}, signal_span)
-    emas = [*fast_slow, *stage.pop("emas", [])]
-    rows = segment_rows(d)
-    if all(e.start == 0 and block_rows(e.alpha, rows, max_block) == rows for e in fast_slow) and block_rows(combo.alpha, rows, max_block) == rows:
-        return carry_stage(d, keys, emas=emas, ema_combos=[combo], max_block=max_block, **stage)
-    # Blocks smaller than the segment (forced or large alpha): the signal in a stage of its own.
-    d = carry_stage(d, keys, emas=emas, max_block=max_block, **stage)
-    d = d.withColumn("_diff", F.col(f) - F.col(s_))
-    return ewm(d, [Ema.span(signal_out, "_diff", signal_span)], keys, max_block=max_block).drop("_diff")
+    emas = [replace(e, gaps=gaps) for e in (*fast_slow, *emas)]
+    if not gaps:
+        return carry_stage(d, keys, emas=emas, ema_combos=[EmaOfEmas.span(signal_out, {f: 1.0, s_: -1.0}, signal_span)], max_block=max_block, **stage)
+    d = carry_stage(d, keys, emas=emas, max_block=max_block, **stage).withColumn("_diff", F.col(f) - F.col(s_))
+    return ewm(d, [Ema.span(signal_out, "_diff", signal_span, gaps=True)], keys, max_block=max_block).drop("_diff")
 
 
 def gain_loss(delta: Column) -> tuple[Column, Column]:
@@ -206,10 +201,10 @@ def _up_down(keys) -> Stage:
     return [("_up", up), ("_down", down)]
 
 
-def rsi_wilder(df: DataFrame, period: int = 14, out: str = "rsi14", keys=KEYS, max_block=None, gaps: bool = False):
+def rsi_wilder(df: DataFrame, period: int = 14, out: str = "rsi14", keys=KEYS, max_block=None, gaps: bool | None = None):
     """Wilder RSI; averages seed on the first diff (row 2); no loss -> 50; ``gaps`` as in ``ema``."""
     d = windowed(df, [_up_down(keys)], back=1, keys=keys)
-    d = _ewm(d, [Ema.com("_au", "_up", period, start=1), Ema.com("_ad", "_down", period, start=1)], keys, max_block, gaps, partitioned=True)
+    d = _ewm(d, [Ema.com("_au", "_up", period, start=1), Ema.com("_ad", "_down", period, start=1)], keys, max_block, may_be_null(df, ["close"], gaps), partitioned=True)
     rs = F.col("_au") / F.when(F.col("_ad") != 0, F.col("_ad"))
     rsi = F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + rs)
     return d.withColumn(out, F.coalesce(rsi, F.lit(50.0))).drop("_up", "_down", "_au", "_ad")
@@ -224,10 +219,10 @@ def rsi_ema_expr(up: Column, down: Column) -> Column:
     )
 
 
-def rsi_ema(df: DataFrame, span: float = 14, out: str = "rsi", keys=KEYS, max_block=None, gaps: bool = False):
+def rsi_ema(df: DataFrame, span: float = 14, out: str = "rsi", keys=KEYS, max_block=None, gaps: bool | None = None):
     """RSI with EMA(span) averages (strategy form), no zero guard."""
     d = windowed(df, [_up_down(keys)], back=1, keys=keys)
-    d = _ewm(d, [Ema.span("_au", "_up", span, start=1), Ema.span("_ad", "_down", span, start=1)], keys, max_block, gaps, partitioned=True)
+    d = _ewm(d, [Ema.span("_au", "_up", span, start=1), Ema.span("_ad", "_down", span, start=1)], keys, max_block, may_be_null(df, ["close"], gaps), partitioned=True)
     return d.withColumn(out, rsi_ema_expr(F.col("_au"), F.col("_ad"))).drop("_up", "_down", "_au", "_ad")
 
 
@@ -249,23 +244,25 @@ def ta_sma(df, col="close", n=20, out=None, keys=KEYS):
     return sma(df, col, n, None, out or f"sma{n}", keys)
 
 
-def ta_ema(df, col="close", n=12, out=None, keys=KEYS, max_block=None):
+def ta_ema(df, col="close", n=12, out=None, keys=KEYS, max_block=None, gaps: bool | None = None):
     """C15 EMA (SMA seed): null for the first n-1 rows, row n-1 = mean of the
     first n values, then the usual recursion with ``alpha = 2/(n+1)``.
 
     Seeding with the mean is the same as seeding with ``x_{n-1}`` replaced by
     that mean, so the input is rewritten on one row and the blocked EMA starts
-    there.
+    there.  Nulls (``gaps`` as in ``ema``): the mean is over the values among the first n
+    rows, the first later value seeds if there are none, and later nulls keep the average.
     """
     out = out or f"ema{n}"
     d = windowed(df, [[("_seed_in", F.when(F.col(IDX) == n - 1, F.avg(col).over(rows_back(n, keys))).otherwise(F.col(col)))]], back=n - 1, keys=keys)
-    d = ewm(d, [Ema.span(out, "_seed_in", n, start=n - 1)], keys, max_block=max_block)
+    d = _ewm(d, [Ema.span(out, "_seed_in", n, start=n - 1)], keys, max_block, may_be_null(df, [col], gaps))
     return d.drop("_seed_in")
 
 
-def ta_rsi(df, n=14, out="rsi14", keys=KEYS, max_block=None):
+def ta_rsi(df, n=14, out="rsi14", keys=KEYS, max_block=None, gaps: bool | None = None):
     """C15 RSI: gains/losses averaged Wilder-style, seeded with the plain mean of
-    the first n diffs (rows 1..n); null before row n.  Zero loss gives 100."""
+    the first n diffs (rows 1..n); null before row n.  Zero loss gives 100.  ``gaps``
+    as in ``ta_ema``."""
     d = windowed(df, [_up_down(keys)], back=1, keys=keys)
     d = windowed(
         d,
@@ -276,7 +273,7 @@ def ta_rsi(df, n=14, out="rsi14", keys=KEYS, max_block=None):
         back=n - 1,
         keys=keys,
     )
-    d = ewm(d, [Ema.com("_au", "_u_in", n, start=n), Ema.com("_ad", "_d_in", n, start=n)], keys, max_block=max_block)
+    d = _ewm(d, [Ema.com("_au", "_u_in", n, start=n), Ema.com("_ad", "_d_in", n, start=n)], keys, max_block, may_be_null(df, ["close"], gaps))
     total = F.col("_au") + F.col("_ad")
     rsi = F.when(total == 0, F.lit(0.0)).otherwise(F.lit(100.0) * F.col("_au") / total)
     return d.withColumn(out, F.when(F.col("_ad") == 0, F.when(F.col("_au") > 0, F.lit(100.0)).otherwise(rsi)).otherwise(rsi)).drop(
@@ -431,7 +428,7 @@ def fill_chain(df: DataFrame, cols: Sequence[str], keys=KEYS, backfill: bool = T
 
 
 def indicators(
-    df: DataFrame, keys=KEYS, fill: bool = True, backfill: bool = True, max_block=None, next_close: bool = False, partitioned: bool = False
+    df: DataFrame, keys=KEYS, fill: bool = True, backfill: bool = True, max_block=None, next_close: bool = False, partitioned: bool = False, gaps: bool | None = None
 ) -> DataFrame:
     """The 11-column indicator table on OHLCV bars.
 
@@ -441,9 +438,15 @@ def indicators(
     Plan: one halo exchange on (keys, _seg) for every bounded window, then
     one carry stage for the four EMAs, the MACD signal (an EMA of two of them,
     solved in the same stage, see ``carry._combo``), OBV and the fill chain.
-    The fill runs on the input and window columns: the EMA / MACD / RSI
-    outputs are never null when ``close`` has no interior nulls (which the
-    EMA needs anyway), so this equals filling everything at the end.
+    The fill runs on the input and window columns.  The EMA / MACD / RSI outputs
+    are null only before the first value of ``close``, where a back-fill would
+    give the averages that value and the MACD columns 0, so this equals filling
+    everything at the end.
+
+    ``gaps``: whether ``close`` may hold nulls, weighed by the averages as pandas does;
+    None takes it from the schema.  ``gaps=False``, for filled bars whose schema does
+    not say so, is the one-stage plan above; with nulls the MACD signal takes a
+    stage of its own.
 
     ``next_close=True`` adds ``future_close`` (the next bar's input close,
     null on the last bar) from the same halo stage, for the leakage checks;
@@ -477,6 +480,7 @@ def indicators(
     )
     base = [c for c in df.columns if c not in (*keys, TS, IDX, SEG)]
     fill_cols = [*base, "return1", "atr14", "vwap14"] if fill else []
+    gaps = may_be_null(df, ["close"], gaps)
     d = _emas_with_signal(
         d,
         keys,
@@ -484,11 +488,15 @@ def indicators(
         "macd_signal",
         9,
         max_block,
+        gaps,
         sums={"obv": F.col("_obv_t")},
         emas=[Ema.com("_au", "_up", 14, start=1), Ema.com("_ad", "_down", 14, start=1)],
         fill_chain=fill_cols if backfill else [],
         ffill=fill_cols if not backfill else [],
     )
+    if gaps and fill:  # rows before the first close
+        first = F.col("close") if backfill else F.lit(0.0)
+        d = d.withColumns({"ema12": F.coalesce("ema12", first), "ema26": F.coalesce("ema26", first), "macd_signal": F.coalesce("macd_signal", F.lit(0.0))})
     d = d.withColumn("macd", F.col("ema12") - F.col("ema26"))
     rs = F.col("_au") / F.when(F.col("_ad") != 0, F.col("_ad"))
     d = d.select(
@@ -522,6 +530,7 @@ def feature_set(
     extra_back: int = 0,
     cumulative_vwap: bool = False,
     max_block=None,
+    gaps: bool | None = None,
 ) -> DataFrame:
     """The recompute bundle as one function with a spec.
 
@@ -533,7 +542,7 @@ def feature_set(
     ``ffill`` (causal), ``zero`` (C32), ``none``.  ``one_bar_returns`` is the
     variant where every ``return_k`` is the one-bar return.  ``target`` adds the
     next-bar up/down label; ``last_row='zero'`` matches the reference (the
-    last row gets 0), ``'drop'`` removes it.
+    last row gets 0), ``'drop'`` removes it.  ``gaps`` as in ``indicators``.
     """
     keys = keys_of(keys)
     mp = min_periods
@@ -571,18 +580,22 @@ def feature_set(
         stage2.append(("vol_spike", safe_div(F.col("volume"), F.col("vol_mean_14")) - F.lit(1.0)))
     d = windowed(df, [stage1, stage2], back=back, fwd=1 if target else 0, keys=keys)
     sums = {"_cpv": F.col("close") * F.col("volume"), "_cv": F.col("volume")} if cumulative_vwap else {}
-    # One carry stage: EMA 12/26, the MACD signal (solved in the same stage),
-    # cumulative sums and the fill of every window column (the carried
-    # outputs are never null when close has no interior nulls).
+    # One carry stage: EMA 12/26, the MACD signal (solved in the same stage if
+    # there are no gaps), cumulative sums and the fill of every window column
+    # (the averages are null only before the first close).
+    gaps = may_be_null(df, ["close"], gaps)
     value_cols = [c for c in d.columns if c not in (*keys, TS, IDX, SEG, "_next_close")]
     fill_cols = value_cols if fill in ("ffill_bfill", "ffill") else []
     d = _emas_with_signal(
-        d, keys, [Ema.span("ema12", "close", 12), Ema.span("ema26", "close", 26)], "macd_signal", 9, max_block,
+        d, keys, [Ema.span("ema12", "close", 12), Ema.span("ema26", "close", 26)], "macd_signal", 9, max_block, gaps,
         sums=sums, fill_chain=fill_cols if fill == "ffill_bfill" else [], ffill=fill_cols if fill == "ffill" else [],
         fill_value=None, partitioned=True,
     )
     if cumulative_vwap:
         d = d.withColumn("vwap14", F.col("_cpv") / (F.col("_cv") + F.lit(1e-9))).drop("_cpv", "_cv")
+    if gaps and fill == "ffill_bfill":
+        first = F.when(F.col("close").isNotNull(), F.lit(0.0))
+        d = d.withColumns({"ema12": F.coalesce("ema12", "close"), "ema26": F.coalesce("ema26", "close"), "macd_signal": F.coalesce("macd_signal", first)})
     d = d.withColumn("macd", F.col("ema12") - F.col("ema26"))
     d = d.withColumn("macd_hist", F.col("macd") - F.col("macd_signal")).withColumn("ema_ratio", ema_ratio_expr(ema_ratio_eps))
     value_cols = [c for c in d.columns if c not in (*keys, TS, IDX, SEG, "_next_close")]
@@ -600,16 +613,16 @@ def feature_set(
     return d.drop(SEG)
 
 
-def zero_filled_features(df: DataFrame, keys=KEYS, max_block=None) -> DataFrame:
+def zero_filled_features(df: DataFrame, keys=KEYS, max_block=None, gaps: bool | None = None) -> DataFrame:
     """Strict windows, ``return_k = pct_change(k)``, volatility = std of
     return1, ``vol_spike = v/mean - 1``, plain ema_ratio, all nulls to 0."""
     return feature_set(
         df, keys, lags_=(1, 2, 3, 6, 12), windows=(14,), hourly=(), volatility_kind="return_std",
-        vol_spike="minus_one", ema_ratio_eps=None, fill="zero", target=False, max_block=max_block,
+        vol_spike="minus_one", ema_ratio_eps=None, fill="zero", target=False, max_block=max_block, gaps=gaps,
     )
 
 
-def partial_features(df: DataFrame, features: Sequence[str] | None = None, keys=KEYS, max_block=None) -> DataFrame:
+def partial_features(df: DataFrame, features: Sequence[str] | None = None, keys=KEYS, max_block=None, gaps: bool | None = None) -> DataFrame:
     """Partial windows (``min_periods=1``), rolling-mean RSI with eps,
     cumulative VWAP, ATR as the partial mean of high-low, ffill + bfill, then
     aligned to a model's feature list (B15; default the 36-column set).
@@ -626,6 +639,6 @@ def partial_features(df: DataFrame, features: Sequence[str] | None = None, keys=
         volatility_kind="relative", vol_spike="ratio", ema_ratio_eps=1e-9, fill="ffill_bfill",
         one_bar_returns=True, target=False, cumulative_vwap=True,
         extra=[("rsi14", rsi_rolling_expr(14, keys)), ("atr14", rolling_mean(hl, 14, 1, keys))],
-        extra_back=14, max_block=max_block,
+        extra_back=14, max_block=max_block, gaps=gaps,
     )
     return align_features(d, list(features or MODEL_FEATURES), keep=[*keys_of(keys), TS])

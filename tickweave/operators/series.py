@@ -18,8 +18,8 @@ partitioned by ``(keys, _seg)``:
 * unbounded state (running sum, forward/back fill, EMA) - see ``carry``: one
   exchange on ``(keys, _seg)``; each segment computes its local result, a
   plain aggregate of the same shuffled rows gives one summary row per
-  segment, a window over that small table carries state across segments, and
-  the carry is joined back on ``(keys, _seg)``.
+  segment, a multi-level scan over that small table (``scan``) carries state
+  across segments, and the carry is joined back on ``(keys, _seg)``.
 
 The index must be dense (0..n-1 without holes).  Operators that drop rows call
 ``index_rows`` again before further window work.
@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickweave.functions.core import epoch_us, tf_seconds
+from tickweave.operators.scan import offsets
 from tickweave.schema import KEYS, TS
 
 IDX = "_i"
@@ -79,9 +80,9 @@ def index_rows(
 
     Distributed numbering: rows are put in time buckets of about
     ``SEGMENT_ROWS`` bars (from the ``timeframe`` column, else one day), counted
-    per (series, bucket), and bucket offsets come from a running sum over the
-    small count table.  ``row_number`` then runs only inside one (series,
-    bucket), never over a whole series.
+    per (series, bucket), and bucket offsets come from a multi-level sum over the
+    small count table (``scan.offsets``).  ``row_number`` then runs only inside
+    one (series, bucket), never over a whole series.
 
     A row without a time or a series key has no place in a series: the job
     fails with a message that says so (drop or repair such rows first, e.g.
@@ -102,15 +103,7 @@ def index_rows(
     message = F.lit(f"index_rows: a row has no {ts} or no series key ({', '.join(keys)}); drop or repair such rows first")
     d = src.withColumn("_b", F.when(lost, F.raise_error(message)).otherwise(F.floor(t / step)).cast("long"))
     counts = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        *keys,
-        "_b",
-        F.coalesce(
-            F.sum("_n").over(Window.partitionBy(*keys).orderBy("_b").rowsBetween(UNB_PREC, -1)),
-            F.lit(0),
-        ).alias("_off"),
-    )
-    d = d.join(offsets, [*keys, "_b"], "left")  # an inner join would filter null keys before the check sees them
+    d = d.join(offsets(counts, keys, "_b", "_n", "_off"), [*keys, "_b"], "left")  # an inner join would filter null keys before the check sees them
     ordering = [F.col(ts)] + [F.col(c) for c in (order or [])]
     w = Window.partitionBy(*keys, "_b").orderBy(*ordering)
     return d.withColumn(IDX, (F.col("_off") + F.row_number().over(w) - 1).cast("long")).drop("_b", "_off")

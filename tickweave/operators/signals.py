@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.operators.bars import latest_per_series
-from tickweave.operators.ewm import Ema, ewm
+from tickweave.operators.ewm import Ema, ewm, may_be_null
 from tickweave.operators.indicators import gain_loss, lag, rsi_ema_expr, windowed
 from tickweave.operators.series import keys_of
 from tickweave.schema import KEYS, TS
@@ -38,23 +38,25 @@ def rule_expr(ema_fast: Column, ema_slow: Column, rsi: Column) -> tuple[Column,
     return signal, conf
 
 
-def ema_rsi_backtest(bars: DataFrame, keys=KEYS, max_block=None, keep_indicators: bool = False, partitioned: bool = False) -> DataFrame:
+def ema_rsi_backtest(bars: DataFrame, keys=KEYS, max_block=None, keep_indicators: bool = False, partitioned: bool = False, gaps: bool | None = None) -> DataFrame:
     """E1 at every bar = E2 backtest, all series in one job.
 
     The reference re-runs the rule on every prefix (O(n^2)).  Every input of
     the rule is causal (EMAs and RSI at row t use rows <= t), so one pass
-    gives the same answer for all rows: ``signal, confidence`` per bar.
+    gives the same answer for all rows: ``signal, confidence`` per bar.  Closes may be
+    null (``gaps`` as in ``indicators``); a bar without averages yet gives NoSignal.
     """
     keys = keys_of(keys)
     up, down = gain_loss(F.col("close") - lag("close", 1, keys))
     d = windowed(bars, [[("_up", up), ("_down", down)]], back=1, keys=keys, partitioned=partitioned)
+    gaps = may_be_null(bars, ["close"], gaps)
     d = ewm(
         d,
         [
-            Ema.span("ema12", "close", 12),
-            Ema.span("ema26", "close", 26),
-            Ema.span("_au", "_up", 14, start=1),
-            Ema.span("_ad", "_down", 14, start=1),
+            Ema.span("ema12", "close", 12, gaps=gaps),
+            Ema.span("ema26", "close", 26, gaps=gaps),
+            Ema.span("_au", "_up", 14, start=1, gaps=gaps),
+            Ema.span("_ad", "_down", 14, start=1, gaps=gaps),
         ],
         keys,
         max_block=max_block,
@@ -67,9 +69,9 @@ def ema_rsi_backtest(bars: DataFrame, keys=KEYS, max_block=None, keep_indicators
     return d.select(*keys, TS, "close", *extra, signal.alias("signal"), conf.alias("confidence"), "_i")
 
 
-def latest_signal(bars: DataFrame, keys=KEYS, max_block=None) -> DataFrame:
+def latest_signal(bars: DataFrame, keys=KEYS, max_block=None, gaps: bool | None = None) -> DataFrame:
     """E1 live form: the rule on the last bar of every series (E3 of E2)."""
-    return latest_per_series(ema_rsi_backtest(bars, keys, max_block).drop("_i"), keys)
+    return latest_per_series(ema_rsi_backtest(bars, keys, max_block, gaps=gaps).drop("_i"), keys)
 
 
 def gate_by_confidence(df: DataFrame, threshold: float = 0.3, action: str = "signal", conf: str = "confidence", out: str = "action") -> DataFrame:
