@@ -94,15 +94,16 @@ class _Stage:
         o, lam, a = s.out, 1.0 - s.alpha, F.lit(s.alpha)
         i, x = F.col(IDX), F.when(F.col(IDX) >= s.start, nan_to_null(col_of(s.x).cast("double")))
         here = F.col(f"_x_{o}").isNotNull()
-        at = F.when(here, i)
+        place = i if s.place is None else s.place
+        at = F.when(here, place)
         self.layers[0].append(x.alias(f"_x_{o}"))
         self.layers[1] += [F.last(at, ignorenulls=True).over(self.before).alias(f"_b_{o}"), F.min(at).over(self.upto).alias(f"_f_{o}"), F.first(f"_x_{o}", ignorenulls=True).over(self.upto).alias(f"_xf_{o}")]
         # p: how much of the average at the block's first value is left; 1 / (lam^d + a) once per gap
-        distance = i - F.col(f"_b_{o}")
+        distance = place - F.col(f"_b_{o}")
         follows = here & F.col(f"_b_{o}").isNotNull()
         sum_of_weights = power(lam, distance) + a
         gap = F.sum(F.when(follows & (distance > 1), F.ln(sum_of_weights)).otherwise(F.lit(0.0))).over(self.upto)
-        newest = F.when(here, i).otherwise(F.col(f"_b_{o}"))
+        newest = F.when(here, place).otherwise(F.col(f"_b_{o}"))
         self.layers[2].append((power(lam, newest - F.col(f"_f_{o}")) * F.exp(-gap)).alias(f"_p_{o}"))
         gain = F.when(follows, F.when(distance > 1, a / sum_of_weights).otherwise(a) * F.col(f"_x_{o}") / F.col(f"_p_{o}")).otherwise(F.lit(0.0))
         self.layers[3].append((F.col(f"_p_{o}") * F.sum(gain).over(self.upto)).alias(f"_y_{o}"))

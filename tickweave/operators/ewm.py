@@ -45,6 +45,7 @@ class Ema:
     alpha: float
     start: int = 0  # seed row index; rows before it give null
     gaps: bool = False  # the input may hold nulls from ``start`` on
+    place: object = None  # with gaps: the row number that distances are taken from, if not the row index
 
     @staticmethod
     def span(out: str, x, span: float, start: int = 0, gaps: bool = False) -> "Ema":

@@ -75,23 +75,75 @@ def s2_stream_bars(spark, sf):
     return d.select(*KEYS, TS, *[rounded(c).alias(c) for c in PRICE_COLS])
 
 
-@query(
-    "s3_stream_signals",
-    f"{_CLOSED_BARS},\n{backtest_sql()}\nSELECT {KEYS_SQL}, signal, {q.r('confidence', 'confidence')} FROM bt",
-)
+def _land(df: DataFrame, path: str, pieces) -> None:
+    """One file per condition, in this order."""
+    for p in pieces:
+        df.where(p).coalesce(1).write.mode("append").parquet(path)
+
+
+#: Ticks that the feed delivers late: one in ten, by id; and the days on which files end.
+_LATE_TICK, _CUTS = "event_id % 10 = 7", [f"2024-01-{d:02d}" for d in (1, 7, 13, 19, 25)] + ["2100-01-01"]
+
+
+@query("s2_corrected_bars", f"WITH {bars_cte('1h')}\nSELECT {KEYS_SQL}, " + ", ".join(q.r(c, c) for c in PRICE_COLS) + " FROM bars")
+def s2_corrected_bars(spark, sf):
+    """Five files of ticks in order of time, one tick in ten delivered a file later or after
+    all others; the corrected bars equal the batch bars of every window."""
+    root = _run_dir(spark, "s2c")
+    ticks = sb.with_event_time(table(spark, sf, "events")).select("event_id", "ts", F.col("event_type").alias("symbol"), F.col("value").alias("price"), "event_time")
+    span = [f"ts >= '{a}' and ts < '{b}'" for a, b in zip(_CUTS, _CUTS[1:])]
+    pieces = [f"{s} and not {_LATE_TICK}" for s in span]
+    pieces[2] = f"({pieces[2]}) or ({span[1]} and {_LATE_TICK})"
+    pieces.append(f"{_LATE_TICK} and not ({span[1]})")
+    _land(ticks.withColumn("ts", F.col("ts").cast("string")), root + "/landing", pieces)
+    feed = sb.file_feed(spark, root + "/landing", spark.read.parquet(root + "/landing").schema, files_per_batch=1)
+    bars = sb.CorrectedBars(spark, root + "/parts", "1h")
+    bars.start(feed, root + "/_ckpt").awaitTermination()
+    return bars.bars().select(*KEYS, TS, *[rounded(c).alias(c) for c in PRICE_COLS])
+
+
+#: Bars that come after all others, and therefore late: those of 5 o'clock.
+_LATE_BARS = "date_part('hour', timestamp) = 5"
+
+
+def _rule_stream(spark, sf, name: str, late: bool):
+    root = _run_dir(spark, name)
+    bars = event_bars(spark, sf).select(*KEYS, TS, "close").withColumn("day", F.date_format(TS, "yyyy-MM-dd")).persist()
+    prompt = f"not ({_LATE_BARS})" if late else "true"
+    cuts = _CUTS[::3] + _CUTS[-1:] if late else _CUTS
+    _land(bars, root + "/landing", [f"day >= '{a}' and day < '{b}' and {prompt}" for a, b in zip(cuts, cuts[1:])] + ([_LATE_BARS] if late else []))
+    bars.unpersist()
+    feed = sb.file_feed(spark, root + "/landing", BARS_SCHEMA, files_per_batch=1)
+    rule = sb.RuleStream(spark, root + "/rule")
+    rule.start(feed, root + "/_ckpt").awaitTermination()
+    return rule
+
+
+@query("s3_stream_signals", f"WITH {bars_cte('1h')},\n{backtest_sql()}\nSELECT {KEYS_SQL}, signal, {q.r('confidence', 'confidence')} FROM bt")
 def s3_stream_signals(spark, sf):
-    """Streamed bars feed the EMA/RSI rule with per-series state; equals the
-    batch backtest on the closed bars."""
-    root = _run_dir(spark, "s3")
-    _stream_bars_to(spark, sf, root + "/bars")
-    # One trigger takes every file landed since the last one: a bar commit of
-    # the upstream stream is time-ordered per series only as a whole.
-    bars = sb.file_feed(spark, root + "/bars/out", BARS_SCHEMA)
-    _drain(sb.stream_rule_signals(bars), root + "/signals")
-    d = spark.read.schema(sb.SIGNAL_SCHEMA).parquet(root + "/signals/out")
+    """Five micro-batches of bars through the EMA/RSI rule, with the averages carried
+    in the state table; equals the batch backtest."""
+    d = _rule_stream(spark, sf, "s3", late=False).signals.read()
     return d.select(*KEYS, TS, "signal", rounded("confidence").alias("confidence"))
 
 
+_PROMPT = f"WITH {bars_cte('1h', 'allbars')}, bars AS (SELECT * FROM allbars WHERE NOT {_LATE_BARS}),\n{backtest_sql()}"
+
+
+@query(
+    "s3_late_bars",
+    f"""{_PROMPT}
+SELECT {KEYS_SQL}, signal, {q.r('confidence', 'confidence')} FROM bt
+UNION ALL SELECT symbol, timeframe, timestamp, 'late', NULL FROM allbars WHERE {_LATE_BARS}""",
+)
+def s3_late_bars(spark, sf):
+    """Bars that come after newer ones of their series take no part in the rule and lie in the
+    late table; the others equal the batch backtest without them."""
+    rule = _rule_stream(spark, sf, "s3l", late=True)
+    signals = rule.signals.read().select(*KEYS, TS, "signal", rounded("confidence").alias("confidence"))
+    return signals.unionByName(rule.late.read().select(*KEYS, TS, F.lit("late").alias("signal"), F.lit(None).cast("double").alias("confidence")))
+
+
 @query("s4_stream_score")
 def s4_stream_score(spark, sf):
     """A model fitted on the batch bars scores the bar stream; rows with
