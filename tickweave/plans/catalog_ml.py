@@ -1,7 +1,8 @@
 """Registered model queries.
 
-Model outputs depend on the learner, so these get the rows-only check,
-except F16 (stale registry entries), which is plain SQL.  All train on
+Model outputs depend on the learner, so most get the rows-only check; F7's
+boosting is checked by its key set and properties, F16 (stale registry entries) is
+plain SQL.  All train on
 indicator features of the 1h event bars with the next-bar target and a
 chronological 80 / 20 split per series.
 """
@@ -11,12 +12,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickweave.functions.core import rounded
+from tickweave.operators import boosting
 from tickweave.operators import labels as lab
 from tickweave.operators import ml
 from tickweave.operators import splits as spl
 from tickweave.operators.bars import latest_per_series
 from tickweave.operators.indicators import indicators
-from tickweave.plans.catalog import query
+from tickweave.plans import sqlbits as q
+from tickweave.plans.catalog import KEYS_SQL, query
+from tickweave.plans.catalog_eval import _D4_SQL
 from tickweave.plans.catalog_sources import scratch
 from tickweave.plans.inputs import event_bars, table
 from tickweave.schema import INDICATOR_COLS, KEYS, PRICE_COLS, TS
@@ -53,14 +57,22 @@ def f6_score_latest(spark, sf):
     return _scored_out(ml.score(model, last, keep=[*KEYS, TS]))
 
 
+_F7_SQL = f"""{_D4_SQL},
+n AS (SELECT *, row_number() OVER ({q.ORDER}) - 1 AS i, count(*) OVER ({q.SERIES}) AS n FROM l)
+SELECT {KEYS_SQL}, label, true AS distribution, true AS likeliest, true AS gains FROM n WHERE i >= floor(n * 0.8) AND timeframe = '1h'"""
+
+
+def _ternary(spark, sf):
+    d = lab.ternary_label(indicators(event_bars(spark, sf)).drop("_i"))  # hourly bars
+    d = lab.class_weights(lab.encode_labels(d), out="weight")
+    return spl.holdout(d, 0.2).drop("_i")
+
+
 @query("f7_multiclass_forest")
 def f7_multiclass_forest(spark, sf):
     """Ternary labels (D4) indexed (D5), balanced weights (D6), weighted
     random forest; predicted class mapped back to -1/0/1."""
-    d = indicators(event_bars(spark, sf)).drop("_i")
-    d = lab.ternary_label(d)
-    d = lab.class_weights(lab.encode_labels(d), out="weight")
-    d = spl.holdout(d, 0.2).drop("_i")
+    d = _ternary(spark, sf)
     model = ml.forest_model(FEATURES, "label_idx", "weight", numTrees=20, maxDepth=5).fit(d.filter(F.col("split") == "train"))
     s = model.transform(d.filter(F.col("split") == "test"))
     classes = d.select("label", "label_idx").distinct()
@@ -69,6 +81,24 @@ def f7_multiclass_forest(spark, sf):
     return s.select(*KEYS, TS, "label", F.col("pred_label").alias("pred"))
 
 
+@query("f7_multiclass_boosted", _F7_SQL)
+def f7_multiclass_boosted(spark, sf):
+    """The same rows through weighted softmax boosting: one row per test row, whether its
+    probabilities are a distribution and its prediction their maximum, and whether
+    the model gains on the weighted prior (the mean weighted log loss of the training rows
+    is below that of the class shares)."""
+    d = _ternary(spark, sf).checkpoint()
+    train = d.where("split = 'train'")
+    model = boosting.fit_boosted(train, FEATURES, "label_idx", 3, "weight", rounds=5)
+    loss = lambda p: F.avg(F.col("weight") * -F.log(F.element_at(p, F.col("label_idx") + 1)))
+    prior = boosting.BoostedClasses(FEATURES, model.start, [], model.step)
+    fitted, flat = (m.transform(train).agg(loss(F.col("probability"))).first()[0] for m in (model, prior))
+    p = F.col("probability")
+    fair = (F.abs(F.aggregate(p, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9) & F.forall(p, lambda x: x.between(0, 1))
+    s = model.transform(d.where("split = 'test'"))
+    return s.select(*KEYS, TS, "label", fair.alias("distribution"), (F.element_at(p, F.col("prediction") + 1) == F.array_max(p)).alias("likeliest"), F.lit(fitted < flat).alias("gains"))
+
+
 @query("f8_gbt_validation")
 def f8_gbt_validation(spark, sf):
     """Row and feature subsampling plus early stopping on the last 10 % of
