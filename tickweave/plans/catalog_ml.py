@@ -63,7 +63,8 @@ SELECT {KEYS_SQL}, label, true AS distribution, true AS likeliest, true AS gains
 
 
 def _ternary(spark, sf):
-    d = lab.ternary_label(indicators(event_bars(spark, sf)).drop("_i"))  # hourly bars
+    ensure_checkpoint_dir(spark)
+    d = lab.ternary_label(indicators(event_bars(spark, sf)).drop("_i")).checkpoint()  # hourly bars; the label and weight tables read it again
     d = lab.class_weights(lab.encode_labels(d), out="weight")
     return spl.holdout(d, 0.2).drop("_i")
 
@@ -89,7 +90,7 @@ def f7_multiclass_boosted(spark, sf):
     is below that of the class shares)."""
     d = _ternary(spark, sf).checkpoint()
     train = d.where("split = 'train'")
-    model = boosting.fit_boosted(train, FEATURES, "label_idx", 3, "weight", rounds=5)
+    model = boosting.fit_boosted(train, FEATURES, "label_idx", 3, "weight", rounds=3)
     loss = lambda p: F.avg(F.col("weight") * -F.log(F.element_at(p, F.col("label_idx") + 1)))
     prior = boosting.BoostedClasses(FEATURES, model.start, [], model.step)
     fitted, flat = (m.transform(train).agg(loss(F.col("probability"))).first()[0] for m in (model, prior))
