@@ -280,3 +280,13 @@ def test_top_k(spark):
 
 def test_top_k_empty(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>, score long"), F.lit(True)).count() == 0
+
+
+def test_top_k_refuses_components_beyond_a_long(spark):
+    df = spark.createDataFrame([(100, [4e6, 4e9]), (1, [4e6, 4e9])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="too large"):
+        topk.top_k(df, F.col("vec_id") == 100).collect()
+    most = 2.0**30 / 1024 - 2  # just inside, for two components
+    got = topk.top_k(spark.createDataFrame([(100, [most, -most]), (1, [most, -most]), (2, [-most, most])], df.schema), F.col("vec_id") == 100).collect()
+    v = int(1024 * most)
+    assert [(r["vec_id"], r["score"]) for r in got] == [(1, 2 * v * v), (2, -2 * v * v)]

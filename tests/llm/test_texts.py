@@ -71,6 +71,18 @@ def test_token_counts_equal_the_library(spark):
     assert counts.token_counts(docs.limit(0), path).count() == 0
 
 
+def test_token_counts_of_letters_that_leave_the_range_when_lowered():
+    import public_tokenizers as P
+
+    path = P.path("word_bpe_49k.json")
+    lib, count = counts.load(path), counts.counter(path, counts.whole_tokens(path))
+    odd = [c for c in map(chr, range(0x250)) if any(ord(x) > 0x24F for x in c.lower())]
+    assert len(odd) >= 20
+    for c in odd:
+        for w in (c, f"wor{c}king", f"information{c} {c}a", f"{c}1{c}", f"x'{c} don't{c}"):
+            assert count(w) == len(lib.encode(w, add_special_tokens=False).ids), w
+
+
 def test_whole_tokens_are_proved():
     import public_tokenizers as P
 

@@ -95,8 +95,16 @@ class ImpactIndex:
 
 
 def quantised(col: Column) -> Column:
-    """floor(1024 * x) of every component, x as double."""
-    return F.transform(col, lambda x: F.floor(F.lit(float(SCALE)) * x.cast("double")))
+    """floor(1024 * x) of every component, x as double.  A component so large that scores, or the
+    bounds on the way to them (up to four times a score), might not fit a long is an error."""
+    limit = F.sqrt(F.lit(2.0**61) / F.greatest(F.size(col), F.lit(1)))
+    message = F.lit("top_k: a component is too large for scores that fit a long")
+
+    def one(x: Column) -> Column:
+        y = F.lit(float(SCALE)) * x.cast("double")
+        return F.when(F.abs(y) + 1 >= limit, F.raise_error(message).cast("bigint")).otherwise(F.floor(y))
+
+    return F.transform(col, one)
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -104,7 +112,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
 
     Queries are the rows where ``is_query`` holds, candidates all rows with another
     id.  Rows with a null id, a null vector, or a null, NaN or infinite component
-    take no part; vectors of different lengths are never compared.  Equal ids are
+    take no part; a finite component beyond what scores in a long allow (about 185,000 in
+    a vector of 64) is an error; vectors of different lengths are never compared.  Equal ids are
     different candidates, each listed.  Fewer than ``k`` candidates give all.
     Query blocks meet vector blocks (a stated query set against all rows); each
     meeting keeps ``k`` rows a query before the final ranking.

@@ -90,10 +90,11 @@ def counter(path: str, single: set[str]):
     normal = tok.normalizer.normalize_str
 
     def plain(text: str) -> int:
-        if BEYOND_LATIN.search(text):
+        lower = text.lower()
+        if BEYOND_LATIN.search(text) or BEYOND_LATIN.search(lower):  # some letters leave the range when lowered
             words = any_split.findall(normal(text))
         else:  # such text is NFC already, and every kind of space only splits
-            words = LATIN_SPLIT.findall(text.lower())
+            words = LATIN_SPLIT.findall(lower)
         return sum(map(counts.__getitem__, words))
 
     def count(text: str) -> int:
