@@ -9,6 +9,7 @@ global group never puts all distinct scores in one task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -118,20 +119,41 @@ def _score_table(df: DataFrame, y: str, score: str, by: Sequence[str]) -> DataFr
     )
 
 
-def _running_by_score(t: DataFrame, by: Sequence[str], cols: Sequence[str], descending: bool, buckets: int) -> DataFrame:
+SCORES_PER_BUCKET = 50_000
+
+
+def _score_buckets(t: DataFrame, by: list[str], s: Column, buckets: int | None) -> DataFrame:
+    """``t`` with ``_sb``: the bucket of each distinct score within its group, in order of ``s``.
+
+    A group's scores are cut at approximate quantiles of its own distinct scores, into as many
+    buckets as the largest group needs for about ``SCORES_PER_BUCKET`` scores each (measured;
+    ``buckets`` states a number instead).  A row finds its bucket in two steps, among every
+    ``side``-th cut and then the ``side`` cuts behind it.
+    """
+    if buckets is None:
+        buckets = -(-(t.groupBy(*by).count().agg(F.max("count")).first()[0] or 1) // SCORES_PER_BUCKET)
+    if buckets < 2:
+        return t.withColumn("_sb", F.lit(0).cast("long"))
+    side = math.isqrt(buckets - 1) + 1
+    cuts = t.groupBy(*by).agg(F.percentile_approx(s.cast("double"), [i / buckets for i in range(1, buckets)], 10 * buckets).alias("_q"))
+    cuts = cuts.withColumn("_tops", F.filter("_q", lambda c, i: i % side == side - 1))
+    t = t.join(cuts, by, "left")
+    above = F.size(F.filter("_tops", lambda c: c <= s)) * side
+    t = t.withColumn("_sa", F.greatest(above, F.lit(0)))
+    near = F.size(F.filter(F.slice("_q", F.col("_sa") + 1, F.lit(side)), lambda c: c <= s))
+    return t.withColumn("_sb", (F.col("_sa") + F.greatest(near, F.lit(0))).cast("long")).drop("_q", "_tops", "_sa")
+
+
+def _running_by_score(t: DataFrame, by: Sequence[str], cols: Sequence[str], descending: bool, buckets: int | None) -> DataFrame:
     """Running sums of ``cols`` in score order, *excluding* the current score.
 
-    Scores are cut at approximate quantiles of the distinct scores, ``buckets``
-    of them for every ten million rows or so, whatever their range; bucket
-    totals are carried over a small per-bucket table and the in-bucket running
-    sum is a window over one bucket only.
+    Bucket totals (see ``_score_buckets``) are carried over a small per-bucket table and the
+    in-bucket running sum is a window over one bucket only.  Null scores come first, NaN last
+    (``descending``: first).
     """
     by = list(by)
     s = -F.col("score") if descending else F.col("score")
-    cuts = t.agg(F.percentile_approx(s.cast("double"), [i / buckets for i in range(1, buckets)], 10 * buckets).alias("q")).first()["q"] or []
-    cuts = F.array(*[F.lit(float(c)) for c in sorted(set(cuts))]).cast("array<double>")
-    # NaN and null scores share the last bucket.
-    t = t.withColumn("_sb", F.coalesce(F.size(F.filter(cuts, lambda c: c <= s)), F.lit(buckets)))
+    t = _score_buckets(t, by, s, buckets)
     tot = t.groupBy(*by, "_sb").agg(*[F.sum(c).alias(f"_bt_{c}") for c in cols])
     bw = Window.partitionBy(*by).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select(*by, "_sb", *[F.coalesce(F.sum(f"_bt_{c}").over(bw), F.lit(0)).alias(f"_bp_{c}") for c in cols])
@@ -143,7 +165,7 @@ def _running_by_score(t: DataFrame, by: Sequence[str], cols: Sequence[str], desc
     )
 
 
-def roc_auc(df: DataFrame, y: str = "y", score: str = "score", by: Sequence[str] = (), buckets: int = 1024) -> DataFrame:
+def roc_auc(df: DataFrame, y: str = "y", score: str = "score", by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """Exact ROC AUC with tied scores averaged (Mann-Whitney form):
     ``sum_s pos_s * (neg below s + neg at s / 2) / (P * N)``."""
     df, by, drop = _grouped(df, by)
@@ -156,14 +178,14 @@ def roc_auc(df: DataFrame, y: str = "y", score: str = "score", by: Sequence[str]
     ).drop(*drop)
 
 
-def pr_curve(df: DataFrame, y: str = "y", score: str = "score", by: Sequence[str] = (), buckets: int = 1024, eps: float = 1e-12) -> DataFrame:
+def pr_curve(df: DataFrame, y: str = "y", score: str = "score", by: Sequence[str] = (), buckets: int | None = None, eps: float = 1e-12) -> DataFrame:
     """The precision-recall curve, one row per distinct score (the
     threshold): ``threshold, precision, recall, f1 = 2pr / (p + r + eps)``."""
     t, by, drop = _curve(df, y, score, by, buckets, eps)
     return t.select(*by, F.col("score").alias("threshold"), "precision", "recall", "f1").drop(*drop)
 
 
-def best_f1_threshold(df: DataFrame, y: str = "y", score: str = "score", by: Sequence[str] = (), buckets: int = 1024, eps: float = 1e-12) -> DataFrame:
+def best_f1_threshold(df: DataFrame, y: str = "y", score: str = "score", by: Sequence[str] = (), buckets: int | None = None, eps: float = 1e-12) -> DataFrame:
     """The threshold of the precision-recall curve with the best F1
     (lowest threshold on ties, like ``argmax`` over increasing thresholds)."""
     t, by, drop = _curve(df, y, score, by, buckets, eps)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickweave.operators.scan import offsets
 from tickweave.operators.series import IDX, ensure_index, keys_of
 from tickweave.schema import KEYS, TS
 
@@ -27,6 +28,9 @@ def holdout(df: DataFrame, ratio: float = 0.2, keys=KEYS, out: str = "split") ->
     return d.withColumn(out, F.when(F.col(IDX) < cut, F.lit("train")).otherwise(F.lit("test"))).drop("_n")
 
 
+HASH_BUCKETS = 1 << 20
+
+
 def hash_fraction(*cols, seed: int = 42) -> Column:
     """Repeatable uniform number in [0, 1) from the row key (no RNG state): the
     first 32 bits of the md5 of ``seed|col|col...`` as text, so any SQL engine
@@ -41,20 +45,19 @@ def random_split(df: DataFrame, ratio: float = 0.2, keys=KEYS, ts: str = TS, see
     ``stratify``: inside each class, rows are ranked by the hash and the top
     ``ratio`` share goes to test, so class shares match exactly (like a
     stratified split).  The rank runs per (class, hash bucket) with bucket
-    offsets from a small count table, so a big class is not one task.
+    offsets from a multi-level sum of bucket counts, so a big class is not one task;
+    there are 2^20 buckets, so a bucket holds a millionth of its class.
     """
     u = hash_fraction(*keys_of(keys), ts, seed=seed)
     if stratify is None:
         return df.withColumn(out, F.when(u < F.lit(ratio), F.lit("test")).otherwise(F.lit("train")))
-    d = df.withColumn("_u", u).withColumn("_ub", F.floor(F.col("_u") * 1024).cast("int"))
+    d = df.withColumn("_u", u).withColumn("_ub", F.floor(F.col("_u") * HASH_BUCKETS).cast("long"))
     cnt = d.groupBy(stratify, "_ub").agg(F.count(F.lit(1)).alias("_c"))
-    cnt = cnt.select(
-        stratify,
-        "_ub",
-        F.coalesce(F.sum("_c").over(Window.partitionBy(stratify).orderBy("_ub").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-        F.sum("_c").over(Window.partitionBy(stratify)).alias("_nc"),
-    )
-    d = d.join(cnt, [stratify, "_ub"], "left")
+    sizes = cnt.groupBy(F.col(stratify).alias("_class")).agg(F.sum("_c").alias("_nc"))
+    cnt = offsets(cnt.withColumnRenamed(stratify, "_class").withColumnRenamed("_ub", "_cb"), ["_class"], "_cb", "_c", "_off")
+    same = F.col(stratify).eqNullSafe(F.col("_class"))  # rows without a class are a class
+    d = d.join(cnt, same & (F.col("_ub") == F.col("_cb")), "left").drop("_class", "_cb")
+    d = d.join(sizes, same, "left").drop("_class")
     rank = F.col("_off") + F.row_number().over(Window.partitionBy(stratify, "_ub").orderBy("_u", *keys_of(keys), ts)) - 1
     n_test = F.ceil(F.col("_nc") * F.lit(ratio))
     return d.withColumn(out, F.when(rank < n_test, F.lit("test")).otherwise(F.lit("train"))).drop("_u", "_ub", "_off", "_nc")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickweave.functions.core import from_epoch_us
+from tickweave.functions.core import epoch_us, from_epoch_us, tf_seconds
 from tickweave.schema import KEYS, KLINE_FIELDS, PRICE_COLS, TS
 
 # File names skipped by discovery (signal logs, reports).
@@ -72,9 +72,20 @@ def read_parquet(spark: SparkSession, paths: str | Sequence[str], merge_schema:
     return spark.read.option("mergeSchema", merge_schema).parquet(*paths)
 
 
-def write_series_parquet(df: DataFrame, path: str, keys: Sequence[str] = KEYS, mode: str = "overwrite") -> None:
-    """A5: one folder per series (``partitionBy``), so reads prune by key."""
-    df.write.mode(mode).partitionBy(*keys).parquet(path)
+def write_series_parquet(df: DataFrame, path: str, keys: Sequence[str] = KEYS, mode: str = "overwrite", ts: str = TS, file_rows: int = 1_000_000) -> None:
+    """A5: one folder per series (``partitionBy``), so reads prune by key.
+
+    Rows are first dealt out by series and time range and sorted by time, so a
+    series' folder has about one file per ``file_rows`` bars (not one per task that held
+    some), each over a range of time.  A range is ``file_rows`` times the bar length; rows of
+    unknown timeframe are ranged by row hash and split by size only.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    step = tf_seconds("timeframe") if "timeframe" in df.columns else F.lit(None).cast("long")
+    spread = F.floor(epoch_us(df, ts) / (step * F.lit(1_000_000 * file_rows)))
+    placed = df.withColumn("_range", F.coalesce(spread.cast("long"), F.pmod(F.xxhash64(ts), F.lit(16))))
+    out = placed.repartition(*keys, "_range").sortWithinPartitions(*keys, ts).drop("_range")
+    out.write.option("maxRecordsPerFile", file_rows).mode(mode).partitionBy(*keys).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, keys: Sequence[str] | None = KEYS, mode: str = "overwrite", time_format: str = "yyyy-MM-dd HH:mm:ss") -> None:
