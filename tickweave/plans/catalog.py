@@ -168,6 +168,15 @@ def backtest_sql(p: str = "", src: str = "bars", out: str = "bt") -> str:
 _BACKTEST_SQL = backtest_sql()
 
 
+@query(
+    "e1_rule",
+    with_bars(f"{_BACKTEST_SQL}\nSELECT {KEYS_SQL}, {q.r('ema12', 'ema12')}, {q.r('ema26', 'ema26')}, {q.r('rsi', 'rsi')}, signal, {q.r('confidence', 'confidence')} FROM r JOIN bt USING ({KEYS_SQL})"),
+)
+def e1_rule(spark, sf):
+    """The rule with the averages and the RSI that it decides by."""
+    return out(ema_rsi_backtest(event_bars(spark, sf), keep_indicators=True), ["ema12", "ema26", "rsi", "confidence"], ["signal"])
+
+
 @query(
     "e2_backtest",
     with_bars(f"{_BACKTEST_SQL}\nSELECT {KEYS_SQL}, signal, {q.r('confidence', 'confidence')} FROM bt"),

@@ -206,6 +206,25 @@ def b1_canonical(spark, sf):
     return out(clean.canonical(clean.require_columns(b, PRICE_COLS)), VALS)
 
 
+@query(
+    "b2_required_columns",
+    with_bars("""o AS (SELECT * FROM bars)
+SELECT 'all' AS frame, count(*) AS n, '' AS missing FROM o
+UNION ALL SELECT 'no volume', NULL, 'volume' UNION ALL SELECT 'times only', NULL, 'open,high,low,close,volume'"""),
+)
+def b2_required_columns(spark, sf):
+    """Frames with all, all but one and none of the price columns: rows, or the columns the refusal names."""
+    b = event_bars(spark, sf)
+    frames = []
+    for name, df in (("all", b), ("no volume", b.drop("volume")), ("times only", b.select(*KEYS, TS))):
+        try:
+            frames.append(clean.require_columns(df, PRICE_COLS).agg(F.count("*").alias("n")).select(F.lit(name).alias("frame"), "n", F.lit("").alias("missing")))
+        except ValueError as e:
+            named = ",".join(c for c in PRICE_COLS if f"'{c}'" in str(e))
+            frames.append(b.limit(1).select(F.lit(name).alias("frame"), F.lit(None).cast("long").alias("n"), F.lit(named).alias("missing")))
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
 @query(
     "b3_parse_utc",
     """SELECT event_id, ts AS timestamp,

@@ -22,7 +22,7 @@ from tickweave.plans import sqlbits as q
 from tickweave.plans.catalog import KEYS_SQL, query
 from tickweave.plans.catalog_eval import _D4_SQL
 from tickweave.plans.catalog_sources import scratch
-from tickweave.plans.inputs import event_bars, table
+from tickweave.plans.inputs import bars_cte, event_bars, table
 from tickweave.schema import INDICATOR_COLS, KEYS, PRICE_COLS, TS
 from tickweave.session import ensure_checkpoint_dir
 
@@ -114,6 +114,18 @@ def f8_gbt_validation(spark, sf):
     return _scored_out(s).withColumn("trees", F.lit(model.stages[-1].getNumTrees))
 
 
+@query(
+    "f9_validation_rows",
+    f"""WITH {bars_cte('1h')}, n AS (SELECT *, row_number() OVER ({q.ORDER}) - 1 AS i, count(*) OVER ({q.SERIES}) AS n FROM bars),
+t AS (SELECT *, floor(n * CAST(0.8 AS DOUBLE)) AS m FROM n)
+SELECT {KEYS_SQL}, i >= floor(m * CAST(0.9 AS DOUBLE)) AS is_val FROM t WHERE i < m""",
+)
+def f9_validation_rows(spark, sf):
+    """The rows that early stopping watches: the last tenth of each series' training rows."""
+    d = ml.chronological_validation(spl.holdout(event_bars(spark, sf), 0.2), 0.1)
+    return d.select(*KEYS, TS, "is_val")
+
+
 @query("f10_scaled_logistic")
 def f10_scaled_logistic(spark, sf):
     d = model_frame(spark, sf)
