@@ -17,9 +17,11 @@ nearest examples are the evidence.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from tickweave.llm.spark import crc_mod, cut, table
 
 MAX_TOXIC, MAX_CLEAN = 1500, 3000  # bound of the labelled sample
-DENSE = 2048  # most frequent terms, kept as a matrix
+DENSE = 4096  # most frequent terms, kept as a matrix
 FLOOR = 0.01  # least weight factor of a term, however little it is associated with a label
 NEIGHBOURS = 15
 BLOCK = 512
@@ -49,26 +51,22 @@ def word_terms(word: str) -> list[str]:
 
 
 class Terms(dict):
-    """token between white space -> its words' terms, as numbers in the vocabulary, remembered (bounded)."""
+    """word -> its terms, as numbers in the vocabulary (32-bit, as bytes), remembered (bounded)."""
 
     def __init__(self, vocabulary: dict[str, int]):
         super().__init__()
         self.vocabulary = vocabulary
 
-    def __missing__(self, token: str) -> np.ndarray:
+    def __missing__(self, word: str) -> bytes:
         if len(self) >= MEMO_WORDS:
             self.clear()
-        v = self.vocabulary
-        out = np.array([v[t] for word in WORDS.findall(token) for t in word_terms(word) if t in v], dtype=np.int32)
-        self[token] = out
+        out = array("i", [n for n in map(self.vocabulary.get, word_terms(word)) if n is not None]).tobytes()
+        self[word] = out
         return out
 
     def found(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """The terms of a text, ascending, and how often each stands in it."""
-        ids = [*map(self.__getitem__, text.lower().split())]
-        if not ids:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        all_ids = np.sort(np.concatenate(ids))
+        all_ids = np.sort(np.frombuffer(b"".join(map(self.__getitem__, WORDS.findall(text.lower()))), dtype=np.int32))
         first = np.flatnonzero(np.diff(all_ids, prepend=-1))
         return all_ids[first].astype(np.int64), np.diff(np.append(first, len(all_ids)))
 
@@ -89,10 +87,27 @@ class Index:
     weight: np.ndarray
     ptr: np.ndarray
     block_max: np.ndarray
-    dense: np.ndarray
+    frequent_ptr: np.ndarray  # every example's part of the matrix, as (term, weight) runs
+    frequent_term: np.ndarray
+    frequent_weight: np.ndarray
     prior: float
     curve: tuple[np.ndarray, np.ndarray] = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
+    @cached_property
+    def terms(self) -> Terms:
+        """Kept with the index, so that all tasks of a worker share what they remember."""
+        return Terms(self.vocabulary)
+
+    @cached_property
+    def dense(self) -> np.ndarray:
+        """The matrix: examples x most frequent terms, filled once per process."""
+        out = np.zeros((len(self.ids), min(DENSE, len(self.vocabulary))), dtype=np.float32)
+        out[np.repeat(np.arange(len(out)), np.diff(self.frequent_ptr)), self.frequent_term] = self.frequent_weight
+        return out
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("terms", "dense")}
+
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
         terms = np.fromiter(counts.keys(), dtype=np.int64, count=len(counts))
         order = np.argsort(terms)
@@ -165,26 +180,37 @@ def build_index(vocabulary: list[str], df: np.ndarray, examples: list[tuple[obje
     idf = np.log((1.0 + rows) / (1.0 + df @ np.array(share))) + 1.0 if len(vocabulary) else np.zeros(0)
     idf = np.maximum(idf, 1e-3) * relevance(df, n)
     few = min(DENSE, len(vocabulary))
-    index = Index(dict(zip(vocabulary, range(len(vocabulary)))), idf, [], np.zeros(0), np.zeros(0), *[np.zeros(0, dtype=np.int64)] * 2, np.zeros(1, dtype=np.int64), np.zeros((0, len(vocabulary))), np.zeros((0, few), dtype=np.float32), (totals[1] + 0.5) / (rows + 1.0))
-    vectors = [(e, index.weighted(e[2], e[3].astype(np.float64))) for e in examples]
+    index = Index(dict(zip(vocabulary, range(len(vocabulary)))), idf, [], np.zeros(0), np.zeros(0), *[np.zeros(0, dtype=np.int64)] * 2, np.zeros(1, dtype=np.int64), np.zeros((0, len(vocabulary))), np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int16), np.zeros(0, dtype=np.float32), (totals[1] + 0.5) / (rows + 1.0))
+    vectors = []
+    for e in examples:
+        terms, w = index.weighted(e[2], e[3].astype(np.float64))
+        vectors.append((e, (terms, w.astype(np.float32))))
     # like examples share blocks: by label, then heaviest term
     vectors.sort(key=lambda x: (x[0][1], int(x[1][0][np.argmax(x[1][1])]) if len(x[1][0]) else -1, str(x[0][0])))
     size, blocks = max(1, len(vocabulary)), -(-len(vectors) // BLOCK)
+    rare = [np.searchsorted(t, few) for _, (t, _) in vectors]  # where a vector's postings begin
+    ends = np.concatenate(([0], np.cumsum([len(t) - n for n, (_, (t, _)) in zip(rare, vectors)]))).astype(np.int64)
+    key = np.zeros(ends[-1], dtype=np.int32 if blocks * size < 1 << 31 else np.int64)  # block, then term
+    local, weight = np.zeros(ends[-1], dtype=np.int16), np.zeros(ends[-1], dtype=np.float32)
     if vectors:
-        index.dense = np.concatenate([index_rows(v, few) for _, v in vectors])
-    rare = [(v[0][v[0] >= few], v[1][v[0] >= few]) for _, v in vectors]
-    at = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in rare])
-    term = np.concatenate([t for t, _ in rare]) if vectors else np.zeros(0, dtype=np.int64)
-    w = (np.concatenate([x for _, x in rare]) if vectors else np.zeros(0)).astype(np.float32)
-    key = at // BLOCK * size + term
+        index.frequent_ptr = np.concatenate(([0], np.cumsum(rare)))
+        index.frequent_term = np.concatenate([t[:n].astype(np.int16) for n, (_, (t, _)) in zip(rare, vectors)])
+        index.frequent_weight = np.concatenate([w[:n] for n, (_, (_, w)) in zip(rare, vectors)])
+    for i, (n, (_, (t, w))) in enumerate(zip(rare, vectors)):
+        own = slice(ends[i], ends[i + 1])
+        key[own], local[own], weight[own] = i // BLOCK * size + t[n:], i % BLOCK, w[n:]
     order = np.argsort(key, kind="stable")
+    index.local, index.weight = local[order], weight[order]
     top = np.zeros(blocks * size, dtype=np.float32)
-    np.maximum.at(top, key, w)
+    n = np.bincount(key, minlength=blocks * size)
+    if len(key):
+        filled = n > 0
+        top[filled] = np.maximum.reduceat(index.weight, (np.cumsum(n) - n)[filled])
+    index.ptr = np.concatenate(([0], np.cumsum(n))).astype(np.int32 if len(key) < 1 << 31 else np.int64)
+    del key, local, weight, order, n
     index.ids = [e[0] for e, _ in vectors]
     index.labels = np.array([float(e[1]) for e, _ in vectors])
     index.weights = np.array([share[e[1]] for e, _ in vectors])
-    index.local, index.weight = (at % BLOCK)[order].astype(np.int16), w[order]
-    index.ptr = np.searchsorted(key[order], np.arange(blocks * size + 1)).astype(np.int32 if len(key) < 1 << 31 else np.int64)
     index.block_max = top.reshape(blocks, size)
     raw = np.array([index.vote(*got) for got in index.all_nearest([v for _, v in vectors], apart=True)])
     index.curve = isotonic(raw, index.labels, index.weights, index.prior)
@@ -202,14 +228,6 @@ def relevance(df: np.ndarray, n: list[int]) -> np.ndarray:
     return np.maximum(np.abs(z), FLOOR)
 
 
-def index_rows(vector: tuple[np.ndarray, np.ndarray], few: int) -> np.ndarray:
-    """The matrix row of a vector: its weights of the first ``few`` terms."""
-    out = np.zeros((1, few), dtype=np.float32)
-    frequent = vector[0] < few
-    out[0, vector[0][frequent]] = vector[1][frequent]
-    return out
-
-
 def isotonic(raw: np.ndarray, labels: np.ndarray, weights: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
     """Points of a non-decreasing curve from raw votes to label rates (pooled adjacent violators)."""
     if len(raw) == 0:
@@ -253,6 +271,7 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     found = found.append_column("n", pa.compute.add(found["d0"], found["d1"])).sort_by([("n", "descending"), ("t", "ascending")])
     vocabulary = found["t"].to_pylist()
     df = np.stack([found[c].to_numpy() for c in ("d0", "d1")], axis=1)
+    del found
     numbers = dict(zip(vocabulary, range(len(vocabulary))))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +282,7 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
 
     id_type = sample.schema["_id"].dataType.simpleString()
     rows = sample.select("_id", "_y", "_text").mapInArrow(vectors, f"_id {id_type}, _y int, t array<int>, c array<int>").toArrow()  # bounded by the sample
-    pairs = [[x.values.to_numpy().astype(np.int64) for x in rows[c].combine_chunks()] if rows.num_rows else [] for c in "tc"]
+    pairs = [[x.values.to_numpy() for x in rows[c].combine_chunks()] if rows.num_rows else [] for c in "tc"]
     examples = sorted(zip(rows["_id"].to_pylist(), rows["_y"].to_pylist(), *pairs), key=lambda e: str(e[0]))
     return build_index(vocabulary, df, examples, (totals.get(0, 0), totals.get(1, 0)))
 
@@ -283,7 +302,7 @@ def toxicity(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = index.value
-        memo = Terms(ix.vocabulary)
+        memo = ix.terms
         blank = ix.score(ix.vote(np.zeros(0, dtype=np.int64), np.zeros(0)))
         kind = pa.list_(pa.struct([("id", pa.int64() if id_type == "bigint" else pa.string()), ("label", pa.int32()), ("cosine", pa.float64())]))
         for b in batches:
