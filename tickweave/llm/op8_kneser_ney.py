@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tickweave.llm.spark import crc_mod, cut, fresh_path, parts, table
 from tickweave.llm.text import U64, chunks, utf8, word_hashes
 
+MOST_WORDS = (1 << 32) - 1  # a bigram key holds two word numbers
 END = U64(0xE17A1465C0FFEE01)  # the end token among the word hashes
 SHARD_BYTES = 32 << 20  # text behind one shard
 CHUNK = 4 << 20
@@ -107,15 +108,19 @@ class Tally:
 
 
 def pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    return keys.astype(np.uint64).tobytes() + counts.astype(np.uint32).tobytes()
+    """Keys and counts, after a number that says in how many bytes a count stands (4, or 8 if need be)."""
+    width = 4 if not len(counts) or int(counts.max()) < 1 << 32 else 8
+    return np.uint64(width).tobytes() + keys.astype(np.uint64).tobytes() + counts.astype(f"u{width}").tobytes()
 
 
 def unpack(payloads: pa.ChunkedArray) -> Tally:
     out = Tally()
     for p in payloads:
         raw = p.as_buffer()
-        n = len(raw) // 12
-        out.add(np.frombuffer(raw, np.uint64, n), np.frombuffer(raw, np.uint32, n, 8 * n).astype(np.int64))
+        if len(raw):
+            width = int(np.frombuffer(raw, np.uint64, 1)[0])
+            n = (len(raw) - 8) // (8 + width)
+            out.add(np.frombuffer(raw, np.uint64, n, 8), np.frombuffer(raw, f"u{width}", n, 8 + 8 * n).astype(np.int64))
     return out
 
 
@@ -167,9 +172,9 @@ class Lookup:
         get = lambda name, kind: [map_array(model.folder, f"{name}-{s}", kind) for s in shards]
         self.hashes = get("vocab-hash", np.uint64)
         if scoring:
-            self.counts, self.cont = get("vocab-count", np.uint32), get("cont", np.uint32)
-            self.keys, self.grams = get("gram-key", np.uint64), get("gram-count", np.uint32)
-            self.total, self.kinds = get("ctx-total", np.uint64), get("ctx-kinds", np.uint32)
+            self.counts, self.cont = get("vocab-count", np.uint64), get("cont", np.uint64)
+            self.keys, self.grams = get("gram-key", np.uint64), get("gram-count", np.uint64)
+            self.total, self.kinds = get("ctx-total", np.uint64), get("ctx-kinds", np.uint64)
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """Ids of sorted distinct hashes, -1 where unknown."""
@@ -249,7 +254,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
         s = group.column("shard")[0].as_py()
         k, n = unpack(group.column("payload")).merge()
         write_array(folder, f"vocab-hash-{s}", k)
-        write_array(folder, f"vocab-count-{s}", n.astype(np.uint32))
+        write_array(folder, f"vocab-count-{s}", n.astype(np.uint64))
         return pa.table({"shard": pa.array([s], pa.int32()), "words": pa.array([len(k)], pa.int64()), "tokens": pa.array([int(n.sum())], pa.int64())})
 
     every = spark.range(shards).select(F.col("id").cast("int").alias("shard"), F.lit(b"").alias("payload"))  # each shard writes its files, empty ones too
@@ -258,6 +263,8 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     for r in counted:
         words[r["shard"]] = r["words"]
     model = Model(folder, np.concatenate(([0], np.cumsum(words))).astype(np.int64), sum(r["tokens"] for r in counted))
+    if model.size >= MOST_WORDS:
+        raise ValueError(f"{model.size} distinct words; a bigram's key holds word numbers below {MOST_WORDS}")
 
     def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look, tally = Lookup(model, False), Tally()
@@ -288,10 +295,10 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
         width = int(model.offsets[s + 1]) - lo + (s == shards - 1)
         ctx = (k >> U64(32)).astype(np.int64) - lo
         write_array(folder, f"gram-key-{s}", k)
-        write_array(folder, f"gram-count-{s}", n.astype(np.uint32))
+        write_array(folder, f"gram-count-{s}", n.astype(np.uint64))
         write_array(folder, f"ctx-total-{s}", np.bincount(ctx, n, width).astype(np.uint64))
         kinds = [np.bincount(ctx[m], minlength=width) for m in (n == 1, n == 2, n >= 3)]
-        write_array(folder, f"ctx-kinds-{s}", np.stack(kinds, axis=1).astype(np.uint32))
+        write_array(folder, f"ctx-kinds-{s}", np.stack(kinds, axis=1).astype(np.uint64))
         after, types = np.unique(k & U64(0xFFFFFFFF), return_counts=True)
         to = np.searchsorted(model.offsets[1:], after.astype(np.int64), side="right")
         rows = [*spread(to, after, types, shards)]
@@ -302,7 +309,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     def merge_conts(group: pa.Table) -> pa.Table:
         s = group.column("shard")[0].as_py()
         k, n = unpack(group.column("payload")).merge()
-        cont = np.zeros(int(model.offsets[s + 1] - model.offsets[s]), dtype=np.uint32)
+        cont = np.zeros(int(model.offsets[s + 1] - model.offsets[s]), dtype=np.uint64)
         cont[k.astype(np.int64) - model.offsets[s]] = n
         write_array(folder, f"cont-{s}", cont)
         stat = np.array([*(int((n == c).sum()) for c in (1, 2, 3, 4)), len(n)], dtype=np.int64).tobytes()
