@@ -205,10 +205,23 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, id_co
         start = runs(tokens)
         low, high = np.minimum.reduceat(owners, start), np.maximum.reduceat(owners, start)
         keys, n = np.unique(low[low == high], return_counts=True)
-        return pa.table({"k": pa.array(keys, pa.int64()), "u": pa.array(n, pa.int64())})
+        part = (mix(keys.view(np.uint64)) % U64(buckets)).astype(np.int64)
+        by = np.argsort(part, kind="stable")  # one row for all answers that meet in a task, not one per set
+        at = np.searchsorted(part[by], np.arange(buckets + 1))
+        some = np.flatnonzero(np.diff(at))
+        answers = [keys[by[at[i] : at[i + 1]]].tobytes() + n[by[at[i] : at[i + 1]]].astype(np.int64).tobytes() for i in some]
+        return pa.table({"part": pa.array(some, pa.int32()), "answers": pa.array(answers, pa.binary())})
+
+    def add_up(group: pa.Table) -> pa.Table:
+        got = [np.frombuffer(x, np.int64).reshape(2, -1) for x in group.column("answers").to_pylist()]
+        keys, n = np.concatenate(got, axis=1)
+        by = np.argsort(keys, kind="stable")
+        start = runs(keys[by])
+        return pa.table({"k": pa.array(keys[by][start], pa.int64()), "u": pa.array(np.add.reduceat(n[by], start), pa.int64())})
 
     described = cut(d.mapInArrow(describe, "_id long, n long, key binary"), "jaccard-sets")
-    single = d.mapInArrow(probe, PACKED).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(alone, "k long, u long").groupBy("k").agg(F.sum("u").alias("u"))
+    single = d.mapInArrow(probe, PACKED).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(alone, "part int, answers binary")
+    single = single.repartition(buckets, "part").groupBy("part").applyInArrow(add_up, "k long, u long")
     lead = described.where("n > 0 and _id is not null").mapInArrow(_with_long_key, "_id long, n long, key binary, k long").groupBy("key", "n", "k").agg(F.min("_id").alias("rep"))
     alive = cut(lead.join(single, "k", "left").where(F.expr(f"coalesce(u, 0) <= n * {100 - percent} div 100")).select("rep", "n", "key"), "jaccard-alive")
 
