@@ -46,6 +46,38 @@ def test_bpe_equals_the_library_and_round_trips(spark):
     assert bpe.encode(docs.limit(0), path, P.PATTERN).count() == 0
 
 
+def test_bpe_round_trip_in_one_pass(spark):
+    import hashlib
+
+    import public_tokenizers as P
+    import tiktoken
+
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    lib = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in enumerate(ODD)] + [(None, "word " * 60_000, 1, "x"), (3, "same", 1, None)], "doc_id long, text string, n_tokens int, decoded string")
+    rows = bpe.round_trip(docs, path, P.PATTERN, ("ids", "ids_text", "decoded", "same")).join(docs.select("doc_id", "text"), "doc_id").collect()
+    assert len(rows) == len(ODD) + 3  # id 3 stands twice on both sides
+    for r in rows:
+        if r["doc_id"] != 3:
+            ids = lib.encode_ordinary(r["text"] or "")
+            assert (r["ids"], r["n_tokens"], r["ids_text"], bytes(r["decoded"]), r["same"]) == (ids, len(ids), ",".join(map(str, ids)), (r["text"] or "").encode(), True)
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in bpe.op2_bpe(spark, SF).collect():
+        ids = lib.encode_ordinary(texts[r["doc_id"]])
+        assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest() and r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+
+
+def test_restated_split_pattern_equals_the_real_one():
+    import public_tokenizers as P
+    import regex
+
+    real, rnd = regex.compile(P.PATTERN), random.Random(7)
+    letters = [chr(c) for c in range(0x250)]
+    for _ in range(4000):
+        text = "".join(rnd.choice(letters if rnd.random() < 0.5 else " \n'stRe19ld.é\xa0\x85") for _ in range(rnd.randint(0, 40)))
+        assert bpe.LATIN_PATTERN.findall(text) == real.findall(text)
+
+
 def test_bpe_folds_in_spark(spark):
     import public_tokenizers as P
 
@@ -148,6 +180,16 @@ def test_kneser_ney_equals_brute_force(spark):
         assert sum(p(a, b) for b in uni) + p(a, "never seen") == pytest.approx(1.0)
 
 
+def test_kneser_ney_counts_beyond_32_bits():
+    import pyarrow as pa
+
+    keys, small, large = np.array([3, 9], np.uint64), np.array([1, 2]), np.array([2**32 + 5, 2**40])
+    rows = pa.chunked_array([pa.array([lm.pack(keys, small), b"", lm.pack(keys, large), lm.pack(keys[:0], small[:0])], pa.binary())])
+    k, n = lm.unpack(rows).merge()
+    assert k.tolist() == [3, 9] and n.tolist() == [2**32 + 6, 2**40 + 2]
+    assert len(lm.pack(keys, small)) == 8 + 2 * 12
+
+
 def test_kneser_ney_without_training(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], DOC)
     got = {r["doc_id"]: r for r in lm.score(docs, lm.train(docs.limit(0))).collect()}

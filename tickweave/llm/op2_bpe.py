@@ -6,7 +6,7 @@ frequent of them with higher-order functions, looking ranks up in a literal
 rank map (bytes in hex, hashed into small maps).  These words cover nearly all
 of a corpus and go to the workers with the vocabulary; a worker merges a rarer
 word by the same ranked merges when it meets one (remembered, bounded).
-Decoding concatenates the tokens' bytes.
+Decoding concatenates the tokens' bytes; ``round_trip`` does both in one pass.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import base64
 import heapq
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from zlib import crc32
 
 import numpy as np
@@ -24,10 +24,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.llm.spark import cut, table
+from tickweave.llm.text import chunks
 
 FOLDED_WORDS = 32_768  # bound of the table of folded words that goes to the workers
 FOLDED_BYTES = 64  # longer words are left to the workers
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
 RANK_BUCKETS = 16_384
 
 #: Fixed: the split pattern of the rank files, restated for code points up to U+024F.
@@ -132,6 +133,47 @@ class _Words(dict):
         return out
 
 
+class _Encoder:
+    """Encodes the texts of one worker."""
+
+    def __init__(self, ranks_path: str, pattern: str, folded_ids: dict[str, list[int]]):
+        import regex
+
+        self.any_text, self.words = regex.compile(pattern), _Words(read_ranks(ranks_path), folded_ids)
+
+    def lists(self, texts: list[str | None]) -> pa.ListArray:
+        rows = []
+        for text in texts:
+            found = (self.any_text if BEYOND_LATIN.search(text) else LATIN_PATTERN).findall(text) if text else ()
+            rows.append(b"".join(map(self.words.__getitem__, found)))
+        offsets = np.concatenate(([0], np.cumsum([len(r) // 4 for r in rows]))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), np.int32)))
+
+
+def _pieces(ranks_path: str) -> pa.LargeBinaryArray:
+    """The bytes of every id (null: no such id)."""
+    by_id = {i: p for p, i in read_ranks(ranks_path).items()}
+    return pa.array([by_id.get(i) for i in range(max(by_id) + 1)], pa.large_binary())
+
+
+def _joined(pieces: pa.LargeBinaryArray, lists: pa.ListArray) -> list[bytes | None]:
+    """For every list of ids its pieces' bytes, one after the other (null: null)."""
+    joined = pieces.take(lists.flatten())
+    if joined.null_count:
+        raise ValueError("decode: an id is not in the vocabulary")
+    ends = np.frombuffer(joined.buffers()[1], np.int64, len(joined) + 1, 8 * joined.offset)
+    data = joined.buffers()[2]
+    at = ends[np.concatenate(([0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))).astype(np.int64)]
+    valid = lists.is_valid().to_pylist()
+    if data is None:
+        return [b"" if v else None for v in valid]
+    return [data[i:j].to_pybytes() if v else None for i, j, v in zip(at[:-1].tolist(), at[1:].tolist(), valid)]
+
+
+def _schema(df: DataFrame, kept: list[str], made: dict[str, str]) -> str:
+    return ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept), *(f"{c} {t}" for c, t in made.items())])
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``ids array<int>``: every whole text's tokens, each match of ``pattern``
     (the split pattern of the rank files) merged separately, no special tokens.
@@ -140,26 +182,16 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     other columns are kept, one named ``ids`` is replaced.  ``ranks_path`` is a
     file that every worker can read; it must hold all single bytes.
     """
-    ranks = read_ranks(ranks_path)
-    shared = docs.sparkSession.sparkContext.broadcast(folded_words(docs, ranks, pattern, text_col))  # at most FOLDED_WORDS words
+    shared = docs.sparkSession.sparkContext.broadcast(folded_words(docs, read_ranks(ranks_path), pattern, text_col))  # at most FOLDED_WORDS words
     kept = [c for c in docs.columns if c != "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        any_text = regex.compile(pattern)
-        words = _Words(read_ranks(ranks_path), shared.value)
+        encoder = _Encoder(ranks_path, pattern, shared.value)
         for b in batches:
-            rows = []
-            for text in b.column(b.schema.get_field_index(text_col)).to_pylist():
-                found = (any_text if BEYOND_LATIN.search(text) else LATIN_PATTERN).findall(text) if text else ()
-                rows.append(b"".join(map(words.__getitem__, found)))
-            offsets = np.concatenate(([0], np.cumsum([len(r) // 4 for r in rows]))).astype(np.int32)
-            ids_col = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), np.int32)))
-            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in kept), ids_col], names=[*kept, "ids"])
+            lists = encoder.lists(b.column(b.schema.get_field_index(text_col)).to_pylist())
+            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in kept), lists], names=[*kept, "ids"])
 
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
-    return docs.select(*kept).mapInArrow(run, f"{schema}, ids array<int>")
+    return docs.select(*kept).mapInArrow(run, _schema(docs, kept, {"ids": "array<int>"}))
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
@@ -168,27 +200,47 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFra
     kept = [c for c in encoded.columns if c != "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_id = {i: p for p, i in read_ranks(ranks_path).items()}
-        pieces = pa.array([by_id.get(i) for i in range(max(by_id) + 1)], pa.large_binary())
+        pieces = _pieces(ranks_path)
         for b in batches:
-            lists = b.column(b.schema.get_field_index(ids_col))
-            joined = pieces.take(lists.flatten())  # the tokens' bytes, one after the other
-            if joined.null_count:
-                raise ValueError("decode: an id is not in the vocabulary")
-            ends = np.frombuffer(joined.buffers()[1], np.int64, len(joined) + 1, 8 * joined.offset)
-            data = joined.buffers()[2]
-            at = ends[np.concatenate(([0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))).astype(np.int64)]
-            got = [data[i:j].to_pybytes() if v else None for i, j, v in zip(at[:-1].tolist(), at[1:].tolist(), lists.is_valid().to_pylist())] if data is not None else [b"" if v else None for v in lists.is_valid().to_pylist()]
+            got = _joined(pieces, b.column(b.schema.get_field_index(ids_col)))
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in kept), pa.array(got, pa.binary())], names=[*kept, "decoded"])
 
-    schema = ", ".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in kept)
-    return encoded.select(*kept).mapInArrow(run, f"{schema}, decoded binary")
+    return encoded.select(*kept).mapInArrow(run, _schema(encoded, kept, {"decoded": "binary"}))
+
+
+#: What ``round_trip`` can return beside ``n_tokens``.
+MADE = {"ids": "array<int>", "ids_text": "string", "decoded": "binary", "same": "boolean"}
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, returns: Sequence[str] = ("ids_text", "decoded"), text_col: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` in one pass over the texts: ``docs`` without the text, with
+    ``n_tokens long`` and those of ``returns``: ``ids array<int>``, ``ids_text string`` (decimal
+    ids joined by commas), ``decoded binary``, ``same boolean`` (decoding gives the text's
+    bytes).  Null texts, ids and clashing names as in ``encode``."""
+    shared = docs.sparkSession.sparkContext.broadcast(folded_words(docs, read_ranks(ranks_path), pattern, text_col))  # at most FOLDED_WORDS words
+    made = {"n_tokens": "bigint"} | {c: MADE[c] for c in returns}
+    kept = [c for c in docs.columns if c not in made and c != text_col]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, pieces = _Encoder(ranks_path, pattern, shared.value), _pieces(ranks_path)
+        digits = pa.array([f"{i},".encode() for i in range(len(pieces))], pa.large_binary())
+        for b in batches:
+            texts = [t or "" for t in b.column(b.schema.get_field_index(text_col)).to_pylist()]
+            for lo, hi in chunks(texts):
+                lists = encoder.lists(texts[lo:hi])
+                raw = _joined(pieces, lists)
+                new = {"n_tokens": lambda: lists.value_lengths().cast(pa.int64()), "ids": lambda: lists}
+                new["ids_text"] = lambda: pa.array([x[:-1].decode() for x in _joined(digits, lists)], pa.string())
+                new |= {"decoded": lambda: pa.array(raw, pa.binary()), "same": lambda: pa.array([x == t.encode() for x, t in zip(raw, texts[lo:hi])], pa.bool_())}
+                old = [b.column(b.schema.get_field_index(c)).slice(lo, hi - lo) for c in kept]
+                yield pa.RecordBatch.from_arrays([*old, *(new[c]() for c in made)], names=[*kept, *made])
+
+    return docs.mapInArrow(run, _schema(docs, kept, made))
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    ids = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN).drop("text")
-    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)
-    return decode(ids, path).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return out.select("doc_id", "n_tokens", F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
