@@ -30,3 +30,11 @@ def test_learns_resumes_and_skips_replays(spark):
     b.process(_batch(spark, shift=0), 5)  # replayed epoch: no change
     assert b.metrics()["seen"] == 1200 and b.w == a.w
     assert spark.read.parquet(out).count() == 1200
+
+
+def test_model_rows_are_written_once(spark, tmp_path):
+    """Fits read the written features, target and split; the feature plan is not replayed."""
+    from tickweave.plans.catalog_ml import model_frame
+
+    plan = model_frame(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan and "Scan ExistingRDD" in plan

@@ -31,9 +31,11 @@ GBT = dict(maxIter=20, maxDepth=4, stepSize=0.1)
 
 
 def model_frame(spark, sf):
+    """Features, target and split of every bar, written once: a fit passes over its rows dozens of times."""
+    ensure_checkpoint_dir(spark)
     d = indicators(event_bars(spark, sf)).drop("_i")
     d = lab.next_bar_up(d, out="target", last_row="drop")
-    return spl.holdout(d, 0.2).drop("_i")
+    return spl.holdout(d, 0.2).drop("_i").checkpoint()
 
 
 def _scored_out(df):
