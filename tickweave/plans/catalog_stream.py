@@ -14,6 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickweave.functions.core import epoch_us, rounded
 from tickweave.operators import labels as lab
@@ -185,8 +186,10 @@ def s6_online_learning(spark, sf):
     d = d.checkpoint(eager=True)  # reliable checkpoint: the ten landings reuse it
     t0, t1 = d.agg(F.min(epoch_us(d, TS)), F.max(epoch_us(d, TS))).first()
     part = F.floor((epoch_us(d, TS) - F.lit(t0)) * F.lit(10) / F.lit((t1 or 0) - (t0 or 0) + 1))
+    d.withColumn("_part", part.cast("int")).write.partitionBy("_part").parquet(root + "/staged")  # so that a landing reads its own rows only
+    staged = spark.read.schema(T.StructType([*d.schema, T.StructField("_part", T.IntegerType())])).parquet(root + "/staged")
     for k in range(10):  # ten landings, equal ranges of the whole time span (fixture writes, not the operator)
-        d.filter(part == k).coalesce(1).write.mode("append").parquet(root + "/landing")
+        staged.where(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(root + "/landing")
     feed = sb.file_feed(spark, root + "/landing", d.schema, files_per_batch=1)
     learner = OnlineLogisticBag(spark, feats, "target", [*KEYS, TS], root + "/predictions", root + "/state")
     q_ = feed.writeStream.foreachBatch(learner.process).option("checkpointLocation", root + "/_ckpt").trigger(availableNow=True).start()

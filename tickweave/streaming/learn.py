@@ -19,12 +19,15 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickweave.operators.ml import p_up
 from tickweave.operators.splits import hash_fraction
@@ -93,37 +96,90 @@ class OnlineLogisticBag:
         self.n, self.mean, self.m2, self.w = st["n"], st["mean"], st["m2"], st["w"]
         self.counts, self.last_epoch = st["counts"], st.get("last_epoch", -1)
 
-    def _std(self) -> list[Column]:
-        out = []
-        for j, f in enumerate(self.features):
-            var = self.m2[j] / self.n if self.n > 1 else 0.0
-            sd = math.sqrt(var) if var > 0 else 1.0
-            out.append((F.coalesce(F.col(f).cast("double"), F.lit(self.mean[j])) - F.lit(self.mean[j])) / F.lit(sd))
-        return out
-
-    def _bag_prob(self, xs: list[Column], b: int) -> Column:
-        z = F.lit(self.w[b][-1])
-        for j, x in enumerate(xs):
-            z = z + F.lit(self.w[b][j]) * x
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+    def _rows(self, batch: DataFrame) -> DataFrame:
+        """The key, every feature as a double, the label."""
+        x = [F.col(f).cast("double").alias(f"x{j}") for j, f in enumerate(self.features)]
+        return batch.select(*self.key, *x, F.col(self.label).cast("int").alias("_y"))
+
+    def _bag_probs(self) -> Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]:
+        """What gives the scaled features (feature x row) and every bag's P(1) (bag x row)
+        with the current weights, for a task's rows."""
+        mean, w, nf = list(self.mean), [list(b) for b in self.w], len(self.features)
+        var = [m2 / self.n if self.n > 1 else 0.0 for m2 in self.m2]
+        sd = [math.sqrt(v) if v > 0 else 1.0 for v in var]
+
+        def run(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+            xs = np.empty((nf, b.num_rows))
+            for j in range(nf):
+                x = b.column(b.schema.get_field_index(f"x{j}"))
+                xs[j] = (x.fill_null(mean[j]).to_numpy(zero_copy_only=False) - mean[j]) / sd[j]
+            probs = np.empty((len(w), b.num_rows))
+            with np.errstate(over="ignore"):
+                for i, weights in enumerate(w):
+                    z = np.full(b.num_rows, weights[-1])
+                    for j in range(nf):
+                        z += weights[j] * xs[j]
+                    probs[i] = 1.0 / (1.0 + np.exp(-z))
+            return xs, probs
+
+        return run
+
+    def _scored(self, batch: DataFrame) -> DataFrame:
+        """Key, ``y`` and ``prob``, the mean of the bags' P(1)."""
+        bag_probs, bags, key = self._bag_probs(), self.bags, self.key
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                prob = np.zeros(b.num_rows)
+                for p in bag_probs(b)[1]:
+                    prob += p
+                kept = [b.column(b.schema.get_field_index(c)) for c in (*key, "_y")]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(prob / float(bags))], names=[*key, "y", "prob"])
+
+        schema = T.StructType([*[batch.schema[k] for k in key], T.StructField("y", T.IntegerType()), T.StructField("prob", T.DoubleType())])
+        return self._rows(batch).mapInArrow(run, schema)
+
+    def _gradients(self, batch: DataFrame) -> DataFrame:
+        """``bag, j, g``: every bag's sums over its Poisson-weighted rows; j: a feature, -1 the
+        intercept, -2 the weights themselves."""
+        bag_probs, bags, nf = self._bag_probs(), self.bags, len(self.features)
+        uniform = F.array(*[hash_fraction(*[F.col(k) for k in self.key], F.lit(b), seed=self.seed) for b in range(bags)])
+        numbers = self._rows(batch).select(*[f"x{j}" for j in range(nf)], "_y", uniform.alias("u"))
+        cdf = np.array(_POISSON1_CDF)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            g = np.zeros((bags, nf + 2))  # features, intercept, weights
+            for b in batches:
+                xs, probs = bag_probs(b)
+                u = b.column(b.schema.get_field_index("u")).flatten().to_numpy(zero_copy_only=False)
+                k = np.searchsorted(cdf, u, side="right").reshape(-1, bags).T  # as poisson1
+                y = b.column(b.schema.get_field_index("_y"))
+                told = y.is_valid().to_numpy(zero_copy_only=False)
+                y = y.fill_null(0).to_numpy(zero_copy_only=False)
+                for i in range(bags):
+                    drawn = k[i] > 0
+                    g[i, -1] += k[i].sum()
+                    drawn &= told
+                    err = k[i, drawn] * (probs[i, drawn] - y[drawn])
+                    g[i, :nf] += xs[:, drawn] @ err
+                    g[i, nf] += err.sum()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.arange(bags), nf + 2), pa.int32()), pa.array([*range(nf), -1, -2] * bags, pa.int32()), pa.array(g.ravel())],
+                names=["bag", "j", "g"],
+            )
+
+        return numbers.mapInArrow(run, "bag int, j int, g double").groupBy("bag", "j").agg(F.sum("g").alias("g"))
 
     def process(self, batch: DataFrame, epoch_id: int) -> None:
         if epoch_id <= self.last_epoch:
             return  # replayed micro-batch: predictions and update already done
-        xs = self._std()
-        probs = [self._bag_prob(xs, b) for b in range(self.bags)]
-        avg = probs[0]
-        for p in probs[1:]:
-            avg = avg + p
-        avg = avg / F.lit(float(self.bags))
-        y = F.col(self.label).cast("int")
-        scored = batch.select(*self.key, y.alias("y"), avg.alias("prob")).withColumn("pred", (F.col("prob") >= 0.5).cast("int"))
+        scored = self._scored(batch).withColumn("pred", (F.col("prob") >= 0.5).cast("int"))
         scored = scored.withColumn("epoch", F.lit(epoch_id))
         # One folder per epoch, replaced if the batch is re-run after a failure.
         scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(self.out_path)
 
-        # Prequential counts (predict first, learn after).
-        m = scored.agg(
+        # Prequential counts (predict first, learn after), of the rows as written.
+        m = self.spark.read.schema(scored.schema).parquet(self.out_path).where(F.col("epoch") == epoch_id).agg(
             F.count(F.lit(1)), F.sum((F.col("pred") == F.col("y")).cast("long")), F.sum(((F.col("pred") == 1) & (F.col("y") == 1)).cast("long")),
             F.sum(F.col("pred")), F.sum(F.col("y")),
         ).first()
@@ -137,27 +193,14 @@ class OnlineLogisticBag:
         st = batch.agg(*aggs).first()
         nb = float(st["n"] or 0)
         # Gradient per bag, with the pre-update scaler (the one used to predict).
-        rows = batch.select(*xs, y.alias("_y"), *[F.col(k) for k in self.key])
-        rows = rows.toDF(*[f"x{j}" for j in range(len(xs))], "_y", *self.key)
-        bag_ids = F.explode(F.array(*[F.lit(b) for b in range(self.bags)])).alias("bag")
-        e = rows.select("*", bag_ids)
-        e = e.withColumn("k", poisson1(hash_fraction(*[F.col(k) for k in self.key], F.col("bag"), seed=self.seed)))
-        e = e.filter(F.col("k") > 0)
-        zcol = F.lit(0.0)
+        sums = {(r["bag"], r["j"]): float(r["g"]) for r in self._gradients(batch).collect()}  # bags x features
         for b in range(self.bags):
-            zb = F.lit(self.w[b][-1])
-            for j in range(len(xs)):
-                zb = zb + F.lit(self.w[b][j]) * F.col(f"x{j}")
-            zcol = F.when(F.col("bag") == b, zb).otherwise(zcol)
-        err = F.col("k") * (F.lit(1.0) / (F.lit(1.0) + F.exp(-zcol)) - F.col("_y"))
-        g = e.groupBy("bag").agg(F.sum("k").alias("kw"), F.sum(err).alias("gb"), *[F.sum(err * F.col(f"x{j}")).alias(f"g{j}") for j in range(len(xs))])
-        for r in g.collect():  # one row per bag
-            b, kw = int(r["bag"]), float(r["kw"] or 0.0)
+            kw = sums.get((b, -2), 0.0)
             if kw <= 0:
                 continue
-            for j in range(len(xs)):
-                self.w[b][j] -= self.lr * float(r[f"g{j}"] or 0.0) / kw
-            self.w[b][-1] -= self.lr * float(r["gb"] or 0.0) / kw
+            for j in range(len(self.features)):
+                self.w[b][j] -= self.lr * sums[b, j] / kw
+            self.w[b][-1] -= self.lr * sums[b, -1] / kw
         if nb > 0:
             for j in range(len(self.features)):
                 mb, vb = st[f"m{j}"], st[f"v{j}"]
