@@ -1,6 +1,7 @@
 """Tokenizers, language model, toxicity, HTML and mixing against brute force, libraries and SQL."""
 
 import math
+import pickle
 import random
 import re
 import zlib
@@ -350,3 +351,14 @@ def test_mixing_meets_its_targets(spark):
     assert fixed.agg(F.sum("mix_tokens")).first()[0] <= 1002
     assert mixing.mix_sources(docs.limit(0)).count() == 0
     assert sorted(map(str, mixing.mix_sources(docs).collect())) == sorted(map(str, mixing.mix_sources(docs.repartition(7)).collect()))
+
+
+def test_toxicity_index_has_flat_postings_and_a_compact_vocabulary(spark):
+    """Whoever builds the index makes no strings of its vocabulary, and its size does not grow with
+    examples x terms: a pointer per term, a posting per example and rare term."""
+    rows = [(i, " ".join(f"{a}{b}{c}" for a, b, c in zip(("ab", "cd", "ef")[i % 3] * 9, "abcdefghijklmnopqr", "x" * 18)) + " " + "".join(chr(97 + int(d)) for d in str(i * 7919))) for i in range(1200)]
+    index = tox.fit(spark.createDataFrame(rows, DOC), spark.createDataFrame([(i, i % 2) for i in range(1200)], "doc_id long, toxic int"))
+    assert "vocabulary" not in vars(index) and len(index.ptr) == len(index.words) + 1
+    assert index.ptr[-1] == len(index.example) == len(index.weight)
+    again = pickle.loads(pickle.dumps(index))
+    assert len(again.vocabulary) == len(index.words) and again.words[again.vocabulary["aax"]].as_py() == "aax"

@@ -5,11 +5,10 @@ hash order, the documented bound) becomes an inverted index of TF-IDF vectors
 over all their words and character 4-grams, each term's weight multiplied by its
 association with the labels (plain weights let the subject of a text
 decide; no term is left out).  The ``DENSE`` most frequent terms,
-which have most of the postings, lie in a matrix of examples x terms; the others'
-postings in blocks of examples with a maximum weight per (block, term).  A
-document's exact nearest examples by cosine are found by visiting blocks in
-order of their upper bound (matrix part and maxima) until no block can hold a
-better one.  Distance-weighted
+which have most of the postings, lie in a matrix of examples x terms; the others
+in postings by term.  A document's cosine with every example is the sum of the
+matrix part and the postings of its rare terms; the nearest are the highest of these,
+exactly.  Distance-weighted
 votes are calibrated (isotonic, leave-one-out on the sample) into a score; the
 nearest examples are the evidence.
 """
@@ -35,9 +34,7 @@ MAX_TOXIC, MAX_CLEAN = 1500, 3000  # bound of the labelled sample
 DENSE = 4096  # most frequent terms, kept as a matrix
 FLOOR = 0.01  # least weight factor of a term, however little it is associated with a label
 NEIGHBOURS = 15
-BLOCK = 512
 TOGETHER = 64  # documents multiplied with the matrix at a time
-ROUNDING = 1e-5  # of weights and cosines (32 bits)
 MEMO_WORDS = 500_000
 THRESHOLD = 0.7
 
@@ -76,23 +73,27 @@ class Terms(dict):
 
 @dataclass
 class Index:
-    """Blocked postings of the examples; see ``nearest``."""
+    """The examples' weights of frequent and rare terms; see ``nearest``."""
 
-    vocabulary: dict[str, int]
+    words: pa.Array  # the vocabulary, by falling frequency
     idf: np.ndarray
     ids: list
     labels: np.ndarray
     weights: np.ndarray  # labelled rows that an example stands for
-    local: np.ndarray
+    example: np.ndarray  # postings of the other terms, by term, then example
     weight: np.ndarray
     ptr: np.ndarray
-    block_max: np.ndarray
     frequent_ptr: np.ndarray  # every example's part of the matrix, as (term, weight) runs
     frequent_term: np.ndarray
     frequent_weight: np.ndarray
     prior: float
     curve: tuple[np.ndarray, np.ndarray] = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
+    @cached_property
+    def vocabulary(self) -> dict[str, int]:
+        """term -> number; made by each worker for itself."""
+        return numbered(self.words)
+
     @cached_property
     def terms(self) -> Terms:
         """Kept with the index, so that all tasks of a worker share what they remember."""
@@ -101,12 +102,12 @@ class Index:
     @cached_property
     def dense(self) -> np.ndarray:
         """The matrix: examples x most frequent terms, filled once per process."""
-        out = np.zeros((len(self.ids), min(DENSE, len(self.vocabulary))), dtype=np.float32)
+        out = np.zeros((len(self.ids), min(DENSE, len(self.words))), dtype=np.float32)
         out[np.repeat(np.arange(len(out)), np.diff(self.frequent_ptr)), self.frequent_term] = self.frequent_weight
         return out
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("terms", "dense")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("vocabulary", "terms", "dense")}
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
         terms = np.fromiter(counts.keys(), dtype=np.int64, count=len(counts))
@@ -130,30 +131,22 @@ class Index:
     def nearest(self, terms: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int = -1, base: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` examples of highest positive cosine (ties to the earlier example), exactly
         up to rounding.  ``base``: what ``frequent`` gives for this vector."""
-        best, score = np.zeros(0, dtype=np.int64), np.zeros(0)
         if not len(terms) or not len(self.ids):
-            return best, score
+            return np.zeros(0, dtype=np.int64), np.zeros(0)
         base = self.frequent([(terms, w)])[0] if base is None else base
         n = np.searchsorted(terms, self.dense.shape[1])
         terms, w = terms[n:], w[n:]
-        size = self.block_max.shape[1]
-        bound = np.maximum.reduceat(base, np.arange(0, len(self.ids), BLOCK)) + self.block_max[:, terms] @ w
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] < score[-1] - ROUNDING:
-                break
-            lo, hi = self.ptr[b * size + terms], self.ptr[b * size + terms + 1]
-            n = hi - lo
-            at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            got = np.bincount(self.local[at], weights=self.weight[at] * np.repeat(w, n), minlength=BLOCK)
-            part = base[b * BLOCK : (b + 1) * BLOCK]
-            got = got[: len(part)] + part
-            hit = np.flatnonzero(got > (score[-1] - ROUNDING if len(best) == k else 0))
-            cand, s = np.concatenate((best, b * BLOCK + hit)), np.concatenate((score, got[hit]))
-            if without >= 0:
-                s, cand = s[cand != without], cand[cand != without]
-            keep = np.lexsort((cand, -s))[:k]
-            best, score = cand[keep], s[keep]
-        return best, score
+        lo, hi = self.ptr[terms], self.ptr[terms + 1]
+        n = hi - lo
+        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        got = np.bincount(self.example[at], weights=self.weight[at] * np.repeat(w, n), minlength=len(base)) + base
+        if without >= 0:
+            got[without] = 0.0
+        hit = np.flatnonzero(got > 0)
+        if len(hit) > k:
+            hit = hit[got[hit] >= np.partition(got[hit], len(hit) - k)[len(hit) - k]]
+        best = hit[np.lexsort((hit, -got[hit]))[:k]]
+        return best, got[best]
 
     def all_nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], apart: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """``nearest`` of every vector; ``apart``: vector i is that of example i, which is left out."""
@@ -171,47 +164,40 @@ class Index:
         return float(np.interp(raw, *self.curve))
 
 
-def build_index(vocabulary: list[str], df: np.ndarray, examples: list[tuple[object, int, np.ndarray, np.ndarray]], totals: tuple[int, int]) -> Index:
-    """The index of (id, label, terms, counts) examples, terms ascending; ``vocabulary``: by falling
+def numbered(words: pa.Array) -> dict[str, int]:
+    return dict(zip(words.to_pylist(), range(len(words))))
+
+
+def build_index(words: pa.Array, df: np.ndarray, examples: list[tuple[object, int, np.ndarray, np.ndarray]], totals: tuple[int, int]) -> Index:
+    """The index of (id, label, terms, counts) examples, terms ascending; ``words``: the vocabulary by falling
     frequency; ``totals``: labelled rows with label 0 and 1."""
     n = [max(1, sum(1 for e in examples if e[1] == y)) for y in (0, 1)]
     share = [max(totals[y], n[y]) / n[y] for y in (0, 1)]
     rows = sum(totals)
-    idf = np.log((1.0 + rows) / (1.0 + df @ np.array(share))) + 1.0 if len(vocabulary) else np.zeros(0)
+    idf = np.log((1.0 + rows) / (1.0 + df @ np.array(share))) + 1.0 if len(words) else np.zeros(0)
     idf = np.maximum(idf, 1e-3) * relevance(df, n)
-    few = min(DENSE, len(vocabulary))
-    index = Index(dict(zip(vocabulary, range(len(vocabulary)))), idf, [], np.zeros(0), np.zeros(0), *[np.zeros(0, dtype=np.int64)] * 2, np.zeros(1, dtype=np.int64), np.zeros((0, len(vocabulary))), np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int16), np.zeros(0, dtype=np.float32), (totals[1] + 0.5) / (rows + 1.0))
+    few = min(DENSE, len(words))
+    index = Index(words, idf, [], np.zeros(0), np.zeros(0), np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.float32), np.zeros(len(words) + 1, dtype=np.int64), np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int16), np.zeros(0, dtype=np.float32), (totals[1] + 0.5) / (rows + 1.0))
     vectors = []
     for e in examples:
         terms, w = index.weighted(e[2], e[3].astype(np.float64))
         vectors.append((e, (terms, w.astype(np.float32))))
-    # like examples share blocks: by label, then heaviest term
+    # the order settles ties: by label, then heaviest term
     vectors.sort(key=lambda x: (x[0][1], int(x[1][0][np.argmax(x[1][1])]) if len(x[1][0]) else -1, str(x[0][0])))
-    size, blocks = max(1, len(vocabulary)), -(-len(vectors) // BLOCK)
     rare = [np.searchsorted(t, few) for _, (t, _) in vectors]  # where a vector's postings begin
-    ends = np.concatenate(([0], np.cumsum([len(t) - n for n, (_, (t, _)) in zip(rare, vectors)]))).astype(np.int64)
-    key = np.zeros(ends[-1], dtype=np.int32 if blocks * size < 1 << 31 else np.int64)  # block, then term
-    local, weight = np.zeros(ends[-1], dtype=np.int16), np.zeros(ends[-1], dtype=np.float32)
     if vectors:
         index.frequent_ptr = np.concatenate(([0], np.cumsum(rare)))
         index.frequent_term = np.concatenate([t[:n].astype(np.int16) for n, (_, (t, _)) in zip(rare, vectors)])
         index.frequent_weight = np.concatenate([w[:n] for n, (_, (_, w)) in zip(rare, vectors)])
-    for i, (n, (_, (t, w))) in enumerate(zip(rare, vectors)):
-        own = slice(ends[i], ends[i + 1])
-        key[own], local[own], weight[own] = i // BLOCK * size + t[n:], i % BLOCK, w[n:]
-    order = np.argsort(key, kind="stable")
-    index.local, index.weight = local[order], weight[order]
-    top = np.zeros(blocks * size, dtype=np.float32)
-    n = np.bincount(key, minlength=blocks * size)
-    if len(key):
-        filled = n > 0
-        top[filled] = np.maximum.reduceat(index.weight, (np.cumsum(n) - n)[filled])
-    index.ptr = np.concatenate(([0], np.cumsum(n))).astype(np.int32 if len(key) < 1 << 31 else np.int64)
-    del key, local, weight, order, n
+        term = np.concatenate([t[n:].astype(np.int32) for n, (_, (t, _)) in zip(rare, vectors)])
+        order = np.argsort(term, kind="stable")
+        index.ptr = np.concatenate(([0], np.cumsum(np.bincount(term, minlength=len(words))))).astype(np.int32 if len(term) < 1 << 31 else np.int64)
+        index.example = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(t) - n for n, (_, (t, _)) in zip(rare, vectors)])[order]
+        index.weight = np.concatenate([w[n:] for n, (_, (_, w)) in zip(rare, vectors)])[order]
+        del term, order
     index.ids = [e[0] for e, _ in vectors]
     index.labels = np.array([float(e[1]) for e, _ in vectors])
     index.weights = np.array([share[e[1]] for e, _ in vectors])
-    index.block_max = top.reshape(blocks, size)
     raw = np.array([index.vote(*got) for got in index.all_nearest([v for _, v in vectors], apart=True)])
     index.curve = isotonic(raw, index.labels, index.weights, index.prior)
     return index
@@ -269,13 +255,12 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     seen = sample.select("_text", "_y").mapInArrow(terms, "t array<string>, y int").select(F.explode("t").alias("t"), "y").groupBy("t").agg(F.sum("y").cast("double").alias("d1"), F.sum(1 - F.col("y")).cast("double").alias("d0"))
     found = seen.toArrow()  # bounded: the terms of the sample
     found = found.append_column("n", pa.compute.add(found["d0"], found["d1"])).sort_by([("n", "descending"), ("t", "ascending")])
-    vocabulary = found["t"].to_pylist()
+    words = found["t"].combine_chunks()  # compact; only workers make strings of it
     df = np.stack([found[c].to_numpy() for c in ("d0", "d1")], axis=1)
     del found
-    numbers = dict(zip(vocabulary, range(len(vocabulary))))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Terms(numbers)
+        memo = Terms(numbered(words))
         for b in batches:
             c = [sorted(memo.counts(x).items()) for x in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array([[pair[j] for pair in x] for x in c], pa.list_(pa.int32())) for j in (0, 1))], names=["_id", "_y", "t", "c"])
@@ -284,7 +269,7 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     rows = sample.select("_id", "_y", "_text").mapInArrow(vectors, f"_id {id_type}, _y int, t array<int>, c array<int>").toArrow()  # bounded by the sample
     pairs = [[x.values.to_numpy() for x in rows[c].combine_chunks()] if rows.num_rows else [] for c in "tc"]
     examples = sorted(zip(rows["_id"].to_pylist(), rows["_y"].to_pylist(), *pairs), key=lambda e: str(e[0]))
-    return build_index(vocabulary, df, examples, (totals.get(0, 0), totals.get(1, 0)))
+    return build_index(words, df, examples, (totals.get(0, 0), totals.get(1, 0)))
 
 
 def toxicity(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = THRESHOLD) -> DataFrame:
