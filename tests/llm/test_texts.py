@@ -88,6 +88,17 @@ def test_bpe_folds_in_spark(spark):
     assert {r["w"]: r["ids"] for r in got} == {w: bpe.merge_word(w.encode(), ranks) for w in words}
 
 
+def test_bpe_rank_map_is_no_part_of_a_plan(spark):
+    """The driver keeps plans and their descriptions: the vocabulary stands in none of them."""
+    import public_tokenizers as P
+
+    ranks = bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+    words = [f" thand{a}{b}le" for a in "abcdefgh" for b in "qrstuvxz"] + ["日本", "a"]
+    out = bpe.fold(spark.createDataFrame([(w,) for w in words], "w string"), ranks)
+    assert len(out._jdf.queryExecution().toString()) < 200_000
+    assert {r["w"]: list(r["ids"]) for r in out.collect()} == {w: bpe.merge_word(w.encode(), ranks) for w in words}
+
+
 def test_token_counts_equal_the_library(spark):
     import public_tokenizers as P
 

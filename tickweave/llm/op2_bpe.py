@@ -2,11 +2,12 @@
 
 Spark splits the corpus into its distinct words (matches of the split pattern)
 and folds the ranked merges over the byte arrays of the ``FOLDED_WORDS`` most
-frequent of them with higher-order functions, looking ranks up in a literal
-rank map (bytes in hex, hashed into small maps).  These words cover nearly all
-of a corpus and go to the workers with the vocabulary; a worker merges a rarer
-word by the same ranked merges when it meets one (remembered, bounded).
-Decoding concatenates the tokens' bytes; ``round_trip`` does both in one pass.
+frequent of them with higher-order functions, looking ranks up in a rank map
+(bytes in hex, hashed into small maps) that lies in a table of one row.  These
+words cover nearly all of a corpus and go to the workers with the vocabulary; a
+worker merges a rarer word by the same ranked merges when it meets one
+(remembered, bounded).  Decoding concatenates the tokens' bytes; ``round_trip``
+does both in one pass.
 """
 
 from __future__ import annotations
@@ -44,13 +45,25 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-def rank_map(ranks: dict[bytes, int]) -> Column:
-    """The ranks as one constant: an array of small maps from hex bytes to rank."""
+def rank_buckets(ranks: dict[bytes, int]) -> str:
+    """The ranks as JSON: an array of small maps from hex bytes to rank."""
     buckets: list[dict[str, int]] = [{} for _ in range(RANK_BUCKETS)]
     for piece, rank in ranks.items():
         h = piece.hex().upper()
         buckets[crc32(h.encode()) % RANK_BUCKETS][h] = rank
-    return F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<map<string,int>>")
+    return json.dumps(buckets, separators=(",", ":"))
+
+
+def rank_map(ranks: dict[bytes, int]) -> Column:
+    """``rank_buckets`` as one constant."""
+    return F.from_json(F.lit(rank_buckets(ranks)), "array<map<string,int>>")
+
+
+def rank_table(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
+    """``rank_buckets`` in the one row of a table: as a constant they would stand in every copy
+    of a plan, and of its description, that the driver keeps."""
+    one = spark.createDataFrame([(rank_buckets(ranks),)], "j string")
+    return cut(one.select(F.from_json("j", "array<map<string,int>>").alias("ranks")), "bpe-ranks")
 
 
 def folded(word: Column, ranks: Column) -> Column:
@@ -74,13 +87,24 @@ def folded(word: Column, ranks: Column) -> Column:
     return F.transform(F.aggregate(steps, single, merge), rank)
 
 
+def fold(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """``w, ids`` of every row of ``words`` (``w``).  A row with the rank map gets many words, so
+    that the map is not copied for each."""
+    spark = words.sparkSession
+    n = 4 * spark.sparkContext.defaultParallelism
+    lists = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(n)).cast("int").alias("g")).agg(F.collect_list("w").alias("ws")).repartition(n, "g")
+    rows = lists.crossJoin(F.broadcast(rank_table(spark, ranks)))  # one row, a few MB
+    ids = F.transform("ws", lambda w: F.struct(w.alias("w"), folded(w, F.col("ranks")).alias("ids")))
+    return rows.select(F.explode(ids).alias("f")).select("f.w", "f.ids")
+
+
 def folded_words(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str) -> dict[str, list[int]]:
     """Ids of the corpus' most frequent words that are no vocabulary entries, folded in Spark."""
     words = docs.select(F.explode(F.regexp_extract_all(F.col(text_col), F.lit("(?U)" + pattern), F.lit(0))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
-    literal = rank_map(ranks)
-    known = F.element_at(F.get(literal, F.pmod(F.crc32(F.hex(F.encode("w", "UTF-8")).cast("binary")), F.lit(RANK_BUCKETS)).cast("int")), F.hex(F.encode("w", "UTF-8")))
-    top = cut(words.where(F.octet_length("w").between(2, FOLDED_BYTES)).where(known.isNull()).orderBy(F.desc("n"), "w").limit(FOLDED_WORDS).select("w").repartition(docs.sparkSession.sparkContext.defaultParallelism), "bpe-words")
-    return {r["w"]: list(r["ids"]) for r in top.select("w", folded(F.col("w"), literal).alias("ids")).collect()}  # at most FOLDED_WORDS rows
+    known = cut(docs.sparkSession.createDataFrame(pa.table({"piece": pa.array(list(ranks), pa.binary())})), "bpe-vocabulary")
+    rest = words.where(F.octet_length("w").between(2, FOLDED_BYTES)).join(F.broadcast(known), F.col("w").cast("binary") == F.col("piece"), "left_anti")  # the vocabulary's entries
+    top = cut(rest.orderBy(F.desc("n"), "w").limit(FOLDED_WORDS).select("w"), "bpe-words")
+    return {r["w"]: list(r["ids"]) for r in fold(top, ranks).collect()}  # at most FOLDED_WORDS rows
 
 
 def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
