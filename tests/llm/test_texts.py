@@ -373,3 +373,19 @@ def test_toxicity_index_has_flat_postings_and_a_compact_vocabulary(spark):
     assert index.ptr[-1] == len(index.example) == len(index.weight)
     again = pickle.loads(pickle.dumps(index))
     assert len(again.vocabulary) == len(index.words) and again.words[again.vocabulary["aax"]].as_py() == "aax"
+
+
+def test_toxicity_votes_of_the_examples_are_cast_in_tasks(spark):
+    """The driver makes no matrix of the examples; the curve is that of their leave-one-out votes."""
+    r = random.Random(5)
+    rows = [(i, " ".join(r.choices([f"word{j}" for j in range(90)], k=30) + ["grublek"] * (i % 3 == 0))) for i in range(300)]
+    docs = spark.createDataFrame(rows, DOC)
+    shared, curve = tox.learned(docs, spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int"))
+    index = shared.value
+    assert "dense" not in vars(index) and "vocabulary" not in vars(index)
+    raw = []
+    for n, i in enumerate(index.ids):
+        t, w = index.weighted(*index.terms.found(rows[i][1]))
+        raw.append(index.vote(*index.nearest(t, w.astype(np.float32), without=n)))
+    want = tox.isotonic(np.array(raw), index.labels, index.weights, index.prior)
+    assert all(len(a) == len(b) and np.allclose(a, b, atol=1e-4) for a, b in zip(curve, want))

@@ -19,12 +19,13 @@ import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ MAX_TOXIC, MAX_CLEAN = 1500, 3000  # bound of the labelled sample
 DENSE = 4096  # most frequent terms, kept as a matrix
 FLOOR = 0.01  # least weight factor of a term, however little it is associated with a label
 NEIGHBOURS = 15
-TOGETHER = 64  # documents multiplied with the matrix at a time
+TOGETHER = 256  # documents multiplied with the matrix at a time
 MEMO_WORDS = 500_000
 THRESHOLD = 0.7
 
@@ -136,10 +137,12 @@ class Index:
         base = self.frequent([(terms, w)])[0] if base is None else base
         n = np.searchsorted(terms, self.dense.shape[1])
         terms, w = terms[n:], w[n:]
-        lo, hi = self.ptr[terms], self.ptr[terms + 1]
-        n = hi - lo
-        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        got = np.bincount(self.example[at], weights=self.weight[at] * np.repeat(w, n), minlength=len(base)) + base
+        lo = self.ptr[terms]
+        n = self.ptr[terms + 1] - lo
+        first = np.cumsum(n, dtype=n.dtype) - n
+        at = np.repeat(lo - first, n)
+        at += np.arange(len(at), dtype=at.dtype)
+        got = np.bincount(self.example.take(at), weights=self.weight.take(at) * np.repeat(w, n), minlength=len(base)) + base
         if without >= 0:
             got[without] = 0.0
         hit = np.flatnonzero(got > 0)
@@ -148,12 +151,14 @@ class Index:
         best = hit[np.lexsort((hit, -got[hit]))[:k]]
         return best, got[best]
 
-    def all_nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], apart: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """``nearest`` of every vector; ``apart``: vector i is that of example i, which is left out."""
-        for lo in range(0, len(vectors), TOGETHER):
-            some = vectors[lo : lo + TOGETHER]
+    def all_nearest(self, texts: list[str | None], own: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of every text; ``own``: the examples that the texts are themselves, which are left out."""
+        for lo in range(0, len(texts), TOGETHER):
+            some = [self.weighted(*self.terms.found(x or "")) for x in texts[lo : lo + TOGETHER]]
+            if own is not None:  # as the index has them
+                some = [(t, w.astype(np.float32)) for t, w in some]
             for i, (v, base) in enumerate(zip(some, self.frequent(some)), lo):
-                yield self.nearest(*v, without=i if apart else -1, base=base)
+                yield self.nearest(*v, without=-1 if own is None else own[i], base=base)
 
     def vote(self, best: np.ndarray, score: np.ndarray) -> float:
         near = self.weights[best] / (1.1 - np.minimum(score, 1.0)) * score
@@ -170,7 +175,7 @@ def numbered(words: pa.Array) -> dict[str, int]:
 
 def build_index(words: pa.Array, df: np.ndarray, examples: list[tuple[object, int, np.ndarray, np.ndarray]], totals: tuple[int, int]) -> Index:
     """The index of (id, label, terms, counts) examples, terms ascending; ``words``: the vocabulary by falling
-    frequency; ``totals``: labelled rows with label 0 and 1."""
+    frequency; ``totals``: labelled rows with label 0 and 1.  Without its curve, see ``learned``."""
     n = [max(1, sum(1 for e in examples if e[1] == y)) for y in (0, 1)]
     share = [max(totals[y], n[y]) / n[y] for y in (0, 1)]
     rows = sum(totals)
@@ -198,8 +203,6 @@ def build_index(words: pa.Array, df: np.ndarray, examples: list[tuple[object, in
     index.ids = [e[0] for e, _ in vectors]
     index.labels = np.array([float(e[1]) for e, _ in vectors])
     index.weights = np.array([share[e[1]] for e, _ in vectors])
-    raw = np.array([index.vote(*got) for got in index.all_nearest([v for _, v in vectors], apart=True)])
-    index.curve = isotonic(raw, index.labels, index.weights, index.prior)
     return index
 
 
@@ -232,7 +235,14 @@ def isotonic(raw: np.ndarray, labels: np.ndarray, weights: np.ndarray, prior: fl
 
 
 def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Index:
-    """Learn the index from ``labelled`` (id, label 0/1) rows whose document is in ``docs``.
+    """The index that ``learned`` shares, with its curve."""
+    shared, curve = learned(docs, labelled, id_col, text_col, label_col)
+    return replace(shared.value, curve=curve)
+
+
+def learned(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[Broadcast, tuple[np.ndarray, np.ndarray]]:
+    """Learn the index from ``labelled`` (id, label 0/1) rows whose document is in ``docs``; the
+    index as the workers get it, and the curve of the votes that they give its examples.
 
     Rows with a null id or label are left out; an id with several labels counts
     as toxic if any is 1; a document that stands several times is one example
@@ -269,7 +279,20 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     rows = sample.select("_id", "_y", "_text").mapInArrow(vectors, f"_id {id_type}, _y int, t array<int>, c array<int>").toArrow()  # bounded by the sample
     pairs = [[x.values.to_numpy() for x in rows[c].combine_chunks()] if rows.num_rows else [] for c in "tc"]
     examples = sorted(zip(rows["_id"].to_pylist(), rows["_y"].to_pylist(), *pairs), key=lambda e: str(e[0]))
-    return build_index(words, df, examples, (totals.get(0, 0), totals.get(1, 0)))
+    del rows, pairs
+    index = build_index(words, df, examples, (totals.get(0, 0), totals.get(1, 0)))
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the sample and the vocabulary
+
+    def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ix = shared.value
+        number = {i: n for n, i in enumerate(ix.ids)}
+        for b in batches:
+            own = [number[i] for i in b.column(0).to_pylist()]
+            raw = [ix.vote(*got) for got in ix.all_nearest(b.column(1).to_pylist(), own)]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(raw, pa.float64())], names=["n", "raw"])
+
+    told = sample.select("_id", "_text").mapInArrow(votes, "n int, raw double").toArrow().sort_by("n")  # two numbers an example
+    return shared, isotonic(told["raw"].to_numpy(), index.labels, index.weights, index.prior)
 
 
 def toxicity(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = THRESHOLD) -> DataFrame:
@@ -281,25 +304,25 @@ def toxicity(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_
     Without labelled rows every score is 0.5.  Columns of ``docs`` named like
     the three new ones are replaced; the others are kept as they are.
     """
-    index = docs.sparkSession.sparkContext.broadcast(fit(docs, labelled, id_col, text_col, label_col))  # bounded by the sample and the vocabulary
+    shared, curve = learned(docs, labelled, id_col, text_col, label_col)
     kept = [c for c in docs.columns if c not in ("score", "predicted", "evidence")]
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = index.value
-        memo = ix.terms
+        ix = shared.value
+        ix.curve = curve
         blank = ix.score(ix.vote(np.zeros(0, dtype=np.int64), np.zeros(0)))
-        kind = pa.list_(pa.struct([("id", pa.int64() if id_type == "bigint" else pa.string()), ("label", pa.int32()), ("cosine", pa.float64())]))
+        ids = pa.array(ix.ids, pa.int64()) if id_type == "bigint" else pa.array([str(i) for i in ix.ids], pa.string())
+        labels = pa.array(ix.labels.astype(np.int32))
         for b in batches:
-            scores, evidence = [], []
-            texts = b.column(b.schema.get_field_index(text_col)).to_pylist()
-            near = (got for lo in range(0, len(texts), TOGETHER) for got in ix.all_nearest([ix.weighted(*memo.found(x or "")) for x in texts[lo : lo + TOGETHER]]))
-            for best, cos in near:
-                scores.append(ix.score(ix.vote(best, cos)) if len(best) else blank)
-                evidence.append([{"id": ix.ids[i] if id_type == "bigint" else str(ix.ids[i]), "label": int(ix.labels[i]), "cosine": float(c)} for i, c in zip(best, cos)])
-            s = np.array(scores)
+            near = list(ix.all_nearest(b.column(b.schema.get_field_index(text_col)).to_pylist()))
+            s = np.array([ix.score(ix.vote(best, cos)) if len(best) else blank for best, cos in near])
+            ends = np.cumsum([0, *(len(best) for best, _ in near)]).astype(np.int32)
+            at = pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *(best for best, _ in near)]))
+            cosines = pa.array(np.concatenate([np.zeros(0), *(cos for _, cos in near)]))
+            evidence = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([ids.take(at), labels.take(at), cosines], names=["id", "label", "cosine"]))
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(b.schema.get_field_index(c)) for c in kept), pa.array(s), pa.array((s >= threshold).astype(np.int32)), pa.array(evidence, kind)],
+                [*(b.column(b.schema.get_field_index(c)) for c in kept), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32)), evidence],
                 names=[*kept, "score", "predicted", "evidence"],
             )
 
