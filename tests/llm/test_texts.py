@@ -4,6 +4,7 @@ import math
 import pickle
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -389,3 +390,37 @@ def test_toxicity_votes_of_the_examples_are_cast_in_tasks(spark):
         raw.append(index.vote(*index.nearest(t, w.astype(np.float32), without=n)))
     want = tox.isotonic(np.array(raw), index.labels, index.weights, index.prior)
     assert all(len(a) == len(b) and np.allclose(a, b, atol=1e-4) for a, b in zip(curve, want))
+
+
+def test_toxicity_worker_remembers_a_bounded_part_of_the_words(spark):
+    """A corpus of many rare words does not fill a worker: 25 MB of words and terms at most;
+    a document is scored once, whatever batches the texts come in."""
+    memo = tox.Terms({"#^wor": 0, "#word": 1})
+    most = 0
+    for lo in range(0, 300_000, 50_000):
+        memo.found(" ".join("word" + "".join(chr(97 + int(d)) for d in str(i)) for i in range(lo, lo + 50_000)))
+        most = max(most, sys.getsizeof(memo) + sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in memo.items()))
+    assert most <= 25_000_000
+    docs = spark.range(3 * tox.BATCH + 7, numPartitions=1).select(F.col("id").alias("doc_id"), F.concat(F.lit("some word"), F.col("id")).alias("text"))
+    out = tox.toxicity(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"))
+    assert sorted(g["doc_id"] for g in out.collect()) == list(range(3 * tox.BATCH + 7))
+
+
+def test_workers_give_back_what_their_tasks_leave(spark):
+    """Workers stay for the next stages: memory that an earlier task freed is returned first."""
+    from tickweave.llm.spark import tidy
+
+    held = [bytearray(100_000) for _ in range(2000)]  # 200 MB below the size that is mapped apart
+    keep = held[-1]
+    del held[:-1]
+
+    def resident():
+        return int(re.search(r"Pss_Anon:\s+(\d+)", open("/proc/self/smaps_rollup").read())[1]) // 1024
+
+    def run(batches):
+        after.append(resident())
+        yield from batches
+
+    before, after = resident(), []
+    assert list(tidy(run)(iter([1, 2]))) == [1, 2] and len(keep) == 100_000
+    assert before - after[0] >= 100

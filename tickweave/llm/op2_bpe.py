@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.llm.spark import cut, table
+from tickweave.llm.spark import cut, table, tidy
 from tickweave.llm.text import chunks
 
 FOLDED_WORDS = 32_768  # bound of the table of folded words that goes to the workers
@@ -215,7 +215,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
             lists = encoder.lists(b.column(b.schema.get_field_index(text_col)).to_pylist())
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in kept), lists], names=[*kept, "ids"])
 
-    return docs.select(*kept).mapInArrow(run, _schema(docs, kept, {"ids": "array<int>"}))
+    return docs.select(*kept).mapInArrow(tidy(run), _schema(docs, kept, {"ids": "array<int>"}))
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
@@ -229,7 +229,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFra
             got = _joined(pieces, b.column(b.schema.get_field_index(ids_col)))
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in kept), pa.array(got, pa.binary())], names=[*kept, "decoded"])
 
-    return encoded.select(*kept).mapInArrow(run, _schema(encoded, kept, {"decoded": "binary"}))
+    return encoded.select(*kept).mapInArrow(tidy(run), _schema(encoded, kept, {"decoded": "binary"}))
 
 
 #: What ``round_trip`` can return beside ``n_tokens``.
@@ -259,7 +259,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, returns: Sequence
                 old = [b.column(b.schema.get_field_index(c)).slice(lo, hi - lo) for c in kept]
                 yield pa.RecordBatch.from_arrays([*old, *(new[c]() for c in made)], names=[*kept, *made])
 
-    return docs.mapInArrow(run, _schema(docs, kept, made))
+    return docs.mapInArrow(tidy(run), _schema(docs, kept, made))
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

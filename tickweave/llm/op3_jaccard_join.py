@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.llm.components import components
-from tickweave.llm.spark import cut, parts, table
+from tickweave.llm.spark import cut, give_back, parts, table, tidy
 from tickweave.llm.text import U64, chunks, mix, shingle_sets, utf8
 
 PROBED = 0.4  # share of the token hashes that step 1 looks at
@@ -199,6 +199,7 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, id_co
         yield from pack.flush()
 
     def alone(group: pa.Table) -> pa.Table:
+        give_back()
         tokens, owners = unpack(group, np.uint32)
         order = np.argsort(tokens, kind="stable")
         tokens, owners = tokens[order], owners[order]
@@ -219,10 +220,10 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, id_co
         start = runs(keys[by])
         return pa.table({"k": pa.array(keys[by][start], pa.int64()), "u": pa.array(np.add.reduceat(n[by], start), pa.int64())})
 
-    described = cut(d.mapInArrow(describe, "_id long, n long, key binary"), "jaccard-sets")
-    single = d.mapInArrow(probe, PACKED).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(alone, "part int, answers binary")
+    described = cut(d.mapInArrow(tidy(describe), "_id long, n long, key binary"), "jaccard-sets")
+    single = d.mapInArrow(tidy(probe), PACKED).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(alone, "part int, answers binary")
     single = single.repartition(buckets, "part").groupBy("part").applyInArrow(add_up, "k long, u long")
-    lead = described.where("n > 0 and _id is not null").mapInArrow(_with_long_key, "_id long, n long, key binary, k long").groupBy("key", "n", "k").agg(F.min("_id").alias("rep"))
+    lead = described.where("n > 0 and _id is not null").mapInArrow(tidy(_with_long_key), "_id long, n long, key binary, k long").groupBy("key", "n", "k").agg(F.min("_id").alias("rep"))
     alive = cut(lead.join(single, "k", "left").where(F.expr(f"coalesce(u, 0) <= n * {100 - percent} div 100")).select("rep", "n", "key"), "jaccard-alive")
 
     def own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +238,7 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, id_co
                 seen.add(key)
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    texts = d.hint("merge").join(alive.withColumnRenamed("rep", "_id"), "_id").select("_id", "_text", "n", "key").mapInArrow(own_text, "_id long, _text string, n long, key binary")
+    texts = d.hint("merge").join(alive.withColumnRenamed("rep", "_id"), "_id").select("_id", "_text", "n", "key").mapInArrow(tidy(own_text), "_id long, _text string, n long, key binary")
     node = F.xxhash64("_id", "key")
     cand = cut(texts.select(node.alias("node"), "_id", F.col("n").cast("int").alias("n"), "_text"), "jaccard-texts")
     bytes_left = cand.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
@@ -255,6 +256,7 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, id_co
         yield from pack.flush()
 
     def count(group: pa.Table) -> pa.Table:
+        give_back()
         tokens, owners = unpack(group)
         order = np.argsort(tokens, kind="stable")
         tokens, owners = tokens[order], owners[order]
@@ -287,9 +289,9 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, id_co
                     at = pa.array(at, pa.int64())
                     yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64()), b.column(0).take(at), b.column(2).take(at), pa.array(own, pa.int32()), pa.array(cells, pa.list_(pa.int32()))], names=["sig", "node", "n", "alone", "cells"])
 
-    answers = cand.select("node", "_text").mapInArrow(send, PACKED).repartition(few, "bucket").groupBy("bucket").applyInArrow(count, "node long, t binary").groupBy("node").agg(F.collect_list("t").alias("t"))
+    answers = cand.select("node", "_text").mapInArrow(tidy(send), PACKED).repartition(few, "bucket").groupBy("bucket").applyInArrow(count, "node long, t binary").groupBy("node").agg(F.collect_list("t").alias("t"))
     rows = cand.select("node", "n").join(answers, "node", "left").select("node", "t", "n")
-    index = cut(rows.mapInArrow(entries, "sig long, node long, n int, alone int, cells array<int>"), "jaccard-index")
+    index = cut(rows.mapInArrow(tidy(entries), "sig long, node long, n int, alone int, cells array<int>"), "jaccard-index")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -304,7 +306,7 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, id_co
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         one = cand.select(F.col("node").alias("a"), F.col("_text").alias("x")).hint("merge")
         two = cand.select(F.col("node").alias("b"), F.col("_text").alias("y")).hint("merge")
-        return cut(pairs.join(two, "b").join(one, "a").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long, ok boolean"), name)
+        return cut(pairs.join(two, "b").join(one, "a").select("a", "b", "x", "y").mapInArrow(tidy(verify), "a long, b long, ok boolean"), name)
 
     entry, sets = index.where("sig is not null"), index.where("sig is null").drop("sig")
     central = F.shiftleft(F.col("alone").cast("long"), 32) + F.col("node").bitwiseAND(F.lit(0xFFFFFFFF))

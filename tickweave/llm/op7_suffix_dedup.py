@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.llm.op3_jaccard_join import runs
-from tickweave.llm.spark import cut, parts, table
+from tickweave.llm.spark import cut, give_back, parts, table, tidy
 from tickweave.llm.text import BASE, BYTE_VALUES, U64, mix, powers
 
 LENGTH = 50
@@ -408,9 +408,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         yield from _table(list(sender.flush()), SENT).to_batches()
 
     def settle_group(group: pa.Table) -> pa.Table:
+        give_back()
         return _table(list(settle_bucket(group, hot_size)), ANSWER)
 
-    sent = d.where(F.col("__id").isNotNull() & F.col(text_col).isNotNull()).select("__id", "__key", "__db", text_col).mapInArrow(send, SENT)
+    sent = d.where(F.col("__id").isNotNull() & F.col(text_col).isNotNull()).select("__id", "__key", "__db", text_col).mapInArrow(tidy(send), SENT)
     told = cut(sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(settle_group, ANSWER), "suffix-answers")
     texts = d.groupBy("__db")
 
@@ -469,6 +470,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         """The texts of one group without their removed bytes."""
+        give_back()
         told_ = read_answers(right, (WHOLE, SAME, SPAN))
         kept, chars, spans, removed = [], [], [], []
         for key, doc, text in zip(left.column("__key").to_pylist(), left.column("__id").to_pylist(), left.column(text_col).to_pylist()):

@@ -29,14 +29,15 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.llm.spark import crc_mod, cut, table
+from tickweave.llm.spark import crc_mod, cut, table, tidy
 
 MAX_TOXIC, MAX_CLEAN = 1500, 3000  # bound of the labelled sample
 DENSE = 4096  # most frequent terms, kept as a matrix
 FLOOR = 0.01  # least weight factor of a term, however little it is associated with a label
 NEIGHBOURS = 15
 TOGETHER = 256  # documents multiplied with the matrix at a time
-MEMO_WORDS = 500_000
+BATCH = 4 * TOGETHER  # documents scored before their evidence is handed out
+MEMO_WORDS = 100_000  # about 20 MB a worker
 THRESHOLD = 0.7
 
 WORDS = re.compile(r"[^\W\d_]+")
@@ -262,7 +263,7 @@ def learned(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_c
             got = [list({t for w in set(WORDS.findall(x.lower())) for t in word_terms(w)}) for x in texts]
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.list_(pa.string())), ys], names=["t", "y"])
 
-    seen = sample.select("_text", "_y").mapInArrow(terms, "t array<string>, y int").select(F.explode("t").alias("t"), "y").groupBy("t").agg(F.sum("y").cast("double").alias("d1"), F.sum(1 - F.col("y")).cast("double").alias("d0"))
+    seen = sample.select("_text", "_y").mapInArrow(tidy(terms), "t array<string>, y int").select(F.explode("t").alias("t"), "y").groupBy("t").agg(F.sum("y").cast("double").alias("d1"), F.sum(1 - F.col("y")).cast("double").alias("d0"))
     found = seen.toArrow()  # bounded: the terms of the sample
     found = found.append_column("n", pa.compute.add(found["d0"], found["d1"])).sort_by([("n", "descending"), ("t", "ascending")])
     words = found["t"].combine_chunks()  # compact; only workers make strings of it
@@ -272,11 +273,11 @@ def learned(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_c
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Terms(numbered(words))
         for b in batches:
-            c = [sorted(memo.counts(x).items()) for x in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array([[pair[j] for pair in x] for x in c], pa.list_(pa.int32())) for j in (0, 1))], names=["_id", "_y", "t", "c"])
+            c = [[y.astype(np.int32) for y in memo.found(x)] for x in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array([pair[j] for pair in c], pa.list_(pa.int32())) for j in (0, 1))], names=["_id", "_y", "t", "c"])
 
     id_type = sample.schema["_id"].dataType.simpleString()
-    rows = sample.select("_id", "_y", "_text").mapInArrow(vectors, f"_id {id_type}, _y int, t array<int>, c array<int>").toArrow()  # bounded by the sample
+    rows = sample.select("_id", "_y", "_text").mapInArrow(tidy(vectors), f"_id {id_type}, _y int, t array<int>, c array<int>").toArrow()  # bounded by the sample
     pairs = [[x.values.to_numpy() for x in rows[c].combine_chunks()] if rows.num_rows else [] for c in "tc"]
     examples = sorted(zip(rows["_id"].to_pylist(), rows["_y"].to_pylist(), *pairs), key=lambda e: str(e[0]))
     del rows, pairs
@@ -291,7 +292,7 @@ def learned(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_c
             raw = [ix.vote(*got) for got in ix.all_nearest(b.column(1).to_pylist(), own)]
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(raw, pa.float64())], names=["n", "raw"])
 
-    told = sample.select("_id", "_text").mapInArrow(votes, "n int, raw double").toArrow().sort_by("n")  # two numbers an example
+    told = sample.select("_id", "_text").mapInArrow(tidy(votes), "n int, raw double").toArrow().sort_by("n")  # two numbers an example
     return shared, isotonic(told["raw"].to_numpy(), index.labels, index.weights, index.prior)
 
 
@@ -314,7 +315,7 @@ def toxicity(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_
         blank = ix.score(ix.vote(np.zeros(0, dtype=np.int64), np.zeros(0)))
         ids = pa.array(ix.ids, pa.int64()) if id_type == "bigint" else pa.array([str(i) for i in ix.ids], pa.string())
         labels = pa.array(ix.labels.astype(np.int32))
-        for b in batches:
+        for b in (b.slice(lo, BATCH) for b in batches for lo in range(0, b.num_rows, BATCH)):
             near = list(ix.all_nearest(b.column(b.schema.get_field_index(text_col)).to_pylist()))
             s = np.array([ix.score(ix.vote(best, cos)) if len(best) else blank for best, cos in near])
             ends = np.cumsum([0, *(len(best) for best, _ in near)]).astype(np.int32)
@@ -328,7 +329,7 @@ def toxicity(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
     ev = "array<struct<id: bigint, label: int, cosine: double>>" if id_type == "bigint" else "array<struct<id: string, label: int, cosine: double>>"
-    return docs.select(*kept).mapInArrow(run, f"{schema}, score double, predicted int, evidence {ev}")
+    return docs.select(*kept).mapInArrow(tidy(run), f"{schema}, score double, predicted int, evidence {ev}")
 
 
 def learnable(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
