@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -167,6 +168,22 @@ def test_suffix_order_sorts_suffixes():
     assert [bool(x) for x in same[1:]] == [a == b for a, b in zip(keys, keys[1:])]
 
 
+def test_suffix_task_holds_a_bounded_part_of_its_anchors():
+    """12 MB of text go through a task's side of step 1 in less than 65 MB."""
+    r = np.random.default_rng(4)
+    texts = [bytes(t) for t in r.integers(97, 123, (4096, 3000), dtype=np.uint8)]
+    sender, sent = suffix.Sender(40, 50), 0
+    tracemalloc.start()
+    for lo in range(0, len(texts), suffix.TOGETHER):
+        sender.add(texts[lo : lo + suffix.TOGETHER], [(i, i, i % 40) for i in range(lo, lo + suffix.TOGETHER)])
+        if sender.held > suffix.FLUSH:
+            sent += sum(len(row["seed"]) // 4 for row in sender.flush())
+    sent += sum(len(row["seed"]) // 4 for row in sender.flush())
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sent > 500_000 and most < 65_000_000
+
+
 def test_suffix_empty_and_clashing(spark):
     assert suffix.remove_repeats(spark.createDataFrame([], DOC)).count() == 0
     t = "a passage of more than fifty bytes that stands in two documents "

@@ -39,8 +39,9 @@ from tickweave.llm.text import BASE, BYTE_VALUES, U64, mix, powers
 LENGTH = 50
 SEED = 20
 SLICE = 1 << 20  # longer texts are scanned in overlapping slices
-CHUNK = 1 << 20
-FLUSH = 2_000_000  # anchors that a task holds
+CHUNK = 1 << 18  # bytes of shorter texts that are scanned at a time; a scan takes about 70 bytes each
+FLUSH = 400_000  # anchors that a task holds; settling them takes about 100 bytes each
+TOGETHER = 512  # texts that are scanned at a time
 BUCKET_BYTES = 16 << 20  # text behind one bucket
 HOT = 20_000  # territories of an anchor beyond which its windows are dealt one by one
 LOW32 = U64(0xFFFFFFFF)
@@ -398,13 +399,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = Sender(buckets, length)
-        for b in batches:
-            texts = b.column(3).cast(pa.binary()).to_pylist()
-            rows = list(zip(*(b.column(i).to_pylist() for i in range(3))))
-            for i in range(0, len(rows), 512):
-                sender.add(texts[i : i + 512], rows[i : i + 512])
-                if sender.held > FLUSH:
-                    yield from _table(list(sender.flush()), SENT).to_batches()
+        for b in (b.slice(i, TOGETHER) for b in batches for i in range(0, b.num_rows, TOGETHER)):
+            sender.add(b.column(3).cast(pa.binary()).to_pylist(), list(zip(*(b.column(i).to_pylist() for i in range(3)))))
+            if sender.held > FLUSH:
+                yield from _table(list(sender.flush()), SENT).to_batches()
         yield from _table(list(sender.flush()), SENT).to_batches()
 
     def settle_group(group: pa.Table) -> pa.Table:
