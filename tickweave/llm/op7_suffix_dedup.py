@@ -415,6 +415,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     def fetch(left: pa.Table, right: pa.Table) -> pa.Table:
         """The bytes that were asked for of one group of texts."""
+        give_back()
         asked = read_answers(right, (ASK, ASK_HOT))
         keys = left.column("__key").to_pylist() if asked else []
         rows: list[tuple] = []  # seed, id, key, start, windows, bytes
@@ -451,14 +452,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         return _table(out, WANTED)
 
     def compare(group: pa.Table) -> pa.Table:
+        give_back()
         rows = group.to_pylist()
         col = lambda name, kind: np.concatenate([np.frombuffer(r[name], kind) for r in rows])
         seed, ids, keys, dbs, start = col("seed", np.uint32), col("ids", np.int64), col("keys", np.int64), col("dbs", np.int32), col("start", np.uint32).astype(np.int64)
         windows = col("windows", np.uint16).astype(np.int64)
         hit = repeated_windows(seed, ids, windows, b"".join(r["data"] for r in rows), length)
-        head = np.repeat(np.arange(len(seed)), windows)
-        place = np.repeat(start, windows) + np.arange(len(head)) - np.repeat(np.cumsum(windows) - windows, windows)
-        h, p = head[hit], place[hit]
+        which = np.arange(int(windows.sum()))[hit]  # windows, numbered through all heads
+        ends = np.cumsum(windows)
+        h = np.searchsorted(ends, which, side="right")
+        p = start[h] + which - (ends - windows)[h]
         if not len(h):
             return _table([], ANSWER)
         new = np.concatenate(([True], (h[1:] != h[:-1]) | (p[1:] != p[:-1] + 1)))
