@@ -184,6 +184,60 @@ def test_suffix_task_holds_a_bounded_part_of_its_anchors():
     assert sent > 500_000 and most < 65_000_000
 
 
+def asked(texts, hot=20_000):
+    """kind -> number of territories whose bytes one bucket asks for."""
+    sender = suffix.Sender(1, 50)
+    sender.add([t.encode() for t in texts], [(i, i, 0) for i in range(len(texts))])
+    told = suffix.settle_bucket(suffix._table(list(sender.flush()), suffix.SENT), hot)
+    out = {}
+    for row in told:
+        out[row["kind"]] = out.get(row["kind"], 0) + row["n"]
+    return out
+
+
+def test_suffix_asks_only_for_strings_that_can_repeat():
+    """Texts that share 30 bytes have anchors in common, but no bytes need to be compared; with 50 they do."""
+    r = random.Random(8)
+    noise = lambda n: "".join(r.choices("abcdefghijklmnop", k=n))
+    short, long = noise(30), noise(80)
+    assert not asked([noise(200) + short + noise(200) for _ in range(30)])
+    assert asked([noise(200) + long + noise(200) for _ in range(30)])[suffix.ASK] >= 30
+    assert asked([noise(200) + long + noise(200) for _ in range(30)], 2)[suffix.ASK_HOT] >= 30
+
+
+@pytest.mark.parametrize("hot", [20_000, 3])
+def test_suffix_overlaps_around_the_length(spark, hot):
+    """Shared strings of 20 to 80 bytes in all surroundings, short texts and text edges included."""
+    r = random.Random(12)
+    noise = lambda n: "".join(r.choices("abcdefghé", k=n))
+    pool = [noise(80) for _ in range(3)] + ["ab" * 40]
+    rows = []
+    for i in range(150):
+        p, n = r.choice(pool), r.randrange(20, 81)
+        at = r.randrange(0, 81 - n)
+        rows.append((i % 120, noise(r.choice([0, 1, 14, 15, 16, 40])) + p[at : at + n] + noise(r.choice([0, 1, 14, 15, 16, 40]))))
+    got = suffix.remove_repeats(spark.createDataFrame(rows, DOC), hot_size=hot)
+    flat = got.select("doc_id", F.octet_length("text").cast("long"), "n_removed", F.size("spans"), F.sha2("kept", 256)).collect()
+    assert sorted([tuple(x) for x in flat], key=str) == brute_repeats(rows, 50)
+
+
+def test_suffix_compares_some_anchors_at_a_time(monkeypatch):
+    r = random.Random(6)
+    pool = ["".join(r.choices("ab", k=90)) for _ in range(20)]
+    texts = [r.choice(pool)[r.randrange(10) : r.randrange(62, 90)].encode() for _ in range(300)]
+    seed, ids, windows = np.array([r.randrange(9) for _ in texts], np.uint32), np.array([r.randrange(40) for _ in texts]), np.array([len(t) - 49 for t in texts])
+    first = {}
+    for s, i, t in zip(seed, ids, texts):
+        for p in range(len(t) - 49):
+            first[s, t[p : p + 50]] = min(i, first.get((s, t[p : p + 50]), i))
+    want = [bool(first[s, t[p : p + 50]] < i) for s, i, t in zip(seed, ids, texts) for p in range(len(t) - 49)]
+    sizes, sort = [], suffix.suffix_order
+    monkeypatch.setattr(suffix, "suffix_order", lambda buf, at, group, limit: sizes.append(len(at)) or sort(buf, at, group, limit))
+    assert suffix.repeated_windows(seed, ids, windows, b"".join(texts), 50).tolist() == want and len(sizes) == 1
+    monkeypatch.setattr(suffix, "COMPARED", 600)
+    assert suffix.repeated_windows(seed, ids, windows, b"".join(texts), 50).tolist() == want and len(sizes) > 5
+
+
 def test_suffix_empty_and_clashing(spark):
     assert suffix.remove_repeats(spark.createDataFrame([], DOC)).count() == 0
     t = "a passage of more than fifty bytes that stands in two documents "

@@ -7,14 +7,14 @@ consecutive windows of one anchor are its territory.
 
 1. Tasks settle what they can see (equal texts, equal territories) and send the
    rest, packed, to buckets by the anchor's hash.  A bucket settles equal
-   territories, and asks for the bytes of the territories whose anchor occurs
-   in several documents with different surroundings.
-2. These bytes meet by anchor.  Their windows are sorted as suffixes: by their
-   first eight bytes, then by a merge sort whose comparisons find the common
-   extension of two suffixes by binary search over prefix polynomial hashes.
-   Neighbours that agree over ``LENGTH`` bytes are compared byte by byte, and
-   each class of equal windows gets the smallest id.  The windows of a very
-   frequent anchor are dealt by their own hash instead.
+   territories, and asks for bytes where an anchor occurs in several documents
+   with different surroundings.  The first windows of a territory all hold the
+   bytes before the anchor too, the others those after it; each half is asked for
+   only if these longer strings' hashes meet in several documents as well.
+2. These bytes meet by anchor.  Their windows are sorted as suffixes, eight bytes
+   at a time, so neighbours that agree over ``LENGTH`` bytes are known by their
+   bytes, and each class of equal windows gets the smallest id.  The windows of a
+   very frequent half are dealt by their own hash instead.
 3. The removed spans meet the texts again, by ranges of a hash of the id.
 
 Bytes are compared in step 2 only.  Territories settled in step 1 are equal by 80
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tickweave.llm.op3_jaccard_join import runs
 from tickweave.llm.spark import cut, give_back, parts, table, tidy
-from tickweave.llm.text import BASE, BYTE_VALUES, U64, mix, powers
+from tickweave.llm.text import BASE, BYTE_VALUES, U64, chunks, mix, powers
 
 LENGTH = 50
 SEED = 20
@@ -43,8 +43,10 @@ CHUNK = 1 << 18  # bytes of shorter texts that are scanned at a time; a scan tak
 FLUSH = 400_000  # anchors that a task holds; settling them takes about 100 bytes each
 TOGETHER = 512  # texts that are scanned at a time
 BUCKET_BYTES = 16 << 20  # text behind one bucket
-HOT = 20_000  # territories of an anchor beyond which its windows are dealt one by one
+HOT = 20_000  # halves of one longer string beyond which their windows are dealt one by one
+COMPARED = 1 << 19  # windows that are sorted at a time, if no single anchor has more
 LOW32 = U64(0xFFFFFFFF)
+LEFT, RIGHT = 1, 2  # the halves of a territory
 WHOLE, SAME, ASK, ASK_HOT, SPAN = range(5)  # kinds of answers
 
 
@@ -71,7 +73,9 @@ def slices(text: bytes, length: int) -> list[tuple[int, bytes]]:
 
 
 class Territories:
-    """Territories of the anchors of some texts: text number, first byte, windows, anchor and territory hashes."""
+    """Territories of the anchors of some texts: text number, first byte, windows, windows of
+    the left half, anchor and territory hashes, and the 16-bit hashes of the longer strings
+    that all windows of the left (low bits) and of the right half hold (0: no windows)."""
 
     def __init__(self, texts: list[bytes], length: int):
         cut_up = [(i, at, piece) for i, t in enumerate(texts) for at, piece in slices(t, length)]
@@ -84,8 +88,8 @@ class Territories:
                 hi += 1
             found.append(self._scan(cut_up[lo:hi], length))
             lo = hi
-        empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.uint64))
-        self.text, self.start, self.windows, self.seed, self.hash = (np.concatenate(x) for x in zip(empty, *found))
+        empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.uint64), np.zeros(0, np.uint32))
+        self.text, self.start, self.windows, self.left, self.seed, self.hash, self.near = (np.concatenate(x) for x in zip(empty, *found))
         self.first = np.searchsorted(self.text, np.arange(len(texts) + 1))
 
     @staticmethod
@@ -94,26 +98,35 @@ class Territories:
         size = np.array([len(p) for _, _, p in pieces])
         buf = np.frombuffer(b"".join(p for _, _, p in pieces) + bytes(length), dtype=np.uint8)
         prefix = Prefix(buf)
-        at = np.arange(len(buf) - seed + 1)
-        grams = mix(prefix.of(at, seed))
-        low = (grams & ~LOW32) | at.astype(np.uint64)  # the leftmost of the least
+        count = len(buf) - seed + 1
+        grams = mix((prefix.sums[seed : seed + count] - prefix.sums[:count]) * Prefix.down[:count])
+        low = (grams & ~LOW32) | np.arange(count, dtype=np.uint64)  # the leftmost of the least
         have, width = 1, length - seed + 1
         while have < width:
             step = min(have, width - have)
             low = np.minimum(low[: len(low) - step], low[step:])
             have += step
-        total = int(size.sum())
         end = np.cumsum(size)
-        piece = np.repeat(np.arange(len(pieces)), size)
-        window = np.flatnonzero(end[piece] - np.arange(total) >= length)
-        anchor = (low[window] & LOW32).astype(np.int64)
+        inside = np.ones(int(end[-1]), dtype=bool)
+        for j in range(1, length):
+            inside[end - j] = False
+        window = np.flatnonzero(inside)
+        anchor = (low[: len(inside)][inside] & LOW32).astype(np.int64)
         new = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (window[1:] != window[:-1] + 1)))
         first = np.flatnonzero(new)
         start, n = window[first], np.diff(np.append(first, len(window)))
         own = mix(prefix.of(start, n - 1 + length) + n.astype(np.uint64)) >> U64(16)
+        p = anchor[first]
+        before = (length - seed + 1) // 2  # bytes of the left half's string before the anchor
+        left = np.clip(p - before - start + 1, 0, n)
+        near = np.zeros(len(p), dtype=np.uint64)
+        for half, shift, back, more in ((left > 0, 0, before, before), (left < n, 16, 0, length - seed - before + 1)):
+            at = p[half] - back
+            near[half] |= (mix(prefix.of(at, seed + more)) >> U64(48) | U64(1)) << U64(shift)
         base = np.array([b for _, b, _ in pieces]) - (end - size)
         text = np.array([i for i, _, _ in pieces])
-        return text[piece[start]], start + base[piece[start]], n, (grams[anchor[first]] & LOW32).astype(np.uint32), own
+        piece = np.searchsorted(end, start, side="right")
+        return text[piece], start + base[piece], n, left, (grams[p] & LOW32).astype(np.uint32), own, near.astype(np.uint32)
 
 
 # -- packed rows ------------------------------------------------------------------
@@ -127,7 +140,7 @@ def widened(raw: bytes, n: int) -> np.ndarray:
     return np.frombuffer(raw, np.uint16 if len(raw) == 2 * n else np.uint32).astype(np.int64)
 
 
-SENT = "bucket int, kind int, seed binary, hash binary, owner binary, ordinal binary, keys binary, ids binary, dbs binary"
+SENT = "bucket int, kind int, seed binary, hash binary, near binary, owner binary, ordinal binary, keys binary, ids binary, dbs binary"
 ANSWER = "db int, kind int, n int, owner binary, ordinal binary, stop binary, keys binary"
 
 
@@ -166,7 +179,15 @@ def read_answers(rows: pa.Table, kinds: tuple[int, ...]) -> dict[int, list[tuple
 
 def settle(seed: np.ndarray, own: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(order by anchor, territory and id; starts of equal territories; per ordered row: is an equal territory in a smaller id)."""
-    order = np.lexsort((ids, own, seed))
+    key = (seed.astype(np.uint64) << U64(32)) | (own >> U64(16))
+    order = np.argsort(key)
+    k = key[order]
+    tied = np.zeros(len(k), dtype=bool)
+    tied[1:] = k[1:] == k[:-1]
+    tied[:-1] |= tied[1:]
+    del key, k
+    some = order[tied]  # only these are not in order yet
+    order[tied] = some[np.lexsort((some, ids[some], own[some], seed[some]))]
     s, o, d = seed[order], own[order], ids[order]
     start = np.flatnonzero(np.concatenate(([True], (s[1:] != s[:-1]) | (o[1:] != o[:-1])))) if len(s) else np.zeros(0, np.int64)
     least = np.repeat(d[start], np.diff(np.append(start, len(d))))
@@ -174,7 +195,8 @@ def settle(seed: np.ndarray, own: np.ndarray, ids: np.ndarray) -> tuple[np.ndarr
 
 
 class Sender:
-    """A task's side of step 1: anchors of the texts it holds, settled and packed."""
+    """A task's side of step 1: anchors of the texts it holds (rows of id, key and group, which
+    is the key modulo ``buckets``), settled and packed."""
 
     def __init__(self, buckets: int, length: int):
         self.buckets, self.length = buckets, length
@@ -182,7 +204,7 @@ class Sender:
 
     def clear(self) -> None:
         self.classes: dict[bytes, list[tuple[int, int, int]]] = {}
-        self.found: list[tuple[bytes, np.ndarray, np.ndarray]] = []
+        self.found: list[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]] = []
         self.held = 0
 
     def add(self, texts: list[bytes], rows: list[tuple[int, int, int]]) -> None:
@@ -200,7 +222,7 @@ class Sender:
         got = Territories(new, self.length)
         for i, digest in enumerate(digests):
             a, b = got.first[i], got.first[i + 1]
-            self.found.append((digest, got.seed[a:b], got.hash[a:b]))
+            self.found.append((digest, got.seed[a:b], got.hash[a:b], got.near[a:b]))
             self.held += int(b - a)
 
     def flush(self) -> Iterator[dict]:
@@ -211,13 +233,14 @@ class Sender:
             if copies:
                 ids, keys, dbs = (np.array(x, dtype=np.int64) for x in zip(*copies))
                 yield from self._direct(dbs, WHOLE, keys, np.zeros(len(keys), np.int64))
-            part = {d: (s, h) for d, s, h in self.found}
+            part = {d: arrays for d, *arrays in self.found}
             size = [len(part[d][0]) for _, d in twins]
-            seed = np.concatenate([part[d][0] for _, d in twins])
-            own = np.concatenate([part[d][1] for _, d in twins])
+            seed, own, near = (np.concatenate([part[d][k] for _, d in twins]) for k in range(3))
             which = np.repeat(np.arange(len(twins)), size)
             ordinal = np.arange(len(seed)) - np.repeat(np.cumsum(size) - size, size)
             ids, keys, dbs = (np.array(x, dtype=np.int64) for x in zip(*[r for r, _ in twins]))
+            del part
+            self.clear()
             order, _, same = settle(seed, own, ids[which])
             done = order[same]
             if len(done):
@@ -230,19 +253,20 @@ class Sender:
                 used, local = np.unique(which[at], return_inverse=True)
                 h = own[at]
                 yield {
-                    "bucket": int(bucket[i]), "kind": -1, "seed": seed[at].tobytes(), "hash": (h & LOW32).astype(np.uint32).tobytes() + (h >> U64(32)).astype(np.uint16).tobytes(),
-                    "owner": small(local), "ordinal": small(ordinal[at]), "keys": keys[used].tobytes(), "ids": ids[used].tobytes(), "dbs": dbs[used].astype(np.int32).tobytes(),
+                    "bucket": int(bucket[i]), "kind": -1, "seed": seed[at].tobytes(), "hash": (h & LOW32).astype(np.uint32).tobytes() + (h >> U64(32)).astype(np.uint16).tobytes(), "near": near[at].tobytes(),
+                    "owner": small(local), "ordinal": small(ordinal[at]), "keys": keys[used].tobytes(), "ids": small(ids[used]) if ids[used].min() >= 0 and ids[used].max() <= LOW32 else ids[used].tobytes(), "dbs": self.buckets.to_bytes(4, "little"),
                 }
         self.clear()
 
     def _direct(self, db: np.ndarray, kind: int, key: np.ndarray, ordinal: np.ndarray) -> Iterator[dict]:
         """Answers that need no bucket's help, passed through one."""
         for r in answers(db, kind, key, ordinal):
-            yield {"bucket": int(mix(np.array([r["db"]], np.uint64))[0] % U64(self.buckets)), "kind": kind, "seed": b"", "hash": b"", "owner": r["owner"], "ordinal": r["ordinal"], "keys": r["keys"], "ids": r["n"].to_bytes(8, "little"), "dbs": r["db"].to_bytes(4, "little")}
+            yield {"bucket": int(mix(np.array([r["db"]], np.uint64))[0] % U64(self.buckets)), "kind": kind, "seed": b"", "hash": b"", "near": b"", "owner": r["owner"], "ordinal": r["ordinal"], "keys": r["keys"], "ids": r["n"].to_bytes(8, "little"), "dbs": r["db"].to_bytes(4, "little")}
 
 
 def settle_bucket(group: pa.Table, hot_size: int = HOT) -> Iterator[dict]:
-    """A bucket's answers: settled territories, and those whose bytes are wanted."""
+    """A bucket's answers: settled territories, and those whose bytes are wanted (ordinals by
+    four, with the halves)."""
     parts_: list[tuple[np.ndarray, ...]] = []
     for r in group.to_pylist():
         if r["kind"] >= 0:
@@ -252,27 +276,45 @@ def settle_bucket(group: pa.Table, hot_size: int = HOT) -> Iterator[dict]:
         n = len(seed)
         own = np.frombuffer(r["hash"], np.uint32, n).astype(np.uint64) | (np.frombuffer(r["hash"], np.uint16, n, 4 * n).astype(np.uint64) << U64(32))
         owner = widened(r["owner"], n)
-        parts_.append((seed, own, np.frombuffer(r["ids"], np.int64)[owner], np.frombuffer(r["keys"], np.int64)[owner], np.frombuffer(r["dbs"], np.int32)[owner].astype(np.int64), widened(r["ordinal"], n)))
+        key = np.frombuffer(r["keys"], np.int64)
+        id_ = np.frombuffer(r["ids"], np.int64) if len(r["ids"]) == 8 * len(key) else widened(r["ids"], len(key))
+        parts_.append((seed, own, np.frombuffer(r["near"], np.uint32), id_[owner], key[owner], (key % int.from_bytes(r["dbs"], "little"))[owner], widened(r["ordinal"], n)))
     if not parts_:
         return
-    seed, own, ids, keys, dbs, ordinal = (np.concatenate(x) for x in zip(*parts_))
+    seed, own, near, ids, keys, dbs, ordinal = (np.concatenate(x) for x in zip(*parts_))
+    del parts_
     order, start, same = settle(seed, own, ids)
     done = order[same]
     if len(done):
         yield from answers(dbs[done], SAME, keys[done], ordinal[done])
-    # Anchors whose territories first occur in different documents: their bytes must be compared.
-    heads = np.flatnonzero(~same)  # places in the order
-    s = seed[order[heads]]
-    first = runs(s)
-    d = ids[order[heads]]
-    size = np.diff(np.append(first, len(s)))
-    mixed = np.repeat(np.minimum.reduceat(d, first) != np.maximum.reduceat(d, first), size)
-    several = np.repeat(np.maximum.reduceat(_rank(own[order[heads]], s), first) > 0, size)
-    hot = np.repeat(size > hot_size, size)
-    for kind, mask in ((ASK, mixed & several & ~hot), (ASK_HOT, mixed & several & hot)):
-        at = order[heads[mask]]
-        if len(at):
-            yield from answers(dbs[at], kind, keys[at], ordinal[at])
+    # Anchors whose territories first occur in different documents, and of these the halves whose
+    # longer strings do: their bytes must be compared.
+    heads = order[~same]
+    at = heads[_differ(seed[heads], own[heads], ids[heads])[0]]
+    halves = {ASK: np.zeros(len(at), np.int64), ASK_HOT: np.zeros(len(at), np.int64)}
+    for half, string in ((LEFT, near[at] & np.uint32(0xFFFF)), (RIGHT, near[at] >> np.uint32(16))):
+        some = np.flatnonzero(string)
+        key = (seed[at[some]].astype(np.uint64) << U64(16)) | string[some]
+        by = np.argsort(key, kind="stable")  # equal territories stay side by side
+        some, key = some[by], key[by]
+        wanted, size = _differ(key, own[at[some]], ids[at[some]])
+        halves[ASK][some[wanted & (size <= hot_size)]] |= half
+        halves[ASK_HOT][some[wanted & (size > hot_size)]] |= half
+    for kind, which in halves.items():
+        x = at[which > 0]
+        if len(x):
+            yield from answers(dbs[x], kind, keys[x], 4 * ordinal[x] + which[which > 0])
+
+
+def _differ(group: np.ndarray, own: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(per row, does its group have different territories of different ids; the group's size),
+    for rows in the order of groups and territories."""
+    if not len(group):
+        return np.zeros(0, bool), np.zeros(0, np.int64)
+    first = runs(group)
+    size = np.diff(np.append(first, len(group)))
+    found = (np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first)) & (np.maximum.reduceat(_rank(own, group), first) > 0)
+    return np.repeat(found, size), np.repeat(size, size)
 
 
 def _rank(own: np.ndarray, seed: np.ndarray) -> np.ndarray:
@@ -285,72 +327,32 @@ def _rank(own: np.ndarray, seed: np.ndarray) -> np.ndarray:
 # -- suffix sorting -----------------------------------------------------------------
 
 
-def common_extension(buf: np.ndarray, prefix: Prefix, a: np.ndarray, b: np.ndarray, known: int, limit: int) -> np.ndarray:
-    """Length of the common prefix (up to ``limit``) of the suffixes at a and b, of which
-    ``known`` bytes agree: binary search over prefix hashes."""
-    low, high = np.full(len(a), known), np.full(len(a), limit)
-    while len(a) and (low < high).any():
-        mid = (low + high + 1) >> 1
-        same = prefix.of(a, mid) == prefix.of(b, mid)
-        low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
-    return low
-
-
 def suffix_order(buf: np.ndarray, at: np.ndarray, group: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Order of the suffixes at ``at`` by (group, first ``limit`` bytes), and for each in
-    that order whether it agrees with the one before over ``limit`` bytes."""
-    known = min(8, limit)
-    key = np.zeros(len(at), dtype=np.uint64)
-    for j in range(known):
-        key = (key << U64(8)) | buf[at + j].astype(np.uint64)
+    that order whether it agrees with the one before over ``limit`` bytes.  Suffixes that
+    still agree are sorted by their next eight bytes; ``buf`` has seven bytes after the last."""
+    words = np.ndarray((max(0, len(buf) - 7),), dtype=">u8", buffer=buf, strides=(1,))
+
+    def word(of: np.ndarray, done: int) -> np.ndarray:
+        return words[of + done].astype(np.uint64) >> U64(8 * max(0, done + 8 - limit))
+
+    key = word(at, 0)
     order = np.lexsort((key, group))
     k, g = key[order], group[order]
-    new = np.concatenate(([True], (k[1:] != k[:-1]) | (g[1:] != g[:-1]))) if len(at) else np.zeros(0, bool)
-    first = np.flatnonzero(new)
-    size = np.diff(np.append(first, len(at)))
-    prefix = Prefix(buf)
-
-    def less(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        n = common_extension(buf, prefix, a, b, known, limit)
-        return (n < limit) & (buf[a + np.minimum(n, limit - 1)] < buf[b + np.minimum(n, limit - 1)])
-
-    # Bottom-up merge sort of every run of equal keys, all of them at once.
-    width = 1
-    while len(size) and width < size.max():
-        live = np.flatnonzero(size > width)
-        run = np.repeat(live, size[live])
-        local = np.arange(len(run)) - np.repeat(np.cumsum(size[live]) - size[live], size[live])
-        base, n = first[run], size[run]
-        block = local // width
-        low = np.minimum((block ^ 1) * width, n)
-        other, high = low.copy(), np.minimum(low + width, n)
-        mine = at[order[base + local]]
-        right = (block & 1).astype(bool)
-        while (low < high).any():
-            open_ = np.flatnonzero(low < high)
-            mid = (low[open_] + high[open_]) >> 1
-            theirs = at[order[base[open_] + mid]]
-            x, y = mine[open_], theirs
-            before = np.empty(len(open_), dtype=bool)
-            r = right[open_]
-            before[~r] = less(y[~r], x[~r])
-            before[r] = ~less(x[r], y[r])
-            low[open_] = np.where(before, mid + 1, low[open_])
-            high[open_] = np.where(before, high[open_], mid)
-        to = (block & ~1) * width + (local - block * width) + (low - other)
-        moved = order[base + local].copy()
-        order[base + to] = moved
-        width *= 2
-    same = ~new
-    pairs = np.flatnonzero(same)
-    a, b = at[order[pairs - 1]], at[order[pairs]]
-    agree = common_extension(buf, prefix, a, b, known, limit) >= limit
-    for i in range(0, len(pairs), 1 << 16):  # equal hashes are checked byte by byte
-        j = np.arange(i, min(i + (1 << 16), len(pairs)))
-        j = j[agree[j]]
-        if len(j):
-            agree[j] = (buf[a[j, None] + np.arange(limit)] == buf[b[j, None] + np.arange(limit)]).all(axis=1)
-    same[pairs] = agree
+    same = np.zeros(len(at), dtype=bool)  # agrees with the one before as far as looked at
+    same[1:] = (k[1:] == k[:-1]) & (g[1:] == g[:-1])
+    for done in range(8, limit, 8):
+        live = same.copy()
+        live[:-1] |= same[1:]
+        live = np.flatnonzero(live)
+        if not len(live):
+            break
+        which = np.cumsum(~same[live])  # the class of equals
+        some = order[live]
+        key = word(at[some], done)
+        by = np.lexsort((key, which))
+        order[live], key = some[by], key[by]
+        same[live[1:]] &= key[1:] == key[:-1]
     return order, same
 
 
@@ -359,14 +361,25 @@ def repeated_windows(seed: np.ndarray, ids: np.ndarray, windows: np.ndarray, dat
     of a smaller id hold the same window?"""
     buf = np.frombuffer(data + bytes(8), dtype=np.uint8)
     size = windows + length - 1
-    head = np.repeat(np.arange(len(seed)), windows)
-    at = np.repeat(np.cumsum(size) - size, windows) + (np.arange(len(head)) - np.repeat(np.cumsum(windows) - windows, windows))
-    order, same = suffix_order(buf, at, seed[head].astype(np.int64), length)
-    start = np.flatnonzero(~same)
-    d = ids[head[order]]
-    least = np.repeat(np.minimum.reduceat(d, start), np.diff(np.append(start, len(d)))) if len(d) else d
-    out = np.zeros(len(head), dtype=bool)
-    out[order] = d > least
+    byte, number = np.cumsum(size) - size, np.cumsum(windows) - windows
+    out = np.zeros(int(windows.sum()), dtype=bool)
+    by_anchor = np.argsort(seed, kind="stable")
+    ends = np.cumsum(windows[by_anchor])
+    edge = np.append(runs(seed[by_anchor]), len(seed))
+    lo = 0
+    while lo < len(edge) - 1:  # some anchors at a time
+        before = ends[edge[lo] - 1] if edge[lo] else 0
+        hi = max(lo + 1, int(np.searchsorted(ends[edge[lo + 1 :] - 1], before + COMPARED, side="right")) + lo)
+        part = by_anchor[edge[lo] : edge[hi]]
+        lo = hi
+        n = windows[part]
+        head = np.repeat(part, n)
+        local = np.arange(len(head)) - np.repeat(np.cumsum(n) - n, n)
+        order, same = suffix_order(buf, byte[head] + local, seed[head], length)
+        start = np.flatnonzero(~same)
+        d = ids[head[order]]
+        least = np.repeat(np.minimum.reduceat(d, start), np.diff(np.append(start, len(d))))
+        out[(number[head] + local)[order]] = d > least
     return out
 
 
@@ -395,7 +408,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     buckets = max(parts(docs), -(-size // BUCKET_BYTES))
     d = docs.select(*base).withColumn("__id", F.col(id_col).cast("long")).withColumn("__key", F.xxhash64("__id", text_col))
-    d = d.withColumn("__db", F.pmod(F.xxhash64("__key", F.lit(7)), F.lit(buckets)).cast("int"))
+    d = d.withColumn("__db", F.pmod("__key", F.lit(buckets)).cast("int"))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = Sender(buckets, length)
@@ -417,24 +430,25 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         """The bytes that were asked for of one group of texts."""
         give_back()
         asked = read_answers(right, (ASK, ASK_HOT))
-        keys = left.column("__key").to_pylist() if asked else []
+        docs_: dict[int, tuple[int, bytes]] = {}  # of rows with equal id and text one is enough
+        for i, key in enumerate(left.column("__key").to_pylist() if asked else []):
+            if key in asked and key not in docs_:
+                docs_[key] = (left.column("__id")[i].as_py(), left.column(text_col)[i].as_py().encode())
+        keys, raws = list(docs_), [raw for _, raw in docs_.values()]
         rows: list[tuple] = []  # seed, id, key, start, windows, bytes
-        seen = set()
-        for i, key in enumerate(keys):
-            if key not in asked or key in seen:
-                continue
-            seen.add(key)
-            text = left.column(text_col)[i].as_py().encode()
-            mine, doc = Territories([text], length), left.column("__id")[i].as_py()
-            for kind, ordinal, _ in asked[key]:
-                for o in ordinal.tolist():
-                    at, n = int(mine.start[o]), int(mine.windows[o])
-                    if kind == ASK:
-                        rows.append((int(mine.seed[o]), doc, key, at, n, text[at : at + n + length - 1]))
-                    else:  # each window on its own, dealt by its own hash
-                        for w in range(at, at + n):
-                            piece = text[w : w + length]
-                            rows.append((int.from_bytes(hashlib.blake2b(piece, digest_size=4).digest(), "little"), doc, key, w, 1, piece))
+        for lo, hi in chunks(raws, CHUNK):
+            mine = Territories(raws[lo:hi], length)
+            for i in range(lo, hi):
+                key, raw, doc = keys[i], raws[i], docs_[keys[i]][0]
+                for kind, ordinal, _ in asked[key]:
+                    o, which = mine.first[i - lo] + (ordinal >> 2), ordinal & 3
+                    at, n, seed = mine.start[o], mine.windows[o], mine.seed[o]
+                    at, n = at + np.where(which == RIGHT, mine.left[o], 0), np.where(which == LEFT, mine.left[o], np.where(which == RIGHT, n - mine.left[o], n))
+                    if kind == ASK_HOT:  # each window on its own, dealt by its own hash
+                        at = np.repeat(at, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                        n = np.ones_like(at)
+                        seed = mix(Prefix(np.frombuffer(raw, np.uint8)).of(at, length)) & LOW32
+                    rows += [(s, doc, key, a, m, raw[a : a + m + length - 1]) for s, a, m in zip(seed.tolist(), at.tolist(), n.tolist())]
         if not rows:
             return _table([], WANTED)
         rows.sort(key=lambda r: r[0])
@@ -469,14 +483,26 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         last = np.append(at[1:], len(p)) - 1
         return _table(list(answers(dbs[h[at]].astype(np.int64), SPAN, keys[h[at]], p[at], p[last] + length)), ANSWER)
 
+    def scanned(names: list, texts_: list, told_: dict) -> Iterator[tuple]:
+        """(bytes, text, answers, first bytes and windows of the territories if an answer needs them), in order."""
+        raws = [(t or "").encode() for t in texts_]
+        for lo, hi in chunks(raws, CHUNK):
+            told_here = [told_.get(k) if k is not None else None for k in names[lo:hi]]
+            use = [i for i, a in enumerate(told_here) if a and any(k == SAME for k, _, _ in a) and not any(k == WHOLE for k, _, _ in a)]
+            mine, place = Territories([raws[lo + i] for i in use], length), {i: j for j, i in enumerate(use)}
+            for i, told_of in enumerate(told_here):
+                j = place.get(i)
+                own = None if j is None else (mine.start[mine.first[j] : mine.first[j + 1]], mine.windows[mine.first[j] : mine.first[j + 1]])
+                yield raws[lo + i], texts_[lo + i], told_of, own
+
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         """The texts of one group without their removed bytes."""
         give_back()
         told_ = read_answers(right, (WHOLE, SAME, SPAN))
         kept, chars, spans, removed = [], [], [], []
-        for key, doc, text in zip(left.column("__key").to_pylist(), left.column("__id").to_pylist(), left.column(text_col).to_pylist()):
-            raw = (text or "").encode()
-            mine = told_.get(key) if doc is not None else None
+        names, texts_ = left.column("__key").to_pylist(), left.column(text_col).to_pylist()
+        names = [None if doc is None else key for key, doc in zip(names, left.column("__id").to_pylist())]
+        for raw, text, mine, own in scanned(names, texts_, told_):
             if not mine:
                 kept.append(raw)
                 chars.append(text or "")
@@ -490,9 +516,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                 starts = [x for kind, x, _ in mine if kind == SPAN]
                 stops = [y for kind, _, y in mine if kind == SPAN]
                 if same:
-                    own, o = Territories([raw], length), np.concatenate(same)
-                    starts.append(own.start[o])
-                    stops.append(own.start[o] + own.windows[o] + length - 1)
+                    start, windows = own
+                    o = np.concatenate(same)
+                    starts.append(start[o])
+                    stops.append(start[o] + windows[o] + length - 1)
                 starts, stops = np.concatenate(starts), np.concatenate(stops)
             cover = np.zeros(len(raw) + 1, dtype=np.int32)
             np.add.at(cover, starts, 1)
