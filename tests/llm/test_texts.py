@@ -100,6 +100,43 @@ def test_bpe_rank_map_is_no_part_of_a_plan(spark):
     assert {r["w"]: list(r["ids"]) for r in out.collect()} == {w: bpe.merge_word(w.encode(), ranks) for w in words}
 
 
+def test_bpe_merges_the_rarer_words_of_some_texts_together(monkeypatch):
+    import public_tokenizers as P
+
+    path, r = P.path("byte_bpe_multi_50k.tiktoken"), random.Random(21)
+    ranks, one = bpe.read_ranks(path), bpe.merge_word
+    words = ["".join(r.choices("aerntioß hs日", k=r.randrange(1, 20))).strip() or "x" for _ in range(3000)] + ["a" * n for n in range(1, 80)] + ["日" * 30, "thandredle" * 20]
+    got = bpe.merge_words([w.encode() for w in words], bpe.PairTable(ranks))
+    assert [np.frombuffer(g, np.int32).tolist() for g in got] == [one(w.encode(), ranks) for w in words]
+    alone = []
+    monkeypatch.setattr(bpe, "merge_word", lambda word, ranks: alone.append(word) or one(word, ranks))
+    monkeypatch.setattr(bpe, "MEMO_WORDS", 500)
+    monkeypatch.setattr(bpe, "TOGETHER_BYTES", 2000)
+    texts = [" ".join(words[i : i + 50]) for i in range(0, len(words), 50)] + ["", None]
+    found = bpe._Encoder(path, P.PATTERN, {}).lists(texts).to_pylist()
+    assert alone and all(len(w) > bpe.MERGED_BYTES for w in alone)
+    import regex
+
+    split = regex.compile(P.PATTERN)
+    assert found == [[i for w in split.findall(t or "") for i in ([ranks[w.encode()]] if w.encode() in ranks else one(w.encode(), ranks))] for t in texts]
+
+
+def test_bpe_with_any_vocabulary():
+    """Pairs of every kind, ties and overlaps included; one that lacks bytes goes word by word."""
+    r = random.Random(4)
+    for n in (0, 5, 60):
+        ranks = {bytes([i]): i for i in range(256)}
+        for _ in range(n):
+            piece = r.choice([p for p in ranks if p.isalpha() and len(p) < 6 and p[:1] in b"abc"]) + r.choice(b"abc").to_bytes(1, "big")
+            ranks.setdefault(piece, len(ranks))
+        words = ["".join(r.choices("abc", k=r.randrange(1, 30))).encode() for _ in range(500)]
+        got = bpe.merge_words(words, bpe.PairTable(ranks))
+        assert [np.frombuffer(g, np.int32).tolist() for g in got] == [bpe.merge_word(w, ranks) for w in words]
+    few = bpe._Words({b"a": 0, b"b": 1, b"ab": 2}, {})
+    few.learn({"abab", "ba"})
+    assert {w: np.frombuffer(x, np.int32).tolist() for w, x in few.items()} == {"abab": [2, 2], "ba": [1, 0]}
+
+
 def test_token_counts_equal_the_library(spark):
     import public_tokenizers as P
 

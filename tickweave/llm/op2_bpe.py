@@ -5,8 +5,8 @@ and folds the ranked merges over the byte arrays of the ``FOLDED_WORDS`` most
 frequent of them with higher-order functions, looking ranks up in a rank map
 (bytes in hex, hashed into small maps) that lies in a table of one row.  These
 words cover nearly all of a corpus and go to the workers with the vocabulary; a
-worker merges a rarer word by the same ranked merges when it meets one
-(remembered, bounded).  Decoding concatenates the tokens' bytes; ``round_trip``
+worker merges the rarer words of some texts together, by the same ranked merges,
+one merge of every word at a time (remembered, bounded).  Decoding concatenates the tokens' bytes; ``round_trip``
 does both in one pass.
 """
 
@@ -25,11 +25,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.llm.spark import cut, table, tidy
-from tickweave.llm.text import chunks
+from tickweave.llm.text import chunks, mix
 
 FOLDED_WORDS = 32_768  # bound of the table of folded words that goes to the workers
 FOLDED_BYTES = 64  # longer words are left to the workers
 MEMO_WORDS = 250_000
+TOGETHER_BYTES = 1 << 19  # text whose rarer words are merged together
+MERGED_BYTES = 64  # longer words are merged one by one
+NO_PAIR = 1 << 40  # beyond every id
 RANK_BUCKETS = 16_384
 
 #: Fixed: the split pattern of the rank files, restated for code points up to U+024F.
@@ -134,27 +137,109 @@ def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+class PairTable:
+    """Ids of all pairs of vocabulary entries that join to one, hashed by the two ids."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.bytes = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
+        self.usable = self.bytes.min() >= 0 and len(set(ranks.values())) == len(ranks) and min(ranks.values()) >= 0 and max(ranks.values()) < 1 << 31
+        pairs = [(x, y, r) for piece, r in ranks.items() for i in range(1, len(piece)) if (x := ranks.get(piece[:i])) is not None and (y := ranks.get(piece[i:])) is not None]
+        left, right, joined = (np.array(x, np.int64) for x in zip(*pairs)) if pairs else [np.zeros(0, np.int64)] * 3
+        self.bits = np.uint64(64 - max(4, (2 * len(pairs)).bit_length()))
+        self.keys = np.full(1 << (64 - int(self.bits)), -1, np.int64)
+        self.ids = np.zeros(len(self.keys), np.int32)
+        key = left << 32 | right
+        slot = self._slot(key)
+        while len(key):  # the first of those that meet in a free slot takes it, the others move on
+            first = np.zeros(len(key), dtype=bool)
+            first[np.unique(slot, return_index=True)[1]] = True
+            first &= self.keys[slot] == -1
+            self.keys[slot[first]], self.ids[slot[first]] = key[first], joined[first]
+            key, joined, slot = key[~first], joined[~first], (slot[~first] + 1) % len(self.keys)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (mix(key.astype(np.uint64)) >> self.bits).astype(np.int64)
+
+    def joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The id of each pair's joined bytes (``NO_PAIR``: no entry)."""
+        key = left << 32 | right
+        out = np.full(len(key), NO_PAIR)
+        at, slot = np.arange(len(key)), self._slot(key)
+        while len(at):
+            there = self.keys[slot]
+            hit = there == key[at]
+            out[at[hit]] = self.ids[slot[hit]]
+            on = ~hit & (there != -1)
+            at, slot = at[on], (slot[on] + 1) % len(self.keys)
+        return out
+
+
+def merge_words(words: list[bytes], pairs: PairTable) -> list[bytes]:
+    """``merge_word`` of many words of at least one byte (ids as int32 bytes), a merge of every word at a time."""
+    size = np.array([len(w) for w in words], np.int64)
+    part = pairs.bytes[np.frombuffer(b"".join(words), np.uint8)]
+    word = np.repeat(np.arange(len(words)), size)
+    rank = np.full(len(part), NO_PAIR)  # of a part with the next one of its word
+    inner = np.flatnonzero(word[1:] == word[:-1])
+    rank[inner] = pairs.joined(part[inner], part[inner + 1])
+    done: list[tuple[np.ndarray, np.ndarray]] = []
+    while len(part):
+        first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+        size = np.diff(np.append(first, len(part)))
+        best = np.minimum.reduceat(rank, first)
+        ready = best == NO_PAIR
+        if ready.any():
+            out = np.repeat(ready, size)
+            done.append((word[out], part[out]))
+            part, word, rank, best, size = part[~out], word[~out], rank[~out], best[~ready], size[~ready]
+        at = np.flatnonzero(rank == np.repeat(best, size))
+        at = at[np.concatenate(([True], word[at[1:]] != word[at[:-1]]))] if len(at) else at  # the leftmost of the least
+        part[at] = best
+        gone = np.zeros(len(part), dtype=bool)
+        gone[at + 1] = True
+        new = np.zeros(len(part), dtype=bool)
+        new[at] = True
+        new[at[at > 0] - 1] = True
+        part, word, rank, new = part[~gone], word[~gone], rank[~gone], np.flatnonzero(new[~gone])
+        rank[new] = NO_PAIR
+        new = new[new < len(part) - 1]
+        new = new[word[new] == word[new + 1]]
+        rank[new] = pairs.joined(part[new], part[new + 1])
+    word, part = (np.concatenate([x[k] for x in done]) if done else np.zeros(0, np.int64) for k in (0, 1))
+    order = np.argsort(word, kind="stable")
+    raw = part[order].astype(np.int32).tobytes()
+    edge = (4 * np.searchsorted(word[order], np.arange(len(words) + 1))).tolist()
+    return [raw[i:j] for i, j in zip(edge[:-1], edge[1:])]
+
+
 class _Words(dict):
     """word -> ids (as int32 bytes): vocabulary entries, folded words, and remembered merges of the rest."""
 
     def __init__(self, ranks: dict[bytes, int], folded_ids: dict[str, list[int]]):
         super().__init__()
-        self.ranks, self.folded = ranks, folded_ids
+        self.ranks, self.folded, self.pairs = ranks, folded_ids, PairTable(ranks)
         self._fill()
 
     def _fill(self) -> None:
         self.update({w: np.array(ids, np.int32).tobytes() for w, ids in self.folded.items()})
         self.fixed = len(self)
 
-    def __missing__(self, word: str) -> bytes:
+    def learn(self, found: set[str]) -> None:
+        """Take in the words of some texts."""
         if len(self) > self.fixed + MEMO_WORDS:
             self.clear()
             self._fill()
-        raw = word.encode()
-        whole = self.ranks.get(raw)
-        out = np.array([whole] if whole is not None else merge_word(raw, self.ranks), np.int32).tobytes()
-        self[word] = out
-        return out
+        rest: list[tuple[str, bytes]] = []
+        for w in found.difference(self):
+            raw = w.encode()
+            if (whole := self.ranks.get(raw)) is not None:
+                self[w] = whole.to_bytes(4, "little")
+            elif self.pairs.usable and len(raw) <= MERGED_BYTES:
+                rest.append((w, raw))
+            else:
+                self[w] = np.array(merge_word(raw, self.ranks), np.int32).tobytes()
+        if rest:
+            self.update(zip([w for w, _ in rest], merge_words([raw for _, raw in rest], self.pairs)))
 
 
 class _Encoder:
@@ -166,10 +251,12 @@ class _Encoder:
         self.any_text, self.words = regex.compile(pattern), _Words(read_ranks(ranks_path), folded_ids)
 
     def lists(self, texts: list[str | None]) -> pa.ListArray:
-        rows = []
-        for text in texts:
-            found = (self.any_text if BEYOND_LATIN.search(text) else LATIN_PATTERN).findall(text) if text else ()
-            rows.append(b"".join(map(self.words.__getitem__, found)))
+        rows: list[bytes] = []
+        texts = [t or "" for t in texts]
+        for lo, hi in chunks(texts, TOGETHER_BYTES):
+            found = [(self.any_text if BEYOND_LATIN.search(text) else LATIN_PATTERN).findall(text) for text in texts[lo:hi]]
+            self.words.learn(set().union(*found))
+            rows += [b"".join(map(self.words.__getitem__, f)) for f in found]
         offsets = np.concatenate(([0], np.cumsum([len(r) // 4 for r in rows]))).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), np.int32)))
 

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +45,7 @@ FLUSH = 400_000  # anchors that a task holds; settling them takes about 100 byte
 TOGETHER = 512  # texts that are scanned at a time
 BUCKET_BYTES = 16 << 20  # text behind one bucket
 HOT = 20_000  # halves of one longer string beyond which their windows are dealt one by one
+SETTLED = 1 << 18  # territories that a bucket settles at a time, or so
 COMPARED = 1 << 19  # windows that are sorted at a time, if no single anchor has more
 LOW32 = U64(0xFFFFFFFF)
 LEFT, RIGHT = 1, 2  # the halves of a territory
@@ -163,7 +165,7 @@ def answers(db: np.ndarray, kind: int, key: np.ndarray, ordinal: np.ndarray, sto
 def read_answers(rows: pa.Table, kinds: tuple[int, ...]) -> dict[int, list[tuple[int, np.ndarray, np.ndarray]]]:
     """key -> (kind, ordinals or starts, stops)."""
     out: dict[int, list] = {}
-    for r in rows.to_pylist():
+    for r in _each(rows):
         if r["kind"] not in kinds:
             continue
         n = r["n"]
@@ -177,21 +179,26 @@ def read_answers(rows: pa.Table, kinds: tuple[int, ...]) -> dict[int, list[tuple
     return out
 
 
-def settle(seed: np.ndarray, own: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order by anchor, territory and id; starts of equal territories; per ordered row: is an equal territory in a smaller id)."""
-    key = (seed.astype(np.uint64) << U64(32)) | (own >> U64(16))
+def settle(seed: np.ndarray, own: np.ndarray, owner: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order by anchor, territory and id; per ordered row: is an equal territory in a smaller
+    id).  Row i is in the document with the id ``ids[owner[i]]``."""
+    key = seed.astype(np.uint64)
+    key <<= U64(32)
+    key |= own >> U64(16)
     order = np.argsort(key)
-    k = key[order]
-    tied = np.zeros(len(k), dtype=bool)
-    tied[1:] = k[1:] == k[:-1]
+    key = key[order]
+    tied = np.zeros(len(key), dtype=bool)
+    tied[1:] = key[1:] == key[:-1]
+    del key
     tied[:-1] |= tied[1:]
-    del key, k
-    some = order[tied]  # only these are not in order yet
-    order[tied] = some[np.lexsort((some, ids[some], own[some], seed[some]))]
-    s, o, d = seed[order], own[order], ids[order]
+    some = order[tied]  # only these are not in order yet, and only these can be equal
+    some = some[np.lexsort((some, ids[owner[some]], own[some], seed[some]))]
+    order[tied] = some
+    s, o, d = seed[some], own[some], ids[owner[some]]
     start = np.flatnonzero(np.concatenate(([True], (s[1:] != s[:-1]) | (o[1:] != o[:-1])))) if len(s) else np.zeros(0, np.int64)
-    least = np.repeat(d[start], np.diff(np.append(start, len(d))))
-    return order, start, d > least
+    same = np.zeros(len(order), dtype=bool)
+    same[tied] = d > np.repeat(d[start], np.diff(np.append(start, len(d))))
+    return order, same
 
 
 class Sender:
@@ -241,7 +248,7 @@ class Sender:
             ids, keys, dbs = (np.array(x, dtype=np.int64) for x in zip(*[r for r, _ in twins]))
             del part
             self.clear()
-            order, _, same = settle(seed, own, ids[which])
+            order, same = settle(seed, own, which, ids)
             done = order[same]
             if len(done):
                 yield from self._direct(dbs[which[done]], SAME, keys[which[done]], ordinal[done])
@@ -264,46 +271,82 @@ class Sender:
             yield {"bucket": int(mix(np.array([r["db"]], np.uint64))[0] % U64(self.buckets)), "kind": kind, "seed": b"", "hash": b"", "near": b"", "owner": r["owner"], "ordinal": r["ordinal"], "keys": r["keys"], "ids": r["n"].to_bytes(8, "little"), "dbs": r["db"].to_bytes(4, "little")}
 
 
+def _each(table: pa.Table, column: str | None = None) -> Iterator:
+    """The rows (or one column's values) of a table, some at a time."""
+    for i in range(0, table.num_rows, 16):
+        part = table.slice(i, 16)
+        yield from part.column(column).to_pylist() if column else part.to_pylist()
+
+
 def settle_bucket(group: pa.Table, hot_size: int = HOT) -> Iterator[dict]:
     """A bucket's answers: settled territories, and those whose bytes are wanted (ordinals by
     four, with the halves)."""
-    parts_: list[tuple[np.ndarray, ...]] = []
-    for r in group.to_pylist():
+    total, least, most, groups = 0, 1 << 32, 0, 1
+    for r in _each(group):
         if r["kind"] >= 0:
             yield {"db": int.from_bytes(r["dbs"], "little"), "kind": r["kind"], "n": int.from_bytes(r["ids"], "little"), "owner": r["owner"], "ordinal": r["ordinal"], "stop": b"", "keys": r["keys"]}
+        elif r["seed"]:
+            seed = np.frombuffer(r["seed"], np.uint32)  # in order
+            total, least, most, groups = total + len(seed), min(least, int(seed[0])), max(most, int(seed[-1])), int.from_bytes(r["dbs"], "little")
+    found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {SAME: [], ASK: [], ASK_HOT: []}
+    edge = np.linspace(least, most + 1, 2 + total // SETTLED).astype(np.int64).tolist() if total else []
+    for lo, hi in zip(edge[:-1], edge[1:]):
+        for kind, key, ordinal in _settle_range(group, lo, hi, hot_size):
+            found[kind].append((key, ordinal))
+    for kind, some in found.items():
+        if some:
+            key, ordinal = (np.concatenate(x) for x in zip(*some))
+            yield from answers(key % groups, kind, key, ordinal)
+
+
+def _settle_range(group: pa.Table, lo: int, hi: int, hot_size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(kind, keys, ordinals) of a bucket's answers for the anchors from ``lo`` to below ``hi``."""
+    parts_: list[tuple[np.ndarray, ...]] = []
+    ids_, keys_, owners = [], [], 0
+    for r in _each(group):
+        if r["kind"] >= 0:
             continue
         seed = np.frombuffer(r["seed"], np.uint32)
         n = len(seed)
-        own = np.frombuffer(r["hash"], np.uint32, n).astype(np.uint64) | (np.frombuffer(r["hash"], np.uint16, n, 4 * n).astype(np.uint64) << U64(32))
-        owner = widened(r["owner"], n)
+        part = slice(*np.searchsorted(seed, (lo, hi)).tolist())
+        own = np.frombuffer(r["hash"], np.uint32, n)[part].astype(np.uint64) | (np.frombuffer(r["hash"], np.uint16, n, 4 * n)[part].astype(np.uint64) << U64(32))
         key = np.frombuffer(r["keys"], np.int64)
-        id_ = np.frombuffer(r["ids"], np.int64) if len(r["ids"]) == 8 * len(key) else widened(r["ids"], len(key))
-        parts_.append((seed, own, np.frombuffer(r["near"], np.uint32), id_[owner], key[owner], (key % int.from_bytes(r["dbs"], "little"))[owner], widened(r["ordinal"], n)))
-    if not parts_:
+        used, owner = np.unique(widened(r["owner"], n)[part], return_inverse=True)
+        keys_.append(key[used])
+        ids_.append((np.frombuffer(r["ids"], np.int64) if len(r["ids"]) == 8 * len(key) else widened(r["ids"], len(key)))[used])
+        parts_.append((seed[part].copy(), own, np.frombuffer(r["near"], np.uint32)[part].copy(), (owner + owners).astype(np.int32), widened(r["ordinal"], n)[part].astype(np.int32)))
+        owners += len(used)
+    if not owners:
         return
-    seed, own, near, ids, keys, dbs, ordinal = (np.concatenate(x) for x in zip(*parts_))
-    del parts_
-    order, start, same = settle(seed, own, ids)
+    seed, own, near, owner, ordinal = (np.concatenate(x) for x in zip(*parts_))
+    ids, keys = np.concatenate(ids_), np.concatenate(keys_)
+    del parts_, ids_, keys_
+    order, same = settle(seed, own, owner, ids)
     done = order[same]
     if len(done):
-        yield from answers(dbs[done], SAME, keys[done], ordinal[done])
+        yield SAME, keys[owner[done]], ordinal[done].astype(np.int64)
     # Anchors whose territories first occur in different documents, and of these the halves whose
     # longer strings do: their bytes must be compared.
     heads = order[~same]
-    at = heads[_differ(seed[heads], own[heads], ids[heads])[0]]
+    s = seed[heads]
+    several = np.zeros(len(s), dtype=bool)
+    several[1:] = s[1:] == s[:-1]
+    several[:-1] |= several[1:]
+    heads = heads[several]
+    at = heads[_differ(seed[heads], own[heads], ids[owner[heads]])[0]]
     halves = {ASK: np.zeros(len(at), np.int64), ASK_HOT: np.zeros(len(at), np.int64)}
     for half, string in ((LEFT, near[at] & np.uint32(0xFFFF)), (RIGHT, near[at] >> np.uint32(16))):
         some = np.flatnonzero(string)
         key = (seed[at[some]].astype(np.uint64) << U64(16)) | string[some]
         by = np.argsort(key, kind="stable")  # equal territories stay side by side
         some, key = some[by], key[by]
-        wanted, size = _differ(key, own[at[some]], ids[at[some]])
+        wanted, size = _differ(key, own[at[some]], ids[owner[at[some]]])
         halves[ASK][some[wanted & (size <= hot_size)]] |= half
         halves[ASK_HOT][some[wanted & (size > hot_size)]] |= half
     for kind, which in halves.items():
         x = at[which > 0]
         if len(x):
-            yield from answers(dbs[x], kind, keys[x], 4 * ordinal[x] + which[which > 0])
+            yield kind, keys[owner[x]], 4 * ordinal[x].astype(np.int64) + which[which > 0]
 
 
 def _differ(group: np.ndarray, own: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -430,16 +473,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         """The bytes that were asked for of one group of texts."""
         give_back()
         asked = read_answers(right, (ASK, ASK_HOT))
-        docs_: dict[int, tuple[int, bytes]] = {}  # of rows with equal id and text one is enough
+        docs_: dict[int, tuple[int, str]] = {}  # of rows with equal id and text one is enough
         for i, key in enumerate(left.column("__key").to_pylist() if asked else []):
             if key in asked and key not in docs_:
-                docs_[key] = (left.column("__id")[i].as_py(), left.column(text_col)[i].as_py().encode())
-        keys, raws = list(docs_), [raw for _, raw in docs_.values()]
+                docs_[key] = (left.column("__id")[i].as_py(), left.column(text_col)[i].as_py())
+        keys = list(docs_)
         rows: list[tuple] = []  # seed, id, key, start, windows, bytes
-        for lo, hi in chunks(raws, CHUNK):
-            mine = Territories(raws[lo:hi], length)
+        for lo, hi in chunks([t for _, t in docs_.values()], CHUNK):
+            raws = [docs_[key][1].encode() for key in keys[lo:hi]]
+            mine = Territories(raws, length)
             for i in range(lo, hi):
-                key, raw, doc = keys[i], raws[i], docs_[keys[i]][0]
+                key, raw, doc = keys[i], raws[i - lo], docs_[keys[i]][0]
                 for kind, ordinal, _ in asked[key]:
                     o, which = mine.first[i - lo] + (ordinal >> 2), ordinal & 3
                     at, n, seed = mine.start[o], mine.windows[o], mine.seed[o]
@@ -467,11 +511,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     def compare(group: pa.Table) -> pa.Table:
         give_back()
-        rows = group.to_pylist()
-        col = lambda name, kind: np.concatenate([np.frombuffer(r[name], kind) for r in rows])
+        col = lambda name, kind: np.concatenate([np.frombuffer(x, kind) for x in _each(group, name)])
         seed, ids, keys, dbs, start = col("seed", np.uint32), col("ids", np.int64), col("keys", np.int64), col("dbs", np.int32), col("start", np.uint32).astype(np.int64)
         windows = col("windows", np.uint16).astype(np.int64)
-        hit = repeated_windows(seed, ids, windows, b"".join(r["data"] for r in rows), length)
+        hit = repeated_windows(seed, ids, windows, b"".join(_each(group, "data")), length)
         which = np.arange(int(windows.sum()))[hit]  # windows, numbered through all heads
         ends = np.cumsum(windows)
         h = np.searchsorted(ends, which, side="right")
@@ -483,26 +526,22 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         last = np.append(at[1:], len(p)) - 1
         return _table(list(answers(dbs[h[at]].astype(np.int64), SPAN, keys[h[at]], p[at], p[last] + length)), ANSWER)
 
-    def scanned(names: list, texts_: list, told_: dict) -> Iterator[tuple]:
-        """(bytes, text, answers, first bytes and windows of the territories if an answer needs them), in order."""
-        raws = [(t or "").encode() for t in texts_]
-        for lo, hi in chunks(raws, CHUNK):
-            told_here = [told_.get(k) if k is not None else None for k in names[lo:hi]]
-            use = [i for i, a in enumerate(told_here) if a and any(k == SAME for k, _, _ in a) and not any(k == WHOLE for k, _, _ in a)]
-            mine, place = Territories([raws[lo + i] for i in use], length), {i: j for j, i in enumerate(use)}
-            for i, told_of in enumerate(told_here):
-                j = place.get(i)
-                own = None if j is None else (mine.start[mine.first[j] : mine.first[j + 1]], mine.windows[mine.first[j] : mine.first[j + 1]])
-                yield raws[lo + i], texts_[lo + i], told_of, own
-
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        """The texts of one group without their removed bytes."""
+        """The texts of one group without their removed bytes, some at a time."""
         give_back()
         told_ = read_answers(right, (WHOLE, SAME, SPAN))
+        size = pa.compute.fill_null(pa.compute.binary_length(left.column(text_col)), 0).to_numpy().astype(np.int64)
+        edge = np.append(runs(np.cumsum(size) // (4 * CHUNK)), len(size)).tolist()
+        return pa.concat_tables([finish_some(left.slice(i, j - i), told_) for i, j in zip(edge[:-1], edge[1:])] or [finish_some(left, told_)])
+
+    def finish_some(left: pa.Table, told_: dict) -> pa.Table:
         kept, chars, spans, removed = [], [], [], []
-        names, texts_ = left.column("__key").to_pylist(), left.column(text_col).to_pylist()
-        names = [None if doc is None else key for key, doc in zip(names, left.column("__id").to_pylist())]
-        for raw, text, mine, own in scanned(names, texts_, told_):
+        texts_ = left.column(text_col).to_pylist()
+        raws = [(t or "").encode() for t in texts_]
+        answered = [None if doc is None else told_.get(key) for key, doc in zip(left.column("__key").to_pylist(), left.column("__id").to_pylist())]
+        use = [i for i, a in enumerate(answered) if a and any(kind == SAME for kind, _, _ in a)]
+        scan, place = Territories([raws[i] for i in use], length), {i: j for j, i in enumerate(use)}
+        for i, (raw, text, mine) in enumerate(zip(raws, texts_, answered)):
             if not mine:
                 kept.append(raw)
                 chars.append(text or "")
@@ -516,10 +555,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                 starts = [x for kind, x, _ in mine if kind == SPAN]
                 stops = [y for kind, _, y in mine if kind == SPAN]
                 if same:
-                    start, windows = own
-                    o = np.concatenate(same)
-                    starts.append(start[o])
-                    stops.append(start[o] + windows[o] + length - 1)
+                    o = scan.first[place[i]] + np.concatenate(same)
+                    starts.append(scan.start[o])
+                    stops.append(scan.start[o] + scan.windows[o] + length - 1)
                 starts, stops = np.concatenate(starts), np.concatenate(stops)
             cover = np.zeros(len(raw) + 1, dtype=np.int32)
             np.add.at(cover, starts, 1)
