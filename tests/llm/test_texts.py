@@ -1,6 +1,7 @@
 """Tokenizers, language model, toxicity, HTML and mixing against brute force, libraries and SQL."""
 
 import math
+import pathlib
 import pickle
 import random
 import re
@@ -461,3 +462,28 @@ def test_workers_give_back_what_their_tasks_leave(spark):
     before, after = resident(), []
     assert list(tidy(run)(iter([1, 2]))) == [1, 2] and len(keep) == 100_000
     assert before - after[0] >= 100
+
+
+def test_idle_workers_give_back_what_their_last_task_left():
+    """Memory freed after the last call of a function of ours goes back to the system too."""
+    import subprocess
+
+    code = """
+import re, sys, time
+from tickweave.llm.spark import stay_tidy
+
+def resident():
+    return int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())[1]) // 1024
+
+stay_tidy()
+stay_tidy()
+held = [bytearray(100_000) for _ in range(2000)]
+keep = held[-1]
+most = resident()
+del held[:-1]
+end = time.time() + 30
+while most - resident() < 100 and time.time() < end:
+    time.sleep(0.5)
+sys.exit(most - resident() < 100)
+"""
+    assert subprocess.run([sys.executable, "-c", code], cwd=pathlib.Path(bpe.__file__).parents[2]).returncode == 0

@@ -31,6 +31,7 @@ FOLDED_WORDS = 32_768  # bound of the table of folded words that goes to the wor
 FOLDED_BYTES = 64  # longer words are left to the workers
 MEMO_WORDS = 250_000
 TOGETHER_BYTES = 1 << 19  # text whose rarer words are merged together
+ROWS = 1024  # texts that are Python strings at a time
 MERGED_BYTES = 64  # longer words are merged one by one
 NO_PAIR = 1 << 40  # beyond every id
 RANK_BUCKETS = 16_384
@@ -298,7 +299,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _Encoder(ranks_path, pattern, shared.value)
-        for b in batches:
+        for b in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             lists = encoder.lists(b.column(b.schema.get_field_index(text_col)).to_pylist())
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in kept), lists], names=[*kept, "ids"])
 
@@ -335,7 +336,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, returns: Sequence
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, pieces = _Encoder(ranks_path, pattern, shared.value), _pieces(ranks_path)
         digits = pa.array([f"{i},".encode() for i in range(len(pieces))], pa.large_binary())
-        for b in batches:
+        for b in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             texts = [t or "" for t in b.column(b.schema.get_field_index(text_col)).to_pylist()]
             for lo, hi in chunks(texts):
                 lists = encoder.lists(texts[lo:hi])

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.llm.op3_jaccard_join import runs
-from tickweave.llm.spark import cut, give_back, parts, table, tidy
+from tickweave.llm.spark import cut, parts, stay_tidy, table, tidy
 from tickweave.llm.text import BASE, BYTE_VALUES, U64, chunks, mix, powers
 
 LENGTH = 50
@@ -462,7 +462,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         yield from _table(list(sender.flush()), SENT).to_batches()
 
     def settle_group(group: pa.Table) -> pa.Table:
-        give_back()
+        stay_tidy()
         return _table(list(settle_bucket(group, hot_size)), ANSWER)
 
     sent = d.where(F.col("__id").isNotNull() & F.col(text_col).isNotNull()).select("__id", "__key", "__db", text_col).mapInArrow(tidy(send), SENT)
@@ -471,7 +471,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     def fetch(left: pa.Table, right: pa.Table) -> pa.Table:
         """The bytes that were asked for of one group of texts."""
-        give_back()
+        stay_tidy()
         asked = read_answers(right, (ASK, ASK_HOT))
         docs_: dict[int, tuple[int, str]] = {}  # of rows with equal id and text one is enough
         for i, key in enumerate(left.column("__key").to_pylist() if asked else []):
@@ -510,7 +510,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         return _table(out, WANTED)
 
     def compare(group: pa.Table) -> pa.Table:
-        give_back()
+        stay_tidy()
         col = lambda name, kind: np.concatenate([np.frombuffer(x, kind) for x in _each(group, name)])
         seed, ids, keys, dbs, start = col("seed", np.uint32), col("ids", np.int64), col("keys", np.int64), col("dbs", np.int32), col("start", np.uint32).astype(np.int64)
         windows = col("windows", np.uint16).astype(np.int64)
@@ -528,7 +528,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         """The texts of one group without their removed bytes, some at a time."""
-        give_back()
+        stay_tidy()
         told_ = read_answers(right, (WHOLE, SAME, SPAN))
         size = pa.compute.fill_null(pa.compute.binary_length(left.column(text_col)), 0).to_numpy().astype(np.int64)
         edge = np.append(runs(np.cumsum(size) // (4 * CHUNK)), len(size)).tolist()

@@ -5,6 +5,8 @@ from __future__ import annotations
 import ctypes
 import os
 import tempfile
+import threading
+import time
 import uuid
 from collections.abc import Callable, Iterator
 from functools import wraps
@@ -58,13 +60,31 @@ def give_back() -> None:
         trim(0)
 
 
+_tidying: list[int] = []  # the process whose memory is tidied in the background
+
+
+def stay_tidy() -> None:
+    """``give_back`` now and every other second from now on: a worker waits for its next task with
+    what its last one left, and no function of ours runs then."""
+    give_back()
+    if _tidying != [os.getpid()]:
+        _tidying[:] = [os.getpid()]
+        threading.Thread(target=_tidy_up, name="tickweave-tidy", daemon=True).start()
+
+
+def _tidy_up() -> None:
+    while True:
+        time.sleep(2)
+        give_back()
+
+
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``run``, a function for mapInArrow, that gives back what the worker's earlier tasks (of any
     stage: workers stay) and its own batches leave unused."""
 
     @wraps(run)
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
+        stay_tidy()
         for b in run(batches):
             yield b
             del b
